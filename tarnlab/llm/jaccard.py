@@ -59,7 +59,7 @@ class Shingler:
         if len(self.seen) > self.remember:
             self.seen.clear()
         seen = self.seen
-        for w in set(words) - seen.keys():
+        for w in [w for w in set(words) if w not in seen]:
             seen[w] = xxhash.xxh3_64_intdigest(w)
         w = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
         k = min(self.width, len(w))
