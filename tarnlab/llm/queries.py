@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, common, jaccard, quality, sharding
+from . import chat, common, jaccard, langid, quality, sharding, warc
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write_archive(common.table(spark, sf_dir, "pages"))
+    return warc.read_archive(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM q
+"""
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of `conversations` are one layout, conversation -1 is another."""
     rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -89,7 +109,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_quality_rules": op2_quality_rules,
+        "op3_warc": op3_warc,
         "op5_chat_format": op5_chat_format,
         "op9_histogram_shards": op9_histogram_shards,
         "op10_jaccard_join": op10_jaccard_join,
@@ -97,4 +119,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": OP5_SQL, "op9_histogram_shards": OP9_SQL}
+    return {"op3_warc": OP3_SQL, "op5_chat_format": OP5_SQL, "op9_histogram_shards": OP9_SQL}
