@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, common, jaccard, langid, quality, sharding, warc
+from . import bpe, chat, common, jaccard, langid, mpeg, packing, quality, sharding, warc
+
+#: Vocabulary files of public tokenizers; every executor has them.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +39,10 @@ FROM q
 """
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(common.table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of `conversations` are one layout, conversation -1 is another."""
     rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -76,6 +85,15 @@ FROM made GROUP BY conv_id
 """
 
 
+def op6_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mpeg.digests(mpeg.read(mpeg.store(common.table(spark, sf_dir, "documents"))))
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode_documents(common.table(spark, sf_dir, "documents"), BYTE_BPE)
+    return bpe.digests(bpe.decode_documents(ids, BYTE_BPE))
+
+
 def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(common.table(spark, sf_dir, "documents"))
 
@@ -112,7 +130,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_quality_rules": op2_quality_rules,
         "op3_warc": op3_warc,
+        "op4_packing": op4_packing,
         "op5_chat_format": op5_chat_format,
+        "op6_mpeg_audio": op6_mpeg_audio,
+        "op8_byte_bpe": op8_byte_bpe,
         "op9_histogram_shards": op9_histogram_shards,
         "op10_jaccard_join": op10_jaccard_join,
     }
