@@ -3,8 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarnlab.llm import common, jaccard
+from tarnlab.llm import common, jaccard, langid, packing, quality, queries, substrings
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """docs with all its columns once more in `_doc`, which no operator's column can clash with."""
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules, or look unlike the trusted target, go."""
+    found = quality.quality_rules(_packed(docs), common.table(spark, sf_dir, "labels"), carry=("_doc",))
+    return found.where("kept").select("_doc.*")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language, or whose two best languages are close, go."""
+    found = langid.identify(_packed(docs), langid.fit(docs), carry=("_doc",))
+    return found.where(f"lang_pred <> '{langid.UNKNOWN}' and not ambiguous").select("_doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +36,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages go from all documents but the first that has them; what is emptied by that goes."""
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("_rest")
+    found = substrings.dedup_substrings(docs.select("doc_id", "text", rest), carry=("_rest",))
+    found = found.where("removed_bytes = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    columns = []
+    for c in docs.columns:
+        old = F.col(f"_rest.`{c}`") if c != "text" else F.col("text")
+        if c == "n_chars":
+            old = F.when(F.col("removed_bytes") > 0, F.length("text").cast(docs.schema[c].dataType)).otherwise(old)
+        columns.append(old.alias(c))
+    return found.select(*columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences."""
+    return packing.pack_documents(docs, queries.WORD_BPE)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("language_id", language_id),
     ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("packing", pack),
 ]
 
 #: The stages hash and train models, which SQL can't express; tests hold them against plain versions.

@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -189,8 +190,8 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model | None:
     return Model(languages, words * 2 - 1, weights(rows), trust / trust.sum() if len(trust) else trust)
 
 
-def _predict(model: Model | None):
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
+def _predict(model: Model | None, carry: tuple[str, ...]):
+    names = ["doc_id", "held_out", "lang_pred", "score", "ambiguous"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in common.text_rows(batches):
@@ -202,20 +203,27 @@ def _predict(model: Model | None):
                     out[i] = model.decode(s, int(k))
             lang, score, unsure = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_())],
-                schema=schema,
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_()), *(batch.column(c) for c in carry)],
+                names=[*names, *carry],
             )
 
     return run
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
+def identify(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Language of the whole text of every row of docs (doc_id, text).
 
     Returns doc_id, held_out, lang_pred, score (0 to 1), ambiguous. A null text, one
     without a letter, or any text if nothing could be learned, is `und` with score 0.
-    Equal texts get equal results; repeated rows stay; other columns are ignored.
+    Equal texts get equal results; repeated rows stay; of the other columns those
+    named in carry follow.
     """
     common.small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("text").cast("string").alias("text"),
+        *carry,
+    )
+    schema = T.StructType.fromDDL("doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
+    return rows.mapInArrow(_predict(model, carry), T.StructType([*schema, *(docs.schema[c] for c in carry)]))

@@ -88,20 +88,20 @@ def log_ratios(docs: DataFrame, labels: DataFrame | None, buckets: int = BUCKETS
     return [ratio(*found.get(b, (0, 0))) for b in range(buckets)]
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame | None, threshold: float = THRESHOLD, carry: tuple[str, ...] = ()) -> DataFrame:
     """Base counts and the verdict of every row of docs (doc_id, text).
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, score. A null or empty text has no words, fails the base
-    rules and scores 0. Equal texts score alike; repeated rows stay; other columns
-    are ignored. labels (doc_id, quality, toxic) may be None or empty: then all
+    rules and scores 0. Equal texts score alike; repeated rows stay; of the other
+    columns those named in carry follow. labels (doc_id, quality, toxic) may be None or empty: then all
     scores are 0 and the base rules alone decide.
     """
     ratios = log_ratios(docs, labels)
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<bigint>")  # folded to a literal
     buckets = len(ratios)
     text = F.coalesce("text", F.lit(""))
-    df = hashed(docs.select("doc_id", "text"))
+    df = hashed(docs.select("doc_id", "text", *carry))
     df = df.withColumn("_h4", _next(F.col("_h2"), 2))
     df = df.withColumn("_h8", F.slice(_next(F.col("_h4"), 4), 1, F.greatest(F.size("_h") - (WINDOW - 1), F.lit(0))))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
@@ -115,6 +115,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, threshold: float =
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words(F.col("_h8")).cast("long").alias("n_repeat_words"),
         total.alias("_total"),
+        *carry,
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     n_grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
@@ -122,4 +123,5 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, threshold: float =
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.col("_total") >= F.lit(round(threshold * SCALE)) * n_grams)).alias("kept"),
         (F.col("_total") / n_grams / F.lit(SCALE)).alias("score"),
+        *carry,
     )

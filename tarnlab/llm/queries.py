@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, common, jaccard, langid, mpeg, packing, quality, sharding, warc
+from . import bpe, chat, common, jaccard, langid, mpeg, packing, quality, sharding, substrings, warc
 
 #: Vocabulary files of public tokenizers; every executor has them.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -89,6 +89,10 @@ def op6_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg.digests(mpeg.read(mpeg.store(common.table(spark, sf_dir, "documents"))))
 
 
+def op7_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(common.table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode_documents(common.table(spark, sf_dir, "documents"), BYTE_BPE)
     return bpe.digests(bpe.decode_documents(ids, BYTE_BPE))
@@ -133,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op5_chat_format": op5_chat_format,
         "op6_mpeg_audio": op6_mpeg_audio,
+        "op7_chunk_dedup": op7_chunk_dedup,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_histogram_shards": op9_histogram_shards,
         "op10_jaccard_join": op10_jaccard_join,
