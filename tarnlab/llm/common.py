@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,26 @@ def text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
         yield batch, batch.column(batch.schema.get_field_index("text")).to_pylist()
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Tables of rows that follow each other with the same (integer) keys."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch.column(c).to_numpy() for c in keys])
+        cuts = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            now = tuple(k[:, a].tolist())
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def connected_components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
     """Label each node of the edges (a, b: long) by the least node that it reaches.
 

@@ -21,9 +21,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +29,13 @@ from . import common
 
 SHINGLE = 5
 NUM, DEN = 80, 100
-GROUPS = 64
+GROUPS = 256
 LEAF = 16
 TILE = 1024
 
-_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Bytes as digits: A-Z lower-cased, white space 0.
+_FOLD = np.array([0 if b in b" \t\n\v\f\r" else b + 33 if 65 <= b <= 90 else b + 1 for b in range(256)], np.uint64)
 _P = np.uint64(0x9E3779B97F4A7C15)
-_U64 = (1 << 64) - 1
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -47,21 +45,43 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Hashes of the distinct word shingles of a text, ascending."""
+    """Hashes of the distinct word shingles of a text, ascending.
 
-    def __init__(self, width: int = SHINGLE, remember: int = 200_000):
-        self.width, self.remember, self.seen = width, remember, {}
+    A word's hash is its bytes as digits of a number to an odd base, modulo 2^64, and
+    mixed: differences of one running sum give all words of a text at once.
+    """
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
-        if not words:
+    def __init__(self, width: int = SHINGLE):
+        self.width = width
+        self._powers(1 << 12)
+
+    def _powers(self, n: int) -> None:
+        self.power = np.full(n, _P, np.uint64)
+        self.inverse = np.full(n, np.uint64(pow(int(_P), -1, 1 << 64)), np.uint64)
+        self.power[0] = self.inverse[0] = 1
+        np.multiply.accumulate(self.power, out=self.power)
+        np.multiply.accumulate(self.inverse, out=self.inverse)
+
+    def words(self, text: str | None) -> np.ndarray:
+        """A hash of each word, in order."""
+        data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+        if not len(data):
             return np.empty(0, np.uint64)
-        if len(self.seen) > self.remember:
-            self.seen.clear()
-        seen = self.seen
-        for w in [w for w in set(words) if w not in seen]:
-            seen[w] = xxhash.xxh3_64_intdigest(w)
-        w = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
+        if len(data) >= len(self.power):
+            self._powers(2 * len(data))
+        folded = _FOLD[data]
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = folded != 0
+        edge = np.flatnonzero(np.diff(inside))
+        start, end = edge[::2], edge[1::2]
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(folded * self.power[: len(data)], out=total[1:])
+        return _mix((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        w = self.words(text)
+        if not len(w):
+            return w
         k = min(self.width, len(w))
         h = np.full(len(w) - k + 1, k, np.uint64)
         for i in range(k):
@@ -69,23 +89,25 @@ class Shingler:
         return np.unique(_mix(h))
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
 def set_key(tokens: np.ndarray) -> int:
     """64 bits of a strong digest of the set; equal sets have equal keys."""
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def counts(tokens: np.ndarray) -> bytes:
-    """The set as a point: shingles in each of GROUPS groups (the hash's top bits)."""
-    c = np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
-    return c.astype("<u2" if len(tokens) < 65536 else "<u4").tobytes()
+    """The set as a point: shingles in each of GROUPS groups (the hash's top bits), as far as a byte goes."""
+    c = np.bincount((tokens >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
+    return np.minimum(c, 255).astype(np.uint8).tobytes()
+
+
+def points(vecs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(vecs), np.uint8).reshape(len(vecs), GROUPS)
 
 
-def point(vec: bytes) -> np.ndarray:
-    return np.frombuffer(vec, "<u2" if len(vec) == 2 * GROUPS else "<u4").astype(np.int64)
+def overlap_bound(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """At most so many shingles are in both sets: summed coordinate minima, and what the bytes could not count."""
+    over = np.minimum(na - a.sum(-1, dtype=np.int64), nb - b.sum(-1, dtype=np.int64))
+    return np.minimum(a, b).sum(-1, dtype=np.int64) + over
 
 
 def differing(a: int, b: int, num: int = NUM, den: int = DEN) -> int:
@@ -143,56 +165,52 @@ def links(a: np.ndarray, b: np.ndarray, num: int = NUM, den: int = DEN) -> bool:
 
 
 class CountTree:
-    """R-tree over count vectors, packed by sorting on the widest coordinates.
+    """R-tree over count vectors, packed by halving along the widest coordinate.
 
-    A node keeps the upper corner of its points and their least set size.
+    A node keeps the upper corner of its points, the least set size and the most
+    shingles that a point's bytes could not count.
     """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, leaf: int = LEAF):
-        self.points, self.sizes = points, sizes
-        order = self._pack(np.arange(len(points)), leaf)
-        self.order = order
-        cuts = np.arange(0, len(order), leaf)
-        self.leaf = leaf
+        self.points, self.sizes, self.leaf = points, sizes, leaf
+        self.beyond = sizes - points.sum(1, dtype=np.int64)
+        self.order = self._pack(np.arange(len(points)))
         self.levels = []
-        if len(order):
-            upper = np.maximum.reduceat(points[order], cuts, axis=0)
-            least = np.minimum.reduceat(sizes[order], cuts)
-            self.levels.append((upper, least))
-            while len(upper) > leaf:
-                cuts = np.arange(0, len(upper), leaf)
-                upper, least = np.maximum.reduceat(upper, cuts, axis=0), np.minimum.reduceat(least, cuts)
-                self.levels.append((upper, least))
-
-    def _pack(self, rows: np.ndarray, leaf: int) -> np.ndarray:
-        if len(rows) <= leaf:
+        upper, least, beyond = points[self.order], sizes[self.order], self.beyond[self.order]
+        while len(upper) > leaf or not self.levels and len(upper):
+            cuts = np.arange(0, len(upper), leaf)
+            upper, least, beyond = np.maximum.reduceat(upper, cuts, axis=0), np.minimum.reduceat(least, cuts), np.maximum.reduceat(beyond, cuts)
+            self.levels.append((upper, least, beyond))
+
+    def _pack(self, rows: np.ndarray) -> np.ndarray:
+        if len(rows) <= self.leaf:
             return rows
         p = self.points[rows]
         widest = int(np.argmax(p.max(0) - p.min(0)))
         rows = rows[np.argsort(p[:, widest], kind="stable")]
-        half = -(-(len(rows) // 2) // leaf) * leaf
-        return np.concatenate([self._pack(rows[:half], leaf), self._pack(rows[half:], leaf)])
+        half = -(-(len(rows) // 2) // self.leaf) * self.leaf
+        return np.concatenate([self._pack(rows[:half]), self._pack(rows[half:])])
 
     def search(self, q: np.ndarray, size: int, num: int = NUM, den: int = DEN) -> np.ndarray:
         """Rows whose bounded overlap may reach the threshold with q."""
+        more = size - int(q.sum(dtype=np.int64))
 
-        def may(upper, least):
-            over = np.minimum(upper, q).sum(1)
+        def may(upper, least, beyond):
+            over = np.minimum(upper, q).sum(1, dtype=np.int64) + np.minimum(beyond, more)
             return (den + num) * over >= num * (least + size)
 
         if not self.levels:
             return np.empty(0, np.int64)
         at = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
-            upper, least = self.levels[depth]
-            at = at[may(upper[at], least[at])]
+            at = at[may(*(x[at] for x in self.levels[depth]))]
             width = len(self.levels[depth - 1][0]) if depth else len(self.order)
             at = (at[:, None] * self.leaf + np.arange(self.leaf)).ravel()
             at = at[at < width]
         at = self.order[at]
         s = self.sizes[at]
         at = at[(den * s >= num * size) & (den * size >= num * s)]
-        return at[may(self.points[at], self.sizes[at])]
+        return at[may(self.points[at], self.sizes[at], self.beyond[at])]
 
 
 def _facts(width: int):
@@ -241,16 +259,17 @@ def _signature_rows(width: int, num: int, den: int):
 
 
 def _may_link(num: int, den: int):
-    """Keep the pairs whose sizes and count vectors allow a link."""
+    """Keep the pairs whose count vectors allow a link."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            keep = []
-            for na, nb, va, vb in zip(*(x.column(c).to_pylist() for c in ("na", "nb", "va", "vb")), strict=True):
-                over = np.minimum(point(va), point(vb)).sum()
-                keep.append(bool((den + num) * over >= num * (na + nb)))
-            yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b")], schema=schema).filter(pa.array(keep, pa.bool_()))
+            if not x.num_rows:
+                continue
+            na, nb = (x.column(c).to_numpy() for c in ("na", "nb"))
+            over = overlap_bound(points(x.column("va").to_pylist()), points(x.column("vb").to_pylist()), na, nb)
+            keep = pa.array((den + num) * over >= num * (na + nb))
+            yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b")], schema=schema).filter(keep)
 
     return run
 
@@ -272,24 +291,35 @@ def _verify(width: int, num: int, den: int):
     return run
 
 
-def _search_block(num: int, den: int):
-    """Pairs of a block's (or of two of its tiles') members in different components that may link."""
+def _search_blocks(num: int, den: int):
+    """Pairs that may link, of members in different components, of each block (or two of its tiles).
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = np.stack([point(v) for v in pdf["vec"]])
-        sizes, keys = pdf["n"].to_numpy(), pdf["key"].to_numpy()
-        label, tile = pdf["label"].to_numpy(), pdf["tile"].to_numpy()
-        one = pdf["i"].iat[0] == pdf["j"].iat[0]
-        tree = CountTree(points, sizes)
+    Input is sorted by block and tiles, so a block's rows follow each other.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def search(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        sizes, keys, label, tile = (block.column(c).to_numpy() for c in ("n", "key", "label", "tile"))
+        p = points(block.column("vec").to_pylist())
+        two_tiles = block.column("i")[0] != block.column("j")[0]
+        tree = CountTree(p, sizes)
+        names, n = np.unique(label, return_counts=True)
+        largest = names[np.argmax(n)]  # its members needn't ask: all others do
         a, b = [], []
-        for q in range(len(pdf)):
-            hit = tree.search(points[q], int(sizes[q]), num, den)
-            hit = hit[(label[hit] != label[q]) & (keys[hit] > keys[q])]
-            if not one:
+        for q in np.flatnonzero(label != largest).tolist():
+            hit = tree.search(p[q], int(sizes[q]), num, den)
+            hit = hit[(label[hit] != label[q]) & ((label[hit] == largest) | (keys[hit] > keys[q]))]
+            if two_tiles:
                 hit = hit[tile[hit] != tile[q]]
-            a.append(np.full(len(hit), keys[q]))
-            b.append(keys[hit])
-        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}, dtype="int64")
+            a.append(np.minimum(keys[hit], keys[q]))
+            b.append(np.maximum(keys[hit], keys[q]))
+        return (np.concatenate(a), np.concatenate(b)) if a else (keys[:0], keys[:0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in common.runs(batches, ("block", "i", "j")):
+            a, b = search(block)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
 
     return run
 
@@ -336,20 +366,28 @@ def jaccard_components(
     labelled = members.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "label", F.coalesce("label", "key")
     )
-    mixed = labelled.groupBy("sig").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")
-    ).where("lo <> hi")
+    # blocks of the same members are one: their number and the sum of their hashes tell them apart
+    mixed = (
+        labelled.groupBy("sig")
+        .agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows"),
+            F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("content"),
+        )
+        .where("lo <> hi")
+        .groupBy("rows", "content")
+        .agg(F.min("sig").alias("sig"))
+    )
     tiles = F.ceil(F.col("rows") / TILE).cast("int")
     cells = (
         labelled.join(mixed.select("sig", tiles.alias("tiles")), "sig")
         .withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .withColumn("i", F.least("tile", "other"))
-        .withColumn("j", F.greatest("tile", "other"))
+        .select(F.col("sig").alias("block"), F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "key", "label")
         .join(sets.select("key", "n", "vec"), "key")
-        .select("sig", "i", "j", "tile", "key", "label", "n", "vec")
+        .select("block", "i", "j", "tile", "key", "label", "n", "vec")
     )
-    rest = cells.groupBy("sig", "i", "j").applyInPandas(_search_block(num, den), "a long, b long").distinct()
+    cells = cells.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
+    rest = cells.mapInArrow(_search_blocks(num, den), "a long, b long").distinct()
     rest_links = common.materialize(_linked(rest, sets, docs, width, num, den), "jaccard-rest")
     if not rest_links.isEmpty():
         labels = common.connected_components(star_links.union(rest_links), "jaccard-components")
