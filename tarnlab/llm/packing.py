@@ -113,33 +113,34 @@ def pack(lengths: list[tuple[int, int]], length: int = LENGTH) -> list[tuple[int
             sequence += 1
         if n % length:
             rest.append((-(n % length), row, n - n % length))
-    rest.sort()
+    heapq.heapify(rest)
     k = -(-sum(-x[0] for x in rest) // length)
     room = [length] * k
     spent = [0.0] * k
     fits = [(0.0, s) for s in range(k)]  # by cost; may hold sequences whose room has become too small
     short: list[tuple[int, int]] = []  # by room, largest first: sequences too full for the last document
-    for negative, row, start in rest:
+    while rest:
+        negative, row, start = rest[0]
         n = -negative
-        while n:
-            while short and -short[0][0] >= n:
-                s = heapq.heappop(short)[1]
-                heapq.heappush(fits, (spent[s], s))
-            while fits and room[fits[0][1]] < n:
-                s = heapq.heappop(fits)[1]
-                if room[s]:
-                    heapq.heappush(short, (-room[s], s))
-            if fits:
-                s, take = heapq.heappop(fits)[1], n
-            else:
-                s = heapq.heappop(short)[1]
-                take = room[s]
-            out.append((row, start, take, sequence + s, length - room[s]))
-            room[s] -= take
-            spent[s] += cost(take)
-            start, n = start + take, n - take
-            if room[s]:
-                heapq.heappush(fits, (spent[s], s))
+        while short and -short[0][0] >= n:
+            s = heapq.heappop(short)[1]
+            heapq.heappush(fits, (spent[s], s))
+        while fits and room[fits[0][1]] < n:
+            s = heapq.heappop(fits)[1]
+            heapq.heappush(short, (-room[s], s))
+        if fits:
+            s, take = heapq.heappop(fits)[1], n
+            heapq.heappop(rest)
+        else:
+            s = heapq.heappop(short)[1]
+            take = room[s]
+            # what is left waits for its turn by length, so lengths never rise again
+            heapq.heapreplace(rest, (take - n, row, start + take))
+        out.append((row, start, take, sequence + s, length - room[s]))
+        room[s] -= take
+        spent[s] += cost(take)
+        if room[s]:
+            heapq.heappush(fits, (spent[s], s))
     return out
 
 
