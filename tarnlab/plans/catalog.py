@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import scalars
+from . import measurement, scalars
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "scalars"]
+__all__ = ["QUERIES", "SQL", "measurement", "scalars"]
