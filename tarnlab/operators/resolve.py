@@ -224,9 +224,9 @@ def resolve_methods(rows: DataFrame, method: DataFrame) -> DataFrame:
     narrow = (F.col("n") > 1) & (F.col("n_near") > 0)
     one = F.size(F.when(narrow, F.col("near_tags")).otherwise(F.col("all_tags"))) == 1
     pick = F.when(F.col("exact").isNotNull(), F.col("exact")).when(one, F.when(narrow, F.col("near")).otherwise(F.col("any")))
-    g = g.select("analyte_raw", "org", "method_raw", pick.alias("pick"), F.lit(True).alias("found"))
-    same = [keyed[c].eqNullSafe(g[c]) for c in ("analyte_raw", "org", "method_raw")]
-    out = keyed.join(g, (same[0]) & (same[1]) & (same[2]), "left").select("row", "name_key", keyed.org, "pick", "found")
+    g = g.select(*[F.col(c).alias(f"_{c}") for c in ("analyte_raw", "org", "method_raw")], pick.alias("pick"), F.lit(True).alias("found"))
+    on = (F.col("analyte_raw") == F.col("_analyte_raw")) & (F.col("org") == F.col("_org")) & F.col("method_raw").eqNullSafe(F.col("_method_raw"))
+    out = keyed.join(g, on, "left")
     status = (
         F.when(F.col("name_key").isNull(), "held")
         .when(F.col("org").isNull() | F.col("found").isNull(), "miss")

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import measurement, scalars
+from . import measurement, resolution, scalars
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "measurement", "scalars"]
+__all__ = ["QUERIES", "SQL", "measurement", "resolution", "scalars"]
