@@ -37,22 +37,22 @@ def beyond_latin(text: str) -> bool:
 class Memory:
     """Encodings of pieces. Holds a bounded number: the older half goes when it is full."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 250_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 400_000):
         self.encode_many, self.limit, self.new, self.old = encode_many, limit, {}, {}
 
     def __call__(self, pieces: list[str]) -> bytes:
-        new = self.new
-        if missing := [w for w in set(pieces) if w not in new]:
-            if len(new) > self.limit:
-                self.old, self.new = new, {}
-                new, missing = self.new, list(set(pieces))
-            old = self.old
-            unseen = []
-            for w in missing:
-                if (found := old.get(w)) is None:
-                    unseen.append(w)
-                else:
-                    new[w] = found
-            if unseen:
-                new.update(zip(unseen, self.encode_many(unseen), strict=True))
-        return b"".join(map(new.__getitem__, pieces))
+        found = list(map(self.new.get, pieces))
+        if None in found:
+            missing = {p for p, f in zip(pieces, found, strict=True) if f is None}
+            if len(self.new) > self.limit:
+                self.old, self.new = self.new, {}
+                missing = set(pieces)
+            self._learn(missing)
+            found = map(self.new.__getitem__, pieces)
+        return b"".join(found)
+
+    def _learn(self, missing: set[str]) -> None:
+        old = {w: f for w in missing if (f := self.old.get(w)) is not None}
+        self.new |= old
+        if unseen := [w for w in missing if w not in old]:
+            self.new.update(zip(unseen, self.encode_many(unseen), strict=True))
