@@ -49,7 +49,7 @@ sample AS (
     o_orderpriority AS person, 'p' || (o_custkey % 25) AS uuid_project
   FROM orders),
 analysis AS (
-  SELECT 'x' || l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber AS uuid, 's' || l_orderkey AS uuid_sample,
+  SELECT 'x' || l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || CAST(l_quantity AS INT) AS uuid, 's' || l_orderkey AS uuid_sample,
     'lm' || l_partkey AS uuid_lab, CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN NULL ELSE l_quantity END AS value,
     CASE WHEN l_linenumber = 7 AND l_returnflag = 'N' THEN 'Dry' END AS value_chr,
     CASE l_returnflag WHEN 'R' THEN FALSE WHEN 'A' THEN TRUE END AS quantified,
@@ -184,6 +184,7 @@ class Roles:
     def analysis(self) -> DataFrame:
         last, flag = F.col("l_linenumber") == 7, F.col("l_returnflag")
         parts = [F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")]
+        parts.append(F.col("l_quantity").cast("int").cast("string"))
         return self.table("lineitem").select(
             F.concat(F.lit("x"), F.concat_ws("-", *parts)).alias("uuid"),
             F.concat(F.lit("s"), parts[0]).alias("uuid_sample"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import first_by
 
-POINTER = "_CURRENT"
+POINTER = "CURRENT"
 LOG = "change_log"
 LOG_SCHEMA = "uuid string, tbl string, uuid_row string, field string, old string, new string, action string, actor string, reason string, source_hash string"
 
