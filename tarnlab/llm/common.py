@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch sent to Python: whole texts may be long, so few at a time.
@@ -51,6 +51,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def carried(columns: tuple[str, ...]) -> list[Column]:
+    """Columns to carry through an operator as one, `_carry`, so their names clash with none inside."""
+    return [F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_carry")] if columns else []
+
+
+def uncarried(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The carried columns by their own names, behind the others."""
+    if not columns:
+        return df
+    return df.select(*[c for c in df.columns if c != "_carry"], "_carry.*")
+
+
 def text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Each batch with its column `text` as Python strings."""
     for batch in batches:

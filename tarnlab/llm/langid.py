@@ -190,7 +190,7 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model | None:
     return Model(languages, words * 2 - 1, weights(rows), trust / trust.sum() if len(trust) else trust)
 
 
-def _predict(model: Model | None, carry: tuple[str, ...]):
+def _predict(model: Model | None, carry: list[str]):
     names = ["doc_id", "held_out", "lang_pred", "score", "ambiguous"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +223,9 @@ def identify(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = ())
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id")).alias("held_out"),
         F.col("text").cast("string").alias("text"),
-        *carry,
+        *common.carried(carry),
     )
     schema = T.StructType.fromDDL("doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
-    return rows.mapInArrow(_predict(model, carry), T.StructType([*schema, *(docs.schema[c] for c in carry)]))
+    extra = rows.schema.fields[3:]
+    out = rows.mapInArrow(_predict(model, [f.name for f in extra]), T.StructType([*schema, *extra]))
+    return common.uncarried(out, carry)

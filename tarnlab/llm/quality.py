@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 BUCKETS = 1 << 15
 #: Trusted labelled documents that the target is fitted on, at most (those of least hash).
 TRUSTED_DOCS = 5000
@@ -101,7 +103,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, threshold: float =
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<bigint>")  # folded to a literal
     buckets = len(ratios)
     text = F.coalesce("text", F.lit(""))
-    df = hashed(docs.select("doc_id", "text", *carry))
+    df = hashed(docs.select("doc_id", "text", *common.carried(carry)))
     df = df.withColumn("_h4", _next(F.col("_h2"), 2))
     df = df.withColumn("_h8", F.slice(_next(F.col("_h4"), 4), 1, F.greatest(F.size("_h") - (WINDOW - 1), F.lit(0))))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
@@ -115,13 +117,14 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, threshold: float =
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words(F.col("_h8")).cast("long").alias("n_repeat_words"),
         total.alias("_total"),
-        *carry,
+        *(["_carry"] if carry else []),
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     n_grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    return df.withColumn("base_failed", failed).select(
+    out = df.withColumn("base_failed", failed).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.col("_total") >= F.lit(round(threshold * SCALE)) * n_grams)).alias("kept"),
         (F.col("_total") / n_grams / F.lit(SCALE)).alias("score"),
-        *carry,
+        *(["_carry"] if carry else []),
     )
+    return common.uncarried(out, carry)

@@ -152,7 +152,7 @@ def removed_spans(content: bytes, edges: list[int], copied: list[int], min_words
     return spans
 
 
-def _remove(min_words: int, carry: tuple[str, ...]):
+def _remove(min_words: int, carry: list[str]):
     long = pa.int64()
     fields = [("doc_id", long), ("text", pa.string()), ("n_chunks", long), ("n_copied", long), ("removed_bytes", long), ("spans", pa.list_(pa.list_(long)))]
 
@@ -191,7 +191,7 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
     """
     spark = df.sparkSession
     common.small_batches(spark)
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *common.carried(carry))
     order = F.coalesce("doc_id", F.shiftrightunsigned(F.xxhash64("text"), 2) + (1 << 62))
     docs = docs.withColumn("row", order)
     chunks = docs.select("row", "text").mapInArrow(_chunks, "row long, ord int, digest long")
@@ -203,8 +203,10 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
         .groupBy("row")
         .agg(F.collect_set("ord").alias("copied"))  # no more than a document has chunks
     )
-    rows = docs.join(copies, "row", "left").select("doc_id", "text", "copied", *carry)
+    extra = docs.schema.fields[2:-1]
+    rows = docs.join(copies, "row", "left").select("doc_id", "text", "copied", *(f.name for f in extra))
     schema = T.StructType.fromDDL(
         "doc_id long, text string, n_chunks long, n_copied long, removed_bytes long, spans array<array<long>>"
     )
-    return rows.mapInArrow(_remove(min_words, carry), T.StructType([*schema, *(df.schema[c] for c in carry)]))
+    out = rows.mapInArrow(_remove(min_words, [f.name for f in extra]), T.StructType([*schema, *extra]))
+    return common.uncarried(out, carry)
