@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import measurement, reconciliation, resolution, scalars
+from . import commits, measurement, reconciliation, resolution, scalars
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "measurement", "reconciliation", "resolution", "scalars"]
+__all__ = ["QUERIES", "SQL", "commits", "measurement", "reconciliation", "resolution", "scalars"]
