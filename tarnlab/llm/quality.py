@@ -9,6 +9,9 @@ only the bounded bucket table comes to the driver, to be a literal of the plan.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,13 +35,18 @@ def _next(h: Column, by: int) -> Column:
     return F.zip_with(h, F.slice(h, by + 1, F.size(h)), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, wherever the optimizer moves the expression."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _repeated_words(h8: Column) -> Column:
     """Words covered by windows (given by their hashes) that occur twice or more."""
     at = F.array_sort(F.transform(h8, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     def covered(s: Column) -> Column:
         same = F.zip_with(s, F.slice(s, 2, F.size(s)), lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False)))
-        either = F.zip_with(same, F.concat(F.array(F.lit(False)), same), lambda a, b: F.coalesce(a, F.lit(False)) | b)
+        either = _let(same, lambda e: F.zip_with(e, F.concat(F.array(F.lit(False)), e), lambda a, b: F.coalesce(a, F.lit(False)) | b))
         hit = F.zip_with(s, either, lambda a, b: F.when(b, a["i"]))
         starts = F.array_sort(F.filter(hit, lambda i: i.isNotNull()))
         return F.aggregate(
@@ -48,20 +56,36 @@ def _repeated_words(h8: Column) -> Column:
             lambda acc: acc["n"],
         )
 
-    # a lambda over an array of one: the sorted windows are made once
-    once = F.transform(F.array(at), covered)[0]
-    return F.when(F.size(F.array_distinct(h8)) == F.size(h8), F.lit(0)).otherwise(once)
+    return F.when(F.size(F.array_distinct(h8)) == F.size(h8), F.lit(0)).otherwise(_let(at, covered))
+
+
+def word_hashes(text: Column) -> Column:
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+    return F.transform(words, lambda w: F.xxhash64(w))
+
 
+def grams(h: Column, h2: Column) -> Column:
+    """Hashes of the words and of their neighbouring pairs."""
+    return F.concat(h, F.slice(h2, 1, F.greatest(F.size(h) - 1, F.lit(0))))
 
-def hashed(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds _h (a hash of each word) and _h2 (of each pair of neighbours)."""
-    words = F.regexp_extract_all(F.coalesce(text_col, F.lit("")), F.lit(WORD), F.lit(0))
-    df = df.withColumn("_h", F.transform(words, lambda w: F.xxhash64(w)))
-    return df.withColumn("_h2", _next(F.col("_h"), 1))
 
+def _measured(text: Column, table: Column, buckets: int) -> Column:
+    """All counts of a text as one struct: each step is bound once, so a filter on one field doesn't repeat the others."""
 
-def grams() -> Column:
-    return F.concat("_h", F.slice("_h2", 1, F.greatest(F.size("_h") - 1, F.lit(0))))
+    def of_pairs(h: Column, h2: Column) -> Column:
+        windows = _let(_next(h2, 2), lambda h4: F.slice(_next(h4, 4), 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))))
+        total = F.aggregate(grams(h, h2), F.lit(0).cast("bigint"), lambda a, x: a + F.get(table, F.pmod(x, F.lit(buckets)).cast("int")))
+        return F.struct(
+            F.size(h).cast("long").alias("n_words"),
+            F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
+            F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+            _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            _let(windows, _repeated_words).cast("long").alias("n_repeat_words"),
+            total.alias("total"),
+        )
+
+    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
+    return _let(word_hashes(text), lambda h: _let(_next(h, 1), lambda h2: of_pairs(h, h2)))
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame | None, buckets: int = BUCKETS, trusted_docs: int = TRUSTED_DOCS) -> list[int]:
@@ -70,9 +94,10 @@ def log_ratios(docs: DataFrame, labels: DataFrame | None, buckets: int = BUCKETS
         return [0] * buckets
     best = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
     best = best.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_docs).withColumn("_trusted", F.lit(1))
-    rows = hashed(docs.select("doc_id", "text")).join(F.broadcast(best), "doc_id", "left")
+    rows = docs.select("doc_id", "text").join(F.broadcast(best), "doc_id", "left")
+    each = _let(word_hashes(F.col("text")), lambda h: grams(h, _next(h, 1)))
     counted = (
-        rows.select("_trusted", F.explode(grams()).alias("g"))
+        rows.select("_trusted", F.explode(each).alias("g"))
         .groupBy(F.pmod("g", F.lit(buckets)).alias("bucket"))
         .agg(F.count("*").alias("raw"), F.sum(F.coalesce("_trusted", F.lit(0))).alias("target"))
     )
@@ -80,8 +105,6 @@ def log_ratios(docs: DataFrame, labels: DataFrame | None, buckets: int = BUCKETS
     raw_n, target_n = (sum(x[k] for x in found.values()) for k in (0, 1))
     if not target_n:
         return [0] * buckets
-    import math
-
     def ratio(raw: int, target: int) -> int:
         p = (target + SMOOTHING) / (target_n + SMOOTHING * buckets)
         q = (raw + SMOOTHING) / (raw_n + SMOOTHING * buckets)
@@ -102,29 +125,17 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, threshold: float =
     ratios = log_ratios(docs, labels)
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<bigint>")  # folded to a literal
     buckets = len(ratios)
-    text = F.coalesce("text", F.lit(""))
-    df = hashed(docs.select("doc_id", "text", *common.carried(carry)))
-    df = df.withColumn("_h4", _next(F.col("_h2"), 2))
-    df = df.withColumn("_h8", F.slice(_next(F.col("_h4"), 4), 1, F.greatest(F.size("_h") - (WINDOW - 1), F.lit(0))))
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
-    df = df.withColumn("_lines", lines)
-    total = F.aggregate(grams(), F.lit(0).cast("bigint"), lambda a, x: a + F.get(table, F.pmod(x, F.lit(buckets)).cast("int")))
-    df = df.select(
+    measured = _measured(F.coalesce("text", F.lit("")), table, buckets)
+    df = docs.select("doc_id", measured.alias("_m"), *common.carried(carry))
+    m = F.col("_m")
+    failed = (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
+    n_grams = F.greatest(2 * m["n_words"] - 1, F.lit(1))
+    out = df.select(
         "doc_id",
-        F.size("_h").cast("long").alias("n_words"),
-        F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        _repeated_words(F.col("_h8")).cast("long").alias("n_repeat_words"),
-        total.alias("_total"),
+        *[m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        failed.alias("base_failed"),
+        (~failed & (m["total"] >= F.lit(round(threshold * SCALE)) * n_grams)).alias("kept"),
+        (m["total"] / n_grams / F.lit(SCALE)).alias("score"),
         *(["_carry"] if carry else []),
     )
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    n_grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    out = df.withColumn("base_failed", failed).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.col("_total") >= F.lit(round(threshold * SCALE)) * n_grams)).alias("kept"),
-        (F.col("_total") / n_grams / F.lit(SCALE)).alias("score"),
-        *(["_carry"] if carry else []),
-    )
     return common.uncarried(out, carry)
