@@ -10,6 +10,7 @@ the tokens' bytes up a tree.
 from __future__ import annotations
 
 import base64
+import functools
 from array import array
 from collections.abc import Iterator
 
@@ -122,6 +123,12 @@ class TextBPE:
         return self.tree.decode(a)
 
 
+@functools.lru_cache(maxsize=2)
+def text_bpe(path: str) -> TextBPE:
+    """One for each worker process, so what a task has learned serves the next one."""
+    return TextBPE(path)
+
+
 def encode_documents(df: DataFrame, path: str) -> DataFrame:
     """Token ids of every row of df (doc_id, text): doc_id, ids (little-endian unsigned 32-bit).
 
@@ -132,7 +139,7 @@ def encode_documents(df: DataFrame, path: str) -> DataFrame:
     common.small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = TextBPE(path)
+        bpe = text_bpe(path)
         for batch, texts in common.text_rows(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([bpe.encode(t or "") for t in texts], pa.binary())], names=["doc_id", "ids"]
@@ -147,7 +154,7 @@ def decode_documents(df: DataFrame, path: str) -> DataFrame:
     common.small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = TextBPE(path)
+        bpe = text_bpe(path)
         for batch in batches:
             out = [bpe.decode(x or b"") for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.binary())], names=["doc_id", "ids", "decoded"])

@@ -9,6 +9,7 @@ less than one sequence unfilled.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import os
 import unicodedata
@@ -31,7 +32,8 @@ END = 1
 #: Tokens of one group of documents, about.
 GROUP_TOKENS = 64_000_000
 #: How the word tokenizer cuts lower-cased text, with {L}, {N} and {S} for its classes.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^{S}{L}{N}]+"
+#: Its alternatives begin with different characters, but for the last two, so letters may come first.
+WORDS = r"[{L}]+|[{N}]|'(?:s|t|re|ve|m|ll|d)|[^{S}{L}{N}]+"
 WORD_END = "</w>"
 
 
@@ -74,11 +76,17 @@ class WordTokenizer:
         return self.memory(self.split(text.lower()))
 
 
+@functools.lru_cache(maxsize=2)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for each worker process, so what a task has learned serves the next one."""
+    return WordTokenizer(path)
+
+
 def _tokenize(path: str):
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordTokenizer(path)
+        encode = word_tokenizer(path)
         row = TaskContext.get().partitionId() << 36
         end = np.array([END], "<u4").tobytes()
         for batch, texts in common.text_rows(batches):

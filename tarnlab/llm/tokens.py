@@ -34,25 +34,34 @@ def beyond_latin(text: str) -> bool:
     return _BEYOND_LATIN.search(text) is not None
 
 
+class _Known(dict):
+    """Encodings by piece; asking for one that isn't there notes it."""
+
+    def __init__(self):
+        self.asked: list[str] = []
+
+    def __missing__(self, piece: str) -> bytes:
+        self.asked.append(piece)
+        return b""
+
+
 class Memory:
     """Encodings of pieces. Holds a bounded number: the older half goes when it is full."""
 
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 400_000):
-        self.encode_many, self.limit, self.new, self.old = encode_many, limit, {}, {}
+        self.encode_many, self.limit, self.new, self.old = encode_many, limit, _Known(), {}
 
     def __call__(self, pieces: list[str]) -> bytes:
-        found = list(map(self.new.get, pieces))
-        if None in found:
-            missing = {p for p, f in zip(pieces, found, strict=True) if f is None}
-            if len(self.new) > self.limit:
-                self.old, self.new = self.new, {}
-                missing = set(pieces)
-            self._learn(missing)
-            found = map(self.new.__getitem__, pieces)
-        return b"".join(found)
-
-    def _learn(self, missing: set[str]) -> None:
+        out = b"".join(map(self.new.__getitem__, pieces))
+        if not self.new.asked:
+            return out
+        if len(self.new) > self.limit:
+            self.old, self.new = dict(self.new), _Known()
+            self.new.asked = pieces
+        missing = set(self.new.asked)
+        self.new.asked = []
         old = {w: f for w in missing if (f := self.old.get(w)) is not None}
-        self.new |= old
+        self.new.update(old)
         if unseen := [w for w in missing if w not in old]:
             self.new.update(zip(unseen, self.encode_many(unseen), strict=True))
+        return b"".join(map(self.new.__getitem__, pieces))
