@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 ZONE = "Australia/Sydney"
 
 MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
@@ -53,11 +55,8 @@ def parse_local(text: Column, formats: str, zone: str = ZONE) -> Column:
     and so is null: a later format would silently drop the clock.
     """
     t = F.trim(text)
-    out = F.lit(None).cast("timestamp_ntz")
-    for pattern, parts in reversed(FORMATS[formats]):
-        read = _read(t, pattern, parts)
-        out = F.when(read.isNotNull(), F.when(exists_in_zone(read, zone), read)).otherwise(out)
-    return out
+    read = F.coalesce(*[_read(t, pattern, parts) for pattern, parts in FORMATS[formats]])
+    return let(read, lambda x: F.when(exists_in_zone(x, zone), x))
 
 
 def parse_lab_datetime(text: Column, formats: str, zone: str = ZONE) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 GROUPED = r"^[+-]?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]+)?$"
 COMMAS = r"^[+-]?[0-9]{1,3}(,[0-9]{1,3})+(\.[0-9]+)?$"
@@ -20,26 +22,35 @@ def parse_value(raw: Column) -> Column:
     Empty, NS and dashes are skipped; a comma that may be a decimal point and a limit
     that is no number are errors. Hex, infinities and embedded units are never numbers.
     """
-    t = F.trim(F.replace(F.replace(raw, F.lit(" "), F.lit(" ")), F.lit("−"), F.lit("-")))
-    t = F.regexp_replace(t, r"^\s+|\s+$", "")
-    empty = raw.isNull() | (t == "")
-    below, above = t.startswith("<"), t.startswith(">")
-    skip = F.when(empty, "empty").when(t == "NS", "no_sample").when(t.rlike("^-+$"), "not_computable")
-    body = F.regexp_replace(F.when(below | above, F.substring(t, 2, 1_000_000)).otherwise(t), r"^\s+|\s+$", "")
-    ambiguous = body.rlike(COMMAS) & ~body.rlike(GROUPED)
+    t = F.trim(F.replace(F.replace(raw, F.lit("\u00a0"), F.lit(" ")), F.lit("−"), F.lit("-")))
+    return let(F.coalesce(F.regexp_replace(t, r"^\s+|\s+$", ""), F.lit("")), _parsed)
+
+
+def _parsed(t: Column) -> Column:
+    limit = t.startswith("<") | t.startswith(">")
+    body = F.regexp_replace(F.when(limit, F.substring(t, 2, 1_000_000)).otherwise(t), r"^\s+|\s+$", "")
+    return let(body, lambda b: let(_number(b), lambda n: _classified(t, n, b.rlike(COMMAS) & ~b.rlike(GROUPED))))
+
+
+def _number(body: Column) -> Column:
+    """The finite number that a text is, thousands separators allowed; null if it is none or ambiguous."""
     plain = F.replace(body, F.lit(","), F.lit(""))
+    ambiguous = body.rlike(COMMAS) & ~body.rlike(GROUPED)
     number = F.when(~ambiguous & plain.rlike(NUMBER), plain.try_cast("double"))
-    number = F.when(F.abs(number) < F.lit(float("inf")), number)
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
+def _classified(t: Column, number: Column, ambiguous: Column) -> Column:
+    below, above = t.startswith("<"), t.startswith(">")
+    skip = F.when(t == "", "empty").when(t == "NS", "no_sample").when(t.rlike("^-+$"), "not_computable")
     usable = skip.isNull()
     limit = usable & (below | above)
     bdl = usable & (t == "BDL")
     error = F.when(usable & ambiguous, "ambiguous_number_format").when(limit & number.isNull(), "unparseable_limit_value")
-    measured = F.when(usable & ~bdl, number)
-    text = F.when(usable & ~bdl & ~limit & number.isNull() & error.isNull(), t)
     quantified = F.when(bdl | (limit & number.isNotNull()), False).when(usable & number.isNotNull(), True)
     return F.struct(
-        measured.alias("value_num"),
-        text.alias("value_chr"),
+        F.when(usable & ~bdl, number).alias("value_num"),
+        F.when(usable & ~bdl & ~limit & number.isNull() & error.isNull(), t).alias("value_chr"),
         quantified.alias("quantified"),
         F.when(usable & below, number).alias("rl_low"),
         F.when(usable & above, number).alias("rl_high"),
