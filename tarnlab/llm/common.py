@@ -29,8 +29,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_ROOTS: set[str] = set()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tarnlab/{name}-{uuid.uuid4().hex}"
+    """A new path for a table that only this application needs: its folder goes when the application ends."""
+    root = f"{shared_dir(spark)}/tarnlab/{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _ROOTS.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

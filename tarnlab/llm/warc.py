@@ -71,8 +71,8 @@ def _header_block(kind: Column, refers_to: Column) -> Column:
     )
 
 
-def write_archive(pages: DataFrame, name: str = "warc") -> Archive:
-    """Write a record for every row of pages (page_id, url, html).
+def write_archive(pages: DataFrame, folder: str | None = None) -> Archive:
+    """Write a record for every row of pages (page_id, url, html), to a new folder or, without one, for this application only.
 
     A null html is an empty payload; a null url leaves its header line out. Rows with
     a null id carry no page id and are a response only where no copy has an id.
@@ -86,9 +86,10 @@ def write_archive(pages: DataFrame, name: str = "warc") -> Archive:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("id", F.coalesce("page_id", F.lit(NO_ID)))
     keys = rows.select("page_id", "id", "url", "digest", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("sha1"))
-    kept = common.materialize(keys.groupBy("digest").agg(F.max("id").alias("kept")), f"{name}-kept")
+    kept = common.materialize(keys.groupBy("digest").agg(F.max("id").alias("kept")), "warc-kept")
 
-    out = Archive(common.scratch(spark, f"{name}-headers"), common.scratch(spark, f"{name}-payloads"))
+    folder = folder or common.scratch(spark, "warc")
+    out = Archive(f"{folder}/headers", f"{folder}/payloads")
     # the kept row of each digest brings the bytes: ids are unique there, so no key is hot
     once = rows.select("id", "digest", "payload").join(kept.withColumnRenamed("kept", "id"), ["id", "digest"])
     once.dropDuplicates(["id", "digest"]).select("digest", "payload").write.option("compression", "zstd").parquet(out.payloads)
