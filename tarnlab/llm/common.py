@@ -3,6 +3,8 @@ Arrow batch sizes and connected components."""
 
 from __future__ import annotations
 
+import json
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch sent to Python: whole texts may be long, so few at a time.
 BATCH_ROWS = 512
+#: And their bytes: a batch of very long texts stays small.
+BATCH_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,8 +58,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of a bounded number of rows as a literal of the plan. schema: `name:type, ...` as in a struct."""
+    names = [part.split(":")[0].strip() for part in re.split(r",(?![^<]*>)", schema)]
+    data = json.dumps([dict(zip(names, r, strict=True)) for r in rows])
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(data), f"array<struct<{schema}>>")))
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

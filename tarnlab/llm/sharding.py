@@ -10,7 +10,7 @@ ranges small enough to sort, whose first slots are known from the counts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -38,7 +38,7 @@ def _counts(keyed: DataFrame, ranges: dict[int, list[int]], bits: int, step: int
     prefix = F.shiftright("k", KEY_BITS - bits - step)
     rows = keyed
     if bits:
-        wanted = keyed.sparkSession.createDataFrame([(p,) for p in ranges], "p long")  # at most 2 * RANGES + SHARDS rows
+        wanted = common.literal_rows(keyed.sparkSession, [(p,) for p in ranges], "p:bigint")  # at most 2 * RANGES + SHARDS rows
         rows = keyed.join(F.broadcast(wanted), F.shiftright("k", KEY_BITS - bits) == F.col("p"), "left_semi")
     return rows.groupBy(prefix.alias("at")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
 
@@ -126,17 +126,13 @@ def shard_rows(df: DataFrame, shards: int = SHARDS, tolerance: int = TOLERANCE,
             inner.append(cut[k][0])
             k += 1
         by_prefix[prefix] = (at, inner)
-    where = spark.createDataFrame([(p, a, b) for p, (a, b) in by_prefix.items()], "prefix long, base int, inner array<bigint>")
-    parts = spark.createDataFrame(
-        [(i, s, slot) for i, (_, _, s, slot) in enumerate(cut)], "part int, shard int, first long"
-    )
+    where = common.literal_rows(spark, [(p, a, b) for p, (a, b) in by_prefix.items()], "prefix:bigint,base:int,inner:array<bigint>")
+    parts = common.literal_rows(spark, [(i, s, slot) for i, (_, _, s, slot) in enumerate(cut)], "part:int,shard:int,first:bigint")
     placed = (
         keyed.join(F.broadcast(where), F.shiftright("k", shift) == F.col("prefix"))
         .withColumn("part", F.col("base") + F.size(F.filter("inner", lambda b: b <= F.col("k"))))
         .join(F.broadcast(parts), "part")
     )
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("part").orderBy("k", "doc_id")) - 1
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
