@@ -106,6 +106,14 @@ def structural_index(feature: DataFrame) -> DataFrame:
     return rows.select(F.concat_ws("|", F.upper("site"), text.canonical_point(F.col("_p"))).alias("key"), F.col("uuid").alias("uuid_feature"), "date_end")
 
 
+def unique_points(index: DataFrame) -> DataFrame:
+    """The points that name exactly one feature: point, point_feature, point_end."""
+    g = index.groupBy(F.col("key").alias("point")).agg(
+        F.min("uuid_feature").alias("point_feature"), F.max("uuid_feature").alias("_last"), F.max("date_end").alias("point_end")
+    )
+    return g.where("point_feature = _last").drop("_last")
+
+
 def structural_hits(parsed: DataFrame, index: DataFrame) -> DataFrame:
     """Rows (row, site, point, day) whose site and point name exactly one live feature: row, uuid_feature."""
     rows = parsed.where("site is not null and point is not null").withColumn("k", F.concat_ws("|", F.upper("site"), "point"))
@@ -135,43 +143,45 @@ def resolve_features(rows: DataFrame, alias: DataFrame, feature: DataFrame) -> D
     array = F.array(*[F.lit(s) for s in names]) if names else F.array().cast("array<string>")
     out = out.withColumn("_s", parse_structural(F.col("key"), array))
 
-    index = structural_index(feature)
+    # both lookups go by key, so the registry is folded to one row a key and the rows are never grouped
+    index = unique_points(structural_index(feature))
     own = first_by(alias.where("kind = 'self'"), ["uuid_feature"], [F.col("uuid")]).select(
         F.col("uuid_feature").alias("_own_feature"), F.col("uuid").alias("_own_alias")
     )
-    open_rows = F.col("uuid_feature").isNull() & F.col("key").isNotNull() & ~F.col("_known")
-    two = out.where(open_rows & values.is_true(F.col("_s.boundary"))).select("row", "day", F.col("_s.site").alias("site"), F.col("_s.point").alias("point"))
-    two = structural_hits(two, index).join(own, F.col("uuid_feature") == F.col("_own_feature")).select(
-        "row", F.col("uuid_feature").alias("_two"), F.col("_own_alias").alias("_two_alias")
-    )
-    out = out.join(two, "row", "left")
+    lookup = index.join(own, F.col("point_feature") == F.col("_own_feature")).drop("_own_feature")
+
+    def found(out: DataFrame, key: Column, prefix: str) -> DataFrame:
+        side = lookup.select(*[F.col(c).alias(f"{prefix}{c}") for c in lookup.columns])
+        out = out.withColumn(f"{prefix}key", key).join(side.withColumnRenamed(f"{prefix}point", f"{prefix}key"), f"{prefix}key", "left")
+        over = F.col("day").isNotNull() & (F.col(f"{prefix}point_end") < F.col("day"))
+        return out.withColumn(f"{prefix}f", F.when(~values.is_true(over), F.col(f"{prefix}point_feature")))
+
+    open_row = F.col("uuid_feature").isNull() & F.col("key").isNotNull() & ~F.col("_known")
+    structured = open_row & values.is_true(F.col("_s.boundary")) & F.col("_s.point").isNotNull()
+    out = found(out, F.when(structured, F.concat_ws("|", F.upper("_s.site"), "_s.point")), "_two_")
     out = (
-        out.withColumn("resolution", F.when(F.col("uuid_feature").isNotNull(), F.col("resolution")).when(F.col("_two").isNotNull(), "structural"))
-        .withColumn("uuid_alias", F.coalesce("uuid_alias", "_two_alias"))
-        .withColumn("uuid_feature", F.coalesce("uuid_feature", "_two"))
+        out.withColumn("resolution", F.when(F.col("uuid_feature").isNotNull(), F.col("resolution")).when(F.col("_two_f").isNotNull(), "structural"))
+        .withColumn("uuid_alias", F.coalesce("uuid_alias", F.when(F.col("_two_f").isNotNull(), F.col("_two__own_alias"))))
+        .withColumn("uuid_feature", F.coalesce("uuid_feature", "_two_f"))
     )
-    event_site = (
-        out.where("uuid_feature is not null")
-        .join(feature.select(F.col("uuid").alias("uuid_feature"), F.trim("site").alias("_site")), "uuid_feature", "left")
-        .groupBy("event")
-        .agg(F.collect_set("_site").alias("_all"), F.bool_and(F.coalesce(F.col("_site") != "", F.lit(False))).alias("_named"))
-        .where("size(_all) = 1 and _named")
-        .select("event", F.col("_all")[0].alias("_event_site"))
-    )
-    out = out.join(event_site, "event", "left")
+    site = feature.select(F.col("uuid").alias("_f"), F.coalesce(F.trim("site"), F.lit("")).alias("_site"))
+    out = out.join(site, F.col("uuid_feature") == F.col("_f"), "left")
+    w = Window.partitionBy("event")
+    one_site = F.min("_site").over(w) == F.max("_site").over(w)
+    out = out.withColumn("_event_site", F.when(one_site & (F.min("_site").over(w) != ""), F.min("_site").over(w)))
+
     bare = F.col("_s").isNull() & ~F.col("key").rlike("[. ]") & ~values.is_true(F.col("orphan"))
-    three = out.where("uuid_feature is null and key is not null and not _known and _event_site is not null").where(bare)
-    three = structural_hits(three.select("row", "day", F.col("_event_site").alias("site"), text.canonical_point(F.col("key")).alias("point")), index)
-    three = three.join(own, F.col("uuid_feature") == F.col("_own_feature")).select("row", F.col("uuid_feature").alias("_three"), F.col("_own_alias").alias("_three_alias"))
-    out = out.join(three, "row", "left")
-    resolution = F.coalesce("resolution", F.when(F.col("_three").isNotNull(), "site_inferred"))
+    alone = F.col("uuid_feature").isNull() & F.col("key").isNotNull() & ~F.col("_known") & F.col("_event_site").isNotNull() & F.col("event").isNotNull() & bare
+    out = found(out, F.when(alone, F.concat_ws("|", F.upper("_event_site"), text.canonical_point(F.col("key")))), "_three_")
+    inferred = F.col("_three_f").isNotNull()
+    resolution = F.coalesce("resolution", F.when(inferred, "site_inferred"))
     cap = F.when(resolution == "structural", 0.9).when(resolution == "site_inferred", 0.8)
     return out.select(
         "row",
         "key",
-        F.when(F.col("key").isNull(), "held").when(F.coalesce("uuid_feature", "_three").isNotNull(), "hit").otherwise("pending").alias("status"),
-        F.coalesce("uuid_feature", "_three").alias("uuid_feature"),
-        F.coalesce("uuid_alias", "_three_alias").alias("uuid_alias"),
+        F.when(F.col("key").isNull(), "held").when(F.coalesce("uuid_feature", "_three_f").isNotNull(), "hit").otherwise("pending").alias("status"),
+        F.coalesce("uuid_feature", "_three_f").alias("uuid_feature"),
+        F.coalesce("uuid_alias", F.when(inferred, F.col("_three__own_alias"))).alias("uuid_alias"),
         resolution.alias("resolution"),
         F.least("confidence", F.coalesce(cap, "confidence")).alias("confidence"),
     )
