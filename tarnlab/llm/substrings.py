@@ -2,10 +2,11 @@
 
 A gear hash of 16 bits rolls over the bytes (each shift drops the oldest one's
 share, so it depends on the last 16 bytes only) and proposes cuts at word starts: an
-insertion moves the cuts near it and no others. Chunks are deduplicated by digest:
-all but the first occurrence of a chunk, in order of document and place, are
-copies. Runs of copied chunks that are long enough to be a repeated passage are
-removed from the text; single common phrases stay.
+insertion moves the cuts near it and no others. Chunks that several documents have
+are found by digest; only windows of them, neighbouring chunks with just enough words
+to be a repeated passage, can be copies. A window is one if the same chunks follow
+each other at an earlier place, in order of document and place. The text of copied
+windows is removed; common phrases stay, however many of them meet.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ RARE = 0xFF00
 MIN_BYTES = 12
 #: Longer chunks are cut at rare places, and at twice this length in any case.
 MAX_BYTES = 512
-#: Words that a run of copied chunks must have to be removed.
+#: Words that chunks which follow each other earlier too must have to be removed.
 MIN_WORDS = 20
 
 _GEAR = np.frombuffer(hashlib.shake_128(b"gear").digest(512), "<u2")
@@ -93,49 +94,123 @@ def _apart(at: np.ndarray, least: int) -> np.ndarray:
 def chunk_keys(content: bytes, edges: list[int]) -> list[bytes]:
     """Digests of a text's chunks; white space at a chunk's ends doesn't tell chunks apart.
 
-    64 bits suffice: a chance match flags one chunk, and no text goes for less than MIN_WORDS.
+    64 bits suffice: a chance match flags one chunk, and all chunks of a window must match.
     """
     return [hashlib.blake2b(content[a:b].strip(), digest_size=8).digest() for a, b in zip(edges, edges[1:], strict=False)]
 
 
+def chunk_words(content: bytes, edges: np.ndarray) -> np.ndarray:
+    """For each chunk twice the number of words that start in it, plus 1 if it begins inside a word."""
+    word = ~_SPACE[np.frombuffer(content, np.uint8)]
+    start = word.copy()
+    start[1:] &= ~word[:-1]
+    before = np.concatenate([[0], np.cumsum(start)])
+    at = edges[:-1]
+    return 2 * np.diff(before[edges]) + (word[at] & ~start[at])
+
+
+def windows(words: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """First and last chunks of the least windows with min_words words, of chunks that follow each other.
+
+    From each chunk forward and from each chunk back, so that those in a run with min_words words cover it.
+    """
+    inside, n, least = words & 1, len(words), max(1, min_words)
+    before = np.concatenate([[0], np.cumsum(words >> 1)])
+    i = np.arange(n)
+    last = np.maximum(np.searchsorted(before, before[:-1] + least - inside) - 1, i)
+    first = np.minimum(np.searchsorted(before[:-1] - inside, before[1:] - least, "right") - 1, i)
+    found = {(a, b) for a, b in enumerate(last.tolist()) if b < n}
+    found.update((a, b) for b, a in enumerate(first.tolist()) if a >= 0)
+    return sorted(found)
+
+
+def run_windows(places: np.ndarray, words: np.ndarray, min_words: int) -> Iterator[tuple[int, int]]:
+    """The windows of each run of neighbours among places (ascending), as positions there; words: of those places."""
+    breaks = [0, *(np.flatnonzero(np.diff(places) != 1) + 1).tolist(), len(places)]
+    for a, b in zip(breaks, breaks[1:], strict=False):
+        if (words[a:b] + 1 >> 1).sum() >= min_words:
+            yield from ((a + i, a + j) for i, j in windows(words[a:b], min_words))
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each distinct chunk of a document, at its first place there."""
-    schema = pa.schema([("row", pa.int64()), ("ord", pa.int32()), ("digest", pa.int64())])
+    """A row for each chunk of a document."""
+    schema = pa.schema([("row", pa.int64()), ("ord", pa.int32()), ("words", pa.int32()), ("digest", pa.int64())])
 
-    def flush(rows, ords, keys):
-        arrays = [np.concatenate(rows), np.concatenate(ords), np.frombuffer(b"".join(keys), "<i8")]
+    def flush(rows, ords, words, keys):
+        arrays = [np.concatenate(rows), np.concatenate(ords), np.concatenate(words).astype(np.int32), np.frombuffer(b"".join(keys), "<i8")]
         return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=schema)
 
     for batch, texts in common.text_rows(batches):
-        rows, ords, keys = [], [], []
+        rows, ords, words, keys = [], [], [], []
         for row, text in zip(batch.column("row").to_pylist(), texts, strict=True):
             content = (text or "").encode("utf-8", "surrogatepass")
-            first: dict[bytes, int] = {}
-            for i, k in enumerate(chunk_keys(content, cuts(content).tolist())):
-                first.setdefault(k, i)
-            if not first:
+            if not content:
                 continue
-            rows.append(np.full(len(first), row, np.int64))
-            ords.append(np.fromiter(first.values(), np.int32, len(first)))
-            keys += first
+            edges = cuts(content)
+            n = len(edges) - 1
+            rows.append(np.full(n, row, np.int64))
+            ords.append(np.arange(n, dtype=np.int32))
+            words.append(chunk_words(content, edges))
+            keys += chunk_keys(content, edges.tolist())
             if len(keys) > 100_000:
-                yield flush(rows, ords, keys)
-                rows, ords, keys = [], [], []
+                yield flush(rows, ords, words, keys)
+                rows, ords, words, keys = [], [], [], []
         if keys:
-            yield flush(rows, ords, keys)
+            yield flush(rows, ords, words, keys)
 
 
-def all_copies(content: bytes, edges: list[int], copied: list[int]) -> list[int]:
-    """The copied chunks: those given (first places in the text), and all that occur earlier in the text."""
-    gone, seen, out = set(copied), set(), []
-    chunks = [content[a:b].strip() for a, b in zip(edges, edges[1:], strict=False)]
-    if not gone and len(set(chunks)) == len(chunks):
-        return []
-    for i, c in enumerate(chunks):
-        if i in gone or c in seen:
-            out.append(i)
-        seen.add(c)
-    return out
+def _windows(min_words: int):
+    """A row for each distinct window of a document's shared chunks, at its first place there."""
+    schema = pa.schema([("row", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("high", pa.int64()), ("low", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int]] = []
+            keys: list[bytes] = []
+            lists = batch.column("places")
+            flat, bounds = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            fields = [flat.field(c).to_numpy() for c in ("ord", "words", "digest")]
+            for k, row in enumerate(batch.column("row").to_pylist()):
+                ords, words, digests = (x[bounds[k] : bounds[k + 1]] for x in fields)
+                by = np.argsort(ords)
+                ords, words, digests = ords[by], words[by], digests[by]
+                first: dict[bytes, tuple[int, int]] = {}
+                for i, j in run_windows(ords, words, min_words):
+                    key = hashlib.blake2b(digests[i : j + 1].tobytes(), digest_size=16).digest()
+                    first.setdefault(key, (int(ords[i]), int(ords[j])))
+                out += [(row, i, j) for i, j in first.values()]
+                keys += first
+            halves = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
+            columns = [*np.array(out, np.int64).reshape(-1, 3).T, *halves.T]
+            arrays = [pa.array(np.ascontiguousarray(c)).cast(f.type) for c, f in zip(columns, schema, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return run
+
+
+def all_copies(
+    content: bytes, edges: list[int], copied: list[int], given: list[tuple[int, int]] = (), min_words: int = MIN_WORDS
+) -> tuple[int, list[int]]:
+    """The number of chunks that occur earlier, and the chunks of the windows that do (ascending).
+
+    copied and given: chunks and windows found in documents before. To them come those earlier in the text.
+    """
+    ids: dict[bytes, int] = {}
+    of = [ids.setdefault(content[a:b].strip(), len(ids)) for a, b in zip(edges, edges[1:], strict=False)]
+    gone = {k for i, j in given for k in range(i, j + 1)}
+    if len(ids) == len(of):
+        return len(copied), sorted(gone)
+    chunks, before = np.array(of), set(copied)
+    first: dict[int, int] = {}
+    before.update(i for i, k in enumerate(of) if first.setdefault(k, i) != i)
+    again = np.flatnonzero(np.bincount(chunks)[chunks] > 1)
+    seen: set[bytes] = set()
+    for i, j in sorted(run_windows(again, chunk_words(content, np.array(edges))[again], min_words)):
+        key = chunks[again[i] : again[j] + 1].tobytes()
+        if key in seen:
+            gone.update(range(again[i], again[j] + 1))
+        seen.add(key)
+    return len(before), sorted(int(k) for k in gone)
 
 
 def removed_spans(content: bytes, edges: list[int], copied: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
@@ -159,18 +234,20 @@ def _remove(min_words: int, carry: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in common.text_rows(batches):
             out = []
-            for doc, text, copied in zip(batch.column("doc_id").to_pylist(), texts, batch.column("copied").to_pylist(), strict=True):
+            given = [batch.column(c).to_pylist() for c in ("doc_id", "copied", "windows")]
+            for doc, copied, found, text in zip(*given, texts, strict=True):
                 content = (text or "").encode("utf-8", "surrogatepass")
                 edges = cuts(content).tolist()
-                copied = all_copies(content, edges, copied or [])
-                spans = removed_spans(content, edges, copied, min_words)
+                found = [(w["start"], w["end"]) for w in found or []]
+                n_copied, gone = all_copies(content, edges, copied or [], found, min_words)
+                spans = removed_spans(content, edges, gone, min_words)
                 kept, last = [], 0
                 for a, b in spans:
                     kept.append(content[last:a])
                     last = b
                 kept.append(content[last:])
                 new = text if not spans else b"".join(kept).decode("utf-8", "surrogatepass")
-                out.append((doc, new, len(edges) - 1, len(copied), sum(b - a for a, b in spans), [list(s) for s in spans]))
+                out.append((doc, new, len(edges) - 1, n_copied, sum(b - a for a, b in spans), [list(s) for s in spans]))
             columns = zip(*out, strict=True) if out else [()] * len(fields)
             arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, fields, strict=True)]
             yield pa.RecordBatch.from_arrays([*arrays, *(batch.column(c) for c in carry)], names=[*(name for name, _ in fields), *carry])
@@ -183,8 +260,9 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
 
     Returns doc_id, text (without its removed spans), n_chunks, n_copied (chunks that
     occur earlier), removed_bytes, spans ([start, end) in UTF-8 bytes of the original).
-    Documents go by id (null ids last, then by text); the first occurrence of a chunk
-    stays, wherever its copies are, in the same text too. Rows alike in id and text are
+    Documents go by id (null ids last, then by text). What goes are windows of chunks
+    with min_words words that follow each other in the same way at an earlier place, in
+    the same text too; chunks copied from different places add up to nothing. Rows alike in id and text are
     one document twice and get the same result (neither is a copy of the other). Null and empty texts come back
     unchanged. An empty table gives an empty result; of the other columns those named
     in carry follow.
@@ -194,17 +272,27 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *common.carried(carry))
     order = F.coalesce("doc_id", F.shiftrightunsigned(F.xxhash64("text"), 2) + (1 << 62))
     docs = docs.withColumn("row", order)
-    chunks = docs.select("row", "text").mapInArrow(_chunks, "row long, ord int, digest long")
+    chunks = docs.select("row", "text").mapInArrow(_chunks, "row long, ord int, words int, digest long")
     repeated = chunks.groupBy("digest").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first < last")
     repeated = common.materialize(repeated.select("digest", "first"), "substring-repeated")
-    copies = (
+    places = (
         chunks.join(repeated, "digest")
+        .groupBy("row")
+        .agg(F.collect_set(F.struct("ord", "words", "digest", F.expr("row <> first").alias("copied"))).alias("places"))
+    )  # no more than a document has chunks
+    places = common.materialize(places, "substring-places")
+    found = places.mapInArrow(_windows(min_words), "row long, start int, end int, high long, low long")
+    earlier = found.groupBy("high", "low").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first < last")
+    copies = (
+        found.join(earlier, ["high", "low"])
         .where("row <> first")
         .groupBy("row")
-        .agg(F.collect_set("ord").alias("copied"))  # no more than a document has chunks
+        .agg(F.collect_set(F.struct("start", "end")).alias("windows"))
     )
+    copied = places.select("row", F.expr("transform(filter(places, p -> p.copied), p -> p.ord)").alias("copied"))
+    copies = copied.where("size(copied) > 0").join(copies, "row", "left")  # a copied window has copied chunks
     extra = docs.schema.fields[2:-1]
-    rows = docs.join(copies, "row", "left").select("doc_id", "text", "copied", *(f.name for f in extra))
+    rows = docs.join(copies, "row", "left").select("doc_id", "text", "copied", "windows", *(f.name for f in extra))
     schema = T.StructType.fromDDL(
         "doc_id long, text string, n_chunks long, n_copied long, removed_bytes long, spans array<array<long>>"
     )

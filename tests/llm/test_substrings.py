@@ -87,3 +87,48 @@ def test_gear_rolls():
 
 def test_empty(no_docs):
     assert sub.dedup_substrings(no_docs).count() == 0
+
+
+def test_phrases_from_different_places_stay(spark):
+    """Clean documents stitched from common short phrases; only passages that stand so in one earlier text go."""
+    rng = random.Random(14)
+    phrases = [" ".join(f"p{k}x{rng.randrange(10**6)}" for _ in range(16)) for k in range(41)]
+    own = lambda: " ".join(f"w{rng.randrange(10**9)}" for _ in range(30))
+    rows = [(i, f"{own()} {p} {own()}") for i, p in enumerate(phrases)]
+    rows += [(100 + i, " ".join([own(), *(phrases[(7 * i + k * (i + 2)) % 41] for k in range(6)), own()])) for i in range(20)]
+    mixed = [f"{own()} {' '.join(phrases[:3])} {own()} {' '.join(phrases[3:6])}"]
+    mixed.append(f"{mixed[0]} {own()} {phrases[2]} {phrases[0]} {phrases[4]} {own()}")  # within one text too
+    rows.append((200, mixed[1]))
+    repeated = " ".join(phrases[30 * k % 41] for k in range(5))
+    rows += [(300, f"{own()} {repeated} {own()}"), (301, f"{own()} {repeated} {phrases[39]} {own()}")]
+    got = {r.doc_id: r for r in sub.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got[i].text for i, _ in rows if i < 301} == {i: t for i, t in rows if i < 301}
+    assert got[100].n_copied >= 8  # whose neighbours are others than before
+    gone = [rows[-1][1].encode()[a:b].decode().strip() for a, b in got[301].spans]
+    assert len(gone) == 1 and gone[0] in repeated and len(gone[0].split()) > 60
+
+
+def plain(rows):
+    """Which chunks go, by comparing every run of chunks with 20 words and those before it."""
+    seen, out = set(), {}
+    for i, text in sorted({r for r in rows if r[0] is not None and r[1]}):
+        content = text.encode()
+        e = sub.cuts(content).tolist()
+        chunks = [content[a:b].strip() for a, b in zip(e, e[1:], strict=False)]
+        gone = set()
+        for a in range(len(chunks)):
+            for b in range(a, min(len(chunks), a + 12)):
+                if len(content[e[a] : e[b + 1]].split()) >= sub.MIN_WORDS:
+                    if (run := tuple(chunks[a : b + 1])) in seen:
+                        gone.update(range(a, b + 1))
+                    seen.add(run)
+        out[i] = [list(s) for s in sub.removed_spans(content, e, sorted(gone))]
+    return out
+
+
+def test_windows_find_all_copied_runs(spark):
+    rng = random.Random(15)
+    pool = [sentence(rng, rng.randrange(3, 40)) for _ in range(30)] + ["長い文章" * 90, "x" * 700]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 9)))) for i in range(150)]
+    got = {r.doc_id: r.spans for r in sub.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain(rows)
