@@ -184,19 +184,20 @@ def parse(data: bytes) -> Stream:
     """Read a stream; never fails, whatever the bytes are."""
     out = Stream()
     at, end = _id3v2(data, out), len(data)
-    if end - at >= 128 and data[end - 128 : end - 125] == b"TAG":
-        end -= 128
-        for name, a, n in (("title", 3, 30), ("artist", 33, 30), ("album", 63, 30), ("year", 93, 4)):
-            if text := data[end + a : end + a + n].split(b"\0")[0].decode("latin-1").strip():
-                out.tags.setdefault(f"v1:{name}", text)
+    tag = end - 128 if end - at >= 128 and data[end - 128 : end - 125] == b"TAG" else end
     synced, first = False, True
-    while at < end:
+    while at < tag:
         h = _word(data, at)
         if h and at + h.size <= end:
             after = at + h.size
             follows = _word(data, after)
-            same = after >= end or (follows is not None and (follows.version, follows.rate) == (h.version, h.rate))
-            if same or synced and h.protected and _crc_holds(data, at, h):  # foreign bytes may follow a sound frame
+            same = after in (tag, end) or (follows is not None and (follows.version, follows.rate) == (h.version, h.rate))
+            if after > tag:  # a frame in its place that others or the end follow holds these bytes: they are no tag
+                sound = same and (synced or not out.skipped)
+            else:
+                sound = same or synced and h.protected and _crc_holds(data, at, h)  # foreign bytes may follow a sound frame
+            if sound:
+                tag = tag if after <= tag else end
                 frame = data[at:after]
                 if h.protected:
                     out.checked += 1
@@ -210,11 +211,15 @@ def parse(data: bytes) -> Stream:
                 at, synced, first = after, True, False
                 continue
         was = at
-        at = data.find(b"\xff", at + 1, end)
-        at = end if at < 0 else at
+        at = data.find(b"\xff", at + 1, tag)
+        at = tag if at < 0 else at
         out.skipped += at - was
         out.resyncs += synced
         synced = False
+    if tag < end:
+        for name, a, n in (("title", 3, 30), ("artist", 33, 30), ("album", 63, 30), ("year", 93, 4)):
+            if text := data[tag + a : tag + a + n].split(b"\0")[0].decode("latin-1").strip():
+                out.tags.setdefault(f"v1:{name}", text)
     return out
 
 

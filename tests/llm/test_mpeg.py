@@ -89,3 +89,15 @@ def test_any_bytes():
     rng = random.Random(4)
     for _ in range(300):
         mpeg.parse(bytes(rng.choice([255, 251, 243, 0, rng.randrange(256)]) for _ in range(rng.randrange(3000))))
+
+
+@pytest.mark.parametrize("content", [b"x" * 505 + b"TAG", b"x" * 505 + b"TAG" + b"y" * 68, b"x" * (576 * 3 + 505) + b"TAG!"])
+def test_text_that_looks_like_a_tag(content):
+    test_round_trip(content)
+    data = mpeg.encode(content)
+    assert not [t for t in mpeg.parse(data).tags if t.startswith("v1:")]
+    tag = b"TAG" + b"Title".ljust(30, b"\0") + bytes(95)
+    s = mpeg.parse(data + tag)  # and a real one behind it
+    assert mpeg.payload_of(data, s) == padded(content) and s.tags["v1:title"] == "Title" and not s.skipped
+    cut = mpeg.parse(data[:-40] + tag)  # a last frame cut short doesn't reach into the tag
+    assert len(cut.offsets) == len(s.offsets) - 1 and cut.skipped == 608 and cut.tags["v1:title"] == "Title"
