@@ -134,21 +134,21 @@ def run_windows(places: np.ndarray, words: np.ndarray, min_words: int) -> Iterat
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each chunk of a document."""
-    schema = pa.schema([("row", pa.int64()), ("ord", pa.int32()), ("words", pa.int32()), ("digest", pa.int64())])
+    schema = pa.schema([("row", pa.int64()), ("tk", pa.int64()), ("ord", pa.int32()), ("words", pa.int32()), ("digest", pa.int64())])
 
     def flush(rows, ords, words, keys):
-        arrays = [np.concatenate(rows), np.concatenate(ords), np.concatenate(words).astype(np.int32), np.frombuffer(b"".join(keys), "<i8")]
+        arrays = [*np.concatenate(rows, axis=1), np.concatenate(ords), np.concatenate(words).astype(np.int32), np.frombuffer(b"".join(keys), "<i8")]
         return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=schema)
 
     for batch, texts in common.text_rows(batches):
         rows, ords, words, keys = [], [], [], []
-        for row, text in zip(batch.column("row").to_pylist(), texts, strict=True):
+        for row, tk, text in zip(batch.column("row").to_pylist(), batch.column("tk").to_pylist(), texts, strict=True):
             content = (text or "").encode("utf-8", "surrogatepass")
             if not content:
                 continue
             edges = cuts(content)
             n = len(edges) - 1
-            rows.append(np.full(n, row, np.int64))
+            rows.append(np.repeat(np.array([[row], [tk]], np.int64), n, axis=1))
             ords.append(np.arange(n, dtype=np.int32))
             words.append(chunk_words(content, edges))
             keys += chunk_keys(content, edges.tolist())
@@ -161,16 +161,16 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(min_words: int):
     """A row for each distinct window of a document's shared chunks, at its first place there."""
-    schema = pa.schema([("row", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("high", pa.int64()), ("low", pa.int64())])
+    schema = pa.schema([("row", pa.int64()), ("tk", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("high", pa.int64()), ("low", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[int, int, int]] = []
+            out: list[tuple[int, int, int, int]] = []
             keys: list[bytes] = []
             lists = batch.column("places")
             flat, bounds = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
             fields = [flat.field(c).to_numpy() for c in ("ord", "words", "digest")]
-            for k, row in enumerate(batch.column("row").to_pylist()):
+            for k, name in enumerate(zip(batch.column("row").to_pylist(), batch.column("tk").to_pylist(), strict=True)):
                 ords, words, digests = (x[bounds[k] : bounds[k + 1]] for x in fields)
                 by = np.argsort(ords)
                 ords, words, digests = ords[by], words[by], digests[by]
@@ -178,10 +178,10 @@ def _windows(min_words: int):
                 for i, j in run_windows(ords, words, min_words):
                     key = hashlib.blake2b(digests[i : j + 1].tobytes(), digest_size=16).digest()
                     first.setdefault(key, (int(ords[i]), int(ords[j])))
-                out += [(row, i, j) for i, j in first.values()]
+                out += [(*name, i, j) for i, j in first.values()]
                 keys += first
             halves = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
-            columns = [*np.array(out, np.int64).reshape(-1, 3).T, *halves.T]
+            columns = [*np.array(out, np.int64).reshape(-1, 4).T, *halves.T]
             arrays = [pa.array(np.ascontiguousarray(c)).cast(f.type) for c, f in zip(columns, schema, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
@@ -260,7 +260,7 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
 
     Returns doc_id, text (without its removed spans), n_chunks, n_copied (chunks that
     occur earlier), removed_bytes, spans ([start, end) in UTF-8 bytes of the original).
-    Documents go by id (null ids last, then by text). What goes are windows of chunks
+    Documents go by id (null ids last), different texts of one id by a hash of the text. What goes are windows of chunks
     with min_words words that follow each other in the same way at an earlier place, in
     the same text too; chunks copied from different places add up to nothing. Rows alike in id and text are
     one document twice and get the same result (neither is a copy of the other). Null and empty texts come back
@@ -271,28 +271,29 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
     common.small_batches(spark)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *common.carried(carry))
     order = F.coalesce("doc_id", F.shiftrightunsigned(F.xxhash64("text"), 2) + (1 << 62))
-    docs = docs.withColumn("row", order)
-    chunks = docs.select("row", "text").mapInArrow(_chunks, "row long, ord int, words int, digest long")
-    repeated = chunks.groupBy("digest").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first < last")
+    docs = docs.withColumns({"row": order, "tk": F.xxhash64("text")})
+    key = F.struct("row", "tk")  # an id may have several texts
+    chunks = docs.select("row", "tk", "text").mapInArrow(_chunks, "row long, tk long, ord int, words int, digest long")
+    repeated = chunks.groupBy("digest").agg(F.min(key).alias("first"), F.max(key).alias("last")).where("first < last")
     repeated = common.materialize(repeated.select("digest", "first"), "substring-repeated")
     places = (
         chunks.join(repeated, "digest")
-        .groupBy("row")
-        .agg(F.collect_set(F.struct("ord", "words", "digest", F.expr("row <> first").alias("copied"))).alias("places"))
+        .groupBy("row", "tk")
+        .agg(F.collect_set(F.struct("ord", "words", "digest", (key != F.col("first")).alias("copied"))).alias("places"))
     )  # no more than a document has chunks
     places = common.materialize(places, "substring-places")
-    found = places.mapInArrow(_windows(min_words), "row long, start int, end int, high long, low long")
-    earlier = found.groupBy("high", "low").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first < last")
+    found = places.mapInArrow(_windows(min_words), "row long, tk long, start int, end int, high long, low long")
+    earlier = found.groupBy("high", "low").agg(F.min(key).alias("first"), F.max(key).alias("last")).where("first < last")
     copies = (
         found.join(earlier, ["high", "low"])
-        .where("row <> first")
-        .groupBy("row")
+        .where(key != F.col("first"))
+        .groupBy("row", "tk")
         .agg(F.collect_set(F.struct("start", "end")).alias("windows"))
     )
-    copied = places.select("row", F.expr("transform(filter(places, p -> p.copied), p -> p.ord)").alias("copied"))
-    copies = copied.where("size(copied) > 0").join(copies, "row", "left")  # a copied window has copied chunks
-    extra = docs.schema.fields[2:-1]
-    rows = docs.join(copies, "row", "left").select("doc_id", "text", "copied", "windows", *(f.name for f in extra))
+    copied = places.select("row", "tk", F.expr("transform(filter(places, p -> p.copied), p -> p.ord)").alias("copied"))
+    copies = copied.where("size(copied) > 0").join(copies, ["row", "tk"], "left")  # a copied window has copied chunks
+    extra = docs.schema.fields[2:-2]
+    rows = docs.join(copies, ["row", "tk"], "left").select("doc_id", "text", "copied", "windows", *(f.name for f in extra))
     schema = T.StructType.fromDDL(
         "doc_id long, text string, n_chunks long, n_copied long, removed_bytes long, spans array<array<long>>"
     )

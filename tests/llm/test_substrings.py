@@ -132,3 +132,18 @@ def test_windows_find_all_copied_runs(spark):
     rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 9)))) for i in range(150)]
     got = {r.doc_id: r.spans for r in sub.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == plain(rows)
+
+
+def test_different_texts_of_one_id(spark):
+    rng = random.Random(16)
+    own = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(60)) for _ in range(6)]
+    rows = [(1, own[0]), (7, f"{own[1]} {own[0]}"), (7, f"{own[2]} {own[3]}"), (8, f"{own[4]} {own[5]}"), (8, f"{own[5]} {own[4]} more")]
+    rows += [rows[1]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sub.dedup_substrings(df, carry=("text",)).toDF("doc_id", "text", "n_chunks", "n_copied", "removed_bytes", "spans", "source").collect()
+    by = {r.source: r for r in got}
+    assert len(got) == len(rows) and set(by) == {t for _, t in rows}
+    assert by[rows[2][1]].text == rows[2][1] and by[rows[2][1]].n_copied == 0  # of another text of the id
+    assert all(own[1] in r.text and own[0] not in r.text and r.removed_bytes > 300 for r in got if r.source == rows[1][1])
+    both = sorted(by[t].removed_bytes for _, t in rows[3:5])
+    assert both[0] == 0 and both[1] > 600  # copies between texts of one id
