@@ -3,6 +3,7 @@ Arrow batch sizes and connected components."""
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import tempfile
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 512
 #: And their bytes: a batch of very long texts stays small.
 BATCH_BYTES = 16 << 20
+#: At most so many keys are joined by broadcast for having many rows; keys with few never are.
+HOT_KEYS = 1 << 14
+HOT_ROWS = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -112,11 +116,31 @@ def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[p
         yield pa.Table.from_batches(held)
 
 
-def connected_components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
+def hot_join(rows: DataFrame, dim: DataFrame, key: str, drop: str = "") -> DataFrame:
+    """rows joined with the one row of each key of dim, whose column `rows` says how many rows have it.
+
+    Keys of more than 1 / HOT_KEYS of all these rows are at most HOT_KEYS, so they are
+    broadcast, however many rows they have; only the others are shuffled. dim should be
+    a written table, as it is read more than once. `drop` names a column of dim to leave out.
+    """
+    total = dim.agg(F.sum("rows")).first()[0] or 0
+    floor = max(total // HOT_KEYS, HOT_ROWS)
+    hot = dim.where(F.col("rows") > floor)
+    least = lambda d: d.drop(drop) if drop else d
+    if hot.isEmpty():
+        return rows.join(least(dim), key)
+    marked = rows.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
+    cold = marked.where("_hot is null").drop("_hot").join(least(dim.where(F.col("rows") <= floor)), key)
+    warm = marked.where("_hot").drop("_hot").join(F.broadcast(least(hot)), key)
+    return cold.unionByName(warm)
+
+
+def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Label each node of the edges (a, b: long) by the least node that it reaches.
 
     Minimum labels spread along edges, and each round labels also jump to their
-    label's label, so long chains shrink by doubling. Every round is a written
+    label's label, so long chains shrink by doubling; the least labels only fall, so it
+    ends. Every round is a written
     table; only the number of changed rows comes to the driver. Returns
     (node, label). Null ends are ignored; no edges give an empty table.
     """
@@ -125,7 +149,7 @@ def connected_components(edges: DataFrame, name: str = "components", rounds: int
     labels = materialize(
         both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), f"{name}-0"
     )
-    for k in range(1, rounds):
+    for k in itertools.count(1):
         near = (
             both.join(labels.withColumnRenamed("node", "b"), "b")
             .groupBy(F.col("a").alias("node"))
@@ -140,4 +164,3 @@ def connected_components(edges: DataFrame, name: str = "components", rounds: int
         labels = now.select("node", "label")
         if now.where("old <> label").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -1,18 +1,22 @@
 """N-gram Jaccard join: exact links of documents by word shingles, found with
-count vectors in an R-tree.
-
-Shingles are hashed into groups. Two sets that link differ in at most r
-shingles, so of more than r groups at least one holds the very same shingles in
-both: (group, its shingles) is a block key that misses no link. Within a block
-the documents' group counts are points of an R-tree; the sum over coordinates
-of the minimum of two points bounds the overlap, and subtrees whose upper corner
-cannot reach the overlap needed are skipped. Pairs that survive are verified on
-their shingles. The tree alone would have to compare most documents of similar
-length (points of high dimension hardly cluster), hence the blocks.
-
-Large groups of near copies are not expanded: every block first links its
-members to its least member, and only blocks that still hold two components
-are searched with the tree.
+count vectors in R-trees.
+
+Shingles are hashed into groups; a document's group counts are a point. The sum over
+coordinates of the minimum of two points bounds the overlap: in an R-tree, subtrees
+whose upper corner cannot reach the overlap needed are skipped, and pairs that survive
+are verified on their shingles.
+
+One tree over all documents would have to compare most documents of similar length
+(points of high dimension hardly cluster; README has figures). So documents meet in
+trees of those that share a rare shingle: with all shingles in one order, two linked
+sets have one in common among the first n - ceil(0.8 n) + 1 of each. The order puts
+buckets of shingles that few documents have first, as counted over all documents; the
+counts only decide how much is compared, never what is found.
+
+Large groups of near copies are not expanded: first every block's sets search for
+the block's first set, and only blocks that still hold two classes are searched
+further, row by row, where a link found joins two classes and rows of one class are
+not compared again. A cell gives fewer links than it has rows.
 """
 
 from __future__ import annotations
@@ -31,7 +35,14 @@ SHINGLE = 5
 NUM, DEN = 80, 100
 GROUPS = 256
 LEAF = 16
-TILE = 1024
+#: Buckets of shingles whose documents are counted, and how many travel in one row.
+BUCKETS = 1 << 16
+SLICE = 1 << 12
+#: A cell's tree, and the rows that ask it, have at most about so many rows and shingles.
+TILE = 4096
+TOKENS = 1 << 22
+#: Candidates verified at once.
+VERIFY = 32
 
 #: Bytes as digits: A-Z lower-cased, white space 0.
 _FOLD = np.array([0 if b in b" \t\n\v\f\r" else b + 33 if 65 <= b <= 90 else b + 1 for b in range(256)], np.uint64)
@@ -110,53 +121,6 @@ def overlap_bound(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray)
     return np.minimum(a, b).sum(-1, dtype=np.int64) + over
 
 
-def differing(a: int, b: int, num: int = NUM, den: int = DEN) -> int:
-    """Most shingles that are in one of two linked sets of these sizes only."""
-    return (den - num) * (a + b) // (den + num)
-
-
-def windows(n: int, num: int, den: int) -> list[tuple[int, int, int]]:
-    """(window, groups, differing shingles at most) where a set of n shingles is indexed.
-
-    Window k is for pairs whose smaller set has from 2^k to 2^(k+1)-1 shingles,
-    so a set may also be the larger one of the window below.
-    """
-    out = []
-    home = n.bit_length() - 1
-    for k in (home - 1, home):
-        if k < 0:
-            continue
-        small = (1 << (k + 1)) - 1
-        if n > small * den // num:
-            continue
-        r = differing(small, small * den // num, num, den)
-        if not r:
-            continue  # such sets link only if they are equal
-        out.append((k, r + 1 + 2 + (1 << k) // 50, min(r, differing(n, min(n, small) * den // num, num, den))))
-    return out
-
-
-def signatures(tokens: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
-    """Block keys: of two linked, unequal sets at least one is in common.
-
-    Groups without shingles give no key, unless so many are empty that all
-    groups two sets agree in could be empty ones.
-    """
-    out = []
-    if len(tokens):
-        mixed = _mix(tokens ^ _P)
-        low = (mixed & np.uint64(0xFFFFFFFF)).astype(np.float64)
-        high = (mixed >> np.uint64(32)).astype(np.float64)
-    for k, groups, r in windows(len(tokens), num, den):
-        g = (tokens % np.uint64(groups)).astype(np.int64)
-        n = np.bincount(g, minlength=groups)
-        s = np.bincount(g, high, groups).astype(np.uint64) << np.uint64(32)
-        s += np.bincount(g, low, groups).astype(np.uint64)
-        s = _mix(s + np.arange(groups, dtype=np.uint64) * _P + np.uint64((k + 1) << 40))
-        out.append(s if (n == 0).sum() >= groups - r else s[n > 0])
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
-
-
 def links(a: np.ndarray, b: np.ndarray, num: int = NUM, den: int = DEN) -> bool:
     if not len(a) or not len(b):
         return False
@@ -213,115 +177,260 @@ class CountTree:
         return at[may(self.points[at], self.sizes[at], self.beyond[at])]
 
 
+class Classes:
+    """Union-find over labels."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        up = self.parent.get(x, x)
+        while up != x:
+            above = self.parent.get(up, up)
+            self.parent[x] = above
+            x, up = up, above
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        if a == b:
+            return False
+        self.parent[b] = a
+        return True
+
+
+def search_cell(cell: pa.Table, num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
+    """Links that join classes, of the asking rows (`asks`) with the others' points (`tree`) of one cell.
+
+    The cell's points go into a count-vector tree; each asking row searches it, and
+    what may link and is of another class is verified on the shingles. A link found
+    joins the two classes, and rows of one class aren't compared again, so there are
+    fewer links than classes.
+    """
+    col = {c: cell.column(c).to_numpy() for c in ("key", "label", "n")}
+    asks, stored, also = (np.asarray(cell.column(c).to_pylist(), bool) for c in ("asks", "tree", "both"))
+    vec = points(cell.column("vec").to_pylist())
+    at = np.flatnonzero(stored)
+    tree = CountTree(vec[at], col["n"][at])
+    key, label = col["key"][at], col["label"][at].tolist()
+    also = also[at]
+    tokens = cell.column("tokens").to_pylist()
+    held: dict[int, np.ndarray] = {}
+
+    def shingles(row: int) -> np.ndarray:
+        found = held.get(row)
+        if found is None:
+            found = held[row] = np.frombuffer(tokens[row], np.uint64)
+        return found
+
+    classes, links_found = Classes(), []
+    for q in np.flatnonzero(asks).tolist():
+        own, mine = int(col["key"][q]), int(col["label"][q])
+        hits = tree.search(vec[q], int(col["n"][q]), num, den)
+        hits = hits[(key[hits] != own) & ~(also[hits] & (key[hits] < own))]  # where both ask, the one with the lesser key does
+        hits = hits.tolist()
+        while hits:
+            top = classes.find(mine)
+            hits = [h for h in hits if classes.find(label[h]) != top]
+            part, hits = hits[:VERIFY], hits[VERIFY:]
+            if not part:
+                break
+            a, sets = shingles(q), [shingles(int(at[h])) for h in part]
+            cat = np.concatenate(sets)
+            same = a[np.minimum(np.searchsorted(a, cat), len(a) - 1)] == cat
+            both = np.add.reduceat(same, np.cumsum([0, *map(len, sets[:-1])]), dtype=np.int64)
+            for h, s, c in zip(part, sets, both.tolist(), strict=True):
+                if den * c >= num * (len(a) + len(s) - c) and classes.join(mine, label[h]):
+                    links_found.append((own, int(key[h])))
+    return links_found
+
+
+def _search(num: int, den: int):
+    """Links of each cell; rows of a cell follow each other."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in common.runs(batches, ("unit", "tile", "turn")):
+            found = search_cell(cell, num, den)
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+
+    return run
+
+
 def _facts(width: int):
-    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "tk", "n", "key")] + [("vec", pa.binary())])
+    """Of each document its set's size and key; of each task how many shingles fall in each bucket."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "tk", "n", "key")] + [("slice", pa.int32()), ("seen", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
+        seen = np.zeros(BUCKETS, np.int64)
         for batch, texts in common.text_rows(batches):
             sets = [shingle(t) for t in texts]
+            if sets:
+                seen += np.bincount(bucket(np.concatenate(sets)), minlength=BUCKETS)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("tk"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([counts(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.nulls(len(sets), pa.int32()),
+                    pa.nulls(len(sets), pa.binary()),
                 ],
                 schema=schema,
             )
+        if seen.any():
+            parts = seen.reshape(-1, SLICE)
+            none = pa.nulls(len(parts), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none] * 4 + [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], schema=schema
+            )
 
     return run
 
 
-def _signature_rows(width: int, num: int, den: int):
-    schema = pa.schema([("sig", pa.int64()), ("key", pa.int64())])
+def bucket(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(width)
-        for _, texts in common.text_rows(batches):
-            sigs, keys, n = [], [], 0
-            for t in texts:
-                tokens = shingle(t)
-                s = signatures(tokens, num, den)
-                if not len(s):
-                    continue
-                sigs.append(s.view(np.int64))
-                keys.append(np.full(len(s), set_key(tokens), np.int64))
-                n += len(s)
-                if n > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sigs, keys)], schema=schema)
-                    sigs, keys, n = [], [], 0
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sigs, keys)], schema=schema)
 
-    return run
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bucket counts added up by slice."""
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for k, seen in zip(b.column("slice").to_pylist(), b.column("seen").to_pylist(), strict=True):
+            total[k] = total.get(k, 0) + np.frombuffer(seen, np.int64)
+    schema = pa.schema([("slice", pa.int32()), ("seen", pa.binary())])
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], schema=schema)
 
 
-def _may_link(num: int, den: int):
-    """Keep the pairs whose count vectors allow a link."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def bucket_levels(seen: DataFrame) -> np.ndarray:
+    """How common each bucket of shingles is among all documents, in quarters of a power of two: BUCKETS bytes."""
+    total = np.zeros(BUCKETS, np.int64)
+    added = seen.mapInArrow(_summed, "slice int, seen binary").repartition(BUCKETS // SLICE, "slice").mapInArrow(_summed, "slice int, seen binary")
+    for r in added.collect():  # BUCKETS / SLICE rows
+        total[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(r.seen, np.int64)
+    return (4 * np.log2(1 + total.astype(np.float64))).astype(np.uint8)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            if not x.num_rows:
-                continue
-            na, nb = (x.column(c).to_numpy() for c in ("na", "nb"))
-            over = overlap_bound(points(x.column("va").to_pylist()), points(x.column("vb").to_pylist()), na, nb)
-            keep = pa.array((den + num) * over >= num * (na + nb))
-            yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b")], schema=schema).filter(keep)
 
-    return run
+def prefix(tokens: np.ndarray, levels: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
+    """The set's rarest shingles, so many that two linked sets have one of them in common.
+
+    Linked sets share at least num / den of the larger one. With all shingles in one
+    order, the first that both have is within the first n - ceil(num / den * n) + 1 of
+    each. Any order does; rare buckets first keeps the passages that many share out.
+    """
+    n = len(tokens)
+    order = np.argsort(levels[bucket(tokens)], kind="stable")
+    return tokens[order[: n - -(-num * n // den) + 1]]
 
 
-def _verify(width: int, num: int, den: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _set_rows(width: int, levels: np.ndarray, num: int, den: int):
+    schema = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("rows", pa.int64()), ("vec", pa.binary()), ("prefix", pa.list_(pa.int64())), ("tokens", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
-        last, of_last = None, None
-        for x in batches:
-            keep = []
-            for a, ta, tb in zip(*(x.column(c).to_pylist() for c in ("a", "ta", "tb")), strict=True):
-                if a != last:
-                    last, of_last = a, shingle(ta)
-                keep.append(links(of_last, shingle(tb), num, den))
-            yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b")], schema=schema).filter(pa.array(keep, pa.bool_()))
+        repeated: set[int] = set()
+        for batch, texts in common.text_rows(batches):
+            out: list[tuple] = []
+            for key, rows, text in zip(batch.column("key").to_pylist(), batch.column("rows").to_pylist(), texts, strict=True):
+                if key in repeated:
+                    continue
+                if rows > 1:
+                    repeated.add(key)
+                tokens = shingle(text)
+                out.append((key, len(tokens), rows, counts(tokens), prefix(tokens, levels, num, den).view(np.int64), tokens.tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
 
     return run
 
 
-def _search_blocks(num: int, den: int):
-    """Pairs that may link, of members in different components, of each block (or two of its tiles).
+def _cells(units: DataFrame, sets: DataFrame) -> DataFrame:
+    """Cells to search: of each unit's rows (unit, key, label, n, asks, tree) every asking one meets every one of the tree.
 
-    Input is sorted by block and tiles, so a block's rows follow each other.
+    A unit with more than TILE rows or TOKENS shingles in its tree, or among those
+    that ask, is dealt into tiles and turns by hash.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    over = lambda c: F.greatest(F.lit(1), F.ceil(F.count_if(c) / TILE), F.ceil(F.sum(F.when(F.col(c), F.col("n"))) / TOKENS)).cast("int")
+    sizes = units.groupBy("unit").agg(F.count("*").alias("rows"), over("tree").alias("tiles"), over("asks").alias("turns"))
+    dealt = common.hot_join(units, common.materialize(sizes, "jaccard-units"), "unit")
+    place = lambda c, seed: F.pmod(F.xxhash64("key", F.lit(seed)), F.col(c)).cast("int")
+    all_of = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    stored = dealt.where("tree").select(
+        "unit", place("tiles", 1).alias("tile"), F.explode(all_of("turns")).alias("turn"), "key", "label", F.lit(False).alias("asks"), F.lit(True).alias("tree"), F.col("asks").alias("both")
+    )
+    asking = dealt.where("asks").select(
+        "unit", F.explode(all_of("tiles")).alias("tile"), place("turns", 2).alias("turn"), "key", "label", F.lit(True).alias("asks"), F.lit(False).alias("tree"), F.lit(False).alias("both")
+    )
+    rows = common.materialize(stored.union(asking), "jaccard-cells").join(sets.select("key", "n", "vec", "tokens"), "key")
+    return rows.repartition("unit", "tile", "turn").sortWithinPartitions("unit", "tile", "turn")
 
-    def search(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        sizes, keys, label, tile = (block.column(c).to_numpy() for c in ("n", "key", "label", "tile"))
-        p = points(block.column("vec").to_pylist())
-        two_tiles = block.column("i")[0] != block.column("j")[0]
-        tree = CountTree(p, sizes)
-        names, n = np.unique(label, return_counts=True)
-        largest = names[np.argmax(n)]  # its members needn't ask: all others do
-        a, b = [], []
-        for q in np.flatnonzero(label != largest).tolist():
-            hit = tree.search(p[q], int(sizes[q]), num, den)
-            hit = hit[(label[hit] != label[q]) & ((label[hit] == largest) | (keys[hit] > keys[q]))]
-            if two_tiles:
-                hit = hit[tile[hit] != tile[q]]
-            a.append(np.minimum(keys[hit], keys[q]))
-            b.append(np.maximum(keys[hit], keys[q]))
-        return (np.concatenate(a), np.concatenate(b)) if a else (keys[:0], keys[:0])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in common.runs(batches, ("block", "i", "j")):
-            a, b = search(block)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
+def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
+    """doc_id, tk (text hash), n, component_id, first (the row, or one just like it, that stands for its class)."""
+    spark = df.sparkSession
+    common.small_batches(spark)
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.withColumn("tk", F.xxhash64("text"))
+    found = common.materialize(
+        docs.mapInArrow(_facts(width), "doc_id long, tk long, n long, key long, slice int, seen binary"), "jaccard-facts"
+    )
+    facts = found.where("slice is null").select("doc_id", "tk", "n", "key")
+    levels = bucket_levels(found.where("slice is not null").select("slice", "seen"))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tk")
+    named = common.materialize(
+        facts.where("key is not null").groupBy("key").agg(F.min(row).alias("row"), F.count("*").alias("rows")), "jaccard-named"
+    )
+    ident = lambda c: F.coalesce(c, F.lit(-(1 << 63))).alias("ident")
+    texts = docs.select(ident("doc_id"), "tk", "text").join(named.select(ident("row.doc_id"), "row.tk", "key", "rows"), ["ident", "tk"])
+    sets = common.materialize(
+        texts.select("key", "rows", "text").mapInArrow(
+            _set_rows(width, levels, num, den), "key long, n long, rows long, vec binary, prefix array<long>, tokens binary"
+        ),
+        "jaccard-sets",
+    )
+    sets = sets.where("rows = 1").union(sets.where("rows > 1").dropDuplicates(["key"]))
+
+    # sets that share a rare shingle: each with the first of them
+    rare = sets.select(F.explode("prefix").alias("sig"), "key", "n")
+    blocks = rare.groupBy("sig").agg(F.min(F.struct("key", "n")).alias("lead"), F.count("*").alias("rows")).where("rows > 1")
+    blocks = common.materialize(blocks, "jaccard-blocks")
+    members = common.materialize(common.hot_join(rare, blocks, "sig").select("sig", "key", "n", "lead", "rows"), "jaccard-members")
+    sized = (den * F.col("n") >= num * F.col("lead.n")) & (den * F.col("lead.n") >= num * F.col("n"))
+    pairs = members.where(sized & (F.col("key") != F.col("lead.key"))).select(F.col("lead.key").alias("unit"), "key", "n", F.col("lead.n").alias("ln")).distinct()
+    side = lambda k, n, asks: pairs.select("unit", F.col(k).alias("key"), F.col(k).alias("label"), F.col(n).alias("n"), F.lit(asks).alias("asks"), F.lit(not asks).alias("tree"))
+    units = common.materialize(side("key", "n", False).union(side("unit", "ln", True).distinct()), "jaccard-stars")
+    star_links = common.materialize(_cells(units, sets).mapInArrow(_search(num, den), "a long, b long"), "jaccard-star-links")
+    labels = common.connected_components(star_links, "jaccard-star-components")
 
-    return run
+    # blocks that still hold two classes; those of the same classes are searched as one
+    label = F.coalesce("label", "key").alias("label")
+    labelled = members.where("rows > 2").join(labels.withColumnRenamed("node", "key"), "key", "left").select("sig", "key", "n", label)
+    mixed = common.materialize(
+        labelled.groupBy("sig", "label").agg(F.count("*").alias("rows"))
+        .groupBy("sig").agg(F.count("*").alias("classes"), F.sum(F.xxhash64("label").cast("decimal(20,0)")).alias("content"), F.sum("rows").alias("rows"))
+        .where("classes > 1").select("sig", "rows", F.xxhash64("classes", "content").alias("unit")),
+        "jaccard-mixed",
+    )
+    if not mixed.isEmpty():
+        held = common.materialize(common.hot_join(labelled, mixed, "sig").select("unit", "key", "n", "label").distinct(), "jaccard-held")
+        largest = held.groupBy("unit", "label").agg(F.count("*").alias("c")).groupBy("unit").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("rows"))
+        asks = F.col("label") != F.col("top.label")  # rows of the largest class needn't ask: all others do
+        units = common.hot_join(held, common.materialize(largest, "jaccard-largest"), "unit").select("unit", "key", "label", "n", asks.alias("asks"), F.lit(True).alias("tree"))
+        rest = common.materialize(_cells(common.materialize(units, "jaccard-rest"), sets).mapInArrow(_search(num, den), "a long, b long"), "jaccard-rest-links")
+        if not rest.isEmpty():
+            labels = common.connected_components(star_links.union(rest), "jaccard-components")
+    classes = named.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    least = classes.groupBy("label").agg(F.min("row").alias("least"), F.count("*").alias("rows"))
+    classes = common.hot_join(classes.drop("row"), common.materialize(least, "jaccard-least"), "label", drop="rows").select("key", "rows", "least")
+    classes = common.materialize(classes, "jaccard-classes")
+    first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("tk") == F.col("least.tk"))
+    with_words = common.hot_join(facts.where("key is not null"), classes, "key").select("doc_id", "tk", "n", F.col("least.doc_id").alias("component_id"), first.alias("first"))
+    wordless = facts.where("key is null").select("doc_id", "tk", "n", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
+    return with_words.union(wordless)
 
 
 def jaccard_components(
@@ -333,87 +442,34 @@ def jaccard_components(
     doc_id reachable by links). Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased;
     a text of fewer than `width` words is one shingle. Null and wordless texts have
     no shingles, link with nothing and are their own component. Repeated rows are
-    equal sets and stay separate rows; a null id is never the least unless all are
-    null. An empty table gives an empty result; other columns are ignored.
+    equal sets and stay separate rows; rows of one id with different texts are
+    documents of their own. A null id is never the least unless all are null. Very
+    long texts are shingled whole, in memory of some ten times the text. A tie at the
+    threshold is a link. An empty table gives an empty result; other columns are
+    ignored, whatever their names.
     """
-    spark = df.sparkSession
-    common.small_batches(spark)
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    docs = docs.withColumn("tk", F.xxhash64("text"))
-    facts = common.materialize(
-        docs.mapInArrow(_facts(width), "doc_id long, tk long, n long, key long, vec binary"), "jaccard-facts"
-    )
-    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tk")
-    sets = (
-        facts.where("key is not null")
-        .groupBy("key")
-        .agg(F.min(row).alias("row"), F.first("n").alias("n"), F.first("vec").alias("vec"))
-        .select("key", F.col("row.doc_id").alias("doc"), F.col("row.tk").alias("tk"), "n", "vec")
-    )
-    sets = common.materialize(sets, "jaccard-sets")
-    sigs = docs.select("text").mapInArrow(_signature_rows(width, num, den), "sig long, key long")
-    blocks = common.materialize(
-        sigs.groupBy("sig").agg(F.min("key").alias("a"), F.max("key").alias("b"), F.count("*").alias("rows")).where("a <> b"),
-        "jaccard-blocks",
-    )
-    members = common.materialize(
-        sigs.join(blocks.where("rows > 2").select("sig", F.col("a").alias("leader")), "sig").distinct(), "jaccard-members"
-    )
-    stars = blocks.select("a", "b").union(members.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b")))
-    star_links = common.materialize(_linked(stars.distinct(), sets, docs, width, num, den), "jaccard-stars")
-    labels = common.connected_components(star_links, "jaccard-star-components")
+    return _classes(df, id_col, text_col, width, num, den).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
-    labelled = members.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "label", F.coalesce("label", "key")
-    )
-    # blocks of the same members are one: their number and the sum of their hashes tell them apart
-    mixed = (
-        labelled.groupBy("sig")
-        .agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows"),
-            F.sum(F.xxhash64("key").cast("decimal(20,0)")).alias("content"),
-        )
-        .where("lo <> hi")
-        .groupBy("rows", "content")
-        .agg(F.min("sig").alias("sig"))
-    )
-    tiles = F.ceil(F.col("rows") / TILE).cast("int")
-    cells = (
-        labelled.join(mixed.select("sig", tiles.alias("tiles")), "sig")
-        .withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select(F.col("sig").alias("block"), F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "key", "label")
-        .join(sets.select("key", "n", "vec"), "key")
-        .select("block", "i", "j", "tile", "key", "label", "n", "vec")
-    )
-    cells = cells.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
-    rest = cells.mapInArrow(_search_blocks(num, den), "a long, b long").distinct()
-    rest_links = common.materialize(_linked(rest, sets, docs, width, num, den), "jaccard-rest")
-    if not rest_links.isEmpty():
-        labels = common.connected_components(star_links.union(rest_links), "jaccard-components")
-    named = sets.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    least = named.groupBy("label").agg(F.min("doc").alias("component_id"))
-    named = named.join(least, "label").select("key", "component_id")
-    return facts.join(named, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
 
+def one_of_each(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, num: int = NUM, den: int = DEN
+) -> DataFrame:
+    """The rows of df that stay if one document of each class stays: that with the least id.
 
-def _linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Those of the pairs (a, b) of set keys that link, by bound first and then by their texts."""
-    side = lambda c: sets.select(F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("vec").alias(f"v{c}"))
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        (den * F.col("na") >= num * F.col("nb")) & (den * F.col("nb") >= num * F.col("na"))
-    )
-    likely = common.materialize(
-        sized.select("a", "b", "na", "nb", "va", "vb").mapInArrow(_may_link(num, den), "a long, b long"), "jaccard-likely"
-    )
-    wanted = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
-    row = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("row")
-    wanted = wanted.join(sets.select("key", F.col("doc").alias("doc_id"), "tk"), "key").select("key", row, "tk")
-    texts = docs.select(row, "tk", "text").join(wanted, ["row", "tk"]).dropDuplicates(["row", "tk", "key"]).select("key", "text")
-    texts = common.materialize(texts, "jaccard-texts")
-    both = likely.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").join(
-        texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a"
+    Rows without an id stay only where their class has none with one. Of several
+    texts of the least id in one class that with the least hash stays; of rows alike
+    in id and text that whose columns come first as JSON. Rows without words link with
+    nothing and all stay. All columns return as they are.
+    """
+    found = _classes(df, id_col, text_col, width, num, den)
+    kept = found.where("first").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_i"), F.col("tk").alias("_t"), (F.col("n") > 0).alias("_w"))
+    kept = common.materialize(kept.groupBy("_i", "_t", "_w").agg(F.count("*").alias("_c")), "jaccard-kept")
+    whole = df.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("_i"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("_t"),
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"),
     )
-    return both.select("a", "b", "ta", "tb").mapInArrow(_verify(width, num, den), "a long, b long")
+    single = whole.join(kept.where("_c = 1 or not _w"), ["_i", "_t"], "left_semi").select("_row.*")
+    repeated = whole.join(kept.where("_c > 1 and _w"), ["_i", "_t"], "left_semi")
+    repeated = repeated.groupBy("_i", "_t").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row.*")
+    return single.union(repeated)

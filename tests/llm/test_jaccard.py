@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import documents, sentence
 
@@ -46,9 +47,8 @@ def test_empty(no_docs):
     assert jaccard.jaccard_components(no_docs).count() == 0
 
 
-def test_edited_copies_and_tiles(spark, monkeypatch):
-    """A large group of near copies, links only through third documents, and blocks of several tiles."""
-    monkeypatch.setattr(jaccard, "TILE", 4)
+def edited_copies():
+    """A large group of near copies, links only through third documents, and a common passage."""
     rng = random.Random(8)
     base = sentence(rng, 90).split()
     passage = sentence(rng, 40)
@@ -58,21 +58,63 @@ def test_edited_copies_and_tiles(spark, monkeypatch):
         for _ in range(rng.randrange(0, 5)):
             words[rng.randrange(len(words))] = f"edit{rng.randrange(1000)}"
         rows.append((i, " ".join(words)))
-    rows += [(100 + i, passage + " " + sentence(rng, rng.randrange(5, 30))) for i in range(40)]
+    return rows + [(100 + i, passage + " " + sentence(rng, rng.randrange(5, 30))) for i in range(40)]
+
+
+@pytest.mark.parametrize("tile", [4, 4096])
+def test_edited_copies_and_tiles(spark, monkeypatch, tile):
+    """Also with cells of several tiles and turns, hot keys and all shingles in one bucket."""
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(common, "HOT_ROWS", tile)
+    monkeypatch.setattr(common, "HOT_KEYS", 10_000)
+    rows = edited_copies()
+    if tile == 4:
+        monkeypatch.setattr(jaccard, "bucket_levels", lambda seen: np.zeros(jaccard.BUCKETS, np.uint8))
     got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert Counter(tuple(r) for r in got.collect()) == brute(rows)
 
 
-def test_linked_sets_share_a_signature():
+def test_same_id_with_other_texts(spark):
+    """One row of each class stays, whole, whatever the ids of the others."""
+    rng = random.Random(2)
+    a, b, c = (sentence(rng, 50) for _ in range(3))
+    rows = [(2, a, "x"), (5, a, "y"), (5, b, "z"), (7, c, "q"), (7, c, "p"), (None, a, "n"), (None, "", "e"), (None, None, "f"), (9, None, "g"), (9, None, "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    assert Counter(map(tuple, jaccard.one_of_each(df).collect())) == Counter(
+        [(2, a, "x"), (5, b, "z"), (7, c, "p"), (None, "", "e"), (None, None, "f"), (9, None, "g"), (9, None, "g")]
+    )
+    assert jaccard.one_of_each(df.limit(0)).count() == 0
+
+
+def test_linked_sets_share_a_rare_shingle():
     rng = np.random.default_rng(4)
     for _ in range(3000):
-        n = int(rng.integers(4, 300))
+        n = int(rng.integers(1, 300))
         a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
         cut = int(rng.integers(0, max(1, n // 5)))
         more = rng.integers(0, 1 << 63, int(rng.integers(0, max(1, n // 5))), dtype=np.uint64)
         b = np.unique(np.concatenate([a[cut:], more]))
-        if jaccard.links(a, b) and not np.array_equal(a, b):
-            assert np.intersect1d(jaccard.signatures(a), jaccard.signatures(b)).size
+        levels = rng.integers(0, 4, jaccard.BUCKETS).astype(np.uint8)
+        if jaccard.links(a, b):
+            assert np.intersect1d(jaccard.prefix(a, levels), jaccard.prefix(b, levels)).size
+
+
+def test_cell_gives_fewer_links_than_rows():
+    rng = np.random.default_rng(6)
+    base = [np.unique(rng.integers(0, 1 << 63, 100, dtype=np.uint64)) for _ in range(3)]
+    sets = [np.unique(np.concatenate([b[rng.random(100) > 0.04], rng.integers(0, 1 << 63, 2, dtype=np.uint64)])) for b in base for _ in range(40)]
+    k = np.arange(len(sets))
+    cell = pa.table({
+        "key": k, "label": k, "n": [len(s) for s in sets], "asks": [True] * len(k), "tree": [True] * len(k), "both": [True] * len(k),
+        "vec": [jaccard.counts(s) for s in sets], "tokens": [s.tobytes() for s in sets],
+    })
+    # every row stands in the cell as an asking one and as one of the tree
+    found = jaccard.search_cell(cell)
+    parent = jaccard.Classes()
+    assert all(parent.join(a, b) and jaccard.links(sets[a], sets[b]) for a, b in found)
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if jaccard.links(sets[a], sets[b]):
+            assert parent.find(a) == parent.find(b)
 
 
 def test_bound_and_tree_miss_no_link():
