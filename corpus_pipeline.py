@@ -28,12 +28,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays: the one with the least id.
 
-    Rows without an id can't be named as anyone's copy and stay.
+    Rows, not ids, stay or go: an id may have several texts. A row without an id goes
+    if its class has one with an id. Of repeated rows one stays; rows without words are
+    like nothing and all stay. An empty table gives an empty table; columns of any name
+    come through as they are.
     """
-    found = jaccard.jaccard_components(docs)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    return jaccard.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
