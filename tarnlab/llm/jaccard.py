@@ -199,21 +199,46 @@ class Classes:
         return True
 
 
+class Cell:
+    """Rows that meet: those with `tree` are the points of a count-vector tree that those with `asks` search.
+
+    `both` tells of a point that it asks too, here or in another cell.
+    """
+
+    def __init__(self, cell: pa.Table, num: int, den: int):
+        self.num, self.den = num, den
+        self.key, self.label, self.n = (cell.column(c).to_numpy() for c in ("key", "label", "n"))
+        self.asks, stored, both = (np.asarray(cell.column(c).to_pylist(), bool) for c in ("asks", "tree", "both"))
+        self.vec = points(cell.column("vec").to_pylist())
+        self.at = np.flatnonzero(stored)
+        self.both, self.point_key, self.point_label = both[self.at], self.key[self.at], self.label[self.at]
+        self.tree = CountTree(self.vec[self.at], self.n[self.at])
+
+    def hits(self, q: int) -> np.ndarray:
+        """Points of other classes that may link with row q; where both ask, the row with the lesser key does."""
+        found = self.tree.search(self.vec[q], int(self.n[q]), self.num, self.den)
+        return found[(self.point_label[found] != self.label[q]) & ~(self.both[found] & (self.point_key[found] < self.key[q]))]
+
+
+def touching(cell: pa.Table, num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
+    """Pairs of labels that join the classes between which the bound leaves a pair: fewer than labels."""
+    c, classes, out = Cell(cell, num, den), Classes(), []
+    for q in np.flatnonzero(c.asks).tolist():
+        mine = int(c.label[q])
+        for other in np.unique(c.point_label[c.hits(q)]).tolist():
+            if classes.join(mine, other):
+                out.append((mine, other))
+    return out
+
+
 def search_cell(cell: pa.Table, num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
-    """Links that join classes, of the asking rows (`asks`) with the others' points (`tree`) of one cell.
+    """Links of a cell that join classes.
 
-    The cell's points go into a count-vector tree; each asking row searches it, and
-    what may link and is of another class is verified on the shingles. A link found
-    joins the two classes, and rows of one class aren't compared again, so there are
-    fewer links than classes.
+    What may link is verified on the shingles. A link found joins the two classes, and
+    rows of one class aren't compared again, so there are fewer links than classes.
     """
-    col = {c: cell.column(c).to_numpy() for c in ("key", "label", "n")}
-    asks, stored, also = (np.asarray(cell.column(c).to_pylist(), bool) for c in ("asks", "tree", "both"))
-    vec = points(cell.column("vec").to_pylist())
-    at = np.flatnonzero(stored)
-    tree = CountTree(vec[at], col["n"][at])
-    key, label = col["key"][at], col["label"][at].tolist()
-    also = also[at]
+    c = Cell(cell, num, den)
+    label = c.point_label.tolist()
     tokens = cell.column("tokens").to_pylist()
     held: dict[int, np.ndarray] = {}
 
@@ -224,34 +249,32 @@ def search_cell(cell: pa.Table, num: int = NUM, den: int = DEN) -> list[tuple[in
         return found
 
     classes, links_found = Classes(), []
-    for q in np.flatnonzero(asks).tolist():
-        own, mine = int(col["key"][q]), int(col["label"][q])
-        hits = tree.search(vec[q], int(col["n"][q]), num, den)
-        hits = hits[(key[hits] != own) & ~(also[hits] & (key[hits] < own))]  # where both ask, the one with the lesser key does
-        hits = hits.tolist()
+    for q in np.flatnonzero(c.asks).tolist():
+        own, mine = int(c.key[q]), int(c.label[q])
+        hits = c.hits(q).tolist()
         while hits:
             top = classes.find(mine)
             hits = [h for h in hits if classes.find(label[h]) != top]
             part, hits = hits[:VERIFY], hits[VERIFY:]
             if not part:
                 break
-            a, sets = shingles(q), [shingles(int(at[h])) for h in part]
+            a, sets = shingles(q), [shingles(int(c.at[h])) for h in part]
             cat = np.concatenate(sets)
             same = a[np.minimum(np.searchsorted(a, cat), len(a) - 1)] == cat
             both = np.add.reduceat(same, np.cumsum([0, *map(len, sets[:-1])]), dtype=np.int64)
-            for h, s, c in zip(part, sets, both.tolist(), strict=True):
-                if den * c >= num * (len(a) + len(s) - c) and classes.join(mine, label[h]):
-                    links_found.append((own, int(key[h])))
+            for h, s, o in zip(part, sets, both.tolist(), strict=True):
+                if den * o >= num * (len(a) + len(s) - o) and classes.join(mine, label[h]):
+                    links_found.append((own, int(c.point_key[h])))
     return links_found
 
 
-def _search(num: int, den: int):
-    """Links of each cell; rows of a cell follow each other."""
+def _over_cells(find, num: int, den: int):
+    """What find gives for each cell; rows of a cell follow each other."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in common.runs(batches, ("unit", "tile", "turn")):
-            found = search_cell(cell, num, den)
+            found = find(cell, num, den)
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
@@ -348,27 +371,47 @@ def _set_rows(width: int, levels: np.ndarray, num: int, den: int):
     return run
 
 
-def _cells(units: DataFrame, sets: DataFrame) -> DataFrame:
+def _cells(units: DataFrame, sets: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Cells to search: of each unit's rows (unit, key, label, n, asks, tree) every asking one meets every one of the tree.
 
-    A unit with more than TILE rows or TOKENS shingles in its tree, or among those
-    that ask, is dealt into tiles and turns by hash.
+    A unit with more than TILE rows or TOKENS shingles in its tree is dealt into tiles
+    by hash, one with more among those that ask into turns; a cell is a tile and a turn.
     """
     over = lambda c: F.greatest(F.lit(1), F.ceil(F.count_if(c) / TILE), F.ceil(F.sum(F.when(F.col(c), F.col("n"))) / TOKENS)).cast("int")
     sizes = units.groupBy("unit").agg(F.count("*").alias("rows"), over("tree").alias("tiles"), over("asks").alias("turns"))
     dealt = common.hot_join(units, common.materialize(sizes, "jaccard-units"), "unit")
     place = lambda c, seed: F.pmod(F.xxhash64("key", F.lit(seed)), F.col(c)).cast("int")
-    all_of = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
-    stored = dealt.where("tree").select(
-        "unit", place("tiles", 1).alias("tile"), F.explode(all_of("turns")).alias("turn"), "key", "label", F.lit(False).alias("asks"), F.lit(True).alias("tree"), F.col("asks").alias("both")
-    )
-    asking = dealt.where("asks").select(
-        "unit", F.explode(all_of("tiles")).alias("tile"), place("turns", 2).alias("turn"), "key", "label", F.lit(True).alias("asks"), F.lit(False).alias("tree"), F.lit(False).alias("both")
-    )
-    rows = common.materialize(stored.union(asking), "jaccard-cells").join(sets.select("key", "n", "vec", "tokens"), "key")
+    cell = lambda tile, turn, tree, asks: F.struct(tile.alias("tile"), turn.alias("turn"), tree.alias("tree"), asks.alias("asks"))
+    every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    none = F.array().cast("array<struct<tile:int,turn:int,tree:boolean,asks:boolean>>")
+    asks_at = lambda turn: F.col("asks") & (turn == F.col("_turn"))
+    stored = F.when(F.col("tree"), F.transform(every("turns"), lambda u: cell(F.col("_tile"), u, F.lit(True), asks_at(u)))).otherwise(none)
+    asking = F.transform(F.filter(every("tiles"), lambda t: ~F.col("tree") | (t != F.col("_tile"))), lambda t: cell(t, F.col("_turn"), F.lit(False), F.lit(True)))
+    asking = F.when(F.col("asks"), asking).otherwise(none)
+    rows = dealt.withColumn("_tile", place("tiles", 1)).withColumn("_turn", place("turns", 2)).select("unit", "key", "label", F.col("asks").alias("both"), F.explode(F.concat(stored, asking)).alias("_c"))
+    rows = rows.select("unit", "key", "label", "both", "_c.*").join(sets.select("key", "n", *columns), "key")
     return rows.repartition("unit", "tile", "turn").sortWithinPartitions("unit", "tile", "turn")
 
 
+def _touching(units: DataFrame, sets: DataFrame, num: int, den: int, name: str) -> DataFrame:
+    """Pairs of labels (a, b) whose classes are to be compared on their shingles: points alone travel."""
+    return common.materialize(_cells(units, sets, ("vec",)).mapInArrow(_over_cells(touching, num, den), "a long, b long").distinct(), f"{name}-touching")
+
+
+def _links(units: DataFrame, sets: DataFrame, num: int, den: int, name: str) -> DataFrame:
+    """Verified links (a, b) that join the classes of each unit."""
+    found = _cells(units, sets, ("vec", "tokens")).mapInArrow(_over_cells(search_cell, num, den), "a long, b long")
+    return common.materialize(found, f"{name}-links")
+
+
+def _but_largest(held: DataFrame, name: str) -> DataFrame:
+    """Units of rows (unit, key, n, label): those of the largest class needn't ask, as all others do."""
+    by_label = held.groupBy("unit", "label").agg(F.count("*").alias("c"))
+    largest = by_label.groupBy("unit").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("rows"))
+    rows = common.hot_join(held, common.materialize(largest, f"{name}-largest"), "unit")
+    return common.materialize(rows.select("unit", "key", "label", "n", (F.col("label") != F.col("top.label")).alias("asks"), F.lit(True).alias("tree")), f"{name}-units")
+
+
 def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
     """doc_id, tk (text hash), n, component_id, first (the row, or one just like it, that stands for its class)."""
     spark = df.sparkSession
@@ -402,8 +445,12 @@ def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, de
     sized = (den * F.col("n") >= num * F.col("lead.n")) & (den * F.col("lead.n") >= num * F.col("n"))
     pairs = members.where(sized & (F.col("key") != F.col("lead.key"))).select(F.col("lead.key").alias("unit"), "key", "n", F.col("lead.n").alias("ln")).distinct()
     side = lambda k, n, asks: pairs.select("unit", F.col(k).alias("key"), F.col(k).alias("label"), F.col(n).alias("n"), F.lit(asks).alias("asks"), F.lit(not asks).alias("tree"))
-    units = common.materialize(side("key", "n", False).union(side("unit", "ln", True).distinct()), "jaccard-stars")
-    star_links = common.materialize(_cells(units, sets).mapInArrow(_search(num, den), "a long, b long"), "jaccard-star-links")
+    stars = common.materialize(side("key", "n", False).union(side("unit", "ln", True).distinct()), "jaccard-star-units")
+    near = _touching(stars, sets, num, den, "jaccard-star")  # a leads, b is another set of its block
+    stars = stars.where("tree").join(near.select(F.col("a").alias("unit"), F.col("b").alias("key")), ["unit", "key"], "left_semi").union(
+        stars.where("asks").join(near.select(F.col("a").alias("unit")), "unit", "left_semi")
+    )
+    star_links = _links(common.materialize(stars, "jaccard-star-near"), sets, num, den, "jaccard-star")
     labels = common.connected_components(star_links, "jaccard-star-components")
 
     # blocks that still hold two classes; those of the same classes are searched as one
@@ -417,10 +464,13 @@ def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, de
     )
     if not mixed.isEmpty():
         held = common.materialize(common.hot_join(labelled, mixed, "sig").select("unit", "key", "n", "label").distinct(), "jaccard-held")
-        largest = held.groupBy("unit", "label").agg(F.count("*").alias("c")).groupBy("unit").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("rows"))
-        asks = F.col("label") != F.col("top.label")  # rows of the largest class needn't ask: all others do
-        units = common.hot_join(held, common.materialize(largest, "jaccard-largest"), "unit").select("unit", "key", "label", "n", asks.alias("asks"), F.lit(True).alias("tree"))
-        rest = common.materialize(_cells(common.materialize(units, "jaccard-rest"), sets).mapInArrow(_search(num, den), "a long, b long"), "jaccard-rest-links")
+        near = _touching(_but_largest(held, "jaccard-held"), sets, num, den, "jaccard-rest")
+        # classes that touch, however many blocks they meet in, are one unit, which has each set once
+        unit = common.connected_components(near, "jaccard-units-of-classes").select(F.col("node").alias("label"), F.col("label").alias("unit"))
+        each = sets.select("key", "n").join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "n", label)
+        sized = each.groupBy("label").agg(F.count("*").alias("rows")).join(unit, "label")
+        near = common.hot_join(each, common.materialize(sized, "jaccard-touching-classes"), "label").select("unit", "key", "n", "label")
+        rest = _links(_but_largest(common.materialize(near, "jaccard-near"), "jaccard-near"), sets, num, den, "jaccard-rest")
         if not rest.isEmpty():
             labels = common.connected_components(star_links.union(rest), "jaccard-components")
     classes = named.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
