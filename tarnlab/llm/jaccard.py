@@ -351,26 +351,38 @@ def prefix(tokens: np.ndarray, levels: np.ndarray, num: int = NUM, den: int = DE
 
 
 def _set_rows(width: int, levels: np.ndarray, num: int, den: int):
-    schema = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("rows", pa.int64()), ("vec", pa.binary()), ("prefix", pa.list_(pa.int64())), ("tokens", pa.binary())])
+    """Sets as points with their rare shingles; each set once a task."""
+    schema = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("vec", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
-        repeated: set[int] = set()
-        for batch, texts in common.text_rows(batches):
+        seen: set[int] = set()
+        for _, texts in common.text_rows(batches):
             out: list[tuple] = []
-            for key, rows, text in zip(batch.column("key").to_pylist(), batch.column("rows").to_pylist(), texts, strict=True):
-                if key in repeated:
-                    continue
-                if rows > 1:
-                    repeated.add(key)
+            for text in texts:
                 tokens = shingle(text)
-                out.append((key, len(tokens), rows, counts(tokens), prefix(tokens, levels, num, den).view(np.int64), tokens.tobytes()))
+                key = set_key(tokens)
+                if len(tokens) and key not in seen:
+                    seen.add(key)
+                    out.append((key, len(tokens), counts(tokens), prefix(tokens, levels, num, den).view(np.int64)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
 
     return run
 
 
+def _token_rows(width: int):
+    """The shingles of each text, by the key of its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(width)
+        for batch, texts in common.text_rows(batches):
+            tokens = pa.array([shingle(t).tobytes() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), tokens], names=["key", "tokens"])
+
+    return run
+
+
 def _cells(units: DataFrame, sets: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Cells to search: of each unit's rows (unit, key, label, n, asks, tree) every asking one meets every one of the tree.
 
@@ -398,12 +410,21 @@ def _touching(units: DataFrame, sets: DataFrame, num: int, den: int, name: str)
     return common.materialize(_cells(units, sets, ("vec",)).mapInArrow(_over_cells(touching, num, den), "a long, b long").distinct(), f"{name}-touching")
 
 
-def _links(units: DataFrame, sets: DataFrame, num: int, den: int, name: str) -> DataFrame:
-    """Verified links (a, b) that join the classes of each unit."""
+def _links(units: DataFrame, sets: DataFrame, named: DataFrame, docs: DataFrame, width: int, num: int, den: int, name: str) -> DataFrame:
+    """Verified links (a, b) that join the classes of each unit. Only the sets of units are shingled again."""
+    wanted = units.select("key").distinct().join(named.select("key", "row.doc_id", "row.tk"), "key").select("key", _ident(), "tk")
+    texts = docs.select(_ident(), "tk", "text").join(common.materialize(wanted, f"{name}-wanted"), ["ident", "tk"]).select("key", "text")
+    tokens = common.materialize(texts.mapInArrow(_token_rows(width), "key long, tokens binary"), f"{name}-tokens")
+    sets = sets.select("key", "n", "vec").join(tokens.dropDuplicates(["key"]), "key")
     found = _cells(units, sets, ("vec", "tokens")).mapInArrow(_over_cells(search_cell, num, den), "a long, b long")
     return common.materialize(found, f"{name}-links")
 
 
+def _ident():
+    """An id that joins, null or not."""
+    return F.coalesce("doc_id", F.lit(-(1 << 63))).alias("ident")
+
+
 def _but_largest(held: DataFrame, name: str) -> DataFrame:
     """Units of rows (unit, key, n, label): those of the largest class needn't ask, as all others do."""
     by_label = held.groupBy("unit", "label").agg(F.count("*").alias("c"))
@@ -427,35 +448,29 @@ def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, de
     named = common.materialize(
         facts.where("key is not null").groupBy("key").agg(F.min(row).alias("row"), F.count("*").alias("rows")), "jaccard-named"
     )
-    ident = lambda c: F.coalesce(c, F.lit(-(1 << 63))).alias("ident")
-    texts = docs.select(ident("doc_id"), "tk", "text").join(named.select(ident("row.doc_id"), "row.tk", "key", "rows"), ["ident", "tk"])
-    sets = common.materialize(
-        texts.select("key", "rows", "text").mapInArrow(
-            _set_rows(width, levels, num, den), "key long, n long, rows long, vec binary, prefix array<long>, tokens binary"
-        ),
-        "jaccard-sets",
-    )
-    sets = sets.where("rows = 1").union(sets.where("rows > 1").dropDuplicates(["key"]))
+    sets = docs.select("text").mapInArrow(_set_rows(width, levels, num, den), "key long, n long, vec binary, prefix array<long>")
+    sets = common.materialize(sets.dropDuplicates(["key"]), "jaccard-sets")
 
     # sets that share a rare shingle: each with the first of them
-    rare = sets.select(F.explode("prefix").alias("sig"), "key", "n")
-    blocks = rare.groupBy("sig").agg(F.min(F.struct("key", "n")).alias("lead"), F.count("*").alias("rows")).where("rows > 1")
+    rare = sets.select(F.explode("prefix").alias("sig"), "key")
+    blocks = rare.groupBy("sig").agg(F.min("key").alias("lead"), F.count("*").alias("rows")).where("rows > 1")
     blocks = common.materialize(blocks, "jaccard-blocks")
-    members = common.materialize(common.hot_join(rare, blocks, "sig").select("sig", "key", "n", "lead", "rows"), "jaccard-members")
-    sized = (den * F.col("n") >= num * F.col("lead.n")) & (den * F.col("lead.n") >= num * F.col("n"))
-    pairs = members.where(sized & (F.col("key") != F.col("lead.key"))).select(F.col("lead.key").alias("unit"), "key", "n", F.col("lead.n").alias("ln")).distinct()
+    members = common.materialize(common.hot_join(rare, blocks, "sig").select("sig", "key", "lead", "rows"), "jaccard-members")
+    size = sets.select("key", "n")
+    pairs = members.where("key <> lead").select(F.col("lead").alias("unit"), "key").distinct().join(size, "key").join(size.select(F.col("key").alias("unit"), F.col("n").alias("ln")), "unit")
+    pairs = common.materialize(pairs.where((den * F.col("n") >= num * F.col("ln")) & (den * F.col("ln") >= num * F.col("n"))), "jaccard-pairs")
     side = lambda k, n, asks: pairs.select("unit", F.col(k).alias("key"), F.col(k).alias("label"), F.col(n).alias("n"), F.lit(asks).alias("asks"), F.lit(not asks).alias("tree"))
     stars = common.materialize(side("key", "n", False).union(side("unit", "ln", True).distinct()), "jaccard-star-units")
     near = _touching(stars, sets, num, den, "jaccard-star")  # a leads, b is another set of its block
     stars = stars.where("tree").join(near.select(F.col("a").alias("unit"), F.col("b").alias("key")), ["unit", "key"], "left_semi").union(
         stars.where("asks").join(near.select(F.col("a").alias("unit")), "unit", "left_semi")
     )
-    star_links = _links(common.materialize(stars, "jaccard-star-near"), sets, num, den, "jaccard-star")
+    star_links = _links(common.materialize(stars, "jaccard-star-near"), sets, named, docs, width, num, den, "jaccard-star")
     labels = common.connected_components(star_links, "jaccard-star-components")
 
     # blocks that still hold two classes; those of the same classes are searched as one
     label = F.coalesce("label", "key").alias("label")
-    labelled = members.where("rows > 2").join(labels.withColumnRenamed("node", "key"), "key", "left").select("sig", "key", "n", label)
+    labelled = members.where("rows > 2").join(labels.withColumnRenamed("node", "key"), "key", "left").select("sig", "key", label)
     mixed = common.materialize(
         labelled.groupBy("sig", "label").agg(F.count("*").alias("rows"))
         .groupBy("sig").agg(F.count("*").alias("classes"), F.sum(F.xxhash64("label").cast("decimal(20,0)")).alias("content"), F.sum("rows").alias("rows"))
@@ -463,14 +478,14 @@ def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, de
         "jaccard-mixed",
     )
     if not mixed.isEmpty():
-        held = common.materialize(common.hot_join(labelled, mixed, "sig").select("unit", "key", "n", "label").distinct(), "jaccard-held")
+        held = common.materialize(common.hot_join(labelled, mixed, "sig").select("unit", "key", "label").distinct().join(size, "key"), "jaccard-held")
         near = _touching(_but_largest(held, "jaccard-held"), sets, num, den, "jaccard-rest")
         # classes that touch, however many blocks they meet in, are one unit, which has each set once
         unit = common.connected_components(near, "jaccard-units-of-classes").select(F.col("node").alias("label"), F.col("label").alias("unit"))
         each = sets.select("key", "n").join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "n", label)
         sized = each.groupBy("label").agg(F.count("*").alias("rows")).join(unit, "label")
         near = common.hot_join(each, common.materialize(sized, "jaccard-touching-classes"), "label").select("unit", "key", "n", "label")
-        rest = _links(_but_largest(common.materialize(near, "jaccard-near"), "jaccard-near"), sets, num, den, "jaccard-rest")
+        rest = _links(_but_largest(common.materialize(near, "jaccard-near"), "jaccard-near"), sets, named, docs, width, num, den, "jaccard-rest")
         if not rest.isEmpty():
             labels = common.connected_components(star_links.union(rest), "jaccard-components")
     classes = named.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
