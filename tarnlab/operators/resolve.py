@@ -6,13 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, values
+from ..warehouse.scratch import written
 from .joins import first_by, prefixed
 
 
-#: Sites are a dimension of names; as many as this are held in a literal of the plan.
-MAX_SITES = 1000
-
-
 def alias_matches(rows: DataFrame, alias: DataFrame, feature: DataFrame) -> DataFrame:
     """Rows (row, key, day) with every alias of their key: fa_*, f_date_end, is_live and feature_live.
 
@@ -76,19 +73,38 @@ def layer_one(rows: DataFrame, alias: DataFrame, feature: DataFrame) -> DataFram
     )
 
 
-def parse_structural(key: Column, sites: Column) -> Column:
-    """struct(site, point, boundary) of a key that begins with a site (longest first); null if none.
+def structure(key: Column, site: Column) -> Column:
+    """struct(site, point, boundary) of a key that begins with a site; null without one.
 
-    sites: array of names, by length descending and then bytes. A point with further
-    separators is null.
+    A point with further separators is null.
     """
-    low = F.lower(key)
-    hit = F.get(F.filter(sites, lambda s: low.startswith(F.lower(s)) & (F.length(key) > F.length(s))), 0)
-    rest = F.substring(key, F.length(hit) + 1, F.length(key))
+    rest = F.substring(key, F.length(site) + 1, F.length(key))
     boundary = F.substring(rest, 1, 1).isin(".", " ")
     point = F.when(boundary, F.substring(rest, F.lit(2), F.length(rest))).otherwise(rest)
     point = F.when((point != "") & ~point.rlike("[. ]"), text.canonical_point(point))
-    return F.when(hit.isNotNull(), F.struct(hit.alias("site"), point.alias("point"), boundary.alias("boundary")))
+    return F.when(site.isNotNull(), F.struct(site.alias("site"), point.alias("point"), boundary.alias("boundary")))
+
+
+def parse_structural(key: Column, sites: Column) -> Column:
+    """structure of a key by the first of an array of sites (longest first) that it begins with."""
+    low = F.lower(key)
+    return structure(key, F.get(F.filter(sites, lambda s: low.startswith(F.lower(s)) & (F.length(key) > F.length(s))), 0))
+
+
+def sites_of(keys: DataFrame, feature: DataFrame) -> DataFrame:
+    """The longest site that each key begins with, and is longer than: key, site.
+
+    An equi-join of the keys' prefixes, from the shortest site's length to the longest's,
+    with the sites: any number of them.
+    """
+    sites = feature.select(F.trim("site").alias("site")).where("site <> ''").distinct()
+    sites = sites.withColumn("_prefix", F.lower("site")).withColumn("_n", F.length("site"))
+    low, high = sites.agg(F.min("_n"), F.max("_n")).first()
+    longer = keys.select("key").distinct().where(F.length("key") > F.lit(low))
+    ends = F.sequence(F.lit(low), F.least(F.lit(high), F.length("key") - 1))
+    parts = longer.select("key", F.explode(ends).alias("_n"))
+    hits = parts.withColumn("_prefix", F.substring(F.lower("key"), F.lit(1), F.col("_n"))).join(sites, ["_prefix", "_n"])
+    return hits.groupBy("key").agg(F.min(F.struct((-F.col("_n")).alias("_o"), "site"))["site"].alias("site"))
 
 
 def sites_by_length(feature: DataFrame) -> DataFrame:
@@ -128,20 +144,15 @@ def resolve_features(rows: DataFrame, alias: DataFrame, feature: DataFrame) -> D
 
     1: aliases. 2: a site and point in the name, only where no alias row of any kind has
     the key, with a boundary and the feature's own alias. 3: points without a site, where
-    all rows of the event resolved so far share one site. Returns row, key, status
-    (hit, pending, held), uuid_feature, uuid_alias, resolution, confidence.
+    all rows of the event resolved so far share one site; rows without an event take no
+    part. Returns row, key, status (hit, pending, held), uuid_feature, uuid_alias,
+    resolution, confidence, site (that the name begins with), shadowed.
     """
     keyed = rows.withColumn("key", text.feature_key(F.col("raw")))
     first = layer_one(keyed.where("key is not null").select("row", "key", "day"), alias, feature)
-    out = keyed.join(first.drop("shadowed"), "row", "left")
-
     known = alias.select(F.col("alias_key").alias("key")).distinct().withColumn("_known", F.lit(True))
-    out = out.join(known, "key", "left").withColumn("_known", values.is_true(F.col("_known")))
-    names = [r.site for r in sites_by_length(feature).limit(MAX_SITES + 1).collect()]
-    if len(names) > MAX_SITES:
-        raise ValueError(f"more than {MAX_SITES} sites: resolve by site prefix joins instead")
-    array = F.array(*[F.lit(s) for s in names]) if names else F.array().cast("array<string>")
-    out = out.withColumn("_s", parse_structural(F.col("key"), array))
+    out = keyed.join(first, "row", "left").join(known, "key", "left").withColumn("_known", values.is_true(F.col("_known")))
+    out = out.join(sites_of(keyed, feature), "key", "left").withColumn("_s", structure(F.col("key"), F.col("site")))
 
     # both lookups go by key, so the registry is folded to one row a key and the rows are never grouped
     index = unique_points(structural_index(feature))
@@ -164,14 +175,14 @@ def resolve_features(rows: DataFrame, alias: DataFrame, feature: DataFrame) -> D
         .withColumn("uuid_alias", F.coalesce("uuid_alias", F.when(F.col("_two_f").isNotNull(), F.col("_two__own_alias"))))
         .withColumn("uuid_feature", F.coalesce("uuid_feature", "_two_f"))
     )
-    site = feature.select(F.col("uuid").alias("_f"), F.coalesce(F.trim("site"), F.lit("")).alias("_site"))
-    out = out.join(site, F.col("uuid_feature") == F.col("_f"), "left")
-    w = Window.partitionBy("event")
-    one_site = F.min("_site").over(w) == F.max("_site").over(w)
-    out = out.withColumn("_event_site", F.when(one_site & (F.min("_site").over(w) != ""), F.min("_site").over(w)))
+    # the event's site needs all its rows resolved so far: they are written once, and only events are grouped
+    out = written(out.drop("_two_f", "_two_key", "_two_point_feature", "_two_point_end", "_two__own_alias"), "resolve-features")
+    site = feature.select(F.col("uuid").alias("uuid_feature"), F.coalesce(F.trim("site"), F.lit("")).alias("_site"))
+    by_event = out.where("event is not null").select("event", "uuid_feature").join(site, "uuid_feature").groupBy("event").agg(F.min("_site").alias("_event_site"), F.max("_site").alias("_last"))
+    out = out.join(by_event.where("_event_site = _last and _event_site <> ''").drop("_last"), "event", "left")
 
     bare = F.col("_s").isNull() & ~F.col("key").rlike("[. ]") & ~values.is_true(F.col("orphan"))
-    alone = F.col("uuid_feature").isNull() & F.col("key").isNotNull() & ~F.col("_known") & F.col("_event_site").isNotNull() & F.col("event").isNotNull() & bare
+    alone = F.col("uuid_feature").isNull() & F.col("key").isNotNull() & ~F.col("_known") & F.col("_event_site").isNotNull() & bare
     out = found(out, F.when(alone, F.concat_ws("|", F.upper("_event_site"), text.canonical_point(F.col("key")))), "_three_")
     inferred = F.col("_three_f").isNotNull()
     resolution = F.coalesce("resolution", F.when(inferred, "site_inferred"))
@@ -184,6 +195,19 @@ def resolve_features(rows: DataFrame, alias: DataFrame, feature: DataFrame) -> D
         F.coalesce("uuid_alias", F.when(inferred, F.col("_three__own_alias"))).alias("uuid_alias"),
         resolution.alias("resolution"),
         F.least("confidence", F.coalesce(cap, "confidence")).alias("confidence"),
+        "site",
+        "shadowed",
+    )
+
+
+def evidence(rows: DataFrame, alias: DataFrame, feature: DataFrame) -> DataFrame:
+    """What aliases say of rows (row, key, day), from one match: row, candidates, suggestions (features), expired (aliases)."""
+    live = F.col("is_live") & F.col("fa_uuid_feature").isNotNull() & F.col("feature_live")
+    distinct = lambda when, c: F.array_sort(F.collect_set(F.when(when, F.col(c))))
+    return alias_matches(rows, alias, feature).groupBy("row").agg(
+        distinct(live & values.is_true(F.col("fa_auto_assign")), "fa_uuid_feature").alias("candidates"),
+        distinct(live, "fa_uuid_feature").alias("suggestions"),
+        distinct(~F.col("is_live"), "fa_uuid").alias("expired"),
     )
 
 

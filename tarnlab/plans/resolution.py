@@ -151,17 +151,11 @@ SELECT key, CASE WHEN status = 'held' THEN 'held' WHEN coalesce(ca.n, 0) >= 2 OR
 FROM resolved LEFT JOIN sug USING (row) LEFT JOIN ex USING (row) LEFT JOIN ca USING (row), (SELECT '' AS u) WHERE status <> 'hit' GROUP BY 1, 2""",
 )
 def feature_review(r: Roles) -> DataFrame:
-    resolved = rs.resolve_features(names(r), r.feature_alias, r.feature).where("status <> 'hit'").select("row", "key", "status")
-    k = keyed(r)
-    s = rs.suggestions(k, r.feature_alias, r.feature)
-    e = rs.expired(k, r.feature_alias, r.feature)
-    c = rs.candidates(k, r.feature_alias, r.feature).groupBy("row").agg(F.countDistinct("fa_uuid_feature").alias("n_cand"))
-    sites = r.feature.select(F.lower("site").alias("site")).distinct()
-    with_site = resolved.join(sites, F.col("key").startswith(F.col("site")) & (F.length("key") > F.length("site"))).select("row").distinct().withColumn("has_site", F.lit(True))
-    out = resolved.join(s, "row", "left").join(e, "row", "left").join(c, "row", "left").join(with_site, "row", "left")
-    size = lambda x: F.coalesce(F.when(F.col(x).isNotNull(), F.size(x)), F.lit(0))
-    sub = rs.subkind(F.col("status"), F.coalesce("n_cand", F.lit(0)), size("features"), size("aliases"), F.coalesce("has_site", F.lit(False)))
-    rows = out.withColumn("subkind", sub).withColumn("source_ref", F.col("row")).withColumn("candidates", F.lit(None).cast("array<string>"))
+    resolved = rs.resolve_features(names(r), r.feature_alias, r.feature).where("status <> 'hit'").select("row", "key", "status", "site")
+    out = resolved.join(rs.evidence(keyed(r), r.feature_alias, r.feature), "row", "left")
+    n = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0))
+    sub = rs.subkind(F.col("status"), n("candidates"), n("suggestions"), n("expired"), F.col("site").isNotNull())
+    rows = out.select("key", sub.alias("subkind"), F.col("row").alias("source_ref"), F.lit(None).cast("array<string>").alias("candidates"))
     g = rv.review_rows(rows, ["key", "subkind"])
     return g.select("key", "subkind", "n_rows", F.md5("source_ref").alias("refs_md5"), F.array_join("candidates", ",").alias("none"))
 

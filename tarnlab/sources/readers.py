@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 import zipfile
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 from ..functions import dates, text, values
 from .files import decoded
 
+#: Records of one frame that a reader gives back.
+RECORDS = 10_000
+
 # Header lines of the exchange format.
 CHEMISTRY = (
     "SampleCode", "ChemCode", "OriginalChemName", "Prefix", "Result", "Result_Unit", "Total_or_Filtered", "Result_Type", "Method_Type",
@@ -26,43 +30,97 @@ SAMPLE = (
 )
 
 
-def lines(files: DataFrame) -> DataFrame:
-    """Non-empty lines of text files: hash, r (from 1), line."""
-    rows = files.select("hash", F.posexplode(F.split(decoded(F.col("content")), "\r?\n", -1)).alias("_p", "line"))
-    return rows.where("trim(line) <> ''").select("hash", (F.col("_p") + 1).alias("r"), "line")
+def records(files: DataFrame) -> DataFrame:
+    """Records of delimited text files: hash, r (the line where the record begins, from 1), fields (in order, any number).
+
+    A quoted field may hold separators, doubled quotes and line breaks; blank lines are no
+    records. A quote that never closes takes the rest of its file, as `parse_faults` tells.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        csv.field_size_limit(1 << 31)
+        for f in frames:
+            for h, content in zip(f["hash"], f["content"], strict=True):
+                reader, at, rows = csv.reader(io.StringIO(content or "", newline="")), 1, []
+                for fields in reader:
+                    if any(x.strip() for x in fields):
+                        rows.append((h, at, fields))
+                    at = reader.line_num + 1
+                    if len(rows) == RECORDS:
+                        yield pd.DataFrame(rows, columns=["hash", "r", "fields"])
+                        rows = []
+                yield pd.DataFrame(rows, columns=["hash", "r", "fields"])
+
+    texts = files.select("hash", decoded(F.col("content")).alias("content"))
+    return texts.mapInPandas(run, "hash string, r int, fields array<string>")
+
+
+def headers(files: DataFrame) -> DataFrame:
+    """The first record of each delimited file: hash, header_r, header (names, trimmed)."""
+    g = records(files).groupBy("hash").agg(F.min(F.struct("r", "fields")).alias("_h"))
+    return g.select("hash", F.col("_h.r").alias("header_r"), F.transform("_h.fields", lambda x: F.trim(x)).alias("header"))
 
 
 def delimited(files: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Rows of delimited files whose first line names the columns; every field is text, empty ones null."""
-    rows = lines(files)
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    parsed = F.from_csv("line", schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    data = rows.where("r > 1").select("hash", "r", parsed.alias("_f"))
-    return data.select("hash", F.concat(F.lit("r"), F.col("r").cast("string")).alias("source_ref"), *[F.nullif(F.col(f"_f.{c}"), F.lit("")).alias(c) for c in columns])
+    """Rows of delimited files by the names in their header, whatever the order; every field is text, empty ones null.
+
+    Files whose header lacks one of the columns give no rows: `parse_faults` names them.
+    """
+    head = headers(files).where(F.array_except(F.array(*[F.lit(c) for c in columns]), "header") == F.array().cast("array<string>"))
+    data = records(files).join(head, "hash").where("r > header_r")
+    field = lambda c: F.nullif(F.get("fields", F.array_position("header", F.lit(c)).cast("int") - 1), F.lit("")).alias(c)
+    return data.select("hash", F.concat(F.lit("r"), F.col("r").cast("string")).alias("source_ref"), *[field(c) for c in columns])
 
 
-def grid(files: DataFrame, width: int = 64) -> DataFrame:
-    """Long cells of headerless delimited files: file, sheet, r, c, v (empty cells are left out)."""
-    schema = ", ".join(f"c{i} string" for i in range(1, width + 1))
-    rows = lines(files).select("hash", "r", F.from_csv("line", schema, {"quote": '"', "escape": '"'}).alias("f"))
-    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"f.c{i}").alias("v")) for i in range(1, width + 1)])
-    return rows.select("hash", "r", F.explode(cells).alias("x")).where("trim(coalesce(x.v, '')) <> ''").select(
-        F.col("hash").alias("file"), F.lit("").alias("sheet"), "r", F.col("x.c").alias("c"), F.col("x.v").alias("v")
-    )
+def parse_faults(files: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Delimited files that can't be read as a table of these columns: hash, fault, missing.
+
+    no_header: nothing in it. missing_columns: the header lacks some. corrupt: it has lines
+    behind the header but no record, as when a quote never closes. A header alone is sound.
+    """
+    content = decoded(F.col("content"))
+    filled = F.size(F.filter(F.split(content, "\r?\n", -1), lambda x: F.trim(x) != ""))
+    n = records(files).groupBy("hash").agg(F.count("*").alias("n_records"))
+    out = files.select("hash", filled.alias("n_lines")).join(headers(files), "hash", "left").join(n, "hash", "left")
+    missing = F.array_except(F.array(*[F.lit(c) for c in columns]), "header")
+    broken = (F.col("n_lines") > 1) & (F.col("n_records") <= 1)
+    fault = F.when(F.col("header").isNull(), "no_header").when(broken, "corrupt").when(F.size(missing) > 0, "missing_columns")
+    return out.withColumn("fault", fault).where("fault is not null").select("hash", "fault", F.when(F.col("fault") == "missing_columns", missing).alias("missing"))
+
+
+def grid(files: DataFrame) -> DataFrame:
+    """Long cells of headerless delimited files of any width: file, sheet, r, c, v (empty cells are left out)."""
+    cells = records(files).select("hash", "r", F.posexplode("fields").alias("_c", "v")).where("trim(coalesce(v, '')) <> ''")
+    return cells.select(F.col("hash").alias("file"), F.lit("").alias("sheet"), "r", (F.col("_c") + 1).alias("c"), "v")
+
+
+# Root, namespace and attributes of header files.
+HEADER_ROOT, HEADER_SPACE = "ESdat", "escis.com.au"
+HEADER_FIELDS = {"lab_report_number": "Lab_Report_Number", "date_reported": "Date_Reported", "project_id": "Project_ID", "lab_name": "Lab_Name"}
 
 
 def header_xml(files: DataFrame) -> DataFrame:
-    """Attributes of the first LabReport of exchange header files; is_valid tells whether root and namespace fit."""
-    xml = decoded(F.col("content"))
-    at = lambda name: F.nullif(F.regexp_extract(F.regexp_extract(xml, r"(<LabReport\b[^>]*>)", 1), rf'\b{name}="([^"]*)"', 1), F.lit(""))
-    return files.select(
-        "hash",
-        (xml.rlike(r"<(\w+:)?ESdat\b") & xml.contains("escis.com.au")).alias("is_valid"),
-        at("Lab_Report_Number").alias("lab_report_number"),
-        at("Date_Reported").alias("date_reported"),
-        at("Project_ID").alias("project_id"),
-        at("Lab_Name").alias("lab_name"),
-    )
+    """Attributes of the first LabReport of exchange header files; is_valid tells whether root and namespace fit.
+
+    What isn't XML is not valid and has no attributes.
+    """
+    columns = ["hash", "is_valid", *HEADER_FIELDS]
+
+    def read(h: str, content: bytes) -> tuple:
+        try:
+            root = ElementTree.fromstring(bytes(content))
+        except ElementTree.ParseError:
+            return (h, False, *[None] * len(HEADER_FIELDS))
+        space, _, name = root.tag.rpartition("}")
+        report = next((x for x in root.iter() if x.tag.rpartition("}")[2] == "LabReport"), None)
+        found = [(report.get(k) or None) if report is not None else None for k in HEADER_FIELDS.values()]
+        return (h, name == HEADER_ROOT and HEADER_SPACE in space, *found)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame([read(h, c) for h, c in zip(f["hash"], f["content"], strict=True)], columns=columns)
+
+    return files.select("hash", "content").mapInPandas(run, "hash string, is_valid boolean, " + ", ".join(f"{c} string" for c in HEADER_FIELDS))
 
 
 def chemistry_results(rows: DataFrame, org: str = "ALS") -> DataFrame:
@@ -99,8 +157,8 @@ def _column(reference: str) -> int:
     return n
 
 
-def workbook_cells(content: bytes) -> list[tuple[str, int, int, str]]:
-    """Cells of an XLSX workbook as text: sheet, r, c, v. A workbook is a zip of XML parts."""
+def workbook_cells(content: bytes) -> list[tuple[str, int, int, str, int]]:
+    """Cells of an XLSX workbook as text: sheet, r, c, v, sheet_no (from 1). A workbook is a zip of XML parts."""
     main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
     link = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
     out = []
@@ -110,7 +168,7 @@ def workbook_cells(content: bytes) -> list[tuple[str, int, int, str]]:
             for item in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{main}si"):
                 shared.append("".join(t.text or "" for t in item.iter(f"{main}t")))
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        for sheet in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{main}sheet"):
+        for number, sheet in enumerate(ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{main}sheet"), 1):
             target = targets[sheet.get(link)].lstrip("/")
             part = target if target.startswith("xl/") else f"xl/{target}"
             for cell in ElementTree.fromstring(z.read(part)).iter(f"{main}c"):
@@ -123,12 +181,12 @@ def workbook_cells(content: bytes) -> list[tuple[str, int, int, str]]:
                 else:
                     value = shared[int(v.text)] if kind == "s" else v.text
                 if m and value.strip():
-                    out.append((sheet.get("name"), int(m[2]), _column(m[1]), value))
+                    out.append((sheet.get("name"), int(m[2]), _column(m[1]), value, number))
     return out
 
 
 def workbook(files: DataFrame) -> DataFrame:
-    """Long cells of XLSX files: file, sheet, r, c, v. Files that aren't workbooks give one row with sheet null."""
+    """Long cells of XLSX files: file, sheet, r, c, v, sheet_no. Files that aren't workbooks give one row with sheet null."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -137,7 +195,7 @@ def workbook(files: DataFrame) -> DataFrame:
                 try:
                     rows += [(h, *cell) for cell in workbook_cells(bytes(content))]
                 except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as e:
-                    rows.append((h, None, 0, 0, f"unreadable: {type(e).__name__}"))
-            yield pd.DataFrame(rows, columns=["file", "sheet", "r", "c", "v"])
+                    rows.append((h, None, 0, 0, f"unreadable: {type(e).__name__}", 0))
+            yield pd.DataFrame(rows, columns=["file", "sheet", "r", "c", "v", "sheet_no"])
 
-    return files.select("hash", "content").mapInPandas(run, "file string, sheet string, r int, c int, v string")
+    return files.select("hash", "content").mapInPandas(run, "file string, sheet string, r int, c int, v string, sheet_no int")

@@ -11,23 +11,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import first_by
+
+#: The source forgets files older than this beside the newest: none in practice.
+MAX_AGE = "36500d"
 FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def file_stream(spark: SparkSession, path: str, per_batch: int = 1000) -> DataFrame:
     """New files of a folder as a stream, with their content hash."""
-    raw = spark.readStream.format("binaryFile").schema(FILES).option("maxFilesPerTrigger", per_batch).load(path)
+    raw = spark.readStream.format("binaryFile").schema(FILES).option("maxFilesPerTrigger", per_batch).option("maxFileAge", MAX_AGE).load(path)
     return raw.withColumn("hash", F.sha2("content", 256))
 
 
-def once_per_hash(stream: DataFrame, delay: str = "7 days") -> DataFrame:
-    """Each content once; state older than the delay is let go."""
-    return stream.withWatermark("modificationTime", delay).dropDuplicatesWithinWatermark(["hash"])
+def once_per_hash(batch: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Each content of a batch once (its first path), without those that are known, whenever they came."""
+    one = first_by(batch, ["hash"], [F.col("path")])
+    return one if known is None else one.join(known.select("hash").distinct(), "hash", "left_anti")
+
+
+def ingest(stream: DataFrame, checkpoint: str, commit: Callable[[DataFrame, int], None], known: Callable[[], DataFrame | None] = lambda: None) -> None:
+    """Run all files that are there through commit(batch, id), then stop.
+
+    known reads the hashes stored so far before each batch, so a content is handed over
+    once however late a file of it comes. commit must be idempotent by id: after a failure
+    a batch is run again.
+    """
 
+    def run(batch: DataFrame, number: int) -> None:
+        commit(once_per_hash(batch, known()), number)
 
-def ingest(stream: DataFrame, checkpoint: str, commit: Callable[[DataFrame, int], None]) -> None:
-    """Run all files that are there through commit(batch, id), then stop. commit must be idempotent by id."""
-    query = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(commit).start()
+    query = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(run).start()
     query.awaitTermination()
 
 

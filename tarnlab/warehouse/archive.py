@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,16 +40,36 @@ def spent_folders(files: DataFrame, ignorable: Column) -> DataFrame:
     return g.where("spent").select("folder")
 
 
+def _parts(path: str) -> tuple[str, str, str]:
+    """Scheme, host and path without dots of a path or URI; a bare path is a file's."""
+    scheme, host, name = re.fullmatch(r"(?:(\w+):(?://([^/]*))?)?(/.*)?", path, re.DOTALL).groups()
+    return scheme or "file", host or "", posixpath.normpath("/" + (name or "").lstrip("/"))
+
+
 def inside(path: str, root: str) -> bool:
-    """Whether a path lies strictly under a root."""
-    return path.rstrip("/").startswith(root.rstrip("/") + "/")
-
-
-def remove(store: Store, paths: DataFrame, root: str) -> int:
-    """Delete files (path) that lie strictly under root, one by one as they arrive; how many."""
-    n = 0
-    for row in paths.select("path").toLocalIterator():
-        if inside(row.path, root):
-            p = store.spark._jvm.org.apache.hadoop.fs.Path(row.path)
-            n += bool(p.getFileSystem(store.spark._jsc.hadoopConfiguration()).delete(p, False))
-    return n
+    """Whether a path, its dots resolved, lies strictly under a root."""
+    a, b = _parts(path), _parts(root)
+    return a[:2] == b[:2] and a[2] != b[2] and a[2].startswith(b[2].rstrip("/") + "/")
+
+
+def _deleted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        gone = []
+        for path in f["path"]:
+            scheme, host, name = _parts(path)
+            store = fs.LocalFileSystem() if scheme == "file" else fs.FileSystem.from_uri(f"{scheme}://{host}/")[0]
+            try:
+                store.delete_file(name if scheme in ("file", "hdfs") else host + name)
+                gone.append(path)
+            except FileNotFoundError:
+                continue  # a retried task finds its own work done
+        yield pd.DataFrame({"path": gone}, dtype=object)
+
+
+def remove(store: Store, files: DataFrame, root: str) -> int:
+    """Delete those of the files (hash, path, content) that lie strictly under root and whose archived copy is sound; how many.
+
+    The rest stays, whoever asks. Every task deletes its own files.
+    """
+    within = F.udf(lambda p: inside(p, root), "boolean")
+    return removable(store, files).where(within("path")).select("path").mapInPandas(_deleted, "path string").count()

@@ -1,9 +1,10 @@
 """A warehouse of Parquet tables in versioned folders.
 
-A transaction writes whole new versions of the tables that it changes and then
-replaces one pointer file, so readers see all of a commit or nothing. The pointer
-names the folder of every table. Paths go through Hadoop's file system, so a store may be
-wherever Spark can write.
+A transaction writes new parts of the tables that it changes and then publishes one
+pointer file with the next version's number, so readers see all of a commit or nothing. The
+pointer names the part folders of every table: an append adds a part, updates and deletes
+write a table anew. Paths go through Hadoop's file system, so a store may be wherever Spark
+can write and a rename doesn't overwrite.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ import json
 import uuid
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import first_by
 
-POINTER = "CURRENT"
+POINTERS = "versions"
 LOG = "change_log"
 LOG_SCHEMA = "uuid string, tbl string, uuid_row string, field string, old string, new string, action string, actor string, reason string, source_hash string"
 
@@ -53,24 +55,42 @@ class Store:
     def _fs(self):
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _pointer(self) -> dict:
-        fs, p = self._fs(), self._path(POINTER)
+    def _versions(self) -> list[int]:
+        fs, p = self._fs(), self._path(POINTERS)
         if not fs.exists(p):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(p)]
+        return sorted(int(n) for n in names if n.isdecimal())
+
+    def _pointer(self) -> dict:
+        """The pointer of the greatest version: version, and of each table its part folders."""
+        found = self._versions()
+        if not found:
             return {"version": 0, "tables": {}}
-        lines = self.spark.read.text(p.toString(), wholetext=True).first()
-        return json.loads(lines[0])
+        line = self.spark.read.text(self._path(POINTERS, f"{found[-1]:012d}").toString(), wholetext=True).first()
+        return json.loads(line[0])
 
     def _point(self, content: dict) -> None:
-        """Write the pointer beside the old one and rename it over."""
-        fs, tmp, p = self._fs(), self._path(f"{POINTER}.{uuid.uuid4().hex}"), self._path(POINTER)
-        out = fs.create(tmp, True)
+        """Publish a version: its file is written aside and renamed to the version's number, which only one writer can do.
+
+        A rename without overwriting fails if the name is taken, so of two writers of one
+        version one gets a Conflict.
+        """
+        fs, p = self._fs(), self._path(POINTERS, f"{content['version']:012d}")
+        fs.mkdirs(p.getParent())
+        tmp = self._path(POINTERS, f".{uuid.uuid4().hex}")
+        out = fs.create(tmp, False)
         out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
         out.close()
         context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), self.spark._jsc.hadoopConfiguration())
-        overwrite = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        array = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        array[0] = overwrite
-        context.rename(tmp, p, array)
+        array = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(tmp, p, array)
+        except Py4JJavaError as e:
+            fs.delete(tmp, False)
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                raise Conflict(f"version {content['version']} was written by another") from None
+            raise
 
     # reading
 
@@ -78,11 +98,12 @@ class Store:
     def version(self) -> int:
         return self._pointer()["version"]
 
-    def tables(self) -> dict[str, str]:
+    def tables(self) -> dict[str, list[str]]:
         return self.staged if self.staged is not None else self._pointer()["tables"]
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{self.tables()[name]}")
+        """A table: its parts together. Parts may have other columns; those that one lacks are null there."""
+        return self.spark.read.option("mergeSchema", True).parquet(*[f"{self.root}/{part}" for part in self.tables()[name]])
 
     def exists(self, name: str) -> bool:
         return name in self.tables()
@@ -99,22 +120,28 @@ class Store:
         self.base, self.staged = now["version"], dict(now["tables"])
         try:
             yield self
-            if self._pointer()["version"] != self.base:
-                raise Conflict(f"version {self.base} is no longer current")
             self._point({"version": self.base + 1, "tables": self.staged})
         finally:
             self.staged = None
 
+    def _write(self, name: str, df: DataFrame) -> str:
+        folder = f"{name}/v={self.base + 1}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(f"{self.root}/{folder}")
+        return folder
+
     def replace(self, name: str, df: DataFrame) -> None:
-        """Write a new version of a table."""
+        """Write a new version of a table, in one part."""
         with self.transaction():
-            folder = f"{name}/v={self.base + 1}-{uuid.uuid4().hex[:8]}"
-            df.write.parquet(f"{self.root}/{folder}")
-            self.staged[name] = folder
+            self.staged[name] = [self._write(name, df)]
 
     def _grow(self, name: str, df: DataFrame) -> None:
-        old = self.read(name).unionByName(df, allowMissingColumns=True) if self.exists(name) else df
-        self.replace(name, old)
+        """Add a part with these rows; what is there isn't read or written again."""
+        with self.transaction():
+            self.staged[name] = [*self.staged.get(name, []), self._write(name, df)]
+
+    def compact(self, name: str) -> None:
+        """Rewrite a table of many parts as one."""
+        self.replace(name, self.read(name))
 
     def append(self, name: str, df: DataFrame, actor: str, reason: str, source_hash: str | None = None) -> None:
         """Add rows and an `insert` log row for each, together."""
@@ -184,8 +211,8 @@ class Store:
     def snapshot(self, name: str) -> dict[str, int]:
         """Copy every table of the current version to snapshots/<name> and verify the copies' counts; the counts."""
         counts = {}
-        for table, folder in sorted(self._pointer()["tables"].items()):
-            df = self.spark.read.parquet(f"{self.root}/{folder}")
+        for table in sorted(self.tables()):
+            df = self.read(table)
             target = f"{self.root}/snapshots/{name}/{table}"
             df.write.parquet(target)
             counts[table] = df.count()

@@ -1,6 +1,8 @@
 """The store, sources and streaming."""
 
 import io
+import os
+import time
 import zipfile
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tarnlab.sources import files, readers
 from tarnlab.streaming import ingest
-from tarnlab.warehouse.store import Store, commit_outcomes
+from tarnlab.warehouse.store import Conflict, Store, commit_outcomes
 
 
 @pytest.fixture
@@ -120,6 +122,7 @@ def test_workbooks(spark, tmp_path):
 
 
 def test_stream_takes_each_content_once(spark, tmp_path):
+    """However old a file's time is: what counts is whether its content is stored."""
     inbox = tmp_path / "in"
     inbox.mkdir()
     (inbox / "a.csv").write_text("same")
@@ -127,6 +130,59 @@ def test_stream_takes_each_content_once(spark, tmp_path):
     (inbox / "c.csv").write_text("other")
     seen = []
     commit = lambda df, k: seen.extend(r.hash for r in df.select("hash").collect())
-    for _ in range(2):  # a second run finds nothing new
-        ingest.ingest(ingest.once_per_hash(ingest.file_stream(spark, str(inbox))), f"{tmp_path}/checkpoint", commit)
-    assert len(seen) == len(set(seen)) == 2
+    known = lambda: spark.createDataFrame([(h,) for h in seen], "hash string")
+    run = lambda: ingest.ingest(ingest.file_stream(spark, str(inbox)), f"{tmp_path}/checkpoint", commit, known)
+    run()
+    (inbox / "late.csv").write_text("thirty days old")
+    os.utime(inbox / "late.csv", (time.time() - 30 * 86400,) * 2)
+    (inbox / "again.csv").write_text("same")
+    run()
+    assert len(seen) == len(set(seen)) == 3
+
+
+def test_an_append_writes_its_rows_alone(spark, store):
+    for k in range(3):
+        store.append("t", rows(spark, (str(k), "a", k)), "me", "more")
+    parts = store.tables()["t"]
+    assert len(parts) == 3 and all(spark.read.parquet(f"{store.root}/{p}").count() == 1 for p in parts)
+    store.append("t", spark.createDataFrame([("9", "x")], "uuid string, extra string"), "me", "wider")
+    assert store.read("t").where("uuid = '9' and n is null and extra = 'x'").count() == 1
+    store.compact("t")
+    assert len(store.tables()["t"]) == 1 and store.read("t").count() == 4
+
+
+def test_one_of_two_writers_of_a_version_conflicts(spark, store):
+    store.append("t", rows(spark, ("1", "a", 1)), "me", "first")
+    other = Store(spark, store.root)
+    with pytest.raises(Conflict), store.transaction():
+        store.append("t", rows(spark, ("2", "b", 2)), "me", "mine")
+        other.append("t", rows(spark, ("3", "c", 3)), "you", "yours")
+    assert sorted(r.uuid for r in store.read("t").collect()) == ["1", "3"]
+    assert store.version == 2
+
+
+def text_files(spark, *contents):
+    return spark.createDataFrame([(str(i), bytearray(c.encode())) for i, c in enumerate(contents)], "hash string, content binary")
+
+
+def test_records_with_breaks_and_any_width(spark):
+    f = text_files(spark, 'a,b\n1,"two\nlines"\n\n3,"say ""x"""\n', ",".join(str(i) for i in range(300)))
+    assert [(r.r, r.fields) for r in readers.records(f.where("hash = '0'")).orderBy("r").collect()] == [(1, ["a", "b"]), (2, ["1", "two\nlines"]), (5, ["3", 'say "x"'])]
+    assert readers.grid(f.where("hash = '1'")).count() == 300
+
+
+def test_columns_are_matched_by_name(spark):
+    f = text_files(spark, "B,A,C\nb1,a1,c1\n", "A\n1\n", "", "A,B\n", 'A,B\n"never closed\n1,2\n3,4\n')
+    got = readers.delimited(f, ("A", "B")).collect()
+    assert [(r.hash, r.source_ref, r.A, r.B) for r in got if r.hash == "0"] == [("0", "r2", "a1", "b1")]
+    faults = {r.hash: (r.fault, r.missing) for r in readers.parse_faults(f, ("A", "B")).collect()}
+    assert faults == {"1": ("missing_columns", ["B"]), "2": ("no_header", None)}
+    corrupt = text_files(spark, '"A,B\n1,2\n')
+    assert [r.fault for r in readers.parse_faults(corrupt, ("A", "B")).collect()] == ["corrupt"]
+
+
+def test_header_xml_of_any_spelling(spark):
+    xml = "<?xml version='1.0'?><!-- <LabReport Lab_Report_Number='no'/> --><e:ESdat xmlns:e='http://www.escis.com.au/2013/XML'><e:LabReport Lab_Report_Number='A &amp; B'  Lab_Name=''/></e:ESdat>"
+    got = {r.hash: r for r in readers.header_xml(text_files(spark, xml, "<ESdat/>", "no xml")).collect()}
+    assert (got["0"].is_valid, got["0"].lab_report_number, got["0"].lab_name) == (True, "A & B", None)
+    assert not got["1"].is_valid and not got["2"].is_valid

@@ -80,9 +80,10 @@ def test_archive_and_verified_removal(spark, tmp_path):
     archive.archive_files(store, f.where("filename <> 'b.csv'"))
     assert store.read("archive").count() == store.read("asset").count() == 1
     assert sorted(r.path.rsplit("/", 1)[1] for r in archive.removable(store, f).collect()) == ["a.csv", "copy.csv"]
-    assert archive.remove(store, archive.removable(store, f), "file:/elsewhere") == 0
-    assert archive.remove(store, archive.removable(store, f), f.first().folder) == 2
+    assert archive.remove(store, f, "file:/elsewhere") == 0
+    assert archive.remove(store, f, f.first().folder) == 2
     assert [p.name for p in inbox.iterdir() if p.suffix == ".csv"] == ["b.csv"]
     assert archive.spent_folders(f, F.col("filename") != "b.csv").count() == 0
     assert archive.spent_folders(f, F.lit(True)).count() == 1
-    assert not archive.inside("/a/b", "/a/b") and archive.inside("/a/b/c", "/a/b")
+    assert not archive.inside("/a/b", "/a/b") and archive.inside("/a/b/c", "/a/b") and archive.inside("file:/a/b/c", "/a/b")
+    assert not archive.inside("/a/b/../x", "/a/b") and not archive.inside("/a/bc", "/a/b") and not archive.inside("s3://h/a/b/c", "/a/b")
