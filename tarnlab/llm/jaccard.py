@@ -21,6 +21,7 @@ not compared again. A cell gives fewer links than it has rows.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -231,7 +232,7 @@ def touching(cell: pa.Table, num: int = NUM, den: int = DEN) -> list[tuple[int,
     return out
 
 
-def search_cell(cell: pa.Table, num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
+def search_cell(cell: pa.Table, num: int = NUM, den: int = DEN, shingle: Shingler | None = None) -> list[tuple[int, int]]:
     """Links of a cell that join classes.
 
     What may link is verified on the shingles. A link found joins the two classes, and
@@ -239,13 +240,14 @@ def search_cell(cell: pa.Table, num: int = NUM, den: int = DEN) -> list[tuple[in
     """
     c = Cell(cell, num, den)
     label = c.point_label.tolist()
-    tokens = cell.column("tokens").to_pylist()
+    shingle = shingle or Shingler()
+    texts = cell.column("text")
     held: dict[int, np.ndarray] = {}
 
     def shingles(row: int) -> np.ndarray:
         found = held.get(row)
         if found is None:
-            found = held[row] = np.frombuffer(tokens[row], np.uint64)
+            found = held[row] = shingle(texts[row].as_py())
         return found
 
     classes, links_found = Classes(), []
@@ -371,18 +373,6 @@ def _set_rows(width: int, levels: np.ndarray, num: int, den: int):
     return run
 
 
-def _token_rows(width: int):
-    """The shingles of each text, by the key of its set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(width)
-        for batch, texts in common.text_rows(batches):
-            tokens = pa.array([shingle(t).tobytes() for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), tokens], names=["key", "tokens"])
-
-    return run
-
-
 def _cells(units: DataFrame, sets: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Cells to search: of each unit's rows (unit, key, label, n, asks, tree) every asking one meets every one of the tree.
 
@@ -401,7 +391,8 @@ def _cells(units: DataFrame, sets: DataFrame, columns: tuple[str, ...]) -> DataF
     asking = F.transform(F.filter(every("tiles"), lambda t: ~F.col("tree") | (t != F.col("_tile"))), lambda t: cell(t, F.col("_turn"), F.lit(False), F.lit(True)))
     asking = F.when(F.col("asks"), asking).otherwise(none)
     rows = dealt.withColumn("_tile", place("tiles", 1)).withColumn("_turn", place("turns", 2)).select("unit", "key", "label", F.col("asks").alias("both"), F.explode(F.concat(stored, asking)).alias("_c"))
-    rows = rows.select("unit", "key", "label", "both", "_c.*").join(sets.select("key", "n", *columns), "key")
+    cells = common.materialize(rows.select("unit", "key", "label", "both", "_c.*"), "jaccard-cells")
+    rows = cells.join(sets.select("key", "n", *columns), "key")
     return rows.repartition("unit", "tile", "turn").sortWithinPartitions("unit", "tile", "turn")
 
 
@@ -411,12 +402,13 @@ def _touching(units: DataFrame, sets: DataFrame, num: int, den: int, name: str)
 
 
 def _links(units: DataFrame, sets: DataFrame, named: DataFrame, docs: DataFrame, width: int, num: int, den: int, name: str) -> DataFrame:
-    """Verified links (a, b) that join the classes of each unit. Only the sets of units are shingled again."""
-    wanted = units.select("key").distinct().join(named.select("key", "row.doc_id", "row.tk"), "key").select("key", _ident(), "tk")
-    texts = docs.select(_ident(), "tk", "text").join(common.materialize(wanted, f"{name}-wanted"), ["ident", "tk"]).select("key", "text")
-    tokens = common.materialize(texts.mapInArrow(_token_rows(width), "key long, tokens binary"), f"{name}-tokens")
-    sets = sets.select("key", "n", "vec").join(tokens.dropDuplicates(["key"]), "key")
-    found = _cells(units, sets, ("vec", "tokens")).mapInArrow(_over_cells(search_cell, num, den), "a long, b long")
+    """Verified links (a, b) that join the classes of each unit. Texts travel, which are shorter than their shingles, and only those of units."""
+    wanted = units.select("key").distinct().join(named.select("key", "row.doc_id", "row.tk", "rows"), "key").select("key", _ident(), "tk", "rows")
+    wanted = common.materialize(wanted.join(sets.select("key", "n", "vec"), "key"), f"{name}-wanted")
+    texts = docs.select(_ident(), "tk", "text").join(wanted, ["ident", "tk"]).drop("ident", "tk")
+    texts = common.materialize(texts, f"{name}-texts")
+    sets = texts.where("rows = 1").union(texts.where("rows > 1").dropDuplicates(["key"]))  # rows alike in id and text
+    found = _cells(units, sets, ("vec", "text")).mapInArrow(_over_cells(functools.partial(search_cell, shingle=Shingler(width)), num, den), "a long, b long")
     return common.materialize(found, f"{name}-links")
 
 
@@ -526,15 +518,18 @@ def one_of_each(
     in id and text that whose columns come first as JSON. Rows without words link with
     nothing and all stay. All columns return as they are.
     """
-    found = _classes(df, id_col, text_col, width, num, den)
-    kept = found.where("first").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_i"), F.col("tk").alias("_t"), (F.col("n") > 0).alias("_w"))
-    kept = common.materialize(kept.groupBy("_i", "_t", "_w").agg(F.count("*").alias("_c")), "jaccard-kept")
+    found = _classes(df, id_col, text_col, width, num, den).where("first")
+    kept = found.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_i"), F.col("tk").alias("_t"), (F.col("n") > 0).alias("_w"))
+    kept = kept.groupBy("_i", "_t").agg((F.bool_or("_w") & (F.count("*") > 1)).alias("_several"))
+    kept = common.materialize(kept, "jaccard-kept")
     whole = df.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("_i"),
         F.xxhash64(F.col(text_col).cast("string")).alias("_t"),
         F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"),
     )
-    single = whole.join(kept.where("_c = 1 or not _w"), ["_i", "_t"], "left_semi").select("_row.*")
-    repeated = whole.join(kept.where("_c > 1 and _w"), ["_i", "_t"], "left_semi")
-    repeated = repeated.groupBy("_i", "_t").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row.*")
-    return single.union(repeated)
+    several = common.materialize(kept.where("_several").select("_i", "_t"), "jaccard-several")
+    rows = whole.join(kept.where("not _several").select("_i", "_t"), ["_i", "_t"], "left_semi").select("_row.*")
+    if several.isEmpty():
+        return rows
+    repeated = whole.join(several, ["_i", "_t"], "left_semi")
+    return rows.union(repeated.groupBy("_i", "_t").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row.*"))

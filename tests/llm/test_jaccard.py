@@ -100,21 +100,28 @@ def test_linked_sets_share_a_rare_shingle():
 
 
 def test_cell_gives_fewer_links_than_rows():
-    rng = np.random.default_rng(6)
-    base = [np.unique(rng.integers(0, 1 << 63, 100, dtype=np.uint64)) for _ in range(3)]
-    sets = [np.unique(np.concatenate([b[rng.random(100) > 0.04], rng.integers(0, 1 << 63, 2, dtype=np.uint64)])) for b in base for _ in range(40)]
+    rng = random.Random(6)
+    texts = []
+    for _ in range(3):
+        base = sentence(rng, 100).split()
+        for _ in range(40):
+            words = list(base)
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(100)] = f"edit{rng.randrange(1000)}"
+            texts.append(" ".join(words))
+    sets = [jaccard.Shingler()(t) for t in texts]
     k = np.arange(len(sets))
     cell = pa.table({
         "key": k, "label": k, "n": [len(s) for s in sets], "asks": [True] * len(k), "tree": [True] * len(k), "both": [True] * len(k),
-        "vec": [jaccard.counts(s) for s in sets], "tokens": [s.tobytes() for s in sets],
+        "vec": [jaccard.counts(s) for s in sets], "text": texts,
     })
-    # every row stands in the cell as an asking one and as one of the tree
-    found = jaccard.search_cell(cell)
-    parent = jaccard.Classes()
+    found, near = jaccard.search_cell(cell), jaccard.touching(cell)
+    parent, rough = jaccard.Classes(), jaccard.Classes()
     assert all(parent.join(a, b) and jaccard.links(sets[a], sets[b]) for a, b in found)
+    assert all(rough.join(a, b) for a, b in near)
     for a, b in itertools.combinations(range(len(sets)), 2):
         if jaccard.links(sets[a], sets[b]):
-            assert parent.find(a) == parent.find(b)
+            assert parent.find(a) == parent.find(b) and rough.find(a) == rough.find(b)
 
 
 def test_bound_and_tree_miss_no_link():
