@@ -22,6 +22,8 @@ BATCH_BYTES = 16 << 20
 #: At most so many keys are joined by broadcast for having many rows; keys with few never are.
 HOT_KEYS = 1 << 14
 HOT_ROWS = 10_000
+#: Bits of the field that rows are filtered by before a join.
+FILTER_BITS = 1 << 22
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -135,6 +137,18 @@ def hot_join(rows: DataFrame, dim: DataFrame, key: str, drop: str = "") -> DataF
     return cold.unionByName(warm)
 
 
+def may_be_in(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """rows without most of those whose keys wanted doesn't have, so that a join with it shuffles few others.
+
+    wanted's keys set bits of a field of FILTER_BITS; it is broadcast as at most so many / 64
+    numbers, however many keys there are: with very many it only lets more rows through.
+    """
+    at = F.pmod(F.xxhash64(F.lit(17), *keys), F.lit(FILTER_BITS))
+    word, bit = F.shiftright(at, 6).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
+    field = materialize(wanted.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits")), "filter")
+    return rows.withColumn("_word", word).join(F.broadcast(field), "_word").where(bit.bitwiseAND(F.col("_bits")) != 0).drop("_word", "_bits")
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Label each node of the edges (a, b: long) by the least node that it reaches.
 

@@ -41,7 +41,7 @@ BUCKETS = 1 << 16
 SLICE = 1 << 12
 #: A cell's tree, and the rows that ask it, have at most about so many rows and shingles.
 TILE = 4096
-TOKENS = 1 << 22
+TOKENS = 1 << 23
 #: Candidates verified at once.
 VERIFY = 32
 
@@ -405,7 +405,7 @@ def _links(units: DataFrame, sets: DataFrame, named: DataFrame, docs: DataFrame,
     """Verified links (a, b) that join the classes of each unit. Texts travel, which are shorter than their shingles, and only those of units."""
     wanted = units.select("key").distinct().join(named.select("key", "row.doc_id", "row.tk", "rows"), "key").select("key", _ident(), "tk", "rows")
     wanted = common.materialize(wanted.join(sets.select("key", "n", "vec"), "key"), f"{name}-wanted")
-    texts = docs.select(_ident(), "tk", "text").join(wanted, ["ident", "tk"]).drop("ident", "tk")
+    texts = common.may_be_in(docs.select(_ident(), "tk", "text"), wanted, ["ident", "tk"]).join(wanted, ["ident", "tk"]).drop("ident", "tk")
     texts = common.materialize(texts, f"{name}-texts")
     sets = texts.where("rows = 1").union(texts.where("rows > 1").dropDuplicates(["key"]))  # rows alike in id and text
     found = _cells(units, sets, ("vec", "text")).mapInArrow(_over_cells(functools.partial(search_cell, shingle=Shingler(width)), num, den), "a long, b long")
@@ -531,5 +531,5 @@ def one_of_each(
     rows = whole.join(kept.where("not _several").select("_i", "_t"), ["_i", "_t"], "left_semi").select("_row.*")
     if several.isEmpty():
         return rows
-    repeated = whole.join(several, ["_i", "_t"], "left_semi")
+    repeated = common.may_be_in(whole, several, ["_i", "_t"]).join(several, ["_i", "_t"], "left_semi")
     return rows.union(repeated.groupBy("_i", "_t").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row.*"))
