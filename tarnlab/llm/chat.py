@@ -168,24 +168,37 @@ def format_turns(turns: Column) -> Column:
     return F.concat_ws("", parts)
 
 
+def _blocks(formatted: Column) -> Column:
+    return F.filter(F.split(formatted, re.escape(OPEN), -1), lambda b: b != "")
+
+
 def parse_turns(formatted: Column) -> Column:
-    """The turns of a formatted text, with the place of each escaped text: role, text, start (from 1), length."""
-    blocks = F.filter(F.split(formatted, re.escape(OPEN), -1), lambda b: b != "")
+    """The turns of a formatted text, with the place of each escaped text: role, text, start (from 1), length.
+
+    Places are running sums, kept in two levels: n turns go in about sqrt(n) runs, as every
+    step of a sum copies the list it has made so far.
+    """
+    spans = "array<struct<role:string,start:bigint,length:bigint>>"
     read = lambda b, start: F.struct(
         unescape_role(F.substring_index(b, "\n", 1)).alias("role"),
         (start + F.lit(len(OPEN)) + F.instr(b, "\n")).cast("long").alias("start"),
         (F.length(b) - F.instr(b, "\n") - F.lit(len(CLOSE) + 1)).cast("long").alias("length"),
     )
-    start = F.struct(F.lit(1).cast("bigint").alias("at"), F.array().cast("array<struct<role:string,start:bigint,length:bigint>>").alias("out"))
-    return F.aggregate(
-        blocks,
-        start,
-        lambda acc, b: F.struct(
-            (acc["at"] + F.length(b) + F.lit(len(OPEN))).cast("bigint").alias("at"),
-            F.concat(acc["out"], F.array(read(b, acc["at"]))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+    size = lambda b: (F.length(b) + F.lit(len(OPEN))).cast("bigint")
+    begin = lambda at, kind: F.struct(at.cast("bigint").alias("at"), F.array().cast(kind).alias("out"))
+    step = lambda acc, n, more: F.struct((acc["at"] + n).cast("bigint").alias("at"), F.concat(acc["out"], F.array(more)).alias("out"))
+
+    def run(blocks: Column, at: Column) -> Column:
+        return F.aggregate(blocks, begin(at, spans), lambda acc, b: step(acc, size(b), read(b, acc["at"])), lambda acc: acc["out"])
+
+    def whole(blocks: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(blocks).cast("double"))).cast("int")
+        runs = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.slice(blocks, i * width + 1, width))
+        length = lambda r: F.aggregate(r, F.lit(0).cast("bigint"), lambda n, b: n + size(b))
+        return F.aggregate(runs, begin(F.lit(1), f"array<{spans}>"), lambda acc, r: step(acc, length(r), run(r, acc["at"])), lambda acc: F.flatten(acc["out"]))
+
+    # one transform binds the blocks, so they are split once
+    return F.transform(F.array(_blocks(formatted)), lambda b: F.when(F.size(b) > 0, whole(b)).otherwise(F.array().cast(spans)))[0]
 
 
 def format_conversations(records: DataFrame, id_col: str = "conv_id", order_col: str = "turn") -> DataFrame:
@@ -197,7 +210,8 @@ def format_conversations(records: DataFrame, id_col: str = "conv_id", order_col:
     of unknown layout add no turns and show as `unmapped` in layouts; an id of only such
     records has an empty text. Ids may be null (one conversation). An empty table gives
     an empty result; other columns are ignored. One conversation is one text, so its
-    turns must meet in one row; nothing larger than a conversation does.
+    turns must meet in one row; nothing larger than a conversation does. The work grows
+    with a conversation's characters and, slower than its square, with its turns.
     """
     turns = canonical_turns(records.select(F.col(id_col).alias("conv_id"), F.col(order_col).alias("ord"), "record"), "record")
     one = turns.groupBy("conv_id").agg(
@@ -210,8 +224,12 @@ def format_conversations(records: DataFrame, id_col: str = "conv_id", order_col:
 
 
 def read_back(df: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """Adds turns (role, text) and loss (the texts under the loss mask), from formatted and spans."""
-    text = lambda s: unescape(F.substring(F.col("formatted"), s["start"].cast("int"), s["length"].cast("int")))
-    df = df.withColumn("turns", F.transform("spans", lambda s: F.struct(s["role"].alias("role"), text(s).alias("text"))))
-    masked = F.filter("spans", lambda s: s["role"] == loss_role)
-    return df.withColumn("loss", F.transform(masked, text))
+    """Adds turns (role, text) and loss (the texts under the loss mask), from formatted and spans.
+
+    Each text is read from its turn's block, where its span ends before the closing string:
+    a place counted from the text's beginning would be sought anew for every turn.
+    """
+    text = lambda b, s: unescape(F.substring(b, F.length(b) - s["length"].cast("int") - F.lit(len(CLOSE)), s["length"].cast("int")))
+    both = F.zip_with("spans", _blocks(F.col("formatted")), lambda s, b: F.struct(s["role"].alias("role"), text(b, s).alias("text")))
+    df = df.withColumn("turns", both)
+    return df.withColumn("loss", F.transform(F.filter("turns", lambda t: t["role"] == loss_role), lambda t: t["text"]))

@@ -8,6 +8,7 @@ chooses the language of least loss and flags documents whose two best are close.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -128,17 +129,50 @@ def _sums(texts: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, n
 
 
-def _sample_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(data: bytes) -> np.ndarray:
+    """How often each bucket's n-grams occur in a folded text, block by block."""
+    out = np.zeros(BUCKETS, np.int64)
+    for at in range(0, max(len(data) - 3, 1), BLOCK):
+        out += np.bincount(_hashes(np.frombuffer(data[at : at + BLOCK + 3], np.uint8)).ravel(), minlength=BUCKETS)
+    return out
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bucket counts of each task's documents by language, and by whether they try the bits or fit them."""
+    total: dict[tuple[str, bool], np.ndarray] = {}
     for batch, texts in common.text_rows(batches):
-        which, how_many = [], []
-        for t in texts:
-            c = np.bincount(_hashes(np.frombuffer(folded(t), np.uint8)).ravel(), minlength=BUCKETS)
-            at = np.flatnonzero(c)
-            which.append(at.astype("<u2").tobytes())
-            how_many.append(np.minimum(c[at], 65535).astype("<u2").tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), pa.array(which, pa.binary()), pa.array(how_many, pa.binary())], names=["lang", "at", "n"]
-        )
+        for lang, tries, t in zip(batch.column("lang").to_pylist(), batch.column("tries").to_pylist(), texts, strict=True):
+            total[lang, tries] = total.get((lang, tries), 0) + _counted(folded(t))
+    yield from _count_rows(total)
+
+
+def _count_rows(total: dict[tuple[str, bool], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for (lang, tries), n in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([tries]), pa.array([n.tobytes()], pa.binary())], names=["lang", "tries", "n"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[tuple[str, bool], np.ndarray] = {}
+    for batch in batches:
+        for lang, tries, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "tries", "n")), strict=True):
+            total[lang, tries] = total.get((lang, tries), 0) + np.frombuffer(n, np.int64)
+    yield from _count_rows(total)
+
+
+def _tried(languages: list[str], words: np.ndarray, weights: np.ndarray):
+    """Of each task's documents, how many each bit's classifier gets wrong, and how many there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wrong, seen = np.zeros(words.shape[1], np.int64), 0
+        for batch, texts in common.text_rows(batches):
+            if texts:
+                sums, _ = _sums([folded(t) for t in texts], weights)
+                is_one = words[[languages.index(x) for x in batch.column("lang").to_pylist()]] == 1
+                wrong += ((sums > 0) != is_one).sum(0)
+                seen += len(texts)
+        yield pa.RecordBatch.from_arrays([pa.array([wrong.tolist()], pa.list_(pa.int64())), pa.array([seen], pa.int64())], names=["wrong", "seen"])
+
+    return run
 
 
 def held_out(doc_id: Column) -> Column:
@@ -149,28 +183,35 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model | None:
     """Fit on about per_language documents of each language that aren't held out; None without any.
 
-    Which ones depends on a hash of the id. What comes to the driver is bounded by
-    that number times the buckets.
+    Which ones depends on a hash of the id; a quarter of them, by another hash, only try the
+    bits. Counts are summed in the executors: what comes to the driver are two rows of
+    BUCKETS numbers for each language, whatever the texts' number and length.
     """
+    if "lang" not in docs.columns:
+        return None
+    common.small_batches(docs.sparkSession)
     open_docs = docs.where("lang is not null and text is not null").where(~held_out(F.col("doc_id")))
     n = {r.lang: r.n for r in open_docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not n:
         return None
-    fraction = F.lit(None).cast("double")
-    for lang, k in n.items():
-        fraction = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / k))).otherwise(fraction)
+    share = json.dumps({lang: min(1.0, per_language / k) for lang, k in n.items()})
+    fraction = F.try_element_at(F.from_json(F.lit(share), "map<string,double>"), F.col("lang"))
     drawn = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) < fraction * (1 << 30)
-    rows = open_docs.where(drawn).select("lang", "text").mapInArrow(_sample_vectors, "lang string, at binary, n binary").collect()
-    rows = sorted(rows, key=lambda r: (r.lang, bytes(r.at), bytes(r.n)))
-    languages = sorted({r.lang for r in rows})
+    tries = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(4)) == 0
+    rows = open_docs.where(drawn).select("lang", tries.alias("tries"), F.col("text").cast("string").alias("text"))
+    kind = "lang string, tries boolean, n binary"
+    found = rows.mapInArrow(_counts, kind).repartition("lang", "tries").mapInArrow(_added, kind).collect()
+    counts = {(r.lang, r.tries): np.frombuffer(r.n, np.int64) for r in found}
+    languages = sorted({lang for lang, _ in counts})
     if not languages:
         return None
     words = code(len(languages))
 
-    def weights(use: list) -> np.ndarray:
+    def weights(folds: tuple[bool, ...]) -> np.ndarray:
         each = np.full((len(languages), BUCKETS), 0.5)
-        for r in use:
-            each[languages.index(r.lang), np.frombuffer(r.at, "<u2")] += np.frombuffer(r.n, "<u2")
+        for i, lang in enumerate(languages):
+            for fold in folds:
+                each[i] += counts.get((lang, fold), 0)
         each /= each.sum(1, keepdims=True)
         out = np.zeros((BUCKETS, words.shape[1]))
         for b in range(words.shape[1]):
@@ -178,16 +219,17 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model | None:
             out[:, b] = np.log(one / zero)
         return np.clip(np.rint(out * SCALE), -CLIP, CLIP).astype(np.int32)
 
-    # reliability of each bit: its error on every fourth sampled document, fitted on the others
-    tried = weights([r for i, r in enumerate(rows) if i % 4])
-    wrong, seen = np.ones(words.shape[1]), 2.0
-    for r in rows[::4]:
-        s = (tried[np.frombuffer(r.at, "<u2")] * np.frombuffer(r.n, "<u2")[:, None].astype(np.int64)).sum(0)
-        wrong += (s > 0) != (words[languages.index(r.lang)] == 1)
-        seen += 1
-    error = np.clip(wrong / seen, 1e-3, 0.49)
+    if not words.shape[1]:
+        return Model(languages, words * 2 - 1, weights((True, False)), np.zeros(0))
+    # reliability of each bit: its error on the documents that try it, fitted on the others
+    tried = rows.where("tries").mapInArrow(_tried(languages, words, weights((False,))), "wrong array<bigint>, seen bigint")
+    total = tried.select(F.posexplode("wrong").alias("bit", "wrong"), "seen").groupBy("bit").agg(F.sum("wrong").alias("wrong"), F.sum("seen").alias("seen")).collect()
+    error = np.full(words.shape[1], 0.5)
+    for r in total:
+        error[r.bit] = (1 + r.wrong) / (2 + r.seen)
+    error = np.clip(error, 1e-3, 0.49)
     trust = np.log((1 - error) / error)
-    return Model(languages, words * 2 - 1, weights(rows), trust / trust.sum() if len(trust) else trust)
+    return Model(languages, words * 2 - 1, weights((True, False)), trust / trust.sum())
 
 
 def _predict(model: Model | None, carry: list[str]):
@@ -215,8 +257,10 @@ def identify(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = ())
 
     Returns doc_id, held_out, lang_pred, score (0 to 1), ambiguous. A null text, one
     without a letter, or any text if nothing could be learned, is `und` with score 0.
-    Equal texts get equal results; repeated rows stay; of the other columns those
-    named in carry follow.
+    Equal texts get equal results; repeated rows stay; very long texts are scored whole,
+    in blocks. Languages of equal loss are a tie: the first by name is chosen and flagged.
+    An empty table gives an empty result, and a table without labels learns nothing. Of
+    the other columns those named in carry follow.
     """
     common.small_batches(docs.sparkSession)
     rows = docs.select(

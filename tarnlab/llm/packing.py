@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import heapq
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -31,6 +32,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 END = 1
 #: Tokens of one group of documents, about.
 GROUP_TOKENS = 64_000_000
+#: And its documents, about: their lengths are packed in one task.
+GROUP_ROWS = 1 << 20
 #: How the word tokenizer cuts lower-cased text, with {L}, {N} and {S} for its classes.
 #: Its alternatives begin with different characters, but for the last two, so letters may come first.
 WORDS = r"[{L}]+|[{N}]|'(?:s|t|re|ve|m|ll|d)|[^{S}{L}{N}]+"
@@ -49,7 +52,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # no word is one: texts are parted at them before
+        self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.parted = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():
@@ -71,6 +76,12 @@ class WordTokenizer:
         return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def __call__(self, text: str) -> bytes:
+        """Ids as the tokenizer's default call gives them: the string of a special token is that token."""
+        if self.parted and any(t in text for t in self.special):
+            return b"".join(self.special.get(part) or self._plain(part) for part in self.parted.split(text) if part)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if beyond_latin(text) or "İ" in text:
             return self._ids([unicodedata.normalize("NFC", text)]).tobytes()
         return self.memory(self.split(text.lower()))
@@ -181,18 +192,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
 
-def pack_documents(df: DataFrame, path: str, length: int = LENGTH, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack_documents(df: DataFrame, path: str, length: int = LENGTH, group_tokens: int = GROUP_TOKENS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Tokenize and pack every row of df (doc_id, text).
 
     Returns a row for each piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset. A null or empty text is the END id alone. Each id of each row
     lies in exactly one piece, repeated rows included; sequences are filled from
-    offset 0 without gaps. A document longer than `length` is cut. An empty table
-    gives an empty result; other columns are ignored.
+    offset 0 without gaps. A document longer than `length` is cut. Documents of one length
+    go in the order of their rows as read, so which of them meet depends on how the table
+    lies in files; the pieces of each document and the padding don't. Very long texts are
+    tokenized whole. An empty table gives an empty result; other columns are ignored.
     """
     rows = tokenize(df, path)
-    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    groups = max(1, -(-total // group_tokens))
+    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("rows")).first()
+    groups = max(1, -(-total.n // group_tokens), -(-total.rows // group_rows))
     sizes = rows.select("row", "n", F.pmod(F.xxhash64("row"), F.lit(groups)).alias("group"))
     pieces = sizes.groupBy("group").applyInPandas(_pack_group(length), "row long, start long, length long, sequence_id long, offset long")
     by_row = pieces.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "length", "sequence_id", "offset"))).alias("pieces"))

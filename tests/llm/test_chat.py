@@ -60,3 +60,14 @@ def test_empty(spark):
 
 def test_fingerprints_differ():
     assert len({chat.fingerprint_of(m.fields) for m in chat.MAPPINGS}) == len(chat.MAPPINGS)
+
+
+def test_places_of_many_turns(spark):
+    """As many turns as there may be: places agree with plain slicing, and the work doesn't grow with their square."""
+    for n in (0, 1, 2, 3, 10, 17, 5000):
+        turns = [(f"role{i % 3}", "x<|im_end|>" * (i % 4) + f"turn {i}\n") for i in range(n)]
+        df = spark.createDataFrame([(turns,)], "turns array<struct<role:string,text:string>>").select(chat.format_turns(chat.F.col("turns")).alias("formatted"))
+        df = df.withColumn("spans", chat.parse_turns(chat.F.col("formatted")))
+        r = chat.read_back(df, "role1").first()
+        assert [tuple(t) for t in r.turns] == turns and r.loss == [t for role, t in turns if role == "role1"]
+        assert [r.formatted[s.start - 1 : s.start - 1 + s.length] for s in r.spans] == [t.replace("<|", "<\\|") for _, t in turns]

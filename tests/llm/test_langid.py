@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -35,6 +36,50 @@ def test_held_out_rows_teach_nothing(spark):
     assert a.languages == b.languages and (a.weights == b.weights).all() and (a.trust == b.trust).all()
 
 
+def brute(text, model):
+    """Scores of a text restated: one n-gram at a time, one language at a time."""
+    folds = "".join(c if "a" <= c <= "z" or ord(c) > 127 else " " for c in text.lower())
+    data = (" " + folds).encode() + b"   "
+    sums, n = [0] * model.words.shape[1], 0
+    for i in range(len(data) - 3):
+        three = data[i] | data[i + 1] << 8 | data[i + 2] << 16
+        four = three | data[i + 3] << 24
+        for h in ((three * 2654435761) % 2**32 >> 17, ((four ^ 0x5BD1E995) * 2246822519) % 2**32 >> 17):
+            sums = [a + int(b) for a, b in zip(sums, model.weights[h], strict=True)]
+            n += 1
+    losses = []
+    for word in model.words.tolist():
+        margin = [s / (langid.SCALE * n) * min(n, 200) ** 0.5 for s in sums]
+        losses.append(sum(t * math.log1p(math.exp(-w * m)) for t, w, m in zip(model.trust, word, margin, strict=True)))
+    e = [math.exp(-4 * (x - min(losses))) for x in losses]
+    return model.languages[losses.index(min(losses))], max(e) / sum(e)
+
+
+def test_predictions_restated(spark):
+    df, rows = labelled(spark, 60)
+    model = langid.fit(df)
+    for r in langid.identify(df, model).collect():
+        lang, score = brute(rows[r.doc_id][1], model)
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-9 and r.ambiguous == (r.score < langid.AMBIGUOUS)
+
+
+def test_fit_counts_every_gram(spark):
+    """Whatever a text's length, and however often one n-gram occurs."""
+    long = "ka" * 300_000
+    df = spark.createDataFrame([(0, long, "aa"), (1, "shle brun dorf " * 50, "bb")], "doc_id long, text string, lang string")
+    assert langid._counted(langid.folded(long)).sum() == 2 * (len(langid.folded(long)) - 3)
+    assert langid._counted(langid.folded(long)).max() > 65_535
+    assert {r.lang_pred for r in langid.identify(df, langid.fit(df)).collect()} == {"aa", "bb"}
+
+
+def test_no_labels_and_ties(spark):
+    df = spark.createDataFrame([(0, "abc def"), (1, None), (None, "abc def")], "doc_id long, text string")
+    assert langid.fit(df) is None
+    even = df.withColumn("lang", langid.F.lit("x")).union(df.withColumn("lang", langid.F.lit("w")))
+    got = langid.identify(df, langid.fit(even)).collect()
+    assert {(r.lang_pred, r.ambiguous) for r in got if r.doc_id != 1} == {("w", True)}
+
+
 def test_edges(docs, spark):
     df, _ = labelled(spark)
     got = [(r.doc_id, r.lang_pred, r.score) for r in langid.identify(docs, langid.fit(df), carry=("row",)).collect()]
