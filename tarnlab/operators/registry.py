@@ -11,25 +11,24 @@ from ..functions import values
 
 
 def collisions(sample: DataFrame, alias: DataFrame, day: Column) -> DataFrame:
-    """Samples of one feature on one day under different aliases: each unordered pair once."""
+    """Samples of one feature on one day under several aliases: uuid_feature, day, uuid, fa, n_links.
+
+    All samples of a (uuid_feature, day) with another alias collide with each other: the rows
+    of a group say so once, with how many others each has, instead of every pair.
+    """
     s = sample.join(alias.select(F.col("uuid").alias("fa"), "uuid_feature"), F.col("uuid_feature_alias") == F.col("fa"))
     s = s.where("uuid_feature is not null").select("uuid", "uuid_feature", "fa", day.alias("day")).where("day is not null")
-    other = s.select(F.col("uuid").alias("uuid2"), F.col("uuid_feature").alias("f2"), F.col("fa").alias("fa2"), F.col("day").alias("day2"))
-    # groups with a single alias can't collide: leave them before pairing
-    several = s.groupBy("uuid_feature", "day").agg(F.min("fa").alias("a"), F.max("fa").alias("b")).where("a <> b").select("uuid_feature", "day")
-    s = s.join(several, ["uuid_feature", "day"], "left_semi")
-    return s.join(other, (F.col("uuid_feature") == F.col("f2")) & (F.col("day") == F.col("day2")) & (F.col("fa") < F.col("fa2"))).select(
-        "uuid_feature", "day", "uuid", "uuid2"
-    )
+    by_alias = s.groupBy("uuid_feature", "day", "fa").agg(F.count("*").alias("n"))
+    groups = by_alias.groupBy("uuid_feature", "day").agg(F.sum("n").alias("total"), F.count("*").alias("aliases")).where("aliases > 1").drop("aliases")
+    links = by_alias.join(groups, ["uuid_feature", "day"]).select("uuid_feature", "day", "fa", (F.col("total") - F.col("n")).alias("n_links"))
+    return s.join(links, ["uuid_feature", "day", "fa"]).select("uuid_feature", "day", "uuid", "fa", "n_links")
 
 
 def self_collisions(sample: DataFrame, day: Column) -> DataFrame:
-    """Samples of one alias on one day: each unordered pair once."""
+    """Samples of one alias on one day, where there are several: uuid_feature_alias, day, uuid, n_links (the others)."""
     s = sample.select("uuid", "uuid_feature_alias", day.alias("day")).where("day is not null")
-    other = s.select(F.col("uuid").alias("uuid2"), F.col("uuid_feature_alias").alias("fa2"), F.col("day").alias("day2"))
-    return s.join(other, (F.col("uuid_feature_alias") == F.col("fa2")) & (F.col("day") == F.col("day2")) & (F.col("uuid2") > F.col("uuid"))).select(
-        "uuid_feature_alias", "day", "uuid", "uuid2"
-    )
+    groups = s.groupBy("uuid_feature_alias", "day").agg((F.count("*") - 1).alias("n_links")).where("n_links > 0")
+    return s.join(groups, ["uuid_feature_alias", "day"]).select("uuid_feature_alias", "day", "uuid", "n_links")
 
 
 def identity_duplicates(alias: DataFrame, feature: DataFrame) -> DataFrame:
@@ -94,9 +93,10 @@ def units_drift(old: DataFrame, new: DataFrame, key: str, unit: str) -> DataFram
 
 
 def checksum(rows: DataFrame) -> DataFrame:
-    """Count and an order-free fingerprint of a table."""
-    h = F.xxhash64(*rows.columns)
-    return rows.agg(F.count("*").alias("n"), F.sum(h.cast("decimal(20,0)")).cast("string").alias("total"), F.bit_xor(h).alias("mix"))
+    """Count and an order-free fingerprint of a table: sum and exclusive or of 32 bits of each row's MD5, nulls as `?`."""
+    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in rows.columns])
+    h = F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
+    return rows.agg(F.count("*").alias("n"), F.sum(h).alias("total"), F.bit_xor(h).alias("mix"))
 
 
 def full_diff(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -269,3 +269,18 @@ def resolve_methods(rows: DataFrame, method: DataFrame) -> DataFrame:
         .otherwise("resolved")
     )
     return out.select("row", status.alias("status"), F.col("pick.m_uuid").alias("uuid_lab"), F.col("pick.m_analyte").alias("uuid_analyte"))
+
+
+def resolve_analytes(rows: DataFrame, method: DataFrame, analyte: DataFrame) -> DataFrame:
+    """resolve_methods with what follows: analyte_pending (not held, no analyte) and suggested.
+
+    suggested: the least analyte with the row's CAS number, for rows that no method explains.
+    """
+    found = resolve_methods(rows.select("row", "analyte_raw", "org", "method_raw"), method)
+    by_cas = analyte.where("cas is not null").groupBy(F.col("cas").alias("cas_number")).agg(F.min("uuid").alias("_suggested"))
+    out = found.join(rows.select("row", "cas_number"), "row").join(by_cas, "cas_number", "left")
+    unheld = F.col("status") != "held"
+    none = unheld & F.col("uuid_lab").isNull() & F.col("uuid_analyte").isNull()
+    return out.select(
+        "row", "status", "uuid_lab", "uuid_analyte", (unheld & F.col("uuid_analyte").isNull()).alias("analyte_pending"), F.when(none, F.col("_suggested")).alias("suggested")
+    )

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import commits, files, measurement, reconciliation, resolution, scalars
+from . import commits, files, inventory, measurement, reconciliation, resolution, scalars
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "commits", "files", "measurement", "reconciliation", "resolution", "scalars"]
+__all__ = ["QUERIES", "SQL", "commits", "files", "inventory", "measurement", "reconciliation", "resolution", "scalars"]

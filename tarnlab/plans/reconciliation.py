@@ -174,14 +174,14 @@ def update_log(r: Roles) -> DataFrame:
 
 
 FILES = """
-files AS (SELECT 'h' || o_orderkey AS hash, CASE WHEN o_orderkey % 17 <> 0 THEN 'WO' || o_custkey END AS home, CASE o_orderkey % 5 WHEN 0 THEN 'esdat/1.0' WHEN 1 THEN 'als_enmrg/1.0' WHEN 2 THEN 'als_xtab/1.0' WHEN 3 THEN 'acirl_field/1.0' ELSE 'other/2' END AS adapter,
+files AS (SELECT 'h' || o_orderkey AS hash, CASE WHEN o_orderkey % 17 <> 0 THEN 'WO' || o_custkey END AS home, CASE o_orderkey % 5 WHEN 0 THEN 'esdat/1.0' WHEN 1 THEN 'als_enmrg/1.0' WHEN 2 THEN 'als_xtab/1.0' WHEN 3 THEN 'acirl_field_xlsx/1.0' ELSE 'other/2' END AS adapter,
   CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 3 END AS revision, o_orderkey AS pos, CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE 5 END AS n_results FROM orders)
 """
 
 
 def event_files(r: Roles) -> DataFrame:
     k = F.col("o_orderkey")
-    names = F.array(*[F.lit(x) for x in ("esdat/1.0", "als_enmrg/1.0", "als_xtab/1.0", "acirl_field/1.0", "other/2")])
+    names = F.array(*[F.lit(x) for x in ("esdat/1.0", "als_enmrg/1.0", "als_xtab/1.0", "acirl_field_xlsx/1.0", "other/2")])
     return r.table("orders").select(
         F.concat(F.lit("h"), k.cast("string")).alias("hash"), F.when(k % 17 != 0, F.concat(F.lit("WO"), F.col("o_custkey").cast("string"))).alias("home"),
         F.get(names, (k % 5).cast("int")).alias("adapter"), F.when(k % 4 != 0, k % 3).alias("revision"), k.alias("pos"), F.when(k % 9 == 0, 0).otherwise(5).alias("n_results"),
@@ -190,7 +190,7 @@ def event_files(r: Roles) -> DataFrame:
 
 @query(
     "p04_best_source",
-    f"""WITH {FILES}, e AS (SELECT *, coalesce('wo::' || home, '__orphan__::' || hash) AS event, adapter LIKE 'acirl_field/%' AS ex FROM files),
+    f"""WITH {FILES}, e AS (SELECT *, coalesce('wo::' || home, '__orphan__::' || hash) AS event, adapter LIKE 'acirl_field_xlsx/%' AS ex FROM files),
 c AS (SELECT *, NOT ex AND n_results > 0 AS comp, CASE split_part(adapter, '/', 1) WHEN 'esdat' THEN 3 WHEN 'als_enmrg' THEN 2 WHEN 'als_xtab' THEN 1 ELSE 0 END AS rk FROM e)
 SELECT event, hash, CASE WHEN ex THEN TRUE WHEN comp THEN row_number() OVER (PARTITION BY event, comp ORDER BY rk DESC, revision DESC NULLS LAST, pos) = 1 ELSE FALSE END AS kept FROM c""",
 )
@@ -383,7 +383,7 @@ def route_files(r: Roles) -> DataFrame:
 
 
 @query(
-    "p09_state_transitions",
+    "ext_state_transitions",
     """WITH s AS (SELECT unnest(['seen', 'claimed', 'parsed', 'assembled', 'reconciled', 'needs_review', 'committed', 'archived', 'ignored', 'quarantined', 'failed']) AS st), e AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
 SELECT a.st AS old, b.st AS new, coalesce((a.st, b.st) IN (('seen','claimed'),('seen','ignored'),('seen','quarantined'),('claimed','parsed'),('claimed','ignored'),('claimed','quarantined'),('parsed','assembled'),('parsed','ignored'),('assembled','reconciled'),('assembled','ignored'),('reconciled','needs_review'),('reconciled','committed'),('needs_review','committed'),('committed','archived'))
   OR (b.st = 'failed' AND a.st NOT IN ('archived', 'ignored', 'quarantined', 'failed')), FALSE) AS valid FROM s a, s b""",
@@ -402,10 +402,12 @@ def upsert(r: Roles) -> DataFrame:
     return store.upserted(r.analysis.select("uuid", "value"), new.unionByName(extra))
 
 
-@query("e25_table_checksum")
+@query(
+    "e25_table_checksum",
+    """SELECT count(*) AS n, CAST(sum(h) AS BIGINT) AS total, bit_xor(h) AS mix FROM (SELECT CAST('0x' || substr(md5(concat_ws('|', uuid, uuid_sample, uuid_lab, coalesce(value_chr, '?'), coalesce(CAST(quantified AS VARCHAR), '?'), CAST(revision AS VARCHAR))), 1, 8) AS BIGINT) AS h FROM analysis)""",
+)
 def table_checksum(r: Roles) -> DataFrame:
-    """Fingerprints by Spark's own hash: rows only."""
-    return reg.checksum(r.analysis)
+    return reg.checksum(r.analysis.select("uuid", "uuid_sample", "uuid_lab", "value_chr", "quantified", "revision"))
 
 
 @query("ext_event_windows", "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")

@@ -166,26 +166,44 @@ asked AS (SELECT uuid AS row, CASE CAST(substr(uuid, 3) AS INT) % 4 WHEN 0 THEN
 """
 
 
-@query(
-    "d11_resolve_methods",
-    rf"""WITH {METHOD_ROWS},
+METHODS = rf"""{METHOD_ROWS},
 k AS (SELECT *, nullif(lower(regexp_replace(analyte_raw, '[^A-Za-z0-9]', '', 'g')), '') AS nk, nullif(lower(regexp_replace(method_raw, '[^A-Za-z0-9]', '', 'g')), '') AS mk FROM asked),
 m AS (SELECT *, nullif(lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')), '') AS nk, nullif(lower(regexp_replace(method, '[^A-Za-z0-9]', '', 'g')), '') AS mk FROM lab_method),
 j AS (SELECT k.row, m.uuid, m.uuid_analyte, m.name = k.analyte_raw AND m.method IS NOT DISTINCT FROM k.method_raw AS exact, coalesce(m.mk = k.mk, FALSE) AS near FROM k JOIN m ON m.nk = k.nk AND m.organisation = k.org),
 g AS (SELECT row, min(uuid) FILTER (exact) AS ex, count(*) > 1 AND count(*) FILTER (near) > 0 AS narrow, count(DISTINCT coalesce(uuid_analyte, '')) AS n_all, count(DISTINCT coalesce(uuid_analyte, '')) FILTER (near) AS n_near, min(uuid) AS u, min(uuid) FILTER (near) AS un FROM j GROUP BY 1),
 p AS (SELECT k.row, k.nk, k.org, g.row IS NOT NULL AS found, CASE WHEN ex IS NOT NULL THEN ex WHEN narrow AND n_near = 1 THEN un WHEN NOT narrow AND n_all = 1 THEN u END AS pick FROM k LEFT JOIN g USING (row))
-SELECT p.row, CASE WHEN nk IS NULL THEN 'held' WHEN org IS NULL OR NOT found THEN 'miss' WHEN pick IS NULL THEN 'ambiguous' WHEN m.uuid_analyte IS NULL THEN 'dangling_method' ELSE 'resolved' END AS status, pick AS uuid_lab, m.uuid_analyte
-FROM p LEFT JOIN lab_method m ON m.uuid = p.pick""",
-)
-def resolve_methods(r: Roles) -> DataFrame:
+"""
+METHOD_STATUS = "SELECT p.row, CASE WHEN nk IS NULL THEN 'held' WHEN org IS NULL OR NOT found THEN 'miss' WHEN pick IS NULL THEN 'ambiguous' WHEN m.uuid_analyte IS NULL THEN 'dangling_method' ELSE 'resolved' END AS status, pick AS uuid_lab, m.uuid_analyte FROM p LEFT JOIN lab_method m ON m.uuid = p.pick"
+
+
+def asked(r: Roles) -> DataFrame:
     n = F.substring("uuid", 3, 20).cast("int")
-    asked = r.lab_method.select(
+    return r.lab_method.select(
         F.col("uuid").alias("row"),
         F.when(n % 4 == 1, F.concat(F.lower("name"), F.lit("-"))).when((n % 4 == 3) & (n % 8 == 3), "--").when(n % 4 == 3, "Unknown").otherwise(F.col("name")).alias("analyte_raw"),
         F.when(n % 10 != 0, F.col("organisation")).alias("org"),
         F.when(n % 4 == 2, F.concat(F.lower("method"), F.lit("."))).otherwise(F.col("method")).alias("method_raw"),
     )
-    return rs.resolve_methods(asked, r.lab_method)
+
+
+@query("d11_resolve_methods", f"WITH {METHODS} {METHOD_STATUS}")
+def resolve_methods(r: Roles) -> DataFrame:
+    return rs.resolve_methods(asked(r), r.lab_method)
+
+
+@query(
+    "p06_resolve_analytes",
+    f"""WITH {METHODS}, res AS ({METHOD_STATUS}), an AS (SELECT 'C' || (length(uuid) % 7) AS cas, min(uuid) AS u FROM analyte GROUP BY 1)
+SELECT row, status, uuid_lab, uuid_analyte, status <> 'held' AND uuid_analyte IS NULL AS analyte_pending, CASE WHEN status <> 'held' AND uuid_lab IS NULL AND uuid_analyte IS NULL AND CAST(substr(row, 3) AS INT) % 3 <> 0 THEN u END AS suggested
+FROM res LEFT JOIN an ON an.cas = 'C' || (CAST(substr(row, 3) AS INT) % 9)""",
+)
+def resolve_analytes(r: Roles) -> DataFrame:
+    """The whole analyte resolver: methods by name, what stays pending, and analytes that a CAS number suggests."""
+    n = F.substring("row", 3, 20).cast("int")
+    rows = asked(r).withColumn("cas_number", F.when(n % 3 != 0, F.concat(F.lit("C"), (n % 9).cast("string"))))
+    an = r.analyte.withColumn("cas", F.concat(F.lit("C"), (F.length("uuid") % 7).cast("string")))
+    return rs.resolve_analytes(rows, r.lab_method, an).select("row", "status", "uuid_lab", "uuid_analyte", "analyte_pending", "suggested")
+
 
 
 DAY = "CAST(s.datetime AT TIME ZONE 'UTC' AT TIME ZONE 'Australia/Sydney' AS DATE)"
@@ -194,7 +212,7 @@ DAY = "CAST(s.datetime AT TIME ZONE 'UTC' AT TIME ZONE 'Australia/Sydney' AS DAT
 @query(
     "d20_alias_collisions",
     f"""WITH x AS (SELECT s.uuid, fa.uuid_feature, fa.uuid AS fa, date_trunc('month', {DAY}) AS day FROM sample s JOIN feature_alias fa ON s.uuid_feature_alias = fa.uuid WHERE uuid_feature IS NOT NULL)
-SELECT a.uuid_feature, strftime(a.day, '%Y-%m') AS day, a.uuid, b.uuid AS uuid2 FROM x a JOIN x b ON a.uuid_feature = b.uuid_feature AND a.day = b.day AND a.fa < b.fa""",
+SELECT a.uuid_feature, strftime(a.day, '%Y-%m') AS day, a.uuid, a.fa, count(*) AS n_links FROM x a JOIN x b ON a.uuid_feature = b.uuid_feature AND a.day = b.day AND a.fa <> b.fa GROUP BY ALL""",
 )
 def alias_collisions(r: Roles) -> DataFrame:
     """By month: the tables have no two aliases of a feature on one day."""
@@ -204,7 +222,7 @@ def alias_collisions(r: Roles) -> DataFrame:
 @query(
     "d21_self_collisions",
     f"""WITH x AS (SELECT s.uuid, uuid_feature_alias, {DAY} AS day FROM sample s)
-SELECT a.uuid_feature_alias, CAST(a.day AS VARCHAR) AS day, a.uuid, b.uuid AS uuid2 FROM x a JOIN x b ON a.uuid_feature_alias = b.uuid_feature_alias AND a.day = b.day AND b.uuid > a.uuid""",
+SELECT a.uuid_feature_alias, CAST(a.day AS VARCHAR) AS day, a.uuid, count(*) AS n_links FROM x a JOIN x b ON a.uuid_feature_alias = b.uuid_feature_alias AND a.day = b.day AND b.uuid <> a.uuid GROUP BY ALL""",
 )
 def self_collisions(r: Roles) -> DataFrame:
     return reg.self_collisions(r.sample, dates.civil_date(F.col("datetime"))).withColumn("day", F.col("day").cast("string"))

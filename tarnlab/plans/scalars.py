@@ -45,12 +45,11 @@ def normalise_lab_text(r: Roles) -> DataFrame:
 
 @query(
     "j03_method_key",
-    r"""SELECT item_id, nullif(lower(regexp_replace(text, '[^\p{L}\p{Nd}]', '', 'g')), '') AS key, 'x' || p_type AS tag
-FROM benchmark, (SELECT min(p_type) AS p_type FROM part)""",
+    r"""SELECT item_id, nullif(lower(regexp_replace(text, '[^\p{L}\p{Nd}]', '', 'g')), '') AS key
+FROM benchmark""",
 )
 def method_key(r: Roles) -> DataFrame:
-    least = r.table("part").agg(F.min("p_type")).first()[0]
-    return r.table("benchmark").select("item_id", text.method_key(F.col("text")).alias("key"), F.lit(f"x{least}").alias("tag"))
+    return r.table("benchmark").select("item_id", text.method_key(F.col("text")).alias("key"))
 
 
 @query(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, text, values
+from . import biff
 from .files import decoded
 
 #: Records of one frame that a reader gives back.
@@ -30,29 +31,48 @@ SAMPLE = (
 )
 
 
-def records(files: DataFrame) -> DataFrame:
-    """Records of delimited text files: hash, r (the line where the record begins, from 1), fields (in order, any number).
+def _closes(content: str, line: int) -> bool:
+    """Whether the record that begins at a line, the last one, ends before the file does: its quotes are closed."""
+    tail = content.split("\n", line - 1)[-1]
+    try:
+        for _ in csv.reader(io.StringIO(tail, newline=""), strict=True):
+            pass
+    except csv.Error as e:
+        return "end of data" not in str(e)
+    return True
 
-    A quoted field may hold separators, doubled quotes and line breaks; blank lines are no
-    records. A quote that never closes takes the rest of its file, as `parse_faults` tells.
-    """
 
+def _records(files: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         csv.field_size_limit(1 << 31)
+        columns = ["hash", "r", "fields", "whole"]
         for f in frames:
             for h, content in zip(f["hash"], f["content"], strict=True):
-                reader, at, rows = csv.reader(io.StringIO(content or "", newline="")), 1, []
+                content = content or ""
+                reader, at, rows = csv.reader(io.StringIO(content, newline="")), 1, []
                 for fields in reader:
                     if any(x.strip() for x in fields):
-                        rows.append((h, at, fields))
+                        if len(rows) == RECORDS:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows = []
+                        rows.append((h, at, fields, True))
                     at = reader.line_num + 1
-                    if len(rows) == RECORDS:
-                        yield pd.DataFrame(rows, columns=["hash", "r", "fields"])
-                        rows = []
-                yield pd.DataFrame(rows, columns=["hash", "r", "fields"])
+                if rows and not _closes(content, rows[-1][1]):
+                    rows[-1] = (*rows[-1][:3], False)
+                yield pd.DataFrame(rows, columns=columns)
 
     texts = files.select("hash", decoded(F.col("content")).alias("content"))
-    return texts.mapInPandas(run, "hash string, r int, fields array<string>")
+    return texts.mapInPandas(run, "hash string, r int, fields array<string>, whole boolean")
+
+
+def records(files: DataFrame) -> DataFrame:
+    """Records of delimited text files: hash, r (the line where the record begins, from 1), fields (in order, any number).
+
+    A quoted field may hold separators, doubled quotes and line breaks; blank lines are no
+    records. A quote that never closes takes the rest of its file: that is no record, and
+    `parse_faults` names the file.
+    """
+    return _records(files).where("whole").drop("whole")
 
 
 def headers(files: DataFrame) -> DataFrame:
@@ -75,16 +95,16 @@ def delimited(files: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 def parse_faults(files: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Delimited files that can't be read as a table of these columns: hash, fault, missing.
 
-    no_header: nothing in it. missing_columns: the header lacks some. corrupt: it has lines
-    behind the header but no record, as when a quote never closes. A header alone is sound.
+    corrupt: a quote never closes, or there are lines but no record behind the header.
+    no_header: nothing in it. missing_columns: the header lacks some. A header alone is sound.
     """
     content = decoded(F.col("content"))
-    filled = F.size(F.filter(F.split(content, "\r?\n", -1), lambda x: F.trim(x) != ""))
-    n = records(files).groupBy("hash").agg(F.count("*").alias("n_records"))
+    filled = F.size(F.filter(F.split(content, "\\r?\\n", -1), lambda x: F.trim(x) != ""))
+    n = _records(files).groupBy("hash").agg(F.count("*").alias("n_records"), F.bool_and("whole").alias("whole"))
     out = files.select("hash", filled.alias("n_lines")).join(headers(files), "hash", "left").join(n, "hash", "left")
     missing = F.array_except(F.array(*[F.lit(c) for c in columns]), "header")
-    broken = (F.col("n_lines") > 1) & (F.col("n_records") <= 1)
-    fault = F.when(F.col("header").isNull(), "no_header").when(broken, "corrupt").when(F.size(missing) > 0, "missing_columns")
+    broken = ~F.col("whole") | ((F.col("n_lines") > 1) & (F.col("n_records") <= 1))
+    fault = F.when(broken, "corrupt").when(F.col("header").isNull(), "no_header").when(F.size(missing) > 0, "missing_columns")
     return out.withColumn("fault", fault).where("fault is not null").select("hash", "fault", F.when(F.col("fault") == "missing_columns", missing).alias("missing"))
 
 
@@ -186,15 +206,17 @@ def workbook_cells(content: bytes) -> list[tuple[str, int, int, str, int]]:
 
 
 def workbook(files: DataFrame) -> DataFrame:
-    """Long cells of XLSX files: file, sheet, r, c, v, sheet_no. Files that aren't workbooks give one row with sheet null."""
+    """Long cells of XLSX and XLS files: file, sheet, r, c, v, sheet_no. Files that aren't workbooks give one row with sheet null."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
             for h, content in zip(f["hash"], f["content"], strict=True):
                 try:
-                    rows += [(h, *cell) for cell in workbook_cells(bytes(content))]
-                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError) as e:
+                    content = bytes(content)
+                    cells = biff.workbook_cells if content.startswith(biff.MAGIC) else workbook_cells
+                    rows += [(h, *cell) for cell in cells(content)]
+                except (biff.Damaged, zipfile.BadZipFile, KeyError, ElementTree.ParseError) as e:
                     rows.append((h, None, 0, 0, f"unreadable: {type(e).__name__}", 0))
             yield pd.DataFrame(rows, columns=["file", "sheet", "r", "c", "v", "sheet_no"])
 

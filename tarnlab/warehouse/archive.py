@@ -24,7 +24,8 @@ def archive_files(store: Store, files: DataFrame, kind: str = "Chemical analysis
         one = one.join(store.read(ARCHIVE).select("hash"), "hash", "left_anti")
     with store.transaction():
         store.append(ARCHIVE, one.select(F.col("hash").alias("uuid"), "hash", "content"), "archive", "copy of a source file")
-        asset = one.select(F.concat(F.lit("asset-"), "hash").alias("uuid"), "hash", "filename", F.lit(kind).alias("type"))
+        project = [F.col("uuid_project")] if "uuid_project" in one.columns else []
+        asset = one.select(F.concat(F.lit("asset-"), "hash").alias("uuid"), "hash", "filename", F.lit(kind).alias("type"), *project)
         store.append(ASSETS, asset, "archive", "archived")
 
 

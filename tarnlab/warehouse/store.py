@@ -254,7 +254,8 @@ def commit_outcomes(store: Store, rows: DataFrame, actor: str, reason: str) -> N
         )
         store.append("analysis", new, actor, reason)
         newer = first_by(rows.where("outcome = 'supersede'"), ["e_uuid"], [F.desc("revision"), F.col("row")])
-        store.update("analysis", newer.select(F.col("e_uuid").alias("uuid"), *fields), actor, reason)
+        if not newer.isEmpty():  # an update writes the table anew
+            store.update("analysis", newer.select(F.col("e_uuid").alias("uuid"), *fields), actor, reason)
 
 
 def quarantine_report(files: DataFrame) -> DataFrame:

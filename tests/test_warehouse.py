@@ -176,7 +176,7 @@ def test_columns_are_matched_by_name(spark):
     got = readers.delimited(f, ("A", "B")).collect()
     assert [(r.hash, r.source_ref, r.A, r.B) for r in got if r.hash == "0"] == [("0", "r2", "a1", "b1")]
     faults = {r.hash: (r.fault, r.missing) for r in readers.parse_faults(f, ("A", "B")).collect()}
-    assert faults == {"1": ("missing_columns", ["B"]), "2": ("no_header", None)}
+    assert faults == {"1": ("missing_columns", ["B"]), "2": ("no_header", None), "4": ("corrupt", None)}
     corrupt = text_files(spark, '"A,B\n1,2\n')
     assert [r.fault for r in readers.parse_faults(corrupt, ("A", "B")).collect()] == ["corrupt"]
 

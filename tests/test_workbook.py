@@ -1,9 +1,12 @@
 """Workbook sheets and the archive of source files."""
 
+import struct
+
+import pytest
 from pyspark.sql import functions as F
 
 from tarnlab.operators import workbook
-from tarnlab.sources import files
+from tarnlab.sources import biff, files
 from tarnlab.warehouse import archive
 from tarnlab.warehouse.store import Store
 
@@ -87,3 +90,43 @@ def test_archive_and_verified_removal(spark, tmp_path):
     assert archive.spent_folders(f, F.lit(True)).count() == 1
     assert not archive.inside("/a/b", "/a/b") and archive.inside("/a/b/c", "/a/b") and archive.inside("file:/a/b/c", "/a/b")
     assert not archive.inside("/a/b/../x", "/a/b") and not archive.inside("/a/bc", "/a/b") and not archive.inside("s3://h/a/b/c", "/a/b")
+
+
+def binary_workbook(pad: int) -> bytes:
+    """A BIFF8 workbook with each kind of cell and a string that goes over a record's end; pad makes it large or small."""
+    record = lambda kind, body: struct.pack("<HH", kind, len(body)) + body
+    strings = struct.pack("<II", 2, 2) + struct.pack("<HB", 4, 0) + b"Site" + struct.pack("<HB", 6, 1) + "Namé".encode("utf-16-le")
+    sst = record(0xFC, strings) + record(0x3C, b"\x00" + b"-x")
+    name = "Wasser".encode("utf-16-le")
+    cells = record(0x809, b"") + record(0xFD, struct.pack("<HHHI", 0, 0, 0, 1)) + record(0x203, struct.pack("<HHHd", 1, 2, 0, 0.1))
+    cells += record(0x27E, struct.pack("<HHHI", 2, 0, 0, 45802 << 2 | 2)) + record(0xBD, struct.pack("<HHHIHIH", 3, 1, 0, 150 << 2 | 3, 0, 7 << 2 | 2, 2))
+    cells += record(0x6, struct.pack("<HHH", 4, 0, 0) + b"\0" * 6 + b"\xff\xff") + record(0x207, struct.pack("<HB", 2, 0) + b"ok") + record(0x204, struct.pack("<HHHHB", 5, 0, 0, 1, 0) + b"z") + record(0xA, b"")
+    bound = lambda at: record(0x85, struct.pack("<IBBBB", at, 0, 0, 6, 1) + name)
+    head = record(0x809, b"") + sst
+    start = len(head) + len(bound(0)) + 4
+    book = head + bound(start) + record(0xA, b"") + cells + record(0x5C, b"\0" * pad)
+    entry = lambda n, kind, first, size: (n.encode("utf-16-le") + b"\0\0").ljust(64, b"\0") + struct.pack("<HB", 2 * len(n) + 2, kind) + b"\0" * 49 + struct.pack("<IQ", first, size)
+    free, end = 0xFFFFFFFF, 0xFFFFFFFE
+    chain = lambda first, n: [*range(first + 1, first + n), end]
+    small = len(book) < 4096
+    sectors = -(-len(book) // 512)
+    data = 3 if small else 2
+    fat = [0xFFFFFFFD, end] + ([end] if small else []) + chain(data, sectors)
+    directory = entry("Root Entry", 5, data if small else end, len(book) if small else 0) + entry("Workbook", 2, 0 if small else data, len(book))
+    minis = -(-len(book) // 64)
+    mini_fat = struct.pack("<128I", *chain(0, minis), *[free] * (128 - minis)) if small else b""
+    header = (b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1" + b"\0" * 16 + struct.pack("<HHHHH", 0x3E, 3, 0xFFFE, 9, 6)).ljust(44, b"\0")
+    header += struct.pack("<IIIIIIII", 1, 1, 0, 4096, 2 if small else end, 1 if small else 0, end, 0) + struct.pack("<109I", 0, *[free] * 108)
+    return header + struct.pack("<128I", *fat, *[free] * (128 - len(fat))) + directory.ljust(512, b"\0") + mini_fat + book.ljust(512 * sectors, b"\0")
+
+
+@pytest.mark.parametrize("pad", [0, 5000])
+def test_binary_workbooks(pad):
+    whole = binary_workbook(pad)
+    got = biff.workbook_cells(whole)
+    assert got == [("Wasser", r, c, v, 1) for r, c, v in ((1, 1, "Namé-x"), (2, 3, "0.1"), (3, 1, "45802"), (4, 2, "1.5"), (4, 3, "7"), (5, 1, "ok"), (6, 1, "z"))]
+    for n in range(0, len(whole), 97):  # whatever is missing, it is read or reported
+        try:
+            biff.workbook_cells(whole[:n])
+        except biff.Damaged:
+            pass
