@@ -14,13 +14,23 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules, or look unlike the trusted target, go."""
+    """Documents that fail the base rules, or look unlike the trusted target, go.
+
+    Each row is judged by its own text: repeated rows share a fate, an id may have several.
+    Null, empty and wordless texts fail; very long ones are read whole; a score at the
+    threshold stays. An empty table gives an empty table; columns of any name come through.
+    """
     found = quality.quality_rules(_packed(docs), common.table(spark, sf_dir, "labels"), carry=("_doc",))
     return found.where("kept").select("_doc.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language, or whose two best languages are close, go."""
+    """Documents without a language, or whose two best languages are close, go.
+
+    Without labels nothing can be told and all go. Null texts and those without a letter go;
+    so do ties of two languages. Repeated rows share a fate; very long texts are scored whole.
+    An empty table gives an empty table; columns of any name come through.
+    """
     found = langid.identify(_packed(docs), langid.fit(docs), carry=("_doc",))
     return found.where(f"lang_pred <> '{langid.UNKNOWN}' and not ambiguous").select("_doc.*")
 
@@ -37,7 +47,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages go from all documents but the first that has them; what is emptied by that goes."""
+    """Repeated passages go from all documents but the first that has them; what is emptied by that goes.
+
+    Documents are in order of their ids (null ids last, texts of one id by a hash). Rows alike
+    in id and text get the same result. Null, empty and wordless texts stay as they are; very
+    long ones are cut whole. `n_chars`, where there is one, is the new length of a text that
+    was cut. An empty table gives an empty table; columns of any name come through.
+    """
     rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("_rest")
     found = substrings.dedup_substrings(docs.select("doc_id", "text", rest), carry=("_rest",))
     found = found.where("removed_bytes = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
@@ -51,7 +67,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences.
+
+    Null and empty texts are the closing id alone; repeated rows are packed as often as they
+    come; very long texts are cut. Which documents of one length meet depends on the order
+    of the rows. An empty table gives no pieces; columns but doc_id and text are left out.
+    """
     return packing.pack_documents(docs, queries.WORD_BPE)
 
 
