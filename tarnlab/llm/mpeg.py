@@ -1,8 +1,10 @@
 """MPEG audio columns: frame headers, tags, variable-bitrate tables, checksums, durations and seek offsets.
 
-A reader finds the frames of MPEG-1/2/2.5 Layer III streams again after damage or
-foreign bytes: a sync word counts only if its header is valid and the next frame
-(or the end) follows where the header says. A writer stores bytes losslessly as
+A reader finds the frames of MPEG-1/2/2.5 streams of Layers I, II and III again after
+damage or foreign bytes: a sync word counts only if its header is valid and the next frame
+(or the end) follows where the header says. Free-format frames, whose headers don't state a
+bitrate, are foreign bytes; the checksums of Layer II, whose reach depends on its
+allocation tables, are not verified. A writer stores bytes losslessly as
 ancillary data of silent frames: MPEG-2, 16 kHz, mono, 144 kbit/s, so one frame of
 648 bytes holds one unit of 576 bytes, a byte for each of its 576 samples.
 """
@@ -23,8 +25,16 @@ from pyspark.sql import functions as F
 
 from . import common
 
-# Fixed values of the format (ISO 11172-3, 13818-3): kbit/s of Layer III by MPEG-1 or else, and Hz.
+# Fixed values of the format (ISO 11172-3, 13818-3): kbit/s by layer, of MPEG-1 or else, and Hz.
 BITRATES = {
+    (1, True): (0, 32, 64, 96, 128, 160, 192, 224, 256, 288, 320, 352, 384, 416, 448),
+    (2, True): (0, 32, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320, 384),
+    (3, True): (0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320),
+    (1, False): (0, 32, 48, 56, 64, 80, 96, 112, 128, 144, 160, 176, 192, 224, 256),
+    (2, False): (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160),
+    (3, False): (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160),
+}
+RATES = {
     True: (0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320),
     False: (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160),
 }
@@ -64,10 +74,11 @@ class Header:
     rate: int
     mono: bool
     size: int
+    layer: int = 3
 
     @property
     def samples(self) -> int:
-        return 1152 if self.version == 3 else 576
+        return 384 if self.layer == 1 else 1152 if self.layer == 2 or self.version == 3 else 576
 
     @property
     def side(self) -> int:
@@ -78,17 +89,21 @@ _KNOWN: dict[int, Header | None] = {}
 
 
 def header(word: int) -> Header | None:
-    """The Layer III header in 32 bits, or None if they aren't one."""
+    """The frame header in 32 bits, or None if they aren't one."""
     key = word & 0xFFFFFFC0  # what follows the channel mode doesn't matter here
     if key in _KNOWN:
         return _KNOWN[key]
     version, layer = word >> 19 & 3, word >> 17 & 3
     bits, rate = word >> 12 & 15, word >> 10 & 3
     found = None
-    if word >> 21 == 0x7FF and version != 1 and layer == 1 and 0 < bits < 15 and rate < 3:
-        kbit, hz = BITRATES[version == 3][bits], RATES[version][rate]
-        size = (144 if version == 3 else 72) * kbit * 1000 // hz + (word >> 9 & 1)
-        found = Header(version, not word >> 16 & 1, kbit, hz, word >> 6 & 3 == 3, size)
+    if word >> 21 == 0x7FF and version != 1 and layer and 0 < bits < 15 and rate < 3:
+        layer, padded = 4 - layer, word >> 9 & 1
+        kbit, hz = BITRATES[layer, version == 3][bits], RATES[version][rate]
+        if layer == 1:
+            size = 4 * (12 * kbit * 1000 // hz + padded)
+        else:
+            size = (72 if layer == 3 and version != 3 else 144) * kbit * 1000 // hz + padded
+        found = Header(version, not word >> 16 & 1, kbit, hz, word >> 6 & 3 == 3, size, layer)
     if len(_KNOWN) > 10_000:
         _KNOWN.clear()
     _KNOWN[key] = found
@@ -191,18 +206,19 @@ def parse(data: bytes) -> Stream:
         if h and at + h.size <= end:
             after = at + h.size
             follows = _word(data, after)
-            same = after in (tag, end) or (follows is not None and (follows.version, follows.rate) == (h.version, h.rate))
+            same = after in (tag, end) or (follows is not None and (follows.version, follows.layer, follows.rate) == (h.version, h.layer, h.rate))
             if after > tag:  # a frame in its place that others or the end follow holds these bytes: they are no tag
                 sound = same and (synced or not out.skipped)
             else:
-                sound = same or synced and h.protected and _crc_holds(data, at, h)  # foreign bytes may follow a sound frame
+                sound = same or synced and h.protected and _crc_holds(data, at, h) is True  # foreign bytes may follow a sound frame
             if sound:
                 tag = tag if after <= tag else end
                 frame = data[at:after]
-                if h.protected:
+                holds = _crc_holds(data, at, h) if h.protected else None
+                if holds is not None:
                     out.checked += 1
-                    out.bad_crc += not _crc_holds(data, at, h)
-                table = _table(frame, h) if first else {}
+                    out.bad_crc += not holds
+                table = _table(frame, h) if first and h.layer == 3 else {}
                 if table:
                     out.table = table
                 else:
@@ -223,11 +239,20 @@ def parse(data: bytes) -> Stream:
     return out
 
 
-def _crc_holds(data: bytes, at: int, h: Header) -> bool:
-    if not h.protected:
-        return True
-    covered = data[at + 2 : at + 4] + data[at + 6 : at + 6 + h.side]
-    return crc16(covered) == int.from_bytes(data[at + 4 : at + 6], "big")
+def _crc_holds(data: bytes, at: int, h: Header) -> bool | None:
+    """Whether a protected frame's checksum holds; None for Layer II.
+
+    It covers half the header and the side information (Layer III), or the bit
+    allocation: four bits for each subband and channel, once for joint ones (Layer I).
+    """
+    if h.layer == 2:
+        return None
+    covered = h.side
+    if h.layer == 1:
+        mode, bound = data[at + 3] >> 6, 4 * ((data[at + 3] >> 4 & 3) + 1)
+        covered = (32 if h.mono else 32 + bound if mode == 1 else 64) // 2
+    found = data[at + 2 : at + 4] + data[at + 6 : at + 6 + covered]
+    return crc16(found) == int.from_bytes(data[at + 4 : at + 6], "big")
 
 
 _START = _HEADER + crc16(_HEADER[2:] + bytes(_SIDE)).to_bytes(2, "big") + bytes(_SIDE)
@@ -261,8 +286,8 @@ def encode(content: bytes) -> bytes:
 
 
 def payload_of(data: bytes, s: Stream) -> bytes:
-    """The padded bytes that a stream from encode holds."""
-    return b"".join(data[at + _DATA : at + _DATA + UNIT] for at in s.offsets)
+    """The padded bytes that a stream from encode holds: those of frames with just its header, which no other has."""
+    return b"".join(data[at + _DATA : at + _DATA + UNIT] for at in s.offsets if data[at : at + 4] == _HEADER)
 
 
 STREAM_FIELDS = (
@@ -272,7 +297,11 @@ STREAM_FIELDS = (
 
 
 def store(df: DataFrame) -> DataFrame:
-    """The text of every row of df (doc_id, text) as a stream: doc_id, media. A null text is empty."""
+    """The text of every row of df (doc_id, text) as a stream: doc_id, media.
+
+    A null text is empty; a very long one is stored whole. Repeated rows stay; an empty
+    table gives an empty result; other columns are ignored, whatever their names.
+    """
     common.small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -101,3 +101,35 @@ def test_text_that_looks_like_a_tag(content):
     assert mpeg.payload_of(data, s) == padded(content) and s.tags["v1:title"] == "Title" and not s.skipped
     cut = mpeg.parse(data[:-40] + tag)  # a last frame cut short doesn't reach into the tag
     assert len(cut.offsets) == len(s.offsets) - 1 and cut.skipped == 608 and cut.tags["v1:title"] == "Title"
+
+
+@pytest.mark.parametrize(
+    "layer, version, bits, rate, samples, size",
+    [(1, 3, 9, 0, 384, 4 * (12 * 288_000 // 44_100)), (1, 0, 5, 2, 384, 4 * (12 * 80_000 // 8_000)), (2, 3, 9, 1, 1152, 144 * 160_000 // 48_000), (2, 2, 8, 0, 1152, 144 * 64_000 // 22_050)],
+)
+def test_other_layers(layer, version, bits, rate, samples, size):
+    frame = struct.pack(">I", 0x7FF << 21 | version << 19 | (4 - layer) << 17 | 1 << 16 | bits << 12 | rate << 10).ljust(size, b"\0")
+    s = mpeg.parse(b"junk" + frame * 5)
+    assert s.offsets == [4 + size * k for k in range(5)] and s.skipped == 4 and s.checked == 0
+    assert s.duration == Fraction(5 * samples, mpeg.RATES[version][rate])
+    assert mpeg.payload_of(b"junk" + frame * 5, s) == b""  # frames that encode didn't write hold nothing of it
+
+
+def test_layer_one_checksum():
+    head, allocation = struct.pack(">I", 0x7FF << 21 | 3 << 19 | 3 << 17 | 9 << 12 | 3 << 6), bytes(range(16))
+    frame = bytearray((head + mpeg.crc16(head[2:] + allocation).to_bytes(2, "big") + allocation).ljust(4 * (12 * 288_000 // 44_100), b"\0"))
+    s = mpeg.parse(bytes(frame) * 3)
+    assert (len(s.offsets), s.checked, s.bad_crc) == (3, 3, 0)
+    damaged = bytearray(bytes(frame) * 3)
+    damaged[10] ^= 1
+    assert mpeg.parse(bytes(damaged)).bad_crc == 1
+
+
+@pytest.mark.parametrize("mark", [b"TAG", b"ID3\4\0\0\0\0\0\x7f", b"Xing", b"Info", b"VBRI", b"\xff\xf3\xd8\xc0", b"\xff\xfb\x90\x00"])
+def test_marks_at_every_place(mark):
+    for at in range(576):
+        for tail in (b"", b"b" * 100):
+            content = b"a" * at + mark + tail
+            data = mpeg.encode(content)
+            s = mpeg.parse(data)
+            assert mpeg.payload_of(data, s) == padded(content) and s.tags["content_bytes"] == str(len(content)) and not s.skipped, at
