@@ -34,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tarnlab-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -137,6 +139,39 @@ def hot_join(rows: DataFrame, dim: DataFrame, key: str, drop: str = "") -> DataF
     return cold.unionByName(warm)
 
 
+def hot_join_once(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """hot_join for rows that are dear to make: they are made once.
+
+    Rows of hot keys, joined by broadcast, go through the others' shuffle dealt by their own hash.
+    """
+    total = dim.agg(F.sum("rows")).first()[0] or 0
+    floor = max(total // HOT_KEYS, HOT_ROWS)
+    hot = dim.where(F.col("rows") > floor)
+    others = [c for c in dim.columns if c not in (key, "rows")]
+    if hot.isEmpty():
+        return rows.join(dim.drop("rows"), key)
+    warm = F.broadcast(hot.select(key, F.struct(*others).alias("_hot")))
+    cold = dim.where(F.col("rows") <= floor).select(F.col(key).alias("_k"), F.struct(*others).alias("_cold"))
+    out = rows.join(warm, key, "left").withColumn("_k", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.xxhash64(*rows.columns)))
+    out = out.join(cold, "_k", "left").withColumn("_found", F.coalesce("_hot", "_cold")).where("_found is not null")
+    return out.select(*rows.columns, "_found.*")
+
+
+def salted_join(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """rows joined with the one row of each key of dim, which may be large: keys of many rows are parted by salts.
+
+    rows are read twice: once to count keys. A key's row of dim is copied once for every HOT_ROWS rows.
+    """
+    n = materialize(rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS), "hot-keys")
+    if n.isEmpty():
+        return rows.join(dim, key)
+    salts = n.select(key, F.ceil(F.col("_n") / HOT_ROWS).cast("int").alias("_salts"))  # at most a key for every HOT_ROWS rows
+    many = F.coalesce("_salts", F.lit(1))
+    left = rows.join(salts, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), many).cast("int")).drop("_salts")
+    right = dim.join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), many - 1))).drop("_salts")
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 def may_be_in(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """rows without most of those whose keys wanted doesn't have, so that a join with it shuffles few others.
 

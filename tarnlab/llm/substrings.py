@@ -188,21 +188,14 @@ def _windows(min_words: int):
     return run
 
 
-def all_copies(
-    content: bytes, edges: list[int], copied: list[int], given: list[tuple[int, int]] = (), min_words: int = MIN_WORDS
-) -> tuple[int, list[int]]:
-    """The number of chunks that occur earlier, and the chunks of the windows that do (ascending).
-
-    copied and given: chunks and windows found in documents before. To them come those earlier in the text.
-    """
+def all_copies(content: bytes, edges: list[int], given: list[tuple[int, int]] = (), min_words: int = MIN_WORDS) -> list[int]:
+    """The chunks of the windows that occur earlier (ascending): of those given, found in documents before, and of those repeated in the text."""
     ids: dict[bytes, int] = {}
     of = [ids.setdefault(content[a:b].strip(), len(ids)) for a, b in zip(edges, edges[1:], strict=False)]
     gone = {k for i, j in given for k in range(i, j + 1)}
     if len(ids) == len(of):
-        return len(copied), sorted(gone)
-    chunks, before = np.array(of), set(copied)
-    first: dict[int, int] = {}
-    before.update(i for i, k in enumerate(of) if first.setdefault(k, i) != i)
+        return sorted(gone)
+    chunks = np.array(of)
     again = np.flatnonzero(np.bincount(chunks)[chunks] > 1)
     seen: set[bytes] = set()
     for i, j in sorted(run_windows(again, chunk_words(content, np.array(edges))[again], min_words)):
@@ -210,7 +203,7 @@ def all_copies(
         if key in seen:
             gone.update(range(again[i], again[j] + 1))
         seen.add(key)
-    return len(before), sorted(int(k) for k in gone)
+    return sorted(int(k) for k in gone)
 
 
 def removed_spans(content: bytes, edges: list[int], copied: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
@@ -234,13 +227,13 @@ def _remove(min_words: int, carry: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in common.text_rows(batches):
             out = []
-            given = [batch.column(c).to_pylist() for c in ("doc_id", "copied", "windows")]
-            for doc, copied, found, text in zip(*given, texts, strict=True):
+            given = [batch.column(c).to_pylist() for c in ("doc_id", "windows")]
+            for doc, found, text in zip(*given, texts, strict=True):
                 content = (text or "").encode("utf-8", "surrogatepass")
                 edges = cuts(content).tolist()
                 found = [(w["start"], w["end"]) for w in found or []]
-                n_copied, gone = all_copies(content, edges, copied or [], found, min_words)
-                spans = removed_spans(content, edges, gone, min_words)
+                spans = removed_spans(content, edges, all_copies(content, edges, found, min_words), min_words)
+                n_copied = int(np.diff(np.searchsorted(edges, spans), axis=1).sum()) if spans else 0
                 kept, last = [], 0
                 for a, b in spans:
                     kept.append(content[last:a])
@@ -258,13 +251,13 @@ def _remove(min_words: int, carry: list[str]):
 def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove repeated passages from the texts of df (doc_id, text).
 
-    Returns doc_id, text (without its removed spans), n_chunks, n_copied (chunks that
-    occur earlier), removed_bytes, spans ([start, end) in UTF-8 bytes of the original).
+    Returns doc_id, text (without its removed spans), n_chunks, n_copied (chunks of those
+    spans: single chunks that occur elsewhere say nothing), removed_bytes, spans ([start, end) in UTF-8 bytes of the original).
     Documents go by id (null ids last), different texts of one id by a hash of the text. What goes are windows of chunks
     with min_words words that follow each other in the same way at an earlier place, in
     the same text too; chunks copied from different places add up to nothing. Rows alike in id and text are
     one document twice and get the same result (neither is a copy of the other). Null and empty texts come back
-    unchanged. An empty table gives an empty result; of the other columns those named
+    unchanged; very long ones are cut and compared whole. An empty table gives an empty result; of the other columns those named
     in carry follow.
     """
     spark = df.sparkSession
@@ -274,12 +267,12 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
     docs = docs.withColumns({"row": order, "tk": F.xxhash64("text")})
     key = F.struct("row", "tk")  # an id may have several texts
     chunks = docs.select("row", "tk", "text").mapInArrow(_chunks, "row long, tk long, ord int, words int, digest long")
-    repeated = chunks.groupBy("digest").agg(F.min(key).alias("first"), F.max(key).alias("last")).where("first < last")
-    repeated = common.materialize(repeated.select("digest", "first"), "substring-repeated")
+    repeated = chunks.groupBy("digest").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("rows")).where("first < last")
+    repeated = common.materialize(repeated.select("digest", "rows", F.lit(True).alias("shared")), "substring-repeated")
     places = (
-        chunks.join(repeated, "digest")
+        common.hot_join_once(chunks, repeated, "digest")
         .groupBy("row", "tk")
-        .agg(F.collect_set(F.struct("ord", "words", "digest", (key != F.col("first")).alias("copied"))).alias("places"))
+        .agg(F.collect_set(F.struct("ord", "words", "digest")).alias("places"))
     )  # no more than a document has chunks
     places = common.materialize(places, "substring-places")
     found = places.mapInArrow(_windows(min_words), "row long, tk long, start int, end int, high long, low long")
@@ -290,10 +283,8 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
         .groupBy("row", "tk")
         .agg(F.collect_set(F.struct("start", "end")).alias("windows"))
     )
-    copied = places.select("row", "tk", F.expr("transform(filter(places, p -> p.copied), p -> p.ord)").alias("copied"))
-    copies = copied.where("size(copied) > 0").join(copies, ["row", "tk"], "left")  # a copied window has copied chunks
     extra = docs.schema.fields[2:-2]
-    rows = docs.join(copies, ["row", "tk"], "left").select("doc_id", "text", "copied", "windows", *(f.name for f in extra))
+    rows = docs.join(copies, ["row", "tk"], "left").select("doc_id", "text", "windows", *(f.name for f in extra))
     schema = T.StructType.fromDDL(
         "doc_id long, text string, n_chunks long, n_copied long, removed_bytes long, spans array<array<long>>"
     )
