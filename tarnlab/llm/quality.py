@@ -119,7 +119,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, threshold: float =
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, score. A null or empty text has no words, fails the base
     rules and scores 0. Equal texts score alike; repeated rows stay; of the other
-    columns those named in carry follow. labels (doc_id, quality, toxic) may be None or empty: then all
+    columns those named in carry follow. An id with several texts has a verdict for each.
+    A score at the threshold is kept. Very long texts are counted whole. An empty table
+    gives an empty result. labels (doc_id, quality, toxic) may be None or empty: then all
     scores are 0 and the base rules alone decide.
     """
     ratios = log_ratios(docs, labels)

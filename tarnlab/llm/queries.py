@@ -129,6 +129,24 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(common.table(spark, sf_dir, "documents"))
 
 
+#: Links of distinct sets by their common shingles, and all that is reachable by links.
+OP10_SQL = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+n AS (SELECT doc_id, len(sh) AS n, sha256(array_to_string(list_sort(sh), chr(10))) AS k FROM s),
+d AS (SELECT k, min(doc_id) AS doc, max(n) AS n FROM n WHERE n > 0 GROUP BY 1),
+t AS (SELECT d.k, d.n, unnest(sh) AS t FROM d JOIN s ON s.doc_id = d.doc),
+p AS (SELECT a.k AS a, b.k AS b FROM t a JOIN t b ON a.t = b.t AND a.k < b.k AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p UNION ALL SELECT k, k FROM d),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT r.a AS k, min(d.doc) AS component FROM r JOIN d ON d.k = r.b GROUP BY 1)
+SELECT doc_id, n AS n_shingles, coalesce(component, doc_id) AS component_id FROM n LEFT JOIN c USING (k)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -145,4 +163,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op5_chat_format": OP5_SQL, "op9_histogram_shards": OP9_SQL}
+    return {"op3_warc": OP3_SQL, "op5_chat_format": OP5_SQL, "op9_histogram_shards": OP9_SQL, "op10_jaccard_join": OP10_SQL}

@@ -99,7 +99,10 @@ def shard_rows(df: DataFrame, shards: int = SHARDS, tolerance: int = TOLERANCE,
     from 0 in key order within the shard), grown_shard (null: only the law `key` has
     it). A null text has no bytes and counts 1; its checksum is that of no bytes.
     Null ids sort as the empty string. Rows alike in id and text share a key, so a
-    shard, and take neighbouring slots. An empty table gives an empty result; other
+    shard, and take neighbouring slots. Groups of equal texts are neighbours too, but a
+    large one is cut at a shard's boundary by the ids: law `bytes` wants equal sizes, and
+    a group of a third of all bytes would fill five shards. Very long texts count whole:
+    one longer than a shard's share makes that shard the larger. An empty table gives an empty result; other
     columns are ignored.
     """
     spark = df.sparkSession

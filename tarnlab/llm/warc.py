@@ -78,7 +78,7 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> Archive:
     a null id carry no page id and are a response only where no copy has an id.
     Repeated rows of the largest id are all responses; their payload is still stored
     once. Payloads smaller than MIN_REVISIT are stored once too, but all their
-    records are responses. An empty table gives an archive without records; other
+    records are responses. Very long payloads are stored whole, one to a row. An empty table gives an archive without records; other
     columns are ignored.
     """
     spark = pages.sparkSession
@@ -86,15 +86,15 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> Archive:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("id", F.coalesce("page_id", F.lit(NO_ID)))
     keys = rows.select("page_id", "id", "url", "digest", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("sha1"))
-    kept = common.materialize(keys.groupBy("digest").agg(F.max("id").alias("kept")), "warc-kept")
+    kept = common.materialize(keys.groupBy("digest").agg(F.max("id").alias("kept"), F.count("*").alias("rows")), "warc-kept")
 
     folder = folder or common.scratch(spark, "warc")
     out = Archive(f"{folder}/headers", f"{folder}/payloads")
     # the kept row of each digest brings the bytes: ids are unique there, so no key is hot
-    once = rows.select("id", "digest", "payload").join(kept.withColumnRenamed("kept", "id"), ["id", "digest"])
+    once = rows.select("id", "digest", "payload").join(kept.select("digest", F.col("kept").alias("id")), ["id", "digest"])
     once.dropDuplicates(["id", "digest"]).select("digest", "payload").write.option("compression", "zstd").parquet(out.payloads)
 
-    whole = keys.join(kept, "digest")
+    whole = common.hot_join(keys, kept, "digest", drop="rows")
     own = (F.col("payload_bytes") < MIN_REVISIT) | (F.col("id") == F.col("kept"))
     kind = F.when(own, "response").otherwise("revisit")
     to = F.when(~own & (F.col("kept") != NO_ID), F.col("kept"))
@@ -131,7 +131,7 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
     number = lambda name: F.nullif(line(name), F.lit("")).cast("long")
     record_type = line("WARC-Type")
     body = F.when(record_type == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    return headers.join(read_payloads(spark, archive), "digest").select(
+    return common.salted_join(headers, read_payloads(spark, archive), "digest").select(
         number("X-Page-ID").alias("page_id"),
         record_type.alias("record_type"),
         number("X-Refers-To-Page-ID").alias("refers_to"),

@@ -65,3 +65,34 @@ def test_sql(spark, name):
     columns = sorted(df.columns)
     got = sorted(map(tuple, df.select(*columns).collect()), key=repr)
     assert got == sorted(con.sql(queries.oracle_sql()[name]).select(*columns).fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stage_edges(spark, docs, no_docs, name, stage):
+    """Nulls, empty and very long texts, ties, repeated rows, clashing columns, and no rows at all."""
+    from conftest_llm import documents
+
+    got = stage(spark, docs, DATA)
+    empty = stage(spark, no_docs, DATA)
+    assert empty.count() == 0
+    if name == "packing":
+        assert {r.doc_id for r in got.collect()} == {i for i, _ in documents()}
+        return
+    assert got.columns == docs.columns == empty.columns
+    rows, before = [tuple(r) for r in got.collect()], {tuple(r) for r in docs.collect()}
+    if name != "repeated_passages":
+        assert rows and set(rows) <= before
+    ids = [r[0] for r in rows]
+    if name == "quality_rules":
+        assert not {12, 13, 14, 15} & set(ids) and 31 in ids
+    if name == "language_id":
+        assert not {12, 13, 14, 33} & set(ids) and ids.count(11) == 2
+    if name == "near_duplicates":
+        assert ids.count(11) <= 1 and 10 not in ids and 16 not in ids and {2, 12, 13, 14, 31} <= set(ids)
+        assert ids.count(None) == 1  # the copy of 2 without an id went, the null text stayed
+    if name == "repeated_passages":
+        assert ids.count(11) == 2 and {12, 13, 14, 30, 31} <= set(ids)
+
+
+def test_stages_without_labels(spark, no_docs, docs):
+    assert dict(corpus_pipeline.STAGES)["language_id"](spark, docs.withColumn("lang", common.F.lit(None).cast("string")), DATA).count() == 0
