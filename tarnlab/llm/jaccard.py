@@ -44,6 +44,9 @@ TILE = 4096
 TOKENS = 1 << 23
 #: Candidates verified at once.
 VERIFY = 32
+#: Long sets are bounded once more by bits before they are verified: the bytes of a cell's bits, and what counts as long.
+FINE_BYTES = 64 << 20
+LONG = 1000
 
 #: Bytes as digits: A-Z lower-cased, white space 0.
 _FOLD = np.array([0 if b in b" \t\n\v\f\r" else b + 33 if 65 <= b <= 90 else b + 1 for b in range(256)], np.uint64)
@@ -250,9 +253,29 @@ def search_cell(cell: pa.Table, num: int = NUM, den: int = DEN, shingle: Shingle
             found = held[row] = shingle(texts[row].as_py())
         return found
 
+    # as many bits a row as the cell's share allows; of use where sets fill few of them
+    fine = min(20, int(np.log2(8 * FINE_BYTES / max(1, len(c.key)))))
+    bits: dict[int, np.ndarray] = {}
+
+    def flags(row: int) -> np.ndarray:
+        found = bits.get(row)
+        if found is None:
+            has = np.zeros(1 << fine, bool)
+            has[(shingles(row) >> np.uint64(64 - fine)).astype(np.int64)] = True
+            found = bits[row] = np.packbits(has).view(np.uint64)
+        return found
+
+    def likely(q: int, rows: list[int]) -> np.ndarray:
+        """Which rows may still link with q: common bits, and what shares a bit in one of the two."""
+        a, b = flags(q), np.stack([flags(r) for r in rows])
+        n = np.bitwise_count(b).sum(1, dtype=np.int64)
+        most = np.bitwise_count(a & b).sum(1, dtype=np.int64) + np.minimum(c.n[q] - int(np.bitwise_count(a).sum(dtype=np.int64)), c.n[rows] - n)
+        return (den + num) * most >= num * (c.n[rows] + c.n[q])
+
     classes, links_found = Classes(), []
     for q in np.flatnonzero(c.asks).tolist():
         own, mine = int(c.key[q]), int(c.label[q])
+        sharper = c.n[q] > LONG and 16 * c.n[q] <= 1 << fine
         hits = c.hits(q).tolist()
         while hits:
             top = classes.find(mine)
@@ -260,6 +283,11 @@ def search_cell(cell: pa.Table, num: int = NUM, den: int = DEN, shingle: Shingle
             part, hits = hits[:VERIFY], hits[VERIFY:]
             if not part:
                 break
+            if sharper:
+                keep = likely(q, [int(c.at[h]) for h in part])
+                part = [h for h, k in zip(part, keep.tolist(), strict=True) if k]
+                if not part:
+                    continue
             a, sets = shingles(q), [shingles(int(c.at[h])) for h in part]
             cat = np.concatenate(sets)
             same = a[np.minimum(np.searchsorted(a, cat), len(a) - 1)] == cat

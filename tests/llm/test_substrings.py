@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter
 
@@ -75,6 +76,26 @@ def test_cuts_cover_the_text(content):
         content[a:b].decode()
 
 
+def test_cuts_restated():
+    """The cutting rule, a byte at a time."""
+    raw = hashlib.shake_128(b"gear").digest(512)
+    share = [raw[2 * b] | raw[2 * b + 1] << 8 for b in range(256)]
+    rng, blank = random.Random(17), b" \t\n\v\f\r"
+    for _ in range(200):
+        content = "".join(rng.choice(["wort", "é", "a", "longer", "x1"]) + rng.choice([" ", " ", "\n", "  \t", ""]) for _ in range(rng.randrange(200))).encode()
+        x, out = 0, [0]
+        for i in range(len(content) - 1):
+            x = (2 * x + share[content[i]]) % 65536
+            begins = content[i] in blank and content[i + 1] not in blank
+            if begins and x & 0x6000 == 0 and i + 1 - out[-1] >= 12:
+                out.append(i + 1)
+        if len(out) > 1 and len(content) - out[-1] < 12:
+            out.pop()
+        out += [len(content)] if content else []
+        if all(b - a <= 512 for a, b in zip(out, out[1:], strict=False)):
+            assert sub.cuts(content).tolist() == out
+
+
 def test_gear_rolls():
     data = np.frombuffer(b"the quick brown fox jumps over the lazy dog", np.uint8)
     h, want = sub.gear(data), []
