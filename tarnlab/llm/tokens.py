@@ -27,11 +27,18 @@ class Splitter:
         self.any = regex.compile(fill(r"\p{N}", r"\p{L}", SPACE))
 
     def __call__(self, text: str) -> list[str]:
-        return (self.any if _BEYOND_LATIN.search(text) else self.latin).findall(text)
+        return (self.any if beyond_latin(text) else self.latin).findall(text)
 
 
 def beyond_latin(text: str) -> bool:
-    return _BEYOND_LATIN.search(text) is not None
+    """Whether a character lies beyond U+024F. Most texts fit one byte a character, which shows at once."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _BEYOND_LATIN.search(text) is not None
+    return False
 
 
 class _Known(dict):
