@@ -94,8 +94,13 @@ def canonical_point(c: Column) -> Column:
     return F.regexp_replace(F.upper(c), r"(?<![0-9])0+(?=[0-9])", "")
 
 
+def squish(c: Column) -> Column:
+    """Without outer blanks, inner runs of them single."""
+    return F.trim(F.regexp_replace(c, r"\s+", " "))
+
+
 def squish_key(c: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
+    return F.lower(squish(c))
 
 
 def guess_work_order(c: Column) -> Column:

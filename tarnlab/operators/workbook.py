@@ -116,3 +116,24 @@ def dust_observations(cells: DataFrame) -> DataFrame:
     g = g.withColumn("block", grids.occurrence([*KEYS, "gauge"], "r"))
     date = F.to_date(dates.parse_local(date_text(F.col("date_raw")), "crosstab"))
     return g.select(*KEYS, "gauge", "block", date.alias("date"), F.array_join(F.transform("_said", lambda x: x["v"]), "; ").alias("comments"))
+
+
+# Keys of a front page.
+FRONT_KEYS = {"report_no": "^REPORT NO:$", "sampled_by": "^SAMPLED BY:$", "sample_date": "^SAMPLE DATE:$"}
+
+
+def front_page(cells: DataFrame) -> DataFrame:
+    """What front pages say right of their keys: file, report_no, sampled_by, sample_date.
+
+    A key that stands in no cell, or in several, says nothing. Of samplers the first counts.
+    """
+    c = cells.where("trim(coalesce(v, '')) <> ''").withColumn("v", text.squish(F.col("v")))
+    key = F.lit(None).cast("string")
+    for name, pattern in FRONT_KEYS.items():
+        key = F.when(F.col("v").rlike(f"(?i){pattern}"), name).otherwise(key)
+    marks = c.withColumn("key", key).where("key is not null").groupBy("file", "key").agg(F.count("*").alias("n"), F.min("sheet").alias("sheet"), F.min("r").alias("r"), F.min("c").alias("kc"))
+    right = c.join(marks.where("n = 1").drop("n"), ["file", "sheet", "r"]).where("c > kc")
+    said = right.groupBy("file", "key").agg(F.min(F.struct("c", "v"))["v"].alias("v"))
+    one = said.groupBy("file").agg(*[F.max(F.when(F.col("key") == k, F.col("v"))).alias(k) for k in FRONT_KEYS])
+    out = cells.select("file").distinct().join(one, "file", "left")
+    return out.withColumn("sampled_by", F.trim(F.regexp_replace("sampled_by", "&.*$", "")))

@@ -276,6 +276,18 @@ def dust_sheet(r: Roles) -> DataFrame:
     return wb.dust_sheet(g).select("file", "gauge", F.col("block").cast("long").alias("block"), "analyte_raw", "value_raw")
 
 
+@query("i07_front_page", "SELECT CAST(s_suppkey AS VARCHAR) AS file, 'R ' || s_suppkey AS report_no, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS sampled_by, CASE WHEN s_suppkey % 3 <> 0 THEN '0' || (s_suppkey % 9) || '/05/2025' END AS sample_date FROM supplier")
+def front_page(r: Roles) -> DataFrame:
+    """A key without a cell and a key in two cells say nothing."""
+    k = F.col("s_suppkey")
+    day = F.concat(F.lit("0"), (k % 9).cast("string"), F.lit("/05/2025"))
+    cells = [(1, 1, F.lit("Report  No:")), (1, 3, F.concat(F.lit("R  "), s("s_suppkey"))), (1, 4, F.lit("no")), (2, 2, F.when(k % 4 != 0, "SAMPLED BY:")), (2, 3, F.concat("s_name", F.lit(" & others"))),
+             (3, 1, F.lit("SAMPLE DATE:")), (3, 2, day), (9, 1, F.when(k % 3 == 0, "sample date:")), (9, 2, F.lit("x"))]
+    x = F.explode(F.array(*[F.struct(F.lit(a).alias("r"), F.lit(b).alias("c"), t.alias("v")) for a, b, t in cells]))
+    g = r.table("supplier").select(s("s_suppkey").alias("file"), F.lit("Front").alias("sheet"), x.alias("x")).select("file", "sheet", "x.*")
+    return wb.front_page(g)
+
+
 # lookups
 
 

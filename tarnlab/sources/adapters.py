@@ -159,21 +159,23 @@ def parse_field(methods: DataFrame | None = None) -> Callable[[DataFrame], Parse
         spark = files.sparkSession
         cells = readers.workbook(files)
         faults = cells.where("sheet is null").select(F.col("file").alias("source_hash"), F.lit("unreadable").alias("fault")).distinct()
-        kinds = workbook.sheet_kind(cells.where("sheet is not null").drop("sheet_no"))
-        of = lambda kind: cells.where("sheet is not null").drop("sheet_no").join(kinds.where(F.col("kind") == kind).drop("kind"), ["file", "sheet"], "left_semi")
+        cells = cells.where("sheet is not null").drop("sheet_no")
+        # sheets are told apart by their names
+        name = F.lower("sheet")
+        front, dust, method, result = (name.contains(x) for x in ("front", "dust", "method", "result"))
+        pages = workbook.front_page(cells.where(front)).select(F.col("file").alias("source_hash"), "report_no", F.col("sample_date").alias("date_reported"))
         allowed = methods if methods is not None else spark.createDataFrame([], "key string")
-        water = workbook.water_sheet(of("water"), allowed).where("kind = 'result'")
+        water = workbook.water_sheet(cells.where(~front & ~dust & ~method), allowed).where("kind = 'result'")
         water = water.select(
             F.col("file").alias("source_hash"), F.concat("sheet", F.lit("!"), "source_ref").alias("source_ref"), F.lit("ACIRL").alias("org"), "feature_raw", "analyte_raw",
             F.lit("field").alias("method_raw"), "units_raw", "value_raw", F.col("sample_date_raw").alias("sample_datetime_raw"),
         )
-        watched = cells.where(F.lower("sheet").contains("observation")).drop("sheet_no")
-        seen = workbook.dust_observations(watched).groupBy("file", "gauge", "block").agg(F.min("date").alias("date"), F.min("comments").alias("comments"))
-        dust = workbook.dust_sheet(of("dust")).join(seen, ["file", "gauge", "block"], "left").select(
+        seen = workbook.dust_observations(cells.where(dust & ~result & ~method)).groupBy("file", "gauge", "block").agg(F.min("date").alias("date"), F.min("comments").alias("comments"))
+        dust = workbook.dust_sheet(cells.where(dust & result)).join(seen, ["file", "gauge", "block"], "left").select(
             F.col("file").alias("source_hash"), F.concat("sheet", F.lit("!"), "source_ref").alias("source_ref"), F.lit("ACIRL").alias("org"), F.col("gauge").alias("feature_raw"),
             "analyte_raw", "value_raw", F.date_format("date", "dd/MM/yyyy").alias("sample_datetime_raw"), "comments",
         )
-        return _parsed(files, water.unionByName(dust, allowMissingColumns=True), faults=faults)
+        return _parsed(files, water.unionByName(dust, allowMissingColumns=True), reports=pages, faults=faults)
 
     return parse
 

@@ -74,3 +74,24 @@ def remove(store: Store, files: DataFrame, root: str) -> int:
     """
     within = F.udf(lambda p: inside(p, root), "boolean")
     return removable(store, files).where(within("path")).select("path").mapInPandas(_deleted, "path string").count()
+
+
+def remove_spent_folder(store: Store, folder: str, root: str, ignorable: Column) -> bool:
+    """Delete a folder strictly under root in which nothing is left but ignorable, non-empty files; whether it went.
+
+    A folder with folders in it is never spent. ignorable is a condition on filename, ext and size.
+    """
+    if not inside(folder, root):
+        return False
+    path = store.spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(store.spark._jsc.hadoopConfiguration())
+    entries = list(system.listStatus(path))
+    if any(e.isDirectory() for e in entries):
+        return False
+    names = [(folder, e.getPath().getName(), e.getLen()) for e in entries]
+    if names:
+        left = store.spark.createDataFrame(names, "folder string, filename string, size long")
+        left = left.withColumn("ext", F.lower(F.regexp_extract("filename", r"\.([^.]+)$", 1)))
+        if spent_folders(left, ignorable).isEmpty():
+            return False
+    return bool(system.delete(path, True))

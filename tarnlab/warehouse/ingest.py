@@ -75,6 +75,7 @@ class Outcome:
     blocked: list[str] = field(default_factory=list)
     reviews_opened: int = 0
     removed: int = 0
+    folder_removed: bool = False
     snapshot: str | None = None
     error: str | None = None
 
@@ -266,8 +267,9 @@ def ingest_inbox(store: Store, root: str, **options) -> dict[str, Outcome]:
     """Ingest each folder directly in root as a batch of its own, in order of names.
 
     A folder that fails is reported in its outcome and the next goes on; its transaction
-    leaves nothing behind.
+    leaves nothing behind. With `remove`, a folder in which nothing but ignored files is left goes too.
     """
+    ignored = src.ignore_reason(F.col("ext"), F.col("filename"), F.col("size")).isNotNull()
     path = store.spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(store.spark._jsc.hadoopConfiguration())
     folders = sorted(f.getPath().toString() for f in fs.listStatus(path) if f.isDirectory())
@@ -275,6 +277,8 @@ def ingest_inbox(store: Store, root: str, **options) -> dict[str, Outcome]:
     for folder in folders:  # one batch each: a few folders a run, and every batch is distributed
         try:
             out[folder] = ingest_dir(store, folder, **options)
+            if options.get("remove") and not options.get("dry_run"):
+                out[folder].folder_removed = archive.remove_spent_folder(store, folder, root, ignored)
         except Exception as e:  # noqa: BLE001 - a batch's failure is its outcome
             out[folder] = Outcome(bool(options.get("dry_run")), error=f"{type(e).__name__}: {e}")
     return out

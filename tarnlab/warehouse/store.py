@@ -2,8 +2,8 @@
 
 A transaction writes new parts of the tables that it changes and then publishes one
 pointer file with the next version's number, so readers see all of a commit or nothing. The
-pointer names the part folders of every table: an append adds a part, updates and deletes
-write a table anew. Paths go through Hadoop's file system, so a store may be wherever Spark
+pointer names the part folders of every table: an append adds a part, an update or delete
+writes those parts anew that hold its rows. Paths go through Hadoop's file system, so a store may be wherever Spark
 can write and a rename doesn't overwrite.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 import contextlib
 import functools
 import json
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import first_by
+from .scratch import written
 
 POINTERS = "versions"
 LOG = "change_log"
@@ -134,10 +136,14 @@ class Store:
         with self.transaction():
             self.staged[name] = [self._write(name, df)]
 
-    def _grow(self, name: str, df: DataFrame) -> None:
-        """Add a part with these rows; what is there isn't read or written again."""
+    def _grow(self, name: str, df: DataFrame) -> DataFrame:
+        """Add a part with these rows and return it; what is there isn't read or written again. No rows make no part."""
         with self.transaction():
-            self.staged[name] = [*self.staged.get(name, []), self._write(name, df)]
+            folder = self._write(name, df)
+            part = self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}")
+            if not self.exists(name) or not part.isEmpty():
+                self.staged[name] = [*self.staged.get(name, []), folder]
+            return part
 
     def compact(self, name: str) -> None:
         """Rewrite a table of many parts as one."""
@@ -146,8 +152,8 @@ class Store:
     def append(self, name: str, df: DataFrame, actor: str, reason: str, source_hash: str | None = None) -> None:
         """Add rows and an `insert` log row for each, together."""
         with self.transaction():
-            self._grow(name, df)
-            self._log(df.select("uuid"), name, "insert", actor, reason, source_hash)
+            part = self._grow(name, df)  # read back, so the rows aren't made twice
+            self._log(part.select("uuid"), name, "insert", actor, reason, source_hash)
 
     def update(self, name: str, changes: DataFrame, actor: str, reason: str, source_hash: str | None = None) -> None:
         """Set fields of rows by uuid: changes has uuid and new values. Unchanged fields aren't logged.
@@ -155,31 +161,53 @@ class Store:
         Every uuid must name exactly one row.
         """
         with self.transaction():
-            old = self.read(name)
-            fields = [c for c in changes.columns if c != "uuid"]
+            whole, fields = self.read(name), [c for c in changes.columns if c != "uuid"]
+            parts = self._holding(name, whole, changes)
+            old = self._parts(parts, whole)
             new = changes.select("uuid", *[F.col(c).alias(f"_new_{c}") for c in fields], F.lit(True).alias("_hit"))
-            self._expect_one(old, changes)
             both = old.join(new, "uuid", "left")
             rows = F.stack(F.lit(len(fields)), *[x for c in fields for x in (F.lit(c), F.col(c).cast("string"), F.col(f"_new_{c}").cast("string"))])
             log = both.where("_hit").select("uuid", rows.alias("field", "old", "new")).where(~F.col("old").eqNullSafe(F.col("new")))
             picked = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in old.columns]
             self._log(log, name, "update", actor, reason, source_hash)
-            self.replace(name, both.select(*picked))
+            self._exchange(name, parts, both.select(*picked))
 
     def delete(self, name: str, uuids: DataFrame, actor: str, reason: str, source_hash: str | None = None) -> None:
         """Delete rows by uuid, logging their values. Every uuid must name exactly one row."""
         with self.transaction():
-            old = self.read(name)
-            self._expect_one(old, uuids)
+            whole = self.read(name)
+            parts = self._holding(name, whole, uuids)
+            old = self._parts(parts, whole)
             gone = old.join(uuids.select("uuid"), "uuid", "left_semi")
             self._log(gone.select("uuid", F.to_json(F.struct(*old.columns)).alias("old")), name, "delete", actor, reason, source_hash)
-            self.replace(name, old.join(uuids.select("uuid"), "uuid", "left_anti"))
+            self._exchange(name, parts, old.join(uuids.select("uuid"), "uuid", "left_anti"))
 
-    def _expect_one(self, table: DataFrame, wanted: DataFrame) -> None:
-        found = wanted.groupBy("uuid").agg(F.count("*").alias("n")).join(table.groupBy("uuid").agg(F.count("*").alias("m")), "uuid", "left")
+    def _holding(self, name: str, table: DataFrame, wanted: DataFrame) -> list[str]:
+        """The parts of a table that hold the wanted rows; every uuid must be in exactly one row.
+
+        Only uuids and files' names are read.
+        """
+        part = F.regexp_extract(F.col("_metadata.file_path"), rf"/({re.escape(name)}/v=[^/]+)/", 1)
+        asked = wanted.groupBy("uuid").agg(F.count("*").alias("n"))
+        held = table.select("uuid", part.alias("part")).join(asked.select("uuid"), "uuid", "left_semi")
+        found = asked.join(held.groupBy("uuid").agg(F.count("*").alias("m"), F.min("part").alias("part")), "uuid", "left")
+        found = written(found, "store-wanted")
         bad = found.where("n <> 1 or coalesce(m, 0) <> 1").limit(5).collect()
         if bad:
             raise ValueError(f"not exactly one row for {[r.uuid for r in bad]}")
+        return sorted(r.part for r in found.select("part").distinct().collect())  # no more than the pointer lists
+
+    def _parts(self, parts: list[str], table: DataFrame) -> DataFrame:
+        """Rows of some parts of a table, with its columns."""
+        if not parts:
+            return table.limit(0)
+        return self.spark.read.schema(table.schema).parquet(*[f"{self.root}/{p}" for p in parts])
+
+    def _exchange(self, name: str, parts: list[str], rows: DataFrame) -> None:
+        """Put rows in the place of some parts; the others stay as they are."""
+        if parts:
+            kept = [p for p in self.tables()[name] if p not in set(parts)]
+            self.staged[name] = [*kept, self._write(name, rows)]
 
     def _log(self, rows: DataFrame, name: str, action: str, actor: str, reason: str, source_hash: str | None) -> None:
         have = set(rows.columns)
@@ -209,12 +237,12 @@ class Store:
     # snapshots
 
     def snapshot(self, name: str) -> dict[str, int]:
-        """Copy every table of the current version to snapshots/<name> and verify the copies' counts; the counts."""
+        """Copy every table of the current version to snapshots/<name>, over an earlier one of that name, and verify the copies' counts; the counts."""
         counts = {}
         for table in sorted(self.tables()):
             df = self.read(table)
             target = f"{self.root}/snapshots/{name}/{table}"
-            df.write.parquet(target)
+            df.write.mode("overwrite").parquet(target)
             counts[table] = df.count()
             if self.spark.read.parquet(target).count() != counts[table]:
                 raise RuntimeError(f"snapshot of {table} is not whole")
@@ -254,7 +282,7 @@ def commit_outcomes(store: Store, rows: DataFrame, actor: str, reason: str) -> N
         )
         store.append("analysis", new, actor, reason)
         newer = first_by(rows.where("outcome = 'supersede'"), ["e_uuid"], [F.desc("revision"), F.col("row")])
-        if not newer.isEmpty():  # an update writes the table anew
+        if not newer.isEmpty():
             store.update("analysis", newer.select(F.col("e_uuid").alias("uuid"), *fields), actor, reason)
 
 

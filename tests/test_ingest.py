@@ -100,8 +100,11 @@ def test_inbox(spark, store, tmp_path):
     root.mkdir()
     deliver(root / "1")
     deliver(root / "2", wo="XX2222222", point="Site.P1", when="08 May 2024")
-    out = ingest.ingest_inbox(store, str(root))
-    assert [o.error for o in out.values()] == [None, None] and len(values(store)) == 2
+    (root / "1" / "old.bak").write_text("x")
+    (root / "2" / "notes.txt").write_text("keep")
+    out = ingest.ingest_inbox(store, str(root), snapshot="day", remove=True)
+    assert [(o.error, o.folder_removed) for o in out.values()] == [(None, True), (None, False)]
+    assert len(values(store)) == 2 and not (root / "1").exists() and [p.name for p in (root / "2").iterdir()] == ["notes.txt"]
 
 
 def test_crosstab_files(spark, tmp_path):
@@ -179,3 +182,20 @@ def test_report_file(spark, tmp_path):
     registry.write_report(spark.createDataFrame([("a", 1.0, True)], "point string, low double, low_nd boolean"), f"file://{tmp_path}/r", ("low",))
     text = next((tmp_path / "r").glob("part-*.csv")).read_text().split()
     assert text == ["point,low,low_nd", "a,1.0,true"]
+
+
+def test_field_workbooks(spark, tmp_path):
+    """A binary workbook with a front page and a water sheet, through claim and parse."""
+    from test_workbook import binary_book
+
+    front = [(0, 0, "REPORT NO:"), (0, 2, "R-77"), (1, 0, "SAMPLED BY:"), (1, 1, "A & B")]
+    water = [(2, 0, "Date"), (2, 2, 45802.0), (3, 0, "Site Name"), (3, 1, "Units"), (3, 2, "P1"), (4, 0, "pH"), (4, 1, "pH Unit"), (4, 2, 7.5)]
+    (tmp_path / "2400-7286-10.xls").write_bytes(binary_book([("Front Page", front), ("Ponds", water)]))
+    (tmp_path / "broken.xlsx").write_bytes(b"no workbook")
+    f = adapters.described(files.read_files(spark, str(tmp_path)))
+    reg = adapters.built_in(spark.createDataFrame([("ph",)], "key string"))
+    routed = files.route(f, files.claims(f, reg))
+    assert {r.filename: (r.state, r.adapter) for r in routed.collect()} == {"2400-7286-10.xls": ("claimed", "acirl_field_xlsx/1.0"), "broken.xlsx": ("quarantined", None)}
+    got = adapters.parse_claimed(f, routed, reg)
+    assert [(r.feature_raw, r.analyte_raw, r.value_raw, r.sample_datetime_raw, r.source_ref) for r in got.results.collect()] == [("P1", "pH", "7.5", "25/05/2025", "Ponds!r5c3")]
+    assert [r.report_no for r in got.reports.collect()] == ["R-77"]

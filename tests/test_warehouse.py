@@ -147,6 +147,12 @@ def test_an_append_writes_its_rows_alone(spark, store):
     assert len(parts) == 3 and all(spark.read.parquet(f"{store.root}/{p}").count() == 1 for p in parts)
     store.append("t", spark.createDataFrame([("9", "x")], "uuid string, extra string"), "me", "wider")
     assert store.read("t").where("uuid = '9' and n is null and extra = 'x'").count() == 1
+    store.update("t", spark.createDataFrame([("1", 7)], "uuid string, n int"), "me", "fix")
+    assert set(parts[:1] + parts[2:]) < set(store.tables()["t"]) and parts[1] not in store.tables()["t"]  # only the part that holds the row is written anew
+    store.delete("t", spark.createDataFrame([("2",)], "uuid string"), "me", "gone")
+    assert sorted((r.uuid, r.n) for r in store.read("t").where("n is not null").collect()) == [("0", 0), ("1", 7)]
+    store.append("t", rows(spark, ("2", "a", 2)), "me", "back")
+    store.append("t", rows(spark).limit(0), "me", "nothing")
     store.compact("t")
     assert len(store.tables()["t"]) == 1 and store.read("t").count() == 4
 

@@ -92,19 +92,12 @@ def test_archive_and_verified_removal(spark, tmp_path):
     assert not archive.inside("/a/b/../x", "/a/b") and not archive.inside("/a/bc", "/a/b") and not archive.inside("s3://h/a/b/c", "/a/b")
 
 
-def binary_workbook(pad: int) -> bytes:
-    """A BIFF8 workbook with each kind of cell and a string that goes over a record's end; pad makes it large or small."""
-    record = lambda kind, body: struct.pack("<HH", kind, len(body)) + body
-    strings = struct.pack("<II", 2, 2) + struct.pack("<HB", 4, 0) + b"Site" + struct.pack("<HB", 6, 1) + "Namé".encode("utf-16-le")
-    sst = record(0xFC, strings) + record(0x3C, b"\x00" + b"-x")
-    name = "Wasser".encode("utf-16-le")
-    cells = record(0x809, b"") + record(0xFD, struct.pack("<HHHI", 0, 0, 0, 1)) + record(0x203, struct.pack("<HHHd", 1, 2, 0, 0.1))
-    cells += record(0x27E, struct.pack("<HHHI", 2, 0, 0, 45802 << 2 | 2)) + record(0xBD, struct.pack("<HHHIHIH", 3, 1, 0, 150 << 2 | 3, 0, 7 << 2 | 2, 2))
-    cells += record(0x6, struct.pack("<HHH", 4, 0, 0) + b"\0" * 6 + b"\xff\xff") + record(0x207, struct.pack("<HB", 2, 0) + b"ok") + record(0x204, struct.pack("<HHHHB", 5, 0, 0, 1, 0) + b"z") + record(0xA, b"")
-    bound = lambda at: record(0x85, struct.pack("<IBBBB", at, 0, 0, 6, 1) + name)
-    head = record(0x809, b"") + sst
-    start = len(head) + len(bound(0)) + 4
-    book = head + bound(start) + record(0xA, b"") + cells + record(0x5C, b"\0" * pad)
+def record(kind, body):
+    return struct.pack("<HH", kind, len(body)) + body
+
+
+def compound(book: bytes) -> bytes:
+    """A compound file with one stream, in small sectors if it is short."""
     entry = lambda n, kind, first, size: (n.encode("utf-16-le") + b"\0\0").ljust(64, b"\0") + struct.pack("<HB", 2 * len(n) + 2, kind) + b"\0" * 49 + struct.pack("<IQ", first, size)
     free, end = 0xFFFFFFFF, 0xFFFFFFFE
     chain = lambda first, n: [*range(first + 1, first + n), end]
@@ -120,6 +113,40 @@ def binary_workbook(pad: int) -> bytes:
     return header + struct.pack("<128I", *fat, *[free] * (128 - len(fat))) + directory.ljust(512, b"\0") + mini_fat + book.ljust(512 * sectors, b"\0")
 
 
+def binary_book(sheets: list[tuple[str, list[tuple]]], strings: bytes = b"") -> bytes:
+    """A BIFF8 workbook of sheets with cells (row, column, text or number, from 0) or ready records."""
+    bodies = []
+    for _, cells in sheets:
+        body = record(0x809, b"")
+        for cell in cells:
+            if isinstance(cell, bytes):
+                body += cell
+            elif isinstance(cell[2], float):
+                body += record(0x203, struct.pack("<HHHd", *cell[:2], 0, cell[2]))
+            else:
+                body += record(0x204, struct.pack("<HHHHB", *cell[:2], 0, len(cell[2]), 0) + cell[2].encode("latin-1"))
+        bodies.append(body + record(0xA, b""))
+    bound = lambda name, at: record(0x85, struct.pack("<IBBBB", at, 0, 0, len(name), 1) + name.encode("utf-16-le"))
+    head = record(0x809, b"") + strings
+    at = len(head) + sum(len(bound(n, 0)) for n, _ in sheets) + 4
+    for (name, _), body in zip(sheets, bodies, strict=True):
+        head += bound(name, at)
+        at += len(body)
+    return compound(head + record(0xA, b"") + b"".join(bodies))
+
+
+def binary_workbook(pad: int) -> bytes:
+    """Each kind of cell and a string that goes over a record's end; pad makes it large or small."""
+    strings = struct.pack("<II", 2, 2) + struct.pack("<HB", 4, 0) + b"Site" + struct.pack("<HB", 6, 1) + "Namé".encode("utf-16-le")
+    sst = record(0xFC, strings) + record(0x3C, b"\x00" + b"-x")
+    cells = [
+        record(0xFD, struct.pack("<HHHI", 0, 0, 0, 1)), (1, 2, 0.1), record(0x27E, struct.pack("<HHHI", 2, 0, 0, 45802 << 2 | 2)),
+        record(0xBD, struct.pack("<HHHIHIH", 3, 1, 0, 150 << 2 | 3, 0, 7 << 2 | 2, 2)), record(0x6, struct.pack("<HHH", 4, 0, 0) + b"\0" * 6 + b"\xff\xff"),
+        record(0x207, struct.pack("<HB", 2, 0) + b"ok"), (5, 0, "z"), record(0x5C, b"\0" * pad),
+    ]
+    return binary_book([("Wasser", cells)], sst)
+
+
 @pytest.mark.parametrize("pad", [0, 5000])
 def test_binary_workbooks(pad):
     whole = binary_workbook(pad)
