@@ -92,11 +92,16 @@ def units_drift(old: DataFrame, new: DataFrame, key: str, unit: str) -> DataFram
     return old.select(key, unit).union(new.select(key, unit)).where(F.col(unit).isNotNull()).distinct()
 
 
-def checksum(rows: DataFrame) -> DataFrame:
-    """Count and an order-free fingerprint of a table: sum and exclusive or of 32 bits of each row's MD5, nulls as `?`."""
-    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in rows.columns])
+def fingerprint(columns: list[str]) -> list[Column]:
+    """Aggregates that tell tables apart in any order: n, and the sum (total) and exclusive or (mix) of 32 bits of each row's MD5, nulls as `?`."""
+    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in columns])
     h = F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
-    return rows.agg(F.count("*").alias("n"), F.sum(h).alias("total"), F.bit_xor(h).alias("mix"))
+    return [F.count("*").alias("n"), F.sum(h).alias("total"), F.bit_xor(h).alias("mix")]
+
+
+def checksum(rows: DataFrame) -> DataFrame:
+    """Count and order-free fingerprint of a table."""
+    return rows.agg(*fingerprint(rows.columns))
 
 
 def full_diff(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:

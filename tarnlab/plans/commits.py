@@ -485,11 +485,15 @@ def code_patterns(r: Roles) -> DataFrame:
     return r.table("orders").agg(F.count_if(code.rlike(text.NCP_CODE)).alias("n_ncp"), F.count_if(cas.rlike(text.CAS_NUMBER)).alias("n_cas"))
 
 
-@query("e26_counts_by_table", "SELECT 'feature' AS tbl, count(*) AS n, count(DISTINCT uuid) AS n_keys FROM feature UNION ALL SELECT 'feature_alias', count(*), count(DISTINCT uuid) FROM feature_alias UNION ALL SELECT 'sample', count(*), count(DISTINCT uuid) FROM sample UNION ALL SELECT 'analysis', count(*), count(DISTINCT uuid) FROM analysis")
-def counts_by_table(r: Roles) -> DataFrame:
+COUNTED = ("feature", "feature_alias", "sample", "analysis")
+
+
+@query("e26_counts_checksum", " UNION ALL ".join(f"SELECT '{n}' AS tbl, count(*) AS n, count(DISTINCT uuid) AS n_keys, CAST(sum(h) AS BIGINT) AS total, bit_xor(h) AS mix FROM (SELECT uuid, CAST('0x' || substr(md5(uuid), 1, 8) AS BIGINT) AS h FROM {n})" for n in COUNTED))
+def counts_checksum(r: Roles) -> DataFrame:
+    """Counts of tables with a fingerprint of their keys, whatever their order."""
     out = None
-    for name in ("feature", "feature_alias", "sample", "analysis"):
-        row = getattr(r, name).agg(F.lit(name).alias("tbl"), F.count("*").alias("n"), F.countDistinct("uuid").alias("n_keys"))
+    for name in COUNTED:
+        row = getattr(r, name).agg(F.lit(name).alias("tbl"), F.countDistinct("uuid").alias("n_keys"), *reg.fingerprint(["uuid"]))
         out = row if out is None else out.union(row)
     return out
 

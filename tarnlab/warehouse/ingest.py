@@ -223,6 +223,10 @@ def ingest_dir(
     stale = src.is_reconsidered(F.col("state"), F.col("reason")) if reconsider else F.lit(False)
     settled = written(recorded.where(~stale).select("hash", "state", "reason"), "ingest-settled")
     fresh = written(adapters.described(files.join(settled, "hash", "left_anti")), "ingest-described")
+    if fresh.isEmpty():  # nothing to decide; what an interrupted run left behind may still go
+        out = Outcome(dry_run)
+        pending = remove and snapshot and not dry_run and not archive.removable(store, files).isEmpty()
+        return _finished(store, files, settled.join(files.select("hash").distinct(), "hash", "left_semi"), out, path, snapshot if pending else None, remove)
     routed = written(src.route(fresh, src.claims(fresh, registry)), "ingest-routed")
 
     parsed = adapters.parse_claimed(fresh, routed, registry)
@@ -244,15 +248,22 @@ def ingest_dir(
             unread = others.union(failed).join(first_by(fresh, ["hash"], [F.col("path")]).select("hash", "work_order_guess", "revision_guess"), "hash")
             set_states(store, unread.withColumnsRenamed({"work_order_guess": "work_order", "revision_guess": "revision"}), actor)
             out.blocked, out.reviews_opened = commit_events(store, done, asm_files, actor, f"batch {path}")
-        if snapshot:
-            store.snapshot(snapshot)
-            out.snapshot = snapshot
-        if remove and snapshot:
+        return _finished(store, files, current_states(files.select("hash").distinct(), store.read("ingest_file")), out, path, snapshot, remove)
+    if store.exists("sample"):  # what the guard would stop, on reads alone
+        decisions = event.guard(done, asm_files, recorded, store.read("sample"), store.read("project"), store.read("asset"), known.stored)
+        out.blocked = [r.event for r in decisions.where("decision = 'blocked'").select("event").distinct().orderBy("event").collect()]
+    new = asm_files.select("hash", "state").union(others.union(failed).select("hash", "state"))
+    states = settled.select("hash", "state").join(files.select("hash").distinct(), "hash", "left_semi").union(new)
+    return _finished(store, files, states, out, path, None, False)
+
+
+def _finished(store: Store, files: DataFrame, states: DataFrame, out: Outcome, path: str, snapshot: str | None, remove: bool) -> Outcome:
+    """A batch's end: the snapshot, then the removal that it allows, and files by their states."""
+    if snapshot:
+        store.snapshot(snapshot)
+        out.snapshot = snapshot
+        if remove:
             out.removed = archive.remove(store, files, path)
-        states = current_states(files.select("hash").distinct(), store.read("ingest_file"))
-    else:
-        new = asm_files.select("hash", "state").union(others.union(failed).select("hash", "state"))
-        states = settled.select("hash", "state").join(files.select("hash").distinct(), "hash", "left_semi").union(new)
     out.files = {r.state: r["count"] for r in states.groupBy("state").count().collect()}
     return out
 

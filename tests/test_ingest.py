@@ -76,7 +76,9 @@ def test_redeliveries(spark, store, tmp_path):
     assert changed.rows == {("review", "value_conflict"): 1} and changed.reviews_opened == 1
     newer = ingest.ingest_dir(store, deliver(tmp_path / "d", value="0.9", revision=1, note="\n\n\n"))
     assert newer.rows == {("clean", "supersede"): 1} and values(store) == [(0.9, 1)]
-    other_day = ingest.ingest_dir(store, deliver(tmp_path / "e", when="09 May 2024 10:30", revision=1, note="\n\n\n\n"))
+    folder = deliver(tmp_path / "e", when="09 May 2024 10:30", revision=1, note="\n\n\n\n")
+    assert ingest.ingest_dir(store, folder, dry_run=True).blocked == ["wo::XX1234567"] and store.read("review_queue").where("kind = 'work_order_reingest'").count() == 0
+    other_day = ingest.ingest_dir(store, folder)
     assert other_day.blocked == ["wo::XX1234567"] and values(store) == [(0.9, 1)]
     assert store.read("review_queue").where("kind = 'work_order_reingest' and status = 'open'").count() == 1
     assert store.read("sample").count() == 1

@@ -131,7 +131,7 @@ def test_feature_resolution(spark):
 
 
 def test_best_source_and_orphans(spark):
-    f = spark.createDataFrame([("W", "h1", "als_xtab/1", 5, 1, 3), ("W", "h2", "esdat/1", 0, 2, 3), ("W", "h3", "esdat/1", 9, 3, 0), ("W", "h4", "acirl_field/1", None, 4, 0), (None, "h5", "other", None, 5, 1)],
+    f = spark.createDataFrame([("W", "h1", "als_xtab/1", 5, 1, 3), ("W", "h2", "esdat/1", 0, 2, 3), ("W", "h3", "esdat/1", 9, 3, 0), ("W", "h4", "acirl_field_xlsx/1", None, 4, 0), (None, "h5", "other", None, 5, 1)],
                               "home string, hash string, adapter string, revision int, pos int, n_results int")
     f = f.withColumn("event", assemble.event_id(F.col("home"), F.col("hash")))
     got = {r.hash: (r.event, r.kept) for r in assemble.best_source(f).collect()}
