@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch sent to Python: whole texts may be long, so few at a time.
@@ -184,6 +184,20 @@ def may_be_in(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("_word", word).join(F.broadcast(field), "_word").where(bit.bitwiseAND(F.col("_bits")) != 0).drop("_word", "_bits")
 
 
+def ordinals(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """df with `ordinal`, its row's place (from 0) in an order of all rows; ties have any order.
+
+    One exchange by ranges of the order; partitions are sorted and counted apart, and their first
+    places are broadcast, a row for each partition. Rows alike in all of the order stay in one
+    partition: end it with a hash of the row where many may be.
+    """
+    at = F.monotonically_increasing_id()  # a partition's number, then 33 bits of the place in it
+    df = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at), name).withColumn("_part", F.shiftright("_at", 33))
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = df.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_first"))
+    return df.join(F.broadcast(first), "_part").withColumn("ordinal", F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at", "_part", "_first")
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Label each node of the edges (a, b: long) by the least node that it reaches.
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, common, jaccard, langid, mpeg, packing, quality, sharding, substrings, warc
+from . import bpe, chat, common, jaccard, langid, mixing, mpeg, packing, quality, repair, resampling, sharding, substrings, warc
 
 #: Vocabulary files of public tokenizers; every executor has them.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -147,6 +147,61 @@ SELECT doc_id, n AS n_shingles, coalesce(component, doc_id) AS component_id FROM
 """
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(common.table(spark, sf_dir, "documents")).drop("taken_by")
+
+
+#: Sources above their cap come first in order of size by weight; the document at the threshold is taken if that brings its source nearer.
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+  substr(md5(concat_ws(':', '0', CAST(doc_id AS VARCHAR), text)), 1, 15) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS n, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM d GROUP BY 1),
+o AS (SELECT *, sum(n) OVER () AS total, coalesce(sum(3 * n) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+  sum(w) OVER (q ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM s WINDOW q AS (ORDER BY n * 1.0 / w, source NULLS LAST)),
+f AS (SELECT *, arg_min(CAST(total - capped AS DOUBLE), n * 1.0 / w) FILTER (3 * n * rest >= (total - capped) * w) OVER () AS shared,
+  arg_min(rest, n * 1.0 / w) FILTER (3 * n * rest >= (total - capped) * w) OVER () AS among FROM o),
+t AS (SELECT source, n, CASE WHEN shared IS NULL OR CAST(3 * n AS DOUBLE) * among < shared * w THEN 3.0 * n ELSE shared * w / among END AS target FROM f),
+p AS (SELECT *, CASE WHEN n = 0 THEN 0 ELSE CAST(floor(target / n) AS BIGINT) END AS passes FROM t),
+r AS (SELECT d.*, p.n, p.target, p.passes, p.target - p.passes * p.n AS need,
+  sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, CAST(target AS DOUBLE) AS target,
+  CAST(size * (passes + CASE WHEN need > 0 AND upto - size < need AND 2 * (need - (upto - size)) >= size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r
+"""
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report, _ = repair.repair(repair.damage(common.table(spark, sf_dir, "conversations")))
+    return report
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+#: The checksum of every different feature's bytes.
+OP13_SQL = r"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+w AS (SELECT doc_id, row_number() OVER () AS r, true AS raw, text FROM documents UNION ALL SELECT NULL, -row_number() OVER (), false, text FROM benchmark),
+ws AS (SELECT doc_id, r, raw, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM w),
+g AS (SELECT r, raw, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS gram FROM ws),
+b AS (SELECT gram, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(gram)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+    lambda c, x: xor(c >> 8, crc[1 + (xor(c, x) & 255)]))) % 10000 AS bucket FROM (SELECT DISTINCT gram FROM g), crc_table),
+n AS (SELECT r, raw, bucket FROM g JOIN b USING (gram)),
+c AS (SELECT bucket, count(*) FILTER (raw) AS s, count(*) FILTER (NOT raw) AS t FROM n GROUP BY 1),
+gain AS (SELECT bucket, floor(1000 * ln((CAST(t + 1 AS DOUBLE) * CAST(sum(s) OVER () + 10000 AS DOUBLE)) / (CAST(s + 1 AS DOUBLE) * CAST(sum(t) OVER () + 10000 AS DOUBLE)))) AS gain FROM c),
+weight AS (SELECT r, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM n JOIN gain USING (bucket) WHERE raw GROUP BY 1),
+scored AS (SELECT doc_id, len(ws) AS words, CAST(greatest(2 * len(ws) - 1, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM ws LEFT JOIN weight USING (r) WHERE raw),
+placed AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) FILTER (words >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM placed
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -159,8 +214,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_histogram_shards": op9_histogram_shards,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_source_mix": op11_source_mix,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_importance_resampling": op13_importance_resampling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op5_chat_format": OP5_SQL, "op9_histogram_shards": OP9_SQL, "op10_jaccard_join": OP10_SQL}
+    return {"op3_warc": OP3_SQL, "op5_chat_format": OP5_SQL, "op9_histogram_shards": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_source_mix": OP11_SQL, "op13_importance_resampling": OP13_SQL}
