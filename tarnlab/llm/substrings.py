@@ -25,12 +25,14 @@ from . import common
 #: A word start is a cut if these bits of the hash are zero: a chunk has 4 words on average.
 MASK = 0x6000
 #: Where no word starts, any character may be a cut, if all these bits are zero.
-RARE = 0xFF00
+RARE = 0xFC00
 MIN_BYTES = 12
 #: Longer chunks are cut at rare places, and at twice this length in any case.
 MAX_BYTES = 512
 #: Words that chunks which follow each other earlier too must have to be removed.
 MIN_WORDS = 20
+#: In text without spaces, of a word's characters beyond the first LONG_WORD each CHARS count as a word.
+LONG_WORD, CHARS = 30, 5
 
 _GEAR = np.frombuffer(hashlib.shake_128(b"gear").digest(512), "<u2")
 _SPACE = np.zeros(256, bool)
@@ -99,22 +101,35 @@ def chunk_keys(content: bytes, edges: list[int]) -> list[bytes]:
     return [hashlib.blake2b(content[a:b].strip(), digest_size=8).digest() for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def chunk_words(content: bytes, edges: np.ndarray) -> np.ndarray:
-    """For each chunk twice the number of words that start in it, plus 1 if it begins inside a word."""
-    word = ~_SPACE[np.frombuffer(content, np.uint8)]
+def measured(content: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Fifths (1 / CHARS) of words before each byte and before the end; and whether a byte is inside a word that began before it.
+
+    A word counts where it starts, and its characters beyond the first LONG_WORD count a fifth each: so
+    100 such characters without a space are as much as MIN_WORDS words.
+    """
+    data = np.frombuffer(content, np.uint8)
+    word = ~_SPACE[data]
     start = word.copy()
     start[1:] &= ~word[:-1]
-    before = np.concatenate([[0], np.cumsum(start)])
-    at = edges[:-1]
-    return 2 * np.diff(before[edges]) + (word[at] & ~start[at])
+    first = word & ((data & 0xC0) != 0x80)  # of a character
+    nth = np.cumsum(first)
+    begun = np.maximum.accumulate(np.where(start, nth, 0))  # the number of the word's first character
+    units = CHARS * start + (first & (nth - begun >= LONG_WORD))
+    return np.concatenate([[0], np.cumsum(units)]), word & ~start
+
+
+def chunk_words(content: bytes, edges: np.ndarray) -> np.ndarray:
+    """For each chunk twice the measure (fifths of words) of what starts in it, plus 1 if it begins inside a word."""
+    before, inside = measured(content)
+    return 2 * np.diff(before[edges]) + inside[edges[:-1]]
 
 
 def windows(words: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
     """First and last chunks of the least windows with min_words words, of chunks that follow each other.
 
-    From each chunk forward and from each chunk back, so that those in a run with min_words words cover it.
+    A word in which the first chunk begins counts too. From each chunk forward and from each chunk back, so that those in a run with min_words words cover it.
     """
-    inside, n, least = words & 1, len(words), max(1, min_words)
+    inside, n, least = CHARS * (words & 1), len(words), CHARS * max(1, min_words)
     before = np.concatenate([[0], np.cumsum(words >> 1)])
     i = np.arange(n)
     last = np.maximum(np.searchsorted(before, before[:-1] + least - inside) - 1, i)
@@ -128,7 +143,7 @@ def run_windows(places: np.ndarray, words: np.ndarray, min_words: int) -> Iterat
     """The windows of each run of neighbours among places (ascending), as positions there; words: of those places."""
     breaks = [0, *(np.flatnonzero(np.diff(places) != 1) + 1).tolist(), len(places)]
     for a, b in zip(breaks, breaks[1:], strict=False):
-        if (words[a:b] + 1 >> 1).sum() >= min_words:
+        if ((words[a:b] >> 1) + CHARS * (words[a:b] & 1)).sum() >= CHARS * min_words:
             yield from ((a + i, a + j) for i, j in windows(words[a:b], min_words))
 
 
@@ -209,12 +224,15 @@ def all_copies(content: bytes, edges: list[int], given: list[tuple[int, int]] =
 def removed_spans(content: bytes, edges: list[int], copied: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
     """Byte spans of the runs of copied chunks (ascending) with at least min_words words."""
     spans, i = [], 0
+    if not copied:
+        return spans
+    before, inside = measured(content)
     while i < len(copied):
         j = i
         while j + 1 < len(copied) and copied[j + 1] == copied[j] + 1:
             j += 1
         a, b = edges[copied[i]], edges[copied[j] + 1]
-        if len(content[a:b].split()) >= min_words:
+        if before[b] - before[a] + CHARS * inside[a] >= CHARS * min_words:
             spans.append((a, b))
         i = j + 1
     return spans
@@ -254,7 +272,7 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
     Returns doc_id, text (without its removed spans), n_chunks, n_copied (chunks of those
     spans: single chunks that occur elsewhere say nothing), removed_bytes, spans ([start, end) in UTF-8 bytes of the original).
     Documents go by id (null ids last), different texts of one id by a hash of the text. What goes are windows of chunks
-    with min_words words that follow each other in the same way at an earlier place, in
+    with min_words words (`measured`, so unspaced scripts count by characters) that follow each other in the same way at an earlier place, in
     the same text too; chunks copied from different places add up to nothing. Rows alike in id and text are
     one document twice and get the same result (neither is a copy of the other). Null and empty texts come back
     unchanged; very long ones are cut and compared whole. An empty table gives an empty result; of the other columns those named
@@ -276,9 +294,11 @@ def dedup_substrings(df: DataFrame, min_words: int = MIN_WORDS, carry: tuple[str
     )  # no more than a document has chunks
     places = common.materialize(places, "substring-places")
     found = places.mapInArrow(_windows(min_words), "row long, tk long, start int, end int, high long, low long")
-    earlier = found.groupBy("high", "low").agg(F.min(key).alias("first"), F.max(key).alias("last")).where("first < last")
+    found = common.materialize(found.select("row", "tk", "start", "end", F.struct("high", "low").alias("window")), "substring-windows")
+    earlier = found.groupBy("window").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("rows")).where("first < last")
+    earlier = common.materialize(earlier.select("window", "first", "rows"), "substring-earlier")
     copies = (
-        found.join(earlier, ["high", "low"])
+        common.hot_join(found, earlier, "window", drop="rows")  # a passage of very many documents is one window
         .where(key != F.col("first"))
         .groupBy("row", "tk")
         .agg(F.collect_set(F.struct("start", "end")).alias("windows"))

@@ -129,17 +129,27 @@ def test_phrases_from_different_places_stay(spark):
     assert len(gone) == 1 and gone[0] in repeated and len(gone[0].split()) > 60
 
 
+def fifths(text):
+    """What each byte of a text counts: five where a word starts, one for its characters after the thirtieth; and whether it is inside a word."""
+    units, inside, nth = [], [], 0
+    for c in text:
+        nth = 0 if c in " \t\n\x0b\x0c\r" else nth + 1
+        units += [5 if nth == 1 else int(nth > 30)] + [0] * (len(c.encode()) - 1)
+        inside += [nth > 1] * len(c.encode())
+    return units, inside
+
+
 def plain(rows):
-    """Which chunks go, by comparing every run of chunks with 20 words and those before it."""
+    """Which chunks go, by comparing every run of chunks with 20 words, or as much without spaces, and those before it."""
     seen, out = set(), {}
     for i, text in sorted({r for r in rows if r[0] is not None and r[1]}):
         content = text.encode()
         e = sub.cuts(content).tolist()
         chunks = [content[a:b].strip() for a, b in zip(e, e[1:], strict=False)]
-        gone = set()
+        gone, (units, inside) = set(), fifths(text)
         for a in range(len(chunks)):
             for b in range(a, min(len(chunks), a + 12)):
-                if len(content[e[a] : e[b + 1]].split()) >= sub.MIN_WORDS:
+                if sum(units[e[a] : e[b + 1]]) + 5 * inside[e[a]] >= 100:
                     if (run := tuple(chunks[a : b + 1])) in seen:
                         gone.update(range(a, b + 1))
                     seen.add(run)
@@ -168,3 +178,33 @@ def test_different_texts_of_one_id(spark):
     assert all(own[1] in r.text and own[0] not in r.text and r.removed_bytes > 300 for r in got if r.source == rows[1][1])
     both = sorted(by[t].removed_bytes for _, t in rows[3:5])
     assert both[0] == 0 and both[1] > 600  # copies between texts of one id
+
+
+def test_unspaced_scripts_count_by_characters(spark):
+    """A passage of 800 characters without a space stands in two documents: it goes from the second, but for its edges."""
+    rng = random.Random(21)
+    text = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    passage, own = text(800), [text(900) for _ in range(4)]
+    rows = [(0, own[0] + passage + own[1]), (1, own[2] + passage + own[3]), (2, text(2000)), (3, "kurze Wörter " + own[0][:60])]
+    got = {r.doc_id: r for r in sub.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].removed_bytes == got[2].removed_bytes == got[3].removed_bytes == 0
+    assert 0.5 * 2400 < got[1].removed_bytes <= 2400 and own[2] in got[1].text and own[3] in got[1].text
+
+
+def test_a_passage_of_very_many_documents(spark, monkeypatch):
+    """Windows of many rows are joined by broadcast, others by shuffle: the result is one."""
+    rng = random.Random(22)
+    passages = [sentence(rng, 80) for _ in range(3)]
+    rows = [(i, sentence(rng, 20) + f" own{i} " + passages[0 if i % 3 else i % 7 % 3]) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = {r.doc_id: r.text for r in sub.dedup_substrings(df).collect()}
+    monkeypatch.setattr(sub.common, "HOT_ROWS", 10)
+    monkeypatch.setattr(sub.common, "HOT_KEYS", 4)
+    assert {r.doc_id: r.text for r in sub.dedup_substrings(df).collect()} == plain
+    assert all(sum(p in t for t in plain.values()) == 1 for p in passages)
+
+
+def test_measure():
+    count = lambda t: sub.measured(t.encode())[0][-1] / sub.CHARS
+    assert count("one two  three\n") == 3 and count("x" * 30) == 1 and count("x" * 35) == 2
+    assert count("语" * 130) == 21 and count(" ") == 0 and count("a " + "é" * 31) == 2.2
