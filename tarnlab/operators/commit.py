@@ -14,17 +14,19 @@ from .joins import first_by
 def materialise_aliases(pending: DataFrame, alias: DataFrame) -> DataFrame:
     """The dangling alias of each pending key: the least existing one with more sightings, or a new one.
 
-    pending: alias_key, name, date, datetime. Sightings are distinct (date, datetime).
+    pending: alias_key, name, date, datetime. Sightings are distinct (date, datetime). date_start is
+    the first date of all; a stored one only moves to an earlier date.
     Returns alias_key, uuid, n_seen, date_start, is_new.
     """
     g = pending.where("alias_key is not null").groupBy("alias_key").agg(
         F.countDistinct(F.struct("date", "datetime")).alias("n"), F.min("date").alias("date_start")
     )
-    old = alias.where("uuid_feature is null").groupBy(F.col("alias_key").alias("_k")).agg(F.min(F.struct("uuid", "n_seen")).alias("_o"))
+    first = F.col("date_start") if "date_start" in alias.columns else F.lit(None).cast("date").alias("date_start")
+    old = alias.where("uuid_feature is null").groupBy(F.col("alias_key").alias("_k")).agg(F.min(F.struct(F.col("uuid"), F.col("n_seen"), first)).alias("_o"))
     out = g.join(old, F.col("alias_key") == F.col("_k"), "left")
     made = F.concat(F.lit("fa-"), F.substring(F.sha2("alias_key", 256), 1, 16))
     return out.select(
-        "alias_key", F.coalesce("_o.uuid", made).alias("uuid"), (F.col("n") + F.coalesce("_o.n_seen", F.lit(0))).alias("n_seen"), "date_start",
+        "alias_key", F.coalesce("_o.uuid", made).alias("uuid"), (F.col("n") + F.coalesce("_o.n_seen", F.lit(0))).alias("n_seen"), F.least("date_start", "_o.date_start").alias("date_start"),
         F.col("_o").isNull().alias("is_new"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, text, values
+from ..warehouse.scratch import written
 from . import grids
 
 KEYS = ["file", "sheet"]
@@ -45,21 +46,21 @@ def water_sheet(cells: DataFrame, allowed: DataFrame) -> DataFrame:
     a header give no_site_row. Returns file, sheet, source_ref, kind, analyte_raw, units_raw,
     feature_raw, sample_date_raw, value_raw, parsed.
     """
-    c = cells.where("trim(coalesce(v, '')) <> ''").withColumn("v", F.trim("v"))
+    c = written(cells.where("trim(coalesce(v, '')) <> ''").withColumn("v", F.trim("v")), "water-cells")
     head = grids.first_cell(c, r"^Site Name\b").select(*KEYS, F.col("r").alias("r0"), F.col("c").alias("c0"))
-    c = c.join(head, KEYS, "left")
-    none = c.where("r0 is null").select(*KEYS).distinct().withColumn("kind", F.lit("no_site_row"))
-    c = c.where("r0 is not null")
-
-    samples = c.where("r = r0 and c > c0 + 1").select(*KEYS, "c", F.col("v").alias("feature_raw"))
-    marks = c.where("c = c0 and r <> r0").where(F.col("v").rlike(r"(?i)\bdate\b"))
+    marks = c.join(head, KEYS).where("c = c0 and r <> r0").where(F.col("v").rlike(r"(?i)\bdate\b"))
     pick = marks.groupBy(*KEYS).agg(
         F.coalesce(F.max(F.when(F.col("r") < F.col("r0"), F.col("r"))), F.min(F.when(F.col("r") > F.col("r0"), F.col("r")))).alias("date_r")
     )
-    at_date = c.join(pick, KEYS).where("r = date_r").select(*KEYS, "c", F.col("v").alias("_d"))
+    # every cell with what its sheet's marks say, once
+    c = written(c.join(head.join(pick, KEYS, "left"), KEYS, "left"), "water-marked")
+    none = c.where("r0 is null").select(*KEYS).distinct().withColumn("kind", F.lit("no_site_row"))
+
+    samples = c.where("r = r0 and c > c0 + 1").select(*KEYS, "c", F.col("v").alias("feature_raw"))
+    at_date = c.where("r = date_r").select(*KEYS, "c", F.col("v").alias("_d"))
     samples = samples.join(at_date, [*KEYS, "c"], "left").withColumn("sample_date_raw", date_text(grids.carried(F.col("_d"), KEYS, "c"))).drop("_d")
 
-    lines = c.join(pick, KEYS, "left").where("r > r0 and (date_r is null or r <> date_r)")
+    lines = c.where("r > r0 and (date_r is null or r <> date_r)")
     body = lines.join(samples, [*KEYS, "c"], "left")
     per_line = body.groupBy(*KEYS, "r").agg(
         F.max(F.when(F.col("c") == F.col("c0"), F.col("v"))).alias("analyte_raw"),

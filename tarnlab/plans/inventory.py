@@ -317,15 +317,6 @@ def twins(r: Roles) -> DataFrame:
     return out.where("action = 'skip'").select("row", "twin")
 
 
-@query("d16_existing_samples", "SELECT i.row, min(e.uuid_sample) AS uuid_sample FROM incoming i JOIN stored e ON i.point = e.point AND i.date = e.date AND i.datetime IS NOT DISTINCT FROM e.datetime GROUP BY 1")
-def existing_samples(r: Roles) -> DataFrame:
-    keys = ["point", "date", "datetime"]
-    old = r.stored.select(*keys, F.col("uuid_sample").alias("uuid"))
-    found = store.find_or_create(r.incoming, old, keys, "n").where("not is_new").select(*[F.col(k).alias(f"k_{k}") for k in keys], F.col("uuid").alias("uuid_sample"))
-    on = (F.col("point") == F.col("k_point")) & (F.col("date") == F.col("k_date")) & F.col("datetime").eqNullSafe(F.col("k_datetime"))
-    return r.incoming.drop("uuid_sample").join(found, on).select("row", "uuid_sample")
-
-
 @query("d23_dependents", "SELECT m.uuid, 'analysis' AS tbl, 'uuid_lab' AS field, a.uuid AS uuid_row FROM lab_method m JOIN analysis a ON a.uuid_lab = m.uuid WHERE m.rl_low > 25")
 def dependents(r: Roles) -> DataFrame:
     return edits.dependents(lambda n: getattr(r, n), "lab_method", r.lab_method.where("rl_low > 25"))

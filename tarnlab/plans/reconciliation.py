@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import values
+from ..functions import dates, values
 from ..operators import assemble as asm
-from ..operators import grids
+from ..operators import grids, samples
 from ..operators import reconcile as rc
 from ..operators import registry as reg
 from ..operators import reviews as rv
@@ -64,10 +64,13 @@ def units_cascade(r: Roles) -> DataFrame:
 @query(
     "f06_method_preference",
     """SELECT source_ref, first_value(uuid_lab) OVER w AS kept_uuid_lab, coalesce(point IS NOT NULL AND date IS NOT NULL AND uuid_analyte IS NOT NULL AND uuid_lab <> first_value(uuid_lab) OVER w, FALSE) AS is_loser
-FROM incoming WINDOW w AS (PARTITION BY point, date, uuid_analyte, CASE WHEN point IS NULL OR date IS NULL OR uuid_analyte IS NULL THEN source_ref END ORDER BY rl_low ASC NULLS LAST, value DESC NULLS LAST, source_ref ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+FROM (SELECT i.* REPLACE (m.rl_low AS rl_low) FROM incoming i LEFT JOIN lab_method m ON i.uuid_lab = m.uuid) WINDOW w AS (PARTITION BY point, date, uuid_analyte, CASE WHEN point IS NULL OR date IS NULL OR uuid_analyte IS NULL THEN source_ref END ORDER BY rl_low ASC NULLS LAST, value DESC NULLS LAST, source_ref ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
 )
 def method_preference(r: Roles) -> DataFrame:
-    return rc.method_preference(r.incoming).select("source_ref", "kept_uuid_lab", "is_loser")
+    """The limits are those of the registered methods, not those that rows state."""
+    limit = r.lab_method.select(F.col("uuid").alias("uuid_lab"), F.col("rl_low").alias("_limit"))
+    rows = r.incoming.join(limit, "uuid_lab", "left").withColumn("rl_low", F.col("_limit"))
+    return rc.method_preference(rows).select("source_ref", "kept_uuid_lab", "is_loser")
 
 
 MATCH = """
@@ -104,13 +107,13 @@ def outcome_counts(r: Roles) -> DataFrame:
 @query(
     "f07_batch_duplicates",
     """WITH b AS (SELECT *, row_number() OVER (PARTITION BY uuid_alias, date ORDER BY row) AS pos FROM incoming),
-w AS (SELECT *, first_value(pos) OVER g AS p0, first_value(datetime) OVER g AS t0, min(pos) OVER (PARTITION BY uuid_alias, date, uuid_analyte, CASE WHEN uuid_analyte IS NULL THEN pos END, datetime) AS pt FROM b
-  WINDOW g AS (PARTITION BY uuid_alias, date, uuid_analyte, CASE WHEN uuid_analyte IS NULL THEN pos END ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+w AS (SELECT *, first_value(pos) OVER g AS p0, first_value(datetime) OVER g AS t0, min(pos) OVER (PARTITION BY uuid_alias, date, uuid_analyte, uuid_lab, CASE WHEN uuid_analyte IS NULL THEN pos END, datetime) AS pt FROM b
+  WINDOW g AS (PARTITION BY uuid_alias, date, uuid_analyte, uuid_lab, CASE WHEN uuid_analyte IS NULL THEN pos END ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
 SELECT row, CAST(nullif(CASE WHEN t0 IS NULL OR datetime IS NULL THEN p0 ELSE pt END, pos) AS INTEGER) AS duplicate_of FROM w""",
 )
 def batch_duplicates(r: Roles) -> DataFrame:
     rows = r.incoming.withColumn("pos", F.row_number().over(Window.partitionBy("uuid_alias", "date").orderBy("row")))
-    return rc.batch_duplicates(rows, ["uuid_alias", "date", "uuid_analyte"]).select("row", "duplicate_of")
+    return rc.batch_duplicates(rows, ["uuid_alias", "date", "uuid_analyte", "uuid_lab"]).select("row", "duplicate_of")
 
 
 @query(
@@ -127,12 +130,38 @@ def twin_supersession(r: Roles) -> DataFrame:
     return out.select("row", "twin", "action")
 
 
+#: Stored visits of every other order, and the incoming rows, by quarters, so that several samples share a point and a day.
+VISITS = """
+visits AS (SELECT s.uuid, coalesce(fa.uuid_feature, fa.uuid) AS point, CAST(date_trunc('quarter', CAST(s.stamp AT TIME ZONE 'UTC' AT TIME ZONE 'Australia/Sydney' AS DATE)) AS DATE) AS date, s.datetime
+  FROM sample s JOIN feature_alias fa ON s.uuid_feature_alias = fa.uuid WHERE CAST(substr(s.uuid, 2) AS BIGINT) % 2 = 0),
+coming AS (SELECT row, point, CAST(date_trunc('quarter', date) AS DATE) AS date, datetime FROM incoming),
+pairs AS (SELECT i.row, i.datetime AS t, v.uuid, v.datetime AS vt FROM coming i LEFT JOIN visits v ON i.point = v.point AND i.date = v.date),
+seen AS (SELECT row, any_value(t) AS t, count(uuid) AS n, count(*) FILTER (uuid IS NOT NULL AND vt IS NULL) AS undated, count(*) FILTER (vt = t) AS same, min(uuid) FILTER (vt = t) AS same_uuid, min(uuid) AS least FROM pairs GROUP BY row),
+judged AS (SELECT *, CASE WHEN n = 0 OR (t IS NOT NULL AND undated = 0 AND same = 0) THEN 'create' WHEN CASE WHEN same > 0 THEN same ELSE n END > 1 THEN 'refuse' ELSE 'reuse' END AS verdict FROM seen)
+"""
+
+
+def visits(r: Roles) -> DataFrame:
+    s = r.sample.where(F.substring("uuid", 2, 20).cast("bigint") % 2 == 0).withColumnRenamed("uuid", "uuid_sample")
+    out = s.join(r.feature_alias.select(F.col("uuid").alias("uuid_feature_alias"), "uuid_feature"), "uuid_feature_alias")
+    return out.select(F.col("uuid_sample").alias("uuid"), F.coalesce("uuid_feature", "uuid_feature_alias").alias("point"), F.trunc(dates.civil_date(F.col("stamp")), "quarter").alias("date"), "datetime")
+
+
+def coming(r: Roles) -> DataFrame:
+    return r.incoming.select("row", "point", F.trunc("date", "quarter").alias("date"), "datetime")
+
+
 @query(
-    "d18_unmatched_rows",
-    "SELECT i.row FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM stored e WHERE e.point = i.point AND e.date = i.date AND e.datetime = i.datetime)",
+    "d16_existing_samples",
+    f"WITH {VISITS} SELECT row, verdict, CASE WHEN verdict = 'reuse' THEN CASE WHEN same > 0 THEN same_uuid ELSE least END END AS uuid_sample FROM judged",
 )
+def existing_samples(r: Roles) -> DataFrame:
+    return samples.existing(coming(r), visits(r))
+
+
+@query("d18_unmatched_rows", f"WITH {VISITS} SELECT row FROM judged WHERE verdict = 'create'")
 def unmatched_rows(r: Roles) -> DataFrame:
-    return r.incoming.join(r.stored.select("point", "date", "datetime"), ["point", "date", "datetime"], "left_anti").select("row")
+    return samples.existing(coming(r), visits(r)).where("verdict = 'create'").select("row")
 
 
 @query(
@@ -150,13 +179,31 @@ def merge_actions(r: Roles) -> DataFrame:
 
 @query(
     "p13_find_or_create_samples",
-    """WITH k AS (SELECT DISTINCT point, date, datetime FROM incoming), e AS (SELECT point, date, datetime, min(uuid_sample) AS u FROM stored WHERE revision > 2 GROUP BY ALL)
-SELECT CAST(k.date AS VARCHAR) AS day, count(*) AS n, count(*) FILTER (e.u IS NULL) AS n_new, min(e.u) AS least FROM k LEFT JOIN e ON k.point = e.point AND k.date = e.date AND k.datetime IS NOT DISTINCT FROM e.datetime GROUP BY 1""",
+    f"""WITH RECURSIVE {VISITS},
+k AS (SELECT *, row_number() OVER (PARTITION BY point, date ORDER BY row) AS pos FROM (SELECT point, date, datetime, min(row) AS row FROM coming GROUP BY ALL)),
+kept AS (SELECT point, date, list({{'u': uuid, 't': datetime}}) AS have FROM visits GROUP BY 1, 2),
+steps AS (
+  SELECT p.point, p.date, CAST(0 AS BIGINT) AS pos, coalesce(have, []) AS have, CAST(NULL AS VARCHAR) AS row, CAST(NULL AS TIMESTAMP) AS t, CAST(NULL AS VARCHAR) AS verdict, CAST(NULL AS VARCHAR) AS u FROM (SELECT DISTINCT point, date FROM k) p LEFT JOIN kept ON p.point = kept.point AND p.date = kept.date
+  UNION ALL
+  SELECT point, date, pos, CASE WHEN verdict = 'create' THEN list_append(have, {{'u': 'made ' || row, 't': t}}) ELSE have END, row, t, verdict,
+    CASE verdict WHEN 'create' THEN 'made ' || row WHEN 'reuse' THEN left_[1].u END
+  FROM (SELECT *, CASE WHEN len(have) = 0 OR (t IS NOT NULL AND len(same) = 0 AND len(list_filter(have, lambda h: h.t IS NULL)) = 0) THEN 'create' WHEN len(left_) > 1 THEN 'refuse' ELSE 'reuse' END AS verdict
+    FROM (SELECT *, CASE WHEN len(same) > 0 THEN same ELSE have END AS left_ FROM (
+      SELECT s.point, s.date, k.pos, s.have, k.row, k.datetime AS t, list_filter(s.have, lambda h: coalesce(h.t = k.datetime, FALSE)) AS same
+      FROM steps s JOIN k ON k.point = s.point AND k.date = s.date AND k.pos = s.pos + 1))))
+SELECT c.point, c.date, count(*) FILTER (verdict = 'refuse') AS n_refused, count(*) FILTER (u LIKE 'made %') AS n_of_new, count(DISTINCT u) FILTER (u LIKE 'made %') AS n_made,
+  count(*) FILTER (u NOT LIKE 'made %') AS n_of_old, min(u) FILTER (u NOT LIKE 'made %') AS least
+  FROM coming c JOIN steps s ON c.point = s.point AND c.date = s.date AND c.datetime IS NOT DISTINCT FROM s.t AND s.pos > 0 GROUP BY 1, 2""",
 )
 def find_or_create_samples(r: Roles) -> DataFrame:
-    old = r.stored.where("revision > 2").select("point", "date", "datetime", F.col("uuid_sample").alias("uuid"))
-    out = store.find_or_create(r.incoming, old, ["point", "date", "datetime"], "n")
-    return out.groupBy(F.col("date").cast("string").alias("day")).agg(F.count("*").alias("n"), F.count_if("is_new").alias("n_new"), F.min(F.when(~F.col("is_new"), F.col("uuid"))).alias("least"))
+    """The SQL takes the instants of each visit one by one."""
+    rows = coming(r)
+    out = samples.assigned(rows, visits(r), "made ").join(rows.select("row", "point", "date"), "row")
+    new = F.col("uuid_sample").like("made %")
+    return out.groupBy("point", "date").agg(
+        F.count_if(F.col("verdict") == "refuse").alias("n_refused"), F.count_if(new).alias("n_of_new"), F.countDistinct(F.when(new, F.col("uuid_sample"))).alias("n_made"), F.count_if(~new).alias("n_of_old"),
+        F.min(F.when(~new, F.col("uuid_sample"))).alias("least"),
+    )
 
 
 @query(
@@ -382,17 +429,23 @@ def route_files(r: Roles) -> DataFrame:
     return src.route(files, src.claims(files, registry))
 
 
+STATES = ("seen", "claimed", "parsed", "assembled", "reconciled", "needs_review", "committed", "archived", "ignored", "quarantined", "failed")
+
+
 @query(
     "ext_state_transitions",
-    """WITH s AS (SELECT unnest(['seen', 'claimed', 'parsed', 'assembled', 'reconciled', 'needs_review', 'committed', 'archived', 'ignored', 'quarantined', 'failed']) AS st), e AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
-SELECT a.st AS old, b.st AS new, coalesce((a.st, b.st) IN (('seen','claimed'),('seen','ignored'),('seen','quarantined'),('claimed','parsed'),('claimed','ignored'),('claimed','quarantined'),('parsed','assembled'),('parsed','ignored'),('assembled','reconciled'),('assembled','ignored'),('reconciled','needs_review'),('reconciled','committed'),('needs_review','committed'),('committed','archived'))
-  OR (b.st = 'failed' AND a.st NOT IN ('archived', 'ignored', 'quarantined', 'failed')), FALSE) AS valid FROM s a, s b""",
+    f"""WITH e AS (SELECT user_id, event_id, list_extract({list(STATES)}, CAST((event_id * 7 + user_id) % 11 + 1 AS INT)) AS st FROM events), p AS (SELECT lag(st) OVER (PARTITION BY user_id ORDER BY event_id) AS old, st AS new FROM e),
+v AS (SELECT old, new, CASE WHEN old IS NULL THEN new = 'seen' ELSE coalesce((old, new) IN (('seen','claimed'),('seen','ignored'),('seen','quarantined'),('claimed','parsed'),('claimed','ignored'),('claimed','quarantined'),('parsed','assembled'),('parsed','ignored'),('assembled','reconciled'),('assembled','ignored'),('reconciled','needs_review'),('reconciled','committed'),('needs_review','committed'),('committed','archived'))
+  OR (new = 'failed' AND old NOT IN ('archived', 'ignored', 'quarantined', 'failed')), FALSE) END AS valid FROM p)
+SELECT old, new, valid, count(*) AS n FROM v GROUP BY ALL""",
 )
 def state_transitions(r: Roles) -> DataFrame:
-    """The state machine as a table of all pairs (a fixed set of 11 states)."""
-    states = ["seen", "claimed", "parsed", "assembled", "reconciled", "needs_review", "committed", "archived", "ignored", "quarantined", "failed"]
-    a = r.spark.createDataFrame([(x, y) for x in states for y in states], "old string, new string")
-    return a.select("old", "new", store.valid_transition(F.col("old"), F.col("new")).alias("valid"))
+    """Events as reports of states: each with the one before it of the same user, and whether that step is legal."""
+    at = ((F.col("event_id") * 7 + F.col("user_id")) % 11).cast("int")
+    new = F.get(F.array(*map(F.lit, STATES)), at)
+    old = F.lag(new).over(Window.partitionBy("user_id").orderBy("event_id"))
+    steps = r.table("events").select(old.alias("old"), new.alias("new"))
+    return steps.groupBy("old", "new", store.valid_transition(F.col("old"), F.col("new")).alias("valid")).agg(F.count("*").alias("n"))
 
 
 @query("b06_upsert", "SELECT uuid, CASE WHEN revision > 5 THEN value * 2 ELSE value END AS value FROM analysis UNION ALL SELECT 'new' || o_orderkey, o_totalprice FROM orders")

@@ -18,9 +18,11 @@ def query(name: str, sql: str | None = None):
     def add(f: Callable[[Roles], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: f(Roles(spark, sf_dir))
         if sql:
-            body = sql.strip()
+            body, start = sql.strip(), "WITH"
+            if body.startswith("WITH RECURSIVE "):
+                body, start = f"WITH {body[15:]}", "WITH RECURSIVE"
             joined = f", {body[5:]}" if body.upper().startswith("WITH ") else body
-            SQL[name] = f"WITH {ROLES_SQL.strip()}\n{joined}"
+            SQL[name] = f"{start} {ROLES_SQL.strip()}\n{joined}"
         return f
 
     return add

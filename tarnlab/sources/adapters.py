@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, values
 from ..operators import grids, workbook
+from ..warehouse.scratch import written
 from . import readers
 from .files import Adapter, Registry
 
@@ -25,6 +26,10 @@ WORKGROUP = "Workgroup:"
 BUILT_IN_VERSION = "1.0"
 FIELD_SHAPED = r"(^|[^0-9])2400-?[0-9]{4}"
 
+# Types of deliverables that no adapter reads, by the ends of their names, and the token that marks them.
+DELIVERABLE = r"(?i)_(coa|coc|qc|qci|xtab)\b"
+ASSET_TYPES = (("coa", "Certificate of analysis"), ("qci", "QC"), ("qc", "QC"), ("coc", "QA"), ("xtab", "Chemical analysis"))
+
 RESULTS = (
     "source_hash string, source_ref string, adapter string, work_order string, org string, lab_sample_id string, sample_type string, feature_raw string, "
     "analyte_raw string, cas_number string, method_raw string, units_raw string, value_raw string, limit_raw string, sample_datetime_raw string, comments string"
@@ -38,6 +43,19 @@ def is_field_shaped(filename: Column) -> Column:
     return F.coalesce(filename.rlike(FIELD_SHAPED), F.lit(False))
 
 
+def is_deliverable(filename: Column) -> Column:
+    """Whether a file's name is that of a laboratory's document: with such a token, or a field job's number."""
+    return F.coalesce(filename.rlike(DELIVERABLE), F.lit(False)) | is_field_shaped(filename)
+
+
+def asset_type(filename: Column) -> Column:
+    """The type under which a document is kept."""
+    kind = F.lit("Chemical analysis")
+    for token, name in reversed(ASSET_TYPES):
+        kind = F.when(filename.rlike(rf"(?i)_{token}(\[[0-9]+\])?\.[a-z0-9]+$"), name).otherwise(kind)
+    return kind
+
+
 def has_units_marker(cells: DataFrame) -> DataFrame:
     """Sheets (file, sheet) with a cell that reads Units near the top."""
     return cells.where((F.col("r") <= UNITS_ROWS) & (F.trim("v") == "Units")).select("file", "sheet").distinct()
@@ -129,22 +147,25 @@ def _parsed(files: DataFrame, results: DataFrame | None = None, samples: DataFra
 
 def parse_exchange(files: DataFrame) -> Parsed:
     """Chemistry, sample and header files, each on its own; the header's work order counts for its file."""
-    chem = files.where((F.col("ext") == "csv") & (F.col("header") == _names(readers.CHEMISTRY)))
-    sample = files.where((F.col("ext") == "csv") & (F.col("header") == _names(readers.SAMPLE)))
-    rows = readers.chemistry_results(readers.delimited(chem, readers.CHEMISTRY)).withColumn("limit_raw", F.col("rl").cast("string"))
-    faults = readers.parse_faults(chem, readers.CHEMISTRY).union(readers.parse_faults(sample, readers.SAMPLE)).select(F.col("hash").alias("source_hash"), "fault")
+    csv = files.where("ext = 'csv'")
+    found = written(readers.raw_records(csv), "exchange-records")  # each file is read once
+    chem, sample = (csv.where(F.col("header") == _names(c)) for c in (readers.CHEMISTRY, readers.SAMPLE))
+    of = lambda some: found.join(some.select("hash"), "hash", "left_semi")
+    rows = readers.chemistry_results(readers.delimited(chem, readers.CHEMISTRY, of(chem))).withColumn("limit_raw", F.col("rl").cast("string"))
+    faults = readers.parse_faults(chem, readers.CHEMISTRY, of(chem)).union(readers.parse_faults(sample, readers.SAMPLE, of(sample)))
+    faults = faults.select(F.col("hash").alias("source_hash"), "fault")
     head = readers.header_xml(files.where("ext = 'xml'"))
     reports = head.where("is_valid").select(
         F.col("hash").alias("source_hash"), F.col("lab_report_number").alias("work_order"), F.col("lab_report_number").alias("report_no"), "date_reported", "project_id"
     )
     faults = faults.union(head.where("not is_valid").select(F.col("hash").alias("source_hash"), F.lit("not_a_header")))
-    return _parsed(files, rows, readers.sample_rows(readers.delimited(sample, readers.SAMPLE)), reports, faults)
+    return _parsed(files, rows, readers.sample_rows(readers.delimited(sample, readers.SAMPLE, of(sample))), reports, faults)
 
 
 def parse_crosstab(dialect: str) -> Callable[[DataFrame], Parsed]:
     def parse(files: DataFrame) -> Parsed:
-        book = readers.workbook(files.where(F.col("ext") != "csv"))
-        cells = readers.grid(files.where("ext = 'csv'")).unionByName(book.where("sheet_no = 1").drop("sheet_no"))
+        book = written(readers.workbook(files.where(F.col("ext") != "csv")), "crosstab-books")
+        cells = written(readers.grid(files.where("ext = 'csv'")).unionByName(book.where("sheet_no = 1").drop("sheet_no")), "crosstab-cells")
         rows = grids.unpivot_crosstab(cells, DIALECTS[dialect]).withColumnRenamed("file", "source_hash").withColumnRenamed("sample_date_raw", "sample_datetime_raw")
         faults = book.where("sheet is null").select(F.col("file").alias("source_hash"), F.lit("unreadable").alias("fault"))
         return _parsed(files, rows.withColumn("org", F.lit("ALS")), faults=faults)
@@ -157,7 +178,7 @@ def parse_field(methods: DataFrame | None = None) -> Callable[[DataFrame], Parse
 
     def parse(files: DataFrame) -> Parsed:
         spark = files.sparkSession
-        cells = readers.workbook(files)
+        cells = written(readers.workbook(files), "field-cells")  # each workbook is opened once
         faults = cells.where("sheet is null").select(F.col("file").alias("source_hash"), F.lit("unreadable").alias("fault")).distinct()
         cells = cells.where("sheet is not null").drop("sheet_no")
         # sheets are told apart by their names
@@ -191,11 +212,17 @@ def built_in(field_methods: DataFrame | None = None) -> Registry:
 
 
 def parse_claimed(files: DataFrame, routed: DataFrame, registry: Registry) -> Parsed:
-    """What the claimed files say, each read by its adapter. files: as `described` gives them."""
+    """What the claimed files say, each read by its adapter. files: as `described` gives them.
+
+    Adapters that claimed nothing aren't asked.
+    """
     claimed = routed.where("state = 'claimed'").select("hash", "adapter")
+    asked = {r.adapter for r in claimed.select("adapter").distinct().collect()}  # no more than there are adapters
     total = _parsed(files)
     for i in registry.ids():
         name = f"{i}/{registry.adapters[i].version}"
+        if name not in asked:
+            continue
         mine = files.join(claimed.where(F.col("adapter") == name).select("hash"), "hash", "left_semi").dropDuplicates(["hash"])
         got = registry.adapters[i].parse(mine)
         total = total.and_also(Parsed(got.results.withColumn("adapter", F.lit(name)), got.samples, got.reports, got.faults))

@@ -42,7 +42,7 @@ def _closes(content: str, line: int) -> bool:
     return True
 
 
-def _records(files: DataFrame) -> DataFrame:
+def raw_records(files: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         csv.field_size_limit(1 << 31)
         columns = ["hash", "r", "fields", "whole"]
@@ -72,36 +72,42 @@ def records(files: DataFrame) -> DataFrame:
     records. A quote that never closes takes the rest of its file: that is no record, and
     `parse_faults` names the file.
     """
-    return _records(files).where("whole").drop("whole")
+    return raw_records(files).where("whole").drop("whole")
 
 
-def headers(files: DataFrame) -> DataFrame:
-    """The first record of each delimited file: hash, header_r, header (names, trimmed)."""
-    g = records(files).groupBy("hash").agg(F.min(F.struct("r", "fields")).alias("_h"))
+def headers(files: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """The first record of each delimited file: hash, header_r, header (names, trimmed).
+
+    found: the files' raw_records, if they are at hand, so that the files aren't read again.
+    """
+    found = raw_records(files) if found is None else found
+    g = found.where("whole").groupBy("hash").agg(F.min(F.struct("r", "fields")).alias("_h"))
     return g.select("hash", F.col("_h.r").alias("header_r"), F.transform("_h.fields", lambda x: F.trim(x)).alias("header"))
 
 
-def delimited(files: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+def delimited(files: DataFrame, columns: tuple[str, ...], found: DataFrame | None = None) -> DataFrame:
     """Rows of delimited files by the names in their header, whatever the order; every field is text, empty ones null.
 
     Files whose header lacks one of the columns give no rows: `parse_faults` names them.
     """
-    head = headers(files).where(F.array_except(F.array(*[F.lit(c) for c in columns]), "header") == F.array().cast("array<string>"))
-    data = records(files).join(head, "hash").where("r > header_r")
+    found = raw_records(files) if found is None else found
+    head = headers(files, found).where(F.array_except(F.array(*[F.lit(c) for c in columns]), "header") == F.array().cast("array<string>"))
+    data = found.where("whole").join(head, "hash").where("r > header_r")
     field = lambda c: F.nullif(F.get("fields", F.array_position("header", F.lit(c)).cast("int") - 1), F.lit("")).alias(c)
     return data.select("hash", F.concat(F.lit("r"), F.col("r").cast("string")).alias("source_ref"), *[field(c) for c in columns])
 
 
-def parse_faults(files: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+def parse_faults(files: DataFrame, columns: tuple[str, ...], found: DataFrame | None = None) -> DataFrame:
     """Delimited files that can't be read as a table of these columns: hash, fault, missing.
 
     corrupt: a quote never closes, or there are lines but no record behind the header.
     no_header: nothing in it. missing_columns: the header lacks some. A header alone is sound.
     """
+    found = raw_records(files) if found is None else found
     content = decoded(F.col("content"))
     filled = F.size(F.filter(F.split(content, "\\r?\\n", -1), lambda x: F.trim(x) != ""))
-    n = _records(files).groupBy("hash").agg(F.count("*").alias("n_records"), F.bool_and("whole").alias("whole"))
-    out = files.select("hash", filled.alias("n_lines")).join(headers(files), "hash", "left").join(n, "hash", "left")
+    n = found.groupBy("hash").agg(F.count("*").alias("n_records"), F.bool_and("whole").alias("whole"))
+    out = files.select("hash", filled.alias("n_lines")).join(headers(files, found), "hash", "left").join(n, "hash", "left")
     missing = F.array_except(F.array(*[F.lit(c) for c in columns]), "header")
     broken = ~F.col("whole") | ((F.col("n_lines") > 1) & (F.col("n_records") <= 1))
     fault = F.when(broken, "corrupt").when(F.col("header").isNull(), "no_header").when(F.size(missing) > 0, "missing_columns")

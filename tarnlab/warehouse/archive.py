@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import posixpath
 import re
 from collections.abc import Iterator
@@ -12,20 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import first_by
+from .scratch import written
 from .store import Store
 
 ARCHIVE, ASSETS = "archive", "asset"
 
 
 def archive_files(store: Store, files: DataFrame, kind: str = "Chemical analysis") -> None:
-    """Store the bytes of files (hash, filename, content) that the archive doesn't have, with an asset row each."""
+    """Store the bytes of files (hash, filename, content) that the archive doesn't have, with an asset row each: of the file's own type, if they have one."""
     one = first_by(files, ["hash"], [F.col("filename")])
     if store.exists(ARCHIVE):
         one = one.join(store.read(ARCHIVE).select("hash"), "hash", "left_anti")
     with store.transaction():
         store.append(ARCHIVE, one.select(F.col("hash").alias("uuid"), "hash", "content"), "archive", "copy of a source file")
         project = [F.col("uuid_project")] if "uuid_project" in one.columns else []
-        asset = one.select(F.concat(F.lit("asset-"), "hash").alias("uuid"), "hash", "filename", F.lit(kind).alias("type"), *project)
+        of_type = F.coalesce("type", F.lit(kind)) if "type" in one.columns else F.lit(kind)
+        asset = one.select(F.concat(F.lit("asset-"), "hash").alias("uuid"), "hash", "filename", of_type.alias("type"), *project)
         store.append(ASSETS, asset, "archive", "archived")
 
 
@@ -53,27 +56,24 @@ def inside(path: str, root: str) -> bool:
     return a[:2] == b[:2] and a[2] != b[2] and a[2].startswith(b[2].rstrip("/") + "/")
 
 
-def _deleted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        gone = []
-        for path in f["path"]:
-            scheme, host, name = _parts(path)
-            store = fs.LocalFileSystem() if scheme == "file" else fs.FileSystem.from_uri(f"{scheme}://{host}/")[0]
-            try:
-                store.delete_file(name if scheme in ("file", "hdfs") else host + name)
-                gone.append(path)
-            except FileNotFoundError:
-                continue  # a retried task finds its own work done
-        yield pd.DataFrame({"path": gone}, dtype=object)
-
-
 def remove(store: Store, files: DataFrame, root: str) -> int:
     """Delete those of the files (hash, path, content) that lie strictly under root and whose archived copy is sound; how many.
 
-    The rest stays, whoever asks. Every task deletes its own files.
+    The rest stays, whoever asks. Every task deletes its own files; a task that is run again counts
+    those that it finds deleted, so the number is right in any case.
     """
-    within = F.udf(lambda p: inside(p, root), "boolean")
-    return removable(store, files).where(within("path")).select("path").mapInPandas(_deleted, "path string").count()
+
+    def deleted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            mine = [p for p in f["path"] if inside(p, root)]
+            for path in mine:
+                scheme, host, name = _parts(path)
+                system = fs.LocalFileSystem() if scheme == "file" else fs.FileSystem.from_uri(f"{scheme}://{host}/")[0]
+                with contextlib.suppress(FileNotFoundError):
+                    system.delete_file(name if scheme in ("file", "hdfs") else host + name)
+            yield pd.DataFrame({"path": mine}, dtype=object)
+
+    return written(removable(store, files).select("path"), "archive-removable").mapInPandas(deleted, "path string").count()
 
 
 def remove_spent_folder(store: Store, folder: str, root: str, ignorable: Column) -> bool:

@@ -1,8 +1,14 @@
-"""Ingest: a folder of files is routed, parsed, assembled, reconciled and committed in one call."""
+"""Ingest: a folder of files is routed, parsed, assembled, reconciled and committed in one call.
+
+Events that share a point and day, or a work order, go in turns, each of which sees what the
+earlier ones committed; all events of a turn are one distributed batch and one transaction.
+An event that fails is left out and the others commit.
+"""
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -10,13 +16,13 @@ from pyspark.sql import functions as F
 
 from ..functions import values
 from ..operators import assemble as asm
-from ..operators import commit, event
+from ..operators import commit, event, samples
 from ..operators.joins import first_by
 from ..sources import adapters
 from ..sources import files as src
 from . import archive
 from .scratch import written
-from .store import Store, commit_outcomes, find_or_create
+from .store import Conflict, Store, commit_outcomes, find_or_create
 
 #: Tables of a store and their columns.
 SCHEMA = {
@@ -72,8 +78,12 @@ class Outcome:
     files: dict[str, int] = field(default_factory=dict)
     rows: dict[tuple[str, str], int] = field(default_factory=dict)
     events: int = 0
-    blocked: list[str] = field(default_factory=list)
+    blocked: int = 0
+    failed: int = 0
+    #: event, state (blocked or failed) and fault of the events that didn't commit, a written table
+    stopped: DataFrame | None = None
     reviews_opened: int = 0
+    retained: int = 0
     removed: int = 0
     folder_removed: bool = False
     snapshot: str | None = None
@@ -104,11 +114,12 @@ def _dangling(store: Store, clean: DataFrame, actor: str) -> DataFrame:
     unknown = clean.where("feature_pending")
     seen = written(commit.materialise_aliases(unknown.select("alias_key", F.col("feature_raw").alias("name"), "date", "datetime"), alias), "ingest-aliases")
     names = unknown.groupBy("alias_key").agg(F.min("feature_raw").alias("name"))
-    new = seen.where("is_new").join(names, "alias_key").select("uuid", "alias_key", "name", F.lit("pending").alias("kind"), F.lit(False).alias("auto_assign"), "n_seen")
-    new, again = written(shaped(new, "feature_alias"), "ingest-new-aliases"), seen.where("not is_new").select("uuid", "n_seen")
+    new = seen.where("is_new").join(names, "alias_key").select("uuid", "alias_key", "name", F.lit("pending").alias("kind"), F.lit(False).alias("auto_assign"), "date_start", "n_seen")
+    new = written(shaped(new, "feature_alias"), "ingest-new-aliases")
+    again = seen.where("not is_new").select("uuid", "n_seen", "date_start")  # only an earlier date moves the first one
     store.append("feature_alias", new, actor, "unknown points")
     if not again.isEmpty():
-        store.update("feature_alias", again, actor, "seen again")
+        store.update("feature_alias", written(again, "ingest-seen-again"), actor, "seen again")
 
     unknown = clean.where("analyte_pending and uuid_lab is null")
     keys = ["org", "name_key", "meth_key"]
@@ -122,13 +133,23 @@ def _dangling(store: Store, clean: DataFrame, actor: str) -> DataFrame:
     out = out.withColumn("uuid_alias", F.coalesce("uuid_alias", F.when(F.col("feature_pending"), F.col("_alias")))).drop("_alias")
     needs = F.col("analyte_pending") & F.col("uuid_lab").isNull() & F.col("org").isNotNull() & F.col("name_key").isNotNull()
     out = out.withColumn("uuid_lab", F.coalesce("uuid_lab", F.when(needs, made("lm-", *keys))))
-    return out.withColumn("point", F.coalesce("uuid_feature", "uuid_alias"))
+    return out
+
+
+def visits(store: Store) -> DataFrame:
+    """The stored samples as what identifies them: uuid, point (or alias without one), date, datetime."""
+    alias = store.read("feature_alias").select(F.col("uuid").alias("uuid_feature_alias"), "uuid_feature")
+    return store.read("sample").join(alias, "uuid_feature_alias").select("uuid", F.coalesce("uuid_feature", "uuid_feature_alias").alias("point"), "date", "datetime")
+
+
+def _new_reviews(store: Store, asked: DataFrame) -> DataFrame:
+    new = asked.withColumn("uuid", made("rq-", "event", "kind", "subkind", "key", "source_hash", "source_ref")).dropDuplicates(["uuid"])
+    return new.join(store.read("review_queue").select("uuid"), "uuid", "left_anti")
 
 
 def open_reviews(store: Store, asked: DataFrame, actor: str) -> int:
     """Add questions (event, kind, subkind, key, source_hash, source_ref, uuid_existing, candidates, payload) that aren't stored yet, and their candidates; how many."""
-    new = asked.withColumn("uuid", made("rq-", "event", "kind", "subkind", "key", "source_hash", "source_ref")).dropDuplicates(["uuid"])
-    new = written(new.join(store.read("review_queue").select("uuid"), "uuid", "left_anti"), "ingest-reviews")
+    new = written(_new_reviews(store, asked), "ingest-reviews")
     n = new.count()
     if n:
         home = F.nullif(F.regexp_replace("event", "^wo::", ""), F.col("event"))
@@ -139,31 +160,55 @@ def open_reviews(store: Store, asked: DataFrame, actor: str) -> int:
     return n
 
 
-def commit_events(store: Store, rows: DataFrame, files: DataFrame, actor: str, reason: str) -> tuple[list[str], int]:
-    """Commit reconciled rows and their files in one transaction: the blocked events, and how many questions were opened.
-
-    rows: as reconcile_events gives them. files: hash, filename, content, adapter, revision,
-    home, event, report_no. Events of a work order that was ingested before, without a
-    higher revision or rows that all match, are blocked: nothing of theirs is written but
-    their archive and questions. New rows are inserted, superseding ones update in place,
-    and transcriptions are deleted after the laboratory's row is in. Retries change nothing.
+@dataclass
+class Committed:
+    """What a commit did: events stopped by the guard and events refused (event, fault), and how many questions were opened."""
+
+    blocked: DataFrame
+    refused: DataFrame
+    reviews_opened: int
+    rows: list = field(default_factory=list)
+
+
+def guard_questions(stopped: DataFrame, queue: DataFrame) -> DataFrame:
+    """The questions of blocked events (event, work_order and counts) that aren't open yet."""
+    asked = queue.where("kind = 'work_order_reingest' and status = 'open'").select("work_order").distinct()
+    none = F.lit(None).cast("string")
+    return stopped.join(asked, "work_order", "left_anti").select(
+        "event", F.lit("work_order_reingest").alias("kind"), none.alias("subkind"), F.col("work_order").alias("key"), none.alias("source_hash"), none.alias("source_ref"), none.alias("uuid_existing"),
+        F.array().cast("array<string>").alias("candidates"), F.to_json(F.struct("work_order", "n_samples", "n_prior_assets", "n_unmatched")).alias("payload"),
+    )
+
+
+def commit_events(store: Store, rows: DataFrame, files: DataFrame, actor: str, reason: str) -> Committed:
+    """Commit reconciled rows and their files in one transaction.
+
+    rows: as reconcile_events gives them, of events that share no point and day. files: hash,
+    filename, content, adapter, revision, home, event, report_no. Events of a work order that was
+    ingested before, without a higher revision or rows that all match, are blocked: nothing of
+    theirs is written but their archive and questions. Events with a row that several samples
+    fit alike are refused: nothing of theirs is written but that their files failed. New rows are
+    inserted, superseding ones update in place, and transcriptions are deleted after the
+    laboratory's row is in. Retries change nothing.
     """
     with store.transaction():
-        known = event.Registry.load(store)
-        decisions = event.guard(rows, files, store.read("ingest_file"), store.read("sample"), store.read("project"), store.read("asset"), known.stored)
+        known, stored_visits = event.Registry.load(store), visits(store)
+        decisions = event.guard(rows, files, store.read("ingest_file"), store.read("sample"), store.read("project"), store.read("asset"), stored_visits)
         stopped = written(decisions.where("decision = 'blocked'"), "ingest-blocked")
-        clean = rows.where("disposition = 'clean'").join(stopped.select("event").distinct(), "event", "left_anti")
-        orders = files.where("home is not null").join(stopped.select("event").distinct(), "event", "left_anti").groupBy("home").agg(F.min("report_no").alias("report_no"))
+        blocked = stopped.select("event").distinct()
+        clean = rows.where("disposition = 'clean'").join(blocked, "event", "left_anti")
+        placed = written(samples.assigned(clean.select("row", "point", "date", "datetime"), stored_visits), "ingest-samples")
+        refused = clean.join(placed.where("verdict = 'refuse'").select("row"), "row", "left_semi").select("event").distinct()
+        refused = written(refused.withColumn("fault", F.lit("several samples fit alike")), "ingest-refused")
+        failed = files.join(refused, "event")
+        rows, clean, files = (d.join(refused, "event", "left_anti") for d in (rows, clean, files))
+
+        orders = files.where("home is not null").join(blocked, "event", "left_anti").groupBy("home").agg(F.min("report_no").alias("report_no"))
         projects = work_orders(store, orders, actor)
-        clean = written(_dangling(store, clean, actor).join(projects, "home", "left"), "ingest-clean")
-
-        old = store.read("sample").join(store.read("feature_alias").select(F.col("uuid").alias("uuid_feature_alias"), "uuid_feature"), "uuid_feature_alias")
-        old = old.select(F.coalesce("uuid_feature", "uuid_feature_alias").alias("point"), "date", "datetime", "uuid")
-        samples = written(find_or_create(clean, old, ["point", "date", "datetime"], "s-"), "ingest-samples")
-        same = functools.reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"n.{k}")) for k in ("point", "date", "datetime")])
-        clean = written(clean.alias("c").join(samples.alias("n"), same).select("c.*", F.col("n.uuid").alias("uuid_sample"), "n.is_new"), "ingest-rows")
-        new = clean.where("is_new").groupBy(F.col("uuid_sample").alias("uuid")).agg(
-            F.min("uuid_alias").alias("uuid_feature_alias"), F.min("date").alias("date"), F.min("datetime").alias("datetime"), F.min("uuid_project").alias("uuid_project")
+        clean = _dangling(store, clean, actor).join(projects, "home", "left").join(placed.select("row", "uuid_sample", "verdict", "made_at"), "row")
+        clean = written(clean, "ingest-rows")
+        new = clean.where("verdict = 'create'").groupBy(F.col("uuid_sample").alias("uuid")).agg(
+            F.min("uuid_alias").alias("uuid_feature_alias"), F.min("date").alias("date"), F.min("made_at").alias("datetime"), F.min("uuid_project").alias("uuid_project")
         )
         store.append("sample", shaped(new, "sample"), actor, reason)
         commit_outcomes(store, clean.withColumn("outcome", F.col("reason")), actor, reason)
@@ -176,21 +221,70 @@ def commit_events(store: Store, rows: DataFrame, files: DataFrame, actor: str, r
         again = rows.where("reason = 'already_present'").select(F.col("e_uuid").alias("uuid_analysis"), "source_hash", "source_ref").withColumn("uuid", made("sa-", "uuid_analysis", "source_hash", "source_ref"))
         store.append("seen_again", shaped(again.join(store.read("seen_again").select("uuid"), "uuid", "left_anti"), "seen_again"), actor, reason)
 
-        of_project = files.join(projects, "home", "left")
-        archive.archive_files(store, of_project)
-        guard_rows = stopped.select(
-            "event", F.lit("work_order_reingest").alias("kind"), F.lit(None).cast("string").alias("subkind"), F.col("work_order").alias("key"), F.lit(None).cast("string").alias("source_hash"),
-            F.lit(None).cast("string").alias("source_ref"), F.lit(None).cast("string").alias("uuid_existing"), F.array().cast("array<string>").alias("candidates"),
-            F.to_json(F.struct("work_order", "n_samples", "n_prior_assets", "n_unmatched")).alias("payload"),
-        )
-        n = open_reviews(store, event.questions(rows).drop("n_rows").unionByName(guard_rows), actor)
+        archive.archive_files(store, files.join(projects, "home", "left"))
+        n = open_reviews(store, _asked(rows, stopped, store.read("review_queue")), actor)
 
         held = rows.groupBy("event").agg(F.count_if(F.col("disposition") == "clean").alias("_clean"), F.count_if(F.col("disposition") == "review").alias("_review"))
-        state = files.join(held, "event", "left").join(stopped.select("event").distinct().withColumn("_stopped", F.lit(True)), "event", "left")
+        state = files.join(held, "event", "left").join(blocked.withColumn("_stopped", F.lit(True)), "event", "left")
         waiting = values.is_true(F.col("_stopped")) | values.is_true((F.col("_review") > 0) & (F.col("_clean") == 0))
         state = state.withColumn("state", F.when(F.col("state") == "ignored", "ignored").when(waiting, "needs_review").otherwise("archived"))
-        set_states(store, state.select("hash", "filename", F.col("home").alias("work_order"), "revision", "adapter", "state", "reason"), actor)
-        return [r.event for r in stopped.select("event").distinct().orderBy("event").collect()], n
+        columns = ["hash", "filename", F.col("home").alias("work_order"), "revision", "adapter", "state", "reason"]
+        lost = failed.withColumns({"state": F.lit("failed"), "reason": F.concat(F.lit("commit: "), "fault")}).select(*columns)
+        set_states(store, state.select(*columns).unionByName(lost), actor)
+        return Committed(written(blocked, "ingest-blocked"), refused, n)
+
+
+def _asked(rows: DataFrame, stopped: DataFrame, queue: DataFrame) -> DataFrame:
+    """The questions of rows and of the guard; a blocked event about which all is asked already asks nothing again."""
+    new = guard_questions(stopped, queue)
+    silent = stopped.select("event").distinct().join(new.select("event"), "event", "left_anti")
+    return event.questions(rows.join(silent, "event", "left_anti")).drop("n_rows").unionByName(new)
+
+
+def contained(events: DataFrame, run: Callable[[DataFrame], object], depth: int = 0) -> tuple[list, DataFrame | None]:
+    """run(events) where it can be done: its results, and the events that fail (event, fault) or None.
+
+    If it raises for several events, each half is tried, until those that fail stand alone; so a
+    few bad events cost a few runs more each. What fails without any event is nobody's fault and is raised.
+    """
+    try:
+        return [run(events)], None
+    except Conflict:
+        raise
+    except Exception as e:  # noqa: BLE001 - whatever an event does wrong stays its own
+        if depth == 0:
+            run(events.limit(0))
+        if events.limit(2).count() < 2:
+            return [], events.withColumn("fault", F.lit(f"{type(e).__name__}: {e}"[:500]))
+    done, failed = [], None
+    for bit in (0, 1):
+        half = written(events.where(F.shiftrightunsigned(F.xxhash64("event"), depth).bitwiseAND(F.lit(1)) == bit), "ingest-half")
+        if not half.isEmpty():
+            more, bad = contained(half, run, depth + 1)
+            done += more
+            failed = bad if failed is None else failed if bad is None else failed.union(bad)
+    return done, failed
+
+
+def retain_siblings(store: Store, files: DataFrame, routed: DataFrame, actor: str) -> int:
+    """Archive deliverables that no adapter reads (certificates, custody, quality control, reports) with their work order; how many.
+
+    files: all files of the batch's folders. routed: hash, state, reason of new ones. A file's
+    work order is the one in its name, else the only one that names in its folder state; either way it
+    must be a stored project. The others stay in quarantine.
+    """
+    known = store.read("project").groupBy(F.col("name").alias("work_order")).agg(F.min("uuid").alias("uuid_project"))
+    unread = files.join(routed.where("state = 'quarantined' and reason = 'unclaimed'").select("hash"), "hash", "left_semi").where(adapters.is_deliverable(F.col("filename")))
+    only = asm.unanimous(files.where("work_order_guess is not null"), "folder", "work_order_guess").withColumnRenamed("work_order_guess", "_of_folder")
+    found = first_by(unread, ["hash"], [F.col("path")]).join(only, "folder", "left").withColumn("work_order", F.coalesce("work_order_guess", "_of_folder"))
+    found = written(found.join(known, "work_order").withColumn("type", adapters.asset_type(F.col("filename"))), "ingest-siblings")
+    n = found.count()
+    if n:
+        with store.transaction():
+            archive.archive_files(store, found)
+            kept = found.select("hash", "filename", "work_order", F.col("revision_guess").alias("revision"), F.lit("archived").alias("state"), F.lit("retained_sibling").alias("reason"))
+            set_states(store, kept.withColumn("adapter", F.lit(None).cast("string")), actor)
+    return n
 
 
 def set_states(store: Store, files: DataFrame, actor: str) -> None:
@@ -236,23 +330,89 @@ def ingest_dir(
     sound = sound.select("hash", "filename", "content", "adapter", "work_order_guess", "revision_guess")
     rows, asm_files = asm.assemble(parsed.results, parsed.samples, parsed.reports, sound)
     asm_files = written(asm_files, "ingest-assembled")
-    out = Outcome(dry_run, events=asm_files.select("event").distinct().count())
+    rows = written(rows, "ingest-assembled-rows")
+    events = written(asm_files.select("event").distinct(), "ingest-events")
+    out = Outcome(dry_run, events=events.count())
     known = event.Registry.load(store) if store.exists("analysis") else _empty_registry(spark)
-    done = written(event.reconcile_events(rows, known), "ingest-reconciled")
-    out.rows = {(r.disposition, r.reason): r.n for r in event.outcome_counts(done).collect()}
-
+    parts, failed = contained(events, lambda some: written(event.reconcile_events(rows.join(some, "event", "left_semi"), known), "ingest-reconciled"))
     others = routed.where("state <> 'claimed'").select("hash", "filename", "adapter", "state", "reason")
-    failed = routed.join(broken, "hash").select("hash", "filename", "adapter", F.lit("failed").alias("state"), F.concat(F.lit("parse:"), "fault").alias("reason"))
-    if not dry_run:
-        with store.transaction():
-            unread = others.union(failed).join(first_by(fresh, ["hash"], [F.col("path")]).select("hash", "work_order_guess", "revision_guess"), "hash")
-            set_states(store, unread.withColumnsRenamed({"work_order_guess": "work_order", "revision_guess": "revision"}), actor)
-            out.blocked, out.reviews_opened = commit_events(store, done, asm_files, actor, f"batch {path}")
-        return _finished(store, files, current_states(files.select("hash").distinct(), store.read("ingest_file")), out, path, snapshot, remove)
-    if store.exists("sample"):  # what the guard would stop, on reads alone
-        decisions = event.guard(done, asm_files, recorded, store.read("sample"), store.read("project"), store.read("asset"), known.stored)
-        out.blocked = [r.event for r in decisions.where("decision = 'blocked'").select("event").distinct().orderBy("event").collect()]
-    new = asm_files.select("hash", "state").union(others.union(failed).select("hash", "state"))
+    unread = others.union(routed.join(broken, "hash").select("hash", "filename", "adapter", F.lit("failed").alias("state"), F.concat(F.lit("parse:"), "fault").alias("reason")))
+    if dry_run:
+        return _foretold(store, out, parts, failed, asm_files, recorded, settled, unread, files, path)
+
+    seen = unread.join(first_by(fresh, ["hash"], [F.col("path")]).select("hash", "work_order_guess", "revision_guess"), "hash")
+    set_states(store, seen.withColumnsRenamed({"work_order_guess": "work_order", "revision_guess": "revision"}), actor)
+    blocked = []
+    if parts:
+        done = functools.reduce(DataFrame.unionByName, parts)
+        turns = written(_turns(done, asm_files, recorded), "ingest-turns")
+        last = turns.agg(F.max("wave")).first()[0] or 0
+        for turn in range(last + 1):
+            mine = written(turns.where(F.col("wave") == turn).select("event"), "ingest-turn")
+
+            def commit_some(some: DataFrame, turn: int = turn) -> Committed:
+                picked = done.join(some, "event", "left_semi")
+                if turn:  # what the turns before committed is stored by now
+                    picked = written(event.reconcile_events(rows.join(some, "event", "left_semi"), event.Registry.load(store)), "ingest-reconciled")
+                result = commit_events(store, picked, asm_files.join(some, "event", "left_semi"), actor, f"batch {path}")
+                result.rows = event.outcome_counts(picked.join(result.refused, "event", "left_anti")).collect()
+                return result
+
+            results, bad = contained(mine, commit_some)
+            for r in results:
+                for c in r.rows:
+                    out.rows[c.disposition, c.reason] = out.rows.get((c.disposition, c.reason), 0) + c.n
+                out.reviews_opened += r.reviews_opened
+                blocked.append(r.blocked.withColumn("state", F.lit("blocked")).withColumn("fault", F.lit(None).cast("string")))
+                bad = r.refused if bad is None else bad.union(r.refused)
+            failed = bad if failed is None else failed if bad is None else failed.union(bad)
+    if failed is not None:
+        failed = written(failed.distinct(), "ingest-failed")
+        lost = asm_files.join(failed, "event").withColumns({"state": F.lit("failed"), "reason": F.concat(F.lit("commit: "), "fault")})
+        set_states(store, lost.select("hash", "filename", F.col("home").alias("work_order"), "revision", "adapter", "state", "reason"), actor)
+        blocked.append(failed.select("event", F.lit("failed").alias("state"), "fault"))
+    _count_stopped(out, blocked)
+    if out.events and out.failed == out.events:
+        raise RuntimeError(f"every event of {path} failed: {out.stopped.first().fault}")
+    out.retained = retain_siblings(store, files, others, actor)
+    return _finished(store, files, current_states(files.select("hash").distinct(), store.read("ingest_file")), out, path, snapshot, remove)
+
+
+def _turns(done: DataFrame, files: DataFrame, recorded: DataFrame) -> DataFrame:
+    """The turn of each event: those that share a point and day, or a work order, come one after the other."""
+    place = F.concat_ws("|", F.lit("at"), "point", F.col("date").cast("string"))
+    shared = done.where("point is not null and date is not null").select("event", place.alias("key"))
+    shared = shared.union(event.work_orders(files, recorded).select("event", F.concat(F.lit("order|"), "work_order")))
+    alone = files.select("event", F.lit(None).cast("string").alias("key"))
+    return event.waves(shared.union(alone).join(done.select("event").distinct(), "event", "left_semi"), ["key"])
+
+
+def _count_stopped(out: Outcome, parts: list[DataFrame]) -> None:
+    if parts:
+        out.stopped = written(functools.reduce(DataFrame.unionByName, parts), "ingest-stopped")
+        n = {r.state: r["count"] for r in out.stopped.groupBy("state").count().collect()}
+        out.blocked, out.failed = n.get("blocked", 0), n.get("failed", 0)
+
+
+def _foretold(store: Store, out: Outcome, parts: list[DataFrame], failed: DataFrame | None, asm_files: DataFrame, recorded: DataFrame, settled: DataFrame, unread: DataFrame, files: DataFrame, path: str) -> Outcome:
+    """What a batch would do, on reads alone: each event against what is stored now."""
+    stopped = [] if failed is None else [failed.select("event", F.lit("failed").alias("state"), "fault")]
+    if parts:
+        done = functools.reduce(DataFrame.unionByName, parts)
+        out.rows = {(r.disposition, r.reason): r.n for r in event.outcome_counts(done).collect()}
+        if store.exists("sample"):
+            there = visits(store)
+            decisions = event.guard(done, asm_files, recorded, store.read("sample"), store.read("project"), store.read("asset"), there)
+            held = written(decisions.where("decision = 'blocked'"), "ingest-blocked")
+            none = F.lit(None).cast("string")
+            stopped.append(held.select("event").distinct().select("event", F.lit("blocked").alias("state"), none.alias("fault")))
+            clean = done.where("disposition = 'clean'").join(held, "event", "left_anti")
+            torn = samples.existing(clean.select("row", "point", "date", "datetime"), there).where("verdict = 'refuse'")
+            torn = clean.join(torn, "row", "left_semi").select("event").distinct()
+            stopped.append(torn.select("event", F.lit("failed").alias("state"), F.lit("several samples fit alike").alias("fault")))
+            out.reviews_opened = _new_reviews(store, _asked(done, held, store.read("review_queue"))).count()
+    _count_stopped(out, stopped)
+    new = asm_files.select("hash", "state").union(unread.select("hash", "state"))
     states = settled.select("hash", "state").join(files.select("hash").distinct(), "hash", "left_semi").union(new)
     return _finished(store, files, states, out, path, None, False)
 

@@ -77,9 +77,9 @@ def test_redeliveries(spark, store, tmp_path):
     newer = ingest.ingest_dir(store, deliver(tmp_path / "d", value="0.9", revision=1, note="\n\n\n"))
     assert newer.rows == {("clean", "supersede"): 1} and values(store) == [(0.9, 1)]
     folder = deliver(tmp_path / "e", when="09 May 2024 10:30", revision=1, note="\n\n\n\n")
-    assert ingest.ingest_dir(store, folder, dry_run=True).blocked == ["wo::XX1234567"] and store.read("review_queue").where("kind = 'work_order_reingest'").count() == 0
+    assert ingest.ingest_dir(store, folder, dry_run=True).blocked == 1 and store.read("review_queue").where("kind = 'work_order_reingest'").count() == 0
     other_day = ingest.ingest_dir(store, folder)
-    assert other_day.blocked == ["wo::XX1234567"] and values(store) == [(0.9, 1)]
+    assert other_day.blocked == 1 and other_day.stopped.first().event == "wo::XX1234567" and values(store) == [(0.9, 1)]
     assert store.read("review_queue").where("kind = 'work_order_reingest' and status = 'open'").count() == 1
     assert store.read("sample").count() == 1
 
@@ -156,6 +156,102 @@ def test_every_stage_and_no_row_lost(spark, store):
     assert event.reconcile_events(rows.limit(0), known).count() == 0
 
 
+def test_methods_duplicates_and_unknown_names(spark, store):
+    """One point and day: methods compete within an event by their registered limits, and only one method's rows repeat each other."""
+    a = registry.add_analyte(store, "Lead", "me", "seed", units="mg/L")
+    for uuid, method, limit in (("m1", "M1", 0.1), ("m2", "M2", 0.01)):
+        store.append("lab_method", registry._one(store, "lab_method", uuid=uuid, uuid_analyte=a, name="Lead", method=method, organisation="ALS", units="mg/L", rl_low=limit), "me", "seed")
+    base = ("e", None, False, "Site.P1", "Lead", "ALS", "M1", "mg/L", "0.5", "07 May 2024 10:30", 0)
+
+    def row(name, **change):
+        columns = "event sample_type needs_review feature_raw analyte_raw org method_raw units_raw value_raw sample_datetime_raw revision".split()
+        return (name, *[change.get(c, v) for c, v in zip(columns, base, strict=True)])
+
+    rows = raw_rows(
+        spark, row("a1", value_raw="5"), row("a2", method_raw="M2", value_raw="1"), row("a3", method_raw="M2", value_raw="1"), row("b1", event="e2"), row("c1", event="e3", method_raw="M2"),
+        row("d1", event="e4", analyte_raw="Unobtainium", method_raw="X"), row("d2", event="e4", analyte_raw="Unobtainium", method_raw="Y"),
+        row("f1", event="e5", feature_raw="Nowhere", method_raw="M2"), row("f2", event="e5", feature_raw="Nowhere", method_raw="M2"),
+    )
+    got = {r.row: (r.disposition, r.reason, r.kept_uuid_lab) for r in event.reconcile_events(rows, event.Registry.load(store)).collect()}
+    assert got == {
+        "a1": ("skipped", "method_duplicate", "m2"), "a2": ("clean", "new", None), "a3": ("review", "batch_duplicate", None), "b1": ("clean", "new", None), "c1": ("clean", "new", None),
+        "d1": ("clean", "new", None), "d2": ("clean", "new", None), "f1": ("clean", "new", None), "f2": ("clean", "new", None),
+    }
+
+
+def test_turns(spark):
+    rows = [("e1", "a"), ("e2", "a"), ("e2", "b"), ("e3", "b"), ("e4", "c"), ("e5", None), ("e6", None), ("e1", "d"), ("e4", "d")]
+    df = spark.createDataFrame(rows, "event string, key string")
+    assert {r.event: r.wave for r in event.waves(df, ["key"]).collect()} == {"e1": 0, "e2": 1, "e3": 2, "e4": 1, "e5": 0, "e6": 0}
+    assert event.waves(df.limit(0), ["key"]).count() == 0
+
+
+def test_events_of_one_batch_see_each_other(spark, store, tmp_path):
+    """Two work orders of one visit: the second's like value is present, its other value a conflict; an undated one reuses the sample."""
+    folder = tmp_path / "in"
+    deliver(folder, wo="XX1111111")
+    deliver(folder, wo="XX2222222", note="\n")
+    deliver(folder, wo="XX3333333", value="0.7", note="\n\n")
+    deliver(folder, wo="XX4444444", when="07 May 2024", note="\n\n\n")
+    out = ingest.ingest_dir(store, str(folder))
+    assert out.rows == {("clean", "new"): 1, ("skipped", "already_present"): 2, ("review", "value_conflict"): 1} and out.failed == 0
+    assert store.read("sample").count() == 1 and values(store) == [(0.5, 0)]
+
+
+def test_a_bad_event_is_left_out(spark, store, tmp_path, monkeypatch):
+    """Two samples of one visit fit an undated row alike: that event fails; one that raises fails too; the third commits."""
+    alias = store.read("feature_alias").first().uuid
+    for k, hour in enumerate((8, 9)):
+        stamp = dt.datetime(2024, 5, 7, hour)
+        store.append("sample", registry._one(store, "sample", uuid=f"s{k}", uuid_feature_alias=alias, date=dt.date(2024, 5, 7), datetime=stamp), "me", "seed")
+    folder = tmp_path / "in"
+    deliver(folder, wo="XX1111111", when="07 May 2024")
+    deliver(folder, wo="XX2222222", when="08 May 2024 10:00", note="\n")
+    deliver(folder, wo="XX3333333", when="09 May 2024 10:00", note="\n\n")
+    honest = ingest.commit_outcomes
+
+    def poisoned(store, rows, actor, reason):
+        if not rows.where("event = 'wo::XX3333333'").isEmpty():
+            raise ArithmeticError("poison")
+        honest(store, rows, actor, reason)
+
+    monkeypatch.setattr(ingest, "commit_outcomes", poisoned)
+    out = ingest.ingest_dir(store, str(folder))
+    assert out.failed == 2 and {(r.event, r.state, r.fault) for r in out.stopped.collect()} == {
+        ("wo::XX1111111", "failed", "several samples fit alike"), ("wo::XX3333333", "failed", "ArithmeticError: poison"),
+    }
+    assert out.rows == {("clean", "new"): 1} and store.read("analysis").count() == 1
+    states = {(r.work_order, r.state) for r in store.read("ingest_file").collect()}
+    assert states == {("XX1111111", "failed"), ("XX2222222", "archived"), ("XX3333333", "failed")}
+    monkeypatch.setattr(ingest, "commit_outcomes", honest)
+    with pytest.raises(RuntimeError, match="every event"):
+        only = tmp_path / "only"
+        deliver(only, wo="XX5555555", when="07 May 2024", note="\n\n\n\n")
+        ingest.ingest_dir(store, str(only))
+
+
+def test_siblings_and_first_dates(spark, store, tmp_path):
+    folder = tmp_path / "in"
+    deliver(folder, point="Nowhere 7", when="07 May 2024 10:30")
+    (folder / "XX1234567_COA.pdf").write_bytes(b"certificate")
+    (folder / "XX9999999_QC.pdf").write_bytes(b"of another order")
+    (folder / "2400-7454-05 May.pdf").write_bytes(b"report")
+    (folder / "photo.jpg").write_bytes(b"x")
+    out = ingest.ingest_dir(store, str(folder))
+    kept = {r.filename: r.type for r in store.read("asset").where("filename like '%.pdf'").collect()}
+    assert out.retained == 1 and kept == {"XX1234567_COA.pdf": "Certificate of analysis"}  # two orders are named, so the folder says nothing of the report
+    alias = lambda: store.read("feature_alias").where("kind = 'pending'").first()
+    assert (alias().date_start, alias().n_seen) == (dt.date(2024, 5, 7), 1)
+    second = tmp_path / "b"
+    deliver(second, wo="XX2222222", point="Nowhere 7", when="09 May 2024 10:30", note="\n")
+    deliver(second, wo="XX3333333", point="Nowhere 7", when="02 May 2024 10:30", note="\n\n")
+    (second / "XX2222222_COC[1].pdf").write_bytes(b"custody")
+    again = ingest.ingest_dir(store, str(second))
+    assert again.retained == 1 and (alias().date_start, alias().n_seen) == (dt.date(2024, 5, 2), 3)
+    assert store.read("asset").where("filename like '%COC%'").first().type == "QA"
+    assert store.read("ingest_file").where("reason = 'retained_sibling'").count() == 2
+
+
 def test_edits(spark, store):
     with pytest.raises(ValueError):
         registry.add_feature(store, " site.p1 ", "Site", 1.0, 1.0, "me", "again")

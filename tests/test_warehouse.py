@@ -192,3 +192,45 @@ def test_header_xml_of_any_spelling(spark):
     got = {r.hash: r for r in readers.header_xml(text_files(spark, xml, "<ESdat/>", "no xml")).collect()}
     assert (got["0"].is_valid, got["0"].lab_report_number, got["0"].lab_name) == (True, "A & B", None)
     assert not got["1"].is_valid and not got["2"].is_valid
+
+
+def test_types_are_checked_before_anything_is_published(spark, store):
+    store.append("t", spark.createDataFrame([("1", 1)], "uuid string, n bigint"), "me", "first")
+    store.append("t", spark.createDataFrame([("2", 2)], "uuid string, n int"), "me", "narrower")
+    version = store.version
+    for n in ("string", "double", "date"):
+        with pytest.raises(TypeError):
+            store.append("t", spark.createDataFrame([("3", None)], f"uuid string, n {n}"), "me", "other")
+    with pytest.raises(TypeError):
+        store.update("t", spark.createDataFrame([("1", "x")], "uuid string, n string"), "me", "other")
+    store.append("t", spark.sql("SELECT '4' AS uuid, NULL AS n"), "me", "nothing known")
+    assert store.version == version + 1 and store.read("t").schema["n"].dataType.simpleString() == "bigint"
+    assert sorted((r.uuid, r.n) for r in store.read("t").collect()) == [("1", 1), ("2", 2), ("4", None)]
+
+
+def test_an_update_rewrites_the_files_that_hold_its_rows(spark, store):
+    many = spark.range(40).select(F.col("id").cast("string").alias("uuid"), F.col("id").cast("int").alias("n")).repartitionByRange(8, F.col("n"))
+    store.append("t", many, "me", "first load")
+    (folder,) = store.tables()["t"]
+    files = store._files(folder)
+    assert len(files) == 8
+    store.update("t", spark.createDataFrame([("3", 300)], "uuid string, n int"), "me", "fix")
+    kept = set(store.tables()["t"]) & set(files)
+    assert len(kept) == 7
+    store.delete("t", spark.createDataFrame([("39",), ("3",)], "uuid string"), "me", "gone")
+    assert len(set(store.tables()["t"]) & set(files)) == 6
+    assert sorted(r.n for r in store.read("t").collect()) == [n for n in range(39) if n != 3]
+
+
+def test_snapshots_are_kept_pointers(spark, store):
+    store.append("t", rows(spark, ("1", "a", 1)), "me", "first")
+    assert store.snapshot("day")["t"] == 1
+    store.append("t", rows(spark, ("2", "b", 2)), "me", "second")
+    store.delete("t", spark.createDataFrame([("1",)], "uuid string"), "me", "mistake")
+    store.restore("day")
+    assert [r.uuid for r in store.read("t").collect()] == ["1"]
+    store.append("t", rows(spark, ("3", "c", 3)), "me", "third")
+    assert store.snapshot("day")["t"] == 2 and store.snapshot("other")["t"] == 2
+    assert store.prune_snapshots(["other"]) == ["day"] and store.snapshots() == ["other"]
+    store.restore("other")
+    assert store.read("t").count() == 2
