@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, values
+from ..warehouse.scratch import written
 from .joins import prefixed
 
 NEUTRAL_PREFERENCE = 500
@@ -37,6 +38,27 @@ def with_preference_rank(rows: DataFrame) -> DataFrame:
     return rows.withColumn("preference_rank", F.row_number().over(order))
 
 
+def rank_by_runs(rows: DataFrame) -> DataFrame:
+    """preference_rank by another way, to hold against with_preference_rank: no window, but one sort of all rows.
+
+    All rows are sorted by ranges of key and preference; a row's place in that order, less the place
+    at which its key's run begins, is its rank, wherever partitions part the run.
+    """
+    day = dates.civil_date(F.col("s_datetime"))
+    rival = F.when(F.col("m_uuid_analyte").isNull(), F.concat(F.lit("analysis:"), "a_uuid")).otherwise(F.col("m_uuid_analyte"))
+    better = F.when(F.col("m_preference").isNull(), NEUTRAL_PREFERENCE).otherwise(F.col("m_preference"))
+    not_field = F.when(values.is_field(F.col("m_method")), 0).otherwise(1)
+    not_als = F.when(F.col("m_organisation") == "ALS", 0).otherwise(1)
+    keyed = rows.select("a_uuid", F.struct("f_uuid", day.alias("date"), rival.alias("rival")).alias("key"), F.struct(better.alias("better"), not_field.alias("lab"), not_als.alias("other"), "s_uuid", "a_uuid").alias("place"))
+    placed = written(keyed.repartitionByRange("key", "place").sortWithinPartitions("key", "place").select("a_uuid", "key", F.monotonically_increasing_id().alias("at")), "rank-runs")
+    part, within = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # a row for each partition
+    before = sizes.alias("a").join(F.broadcast(sizes.alias("b")), F.col("b.part") < F.col("a.part"), "left").groupBy("a.part").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    all_ = placed.withColumn("part", part).join(F.broadcast(before), "part").select("a_uuid", "key", (F.col("before") + within).alias("ordinal"))
+    runs = all_.groupBy("key").agg(F.min("ordinal").alias("begin"))
+    return all_.join(runs, "key").select("a_uuid", (F.col("ordinal") - F.col("begin") + 1).cast("int").alias("preference_rank"))
+
+
 def measurement(analysis: DataFrame, sample: DataFrame, alias: DataFrame, feature: DataFrame, method: DataFrame, analyte: DataFrame) -> DataFrame:
     """The measurement view: spine rows with an analyte, ranked."""
     rows = with_preference_rank(spine(analysis, sample, alias, feature, method))

@@ -33,6 +33,11 @@ def preference_rank(r: Roles) -> DataFrame:
     return ranked(r).select("a_uuid", "preference_rank", "is_field", F.col("date").cast("string").alias("day"))
 
 
+@query("f04_rank_by_runs", f"WITH {RANKED} SELECT a_uuid, CAST(preference_rank AS INTEGER) AS preference_rank FROM ranked")
+def rank_by_runs(r: Roles) -> DataFrame:
+    return m.rank_by_runs(m.spine(r.analysis, r.sample, r.feature_alias, r.feature, r.lab_method))
+
+
 @query(
     "f02_v_measurement",
     f"""WITH {RANKED} SELECT a_uuid, f_name AS point, an.name AS analyte, CAST(date AS VARCHAR) AS day, value, value_chr, quantified, CAST(preference_rank AS INTEGER) AS preference_rank

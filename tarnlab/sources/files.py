@@ -19,7 +19,11 @@ TIERS = ("exact", "format", "fallback")
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """Every file directly in a folder: hash, path, folder, filename, ext, size, content, peek, guesses."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
+    return file_rows(spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path))
+
+
+def file_rows(raw: DataFrame) -> DataFrame:
+    """Binary files (path, length, content) with what is known of each before it is read."""
     name = F.element_at(F.split("path", "/"), -1)
     df = raw.select(
         F.sha2("content", 256).alias("hash"), "path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"), name.alias("filename"),

@@ -6,12 +6,19 @@ come as higher revisions, and a batch that is replayed changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.joins import first_by
+from ..sources.files import file_rows
+from ..warehouse import ingest as batches
+from ..warehouse.scratch import written
+from ..warehouse.store import TRANSITIONS, Store
 
 #: The source forgets files older than this beside the newest: none in practice.
 MAX_AGE = "36500d"
@@ -45,6 +52,56 @@ def ingest(stream: DataFrame, checkpoint: str, commit: Callable[[DataFrame, int]
     query.awaitTermination()
 
 
+def stream_into(store: Store, path: str, checkpoint: str, per_batch: int = 1000, **options) -> None:
+    """Ingest all files that are there into a store, in micro-batches, then stop.
+
+    A batch's name (checkpoint and number) is recorded when it is done, so one that the
+    stream repeats is passed over; one that broke off is run again, and what it had
+    committed is known by its contents' states, which are written with the rows.
+    """
+    batches.ensure_schema(store)
+
+    def run(batch: DataFrame, number: int) -> None:
+        name = f"{checkpoint}#{number}"
+        if store.read("ingest_batch").where(F.col("uuid") == name).isEmpty():
+            files = written(file_rows(batch.drop("hash")), "stream-files")
+            if not files.isEmpty():
+                batches.ingest_files(store, files, path, batch=name, **options)
+
+    query = file_stream(store.spark, path, per_batch).writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(run).start()
+    query.awaitTermination()
+
+
+STEPS = "hash string, seq long, old string, new string, legal boolean"
+
+
+def file_states(reports: DataFrame) -> DataFrame:
+    """Reports of files' states (hash, seq from 0, state) as steps in order: hash, seq, old, new, legal.
+
+    Each file's state is kept by its hash. Reports that come again change nothing, those that
+    come early wait for the ones before; so in whatever order they come, the steps are the same. An illegal
+    step is given with legal false and leaves the state as it was.
+    """
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
+        old, due, waiting = kept.get if kept.exists else (None, 0, "{}")
+        early = {int(k): v for k, v in json.loads(waiting).items()}
+        for f in frames:
+            for seq, state in zip(f["seq"].tolist(), f["state"], strict=True):
+                if seq >= due:
+                    early.setdefault(seq, state)
+        out = []
+        while due in early:
+            new = early.pop(due)
+            legal = new == "seen" if old is None else new in TRANSITIONS.get(old, ())
+            out.append((key[0], due, old, new, legal))
+            old, due = new if legal else old, due + 1
+        kept.update((old, due, json.dumps(early)))
+        yield pd.DataFrame(out, columns=["hash", "seq", "old", "new", "legal"])
+
+    return reports.groupBy("hash").applyInPandasWithState(step, STEPS, "state string, due long, waiting string", "append", GroupStateTimeout.NoTimeout)
+
+
 def windowed_counts(events: DataFrame, width: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """An extension: events by type in tumbling windows, closed when the watermark passes."""
     return events.withWatermark("ts", delay).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))

@@ -40,6 +40,8 @@ SCHEMA = {
     "seen_again": "uuid string, uuid_analysis string, source_hash string, source_ref string",
     "asset": "uuid string, hash string, filename string, type string, uuid_project string",
     "archive": "uuid string, hash string, content binary",
+    "ingest_sighting": "uuid string, hash string, path string",
+    "ingest_batch": "uuid string, n_files long",
 }
 TERMINAL = ("archived", "committed", "ignored")
 
@@ -308,17 +310,36 @@ def ingest_dir(
     snapshot names a copy of the store made after the commit; remove deletes, after it, the
     files whose archived copy is sound.
     """
+    return ingest_files(store, written(src.read_files(store.spark, path), "ingest-files"), path, registry, dry_run, reconsider, remove, snapshot, actor)
+
+
+def sighted(store: Store, files: DataFrame, batch: str | None, actor: str) -> None:
+    """Record where contents were seen, each (hash, path) once, and that a batch is done: in one transaction."""
+    with store.transaction():
+        seen = files.select("hash", "path").distinct().withColumn("uuid", made("is-", "hash", "path"))
+        store.append("ingest_sighting", shaped(written(seen.join(store.read("ingest_sighting").select("uuid"), "uuid", "left_anti"), "ingest-sightings"), "ingest_sighting"), actor, "sightings")
+        if batch is not None:
+            store.append("ingest_batch", store.spark.range(1).select(F.lit(batch).alias("uuid"), F.lit(files.count()).alias("n_files")), actor, "batch done")
+
+
+def ingest_files(
+    store: Store, files: DataFrame, path: str, registry: src.Registry | None = None, dry_run: bool = False, reconsider: bool = False, remove: bool = False,
+    snapshot: str | None = None, actor: str = "ingest", batch: str | None = None,
+) -> Outcome:
+    """ingest_dir for files (as read_files gives them, a written table) from anywhere. batch: a name that is recorded once all is done."""
     spark = store.spark
     if not dry_run:
         ensure_schema(store)
+        sighted(store, files, None, actor)
     registry = registry or adapters.built_in()
-    files = written(src.read_files(spark, path), "ingest-files")
     recorded = store.read("ingest_file") if store.exists("ingest_file") else spark.createDataFrame([], SCHEMA["ingest_file"])
     stale = src.is_reconsidered(F.col("state"), F.col("reason")) if reconsider else F.lit(False)
     settled = written(recorded.where(~stale).select("hash", "state", "reason"), "ingest-settled")
     fresh = written(adapters.described(files.join(settled, "hash", "left_anti")), "ingest-described")
     if fresh.isEmpty():  # nothing to decide; what an interrupted run left behind may still go
         out = Outcome(dry_run)
+        if batch is not None and not dry_run:
+            sighted(store, files, batch, actor)
         pending = remove and snapshot and not dry_run and not archive.removable(store, files).isEmpty()
         return _finished(store, files, settled.join(files.select("hash").distinct(), "hash", "left_semi"), out, path, snapshot if pending else None, remove)
     routed = written(src.route(fresh, src.claims(fresh, registry)), "ingest-routed")
@@ -375,6 +396,8 @@ def ingest_dir(
     if out.events and out.failed == out.events:
         raise RuntimeError(f"every event of {path} failed: {out.stopped.first().fault}")
     out.retained = retain_siblings(store, files, others, actor)
+    if batch is not None:
+        sighted(store, files, batch, actor)
     return _finished(store, files, current_states(files.select("hash").distinct(), store.read("ingest_file")), out, path, snapshot, remove)
 
 
