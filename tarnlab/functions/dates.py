@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .binding import let
 
@@ -84,3 +85,11 @@ def month_of(day: Column) -> Column:
 def date_bound(text: Column) -> Column:
     """An ISO date; null if it isn't one."""
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
+
+
+def require_dates(df: DataFrame, *columns: str) -> DataFrame:
+    """df, if these of its columns are dates; TypeError if one is not: instants would make a bound depend on a zone."""
+    for c in columns:
+        if not isinstance(df.schema[c].dataType, T.DateType):
+            raise TypeError(f"{c} must be a date, not {df.schema[c].dataType.simpleString()}")
+    return df

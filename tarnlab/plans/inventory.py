@@ -42,11 +42,11 @@ def file_meta(r: Roles) -> DataFrame:
     )
 
 
-@query("a13_damage", "SELECT doc_id, CAST(doc_id % 3 AS INTEGER) AS n FROM documents WHERE NOT contains(text, '�')")
+@query("a13_damage", "SELECT doc_id, CAST(doc_id % 3 + length(text) - length(replace(text, '�', '')) AS INTEGER) AS n FROM documents")
 def damage(r: Roles) -> DataFrame:
-    """Replacement characters put into whole texts are counted again."""
+    """Replacement characters put into whole texts are counted again, beside those that stand there."""
     t = F.concat("text", F.repeat(F.lit(" <ef><bf><bd>"), (F.col("doc_id") % 3).cast("int")))
-    return r.table("documents").where(~F.col("text").contains("�")).select("doc_id", src.damage(t).cast("int").alias("n"))
+    return r.table("documents").select("doc_id", src.damage(t).cast("int").alias("n"))
 
 
 def delimited_files(r: Roles) -> DataFrame:
@@ -306,15 +306,19 @@ def method_candidates(r: Roles) -> DataFrame:
     return rs.resolve_methods(rows, r.lab_method).where("row = uuid_lab").select("row", "uuid_lab")
 
 
+SIDE = "CASE WHEN {o} = 'ALS' AND coalesce({m} NOT IN ('field', 'EN67 - Client Supplied Data'), TRUE) THEN 'als' WHEN {o} = 'ACIRL' AND {m} IS NULL THEN 'copy' END"
+
+
 @query(
     "d14_twins",
-    """SELECT i.row, min(e.uuid) AS twin FROM incoming i JOIN stored e ON i.point = e.point AND i.date = e.date AND i.uuid_analyte = e.uuid_analyte WHERE i.datetime IS NULL AND i.organisation = 'ACIRL' AND i.method IS NULL AND e.organisation = 'ALS' AND coalesce(e.method NOT IN ('field', 'EN67 - Client Supplied Data'), TRUE) GROUP BY 1""",
+    f"""WITH b AS (SELECT i.row, {SIDE.format(o='i.organisation', m='i.method')} AS a, {SIDE.format(o='e.organisation', m='e.method')} AS z, e.uuid, i.datetime AS t, e.datetime AS u FROM incoming i JOIN stored e ON i.point = e.point AND i.date = e.date AND i.uuid_analyte = e.uuid_analyte)
+SELECT row, CASE a WHEN 'copy' THEN 'skip' ELSE 'delete_twin' END AS action, arg_min(uuid, (CASE WHEN t = u THEN 0 ELSE 1 END, uuid)) AS twin FROM b WHERE a <> z GROUP BY row, a HAVING NOT bool_and(coalesce(t <> u, FALSE))""",
 )
 def twins(r: Roles) -> DataFrame:
-    """Laboratory twins of transcriptions without an instant: nothing proves them another."""
+    """Twins of laboratory results and their transcriptions, whichever of them comes, unless their instants prove them others."""
     kind = values.lab_kind(F.lit(True), F.col("method"), F.col("organisation"))
-    out = rc.twin_supersession(r.incoming.where("datetime is null").withColumn("kind", kind), r.stored.withColumn("kind", kind))
-    return out.where("action = 'skip'").select("row", "twin")
+    out = rc.twin_supersession(r.incoming.withColumn("kind", kind), r.stored.withColumn("kind", kind))
+    return out.where("action <> 'none'").select("row", "action", "twin")
 
 
 @query("d23_dependents", "SELECT m.uuid, 'analysis' AS tbl, 'uuid_lab' AS field, a.uuid AS uuid_row FROM lab_method m JOIN analysis a ON a.uuid_lab = m.uuid WHERE m.rl_low > 25")

@@ -291,6 +291,18 @@ def key_sets(r: Roles) -> DataFrame:
     return n(a.subtract(b), "only_mask").join(n(a.intersect(b), "both"), F.lit(True)).join(n(a.union(b).distinct(), "either"), F.lit(True))
 
 
+@query(
+    "h06_requirement_grid",
+    """WITH p AS (SELECT c_nationkey AS k, c_mktsegment AS m, c_custkey AS point FROM customer WHERE c_acctbal > 0), a AS (SELECT p_size % 25 AS k, p_type AS analyte FROM part WHERE p_partkey % 3 = 0 GROUP BY 1, 2)
+SELECT point, analyte, CAST(max(3 + length(m)) AS INTEGER) AS required FROM p JOIN a USING (k) GROUP BY 1, 2""",
+)
+def requirement_grid(r: Roles) -> DataFrame:
+    """Rules for the points of each nation and segment, at most 50 in one, and the analytes that the nation asks for."""
+    of = r.table("part").where("p_partkey % 3 = 0").groupBy((F.col("p_size") % 25).alias("k")).agg(F.collect_set("p_type").alias("analytes"))
+    rules = r.table("customer").where("c_acctbal > 0").groupBy(F.col("c_nationkey").alias("k"), "c_mktsegment", F.floor(F.col("c_custkey") / 50)).agg(F.collect_list("c_custkey").alias("points"))
+    return st.requirement_grid(rules.join(of, "k").withColumn("required", 3 + F.length("c_mktsegment")))
+
+
 @query("d36_view_diff", f"WITH {RANKED} SELECT a_uuid AS k, 'differs' AS kind FROM ranked WHERE preference_rank > 1 UNION ALL SELECT a.uuid, 'only_right' FROM analysis a WHERE NOT EXISTS (SELECT 1 FROM ranked WHERE a_uuid = a.uuid)")
 def view_diff(r: Roles) -> DataFrame:
     left = ranked(r).select(F.col("a_uuid").alias("uuid"), F.col("preference_rank").cast("int").alias("rank"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, values
+from ..functions.dates import require_dates
 from ..operators import commit
 from ..operators.joins import first_by
 from .ingest import made, shaped
@@ -147,6 +148,7 @@ def confirm_aliases(store: Store, requests: DataFrame, actor: str, override: boo
     with store.transaction():
         alias, feature = store.read("feature_alias"), store.read("feature")
         types = {"uuid_alias": "string", "uuid_feature": "string", "kind": "string", "date_start": "date", "date_end": "date"}
+        require_dates(requests, *[c for c in ("date_start", "date_end") if c in requests.columns])
         asked = requests.select(*[(F.col(c) if c in requests.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
         refuse(asked.groupBy("uuid_alias").count().where("count > 1").select("uuid_alias"), "aliases named twice")
         refuse(asked.where("date_start > date_end").select("uuid_alias"), "dates the wrong way round")

@@ -108,3 +108,19 @@ def test_values_equal(spark):
     assert not one(spark, values.values_equal(F.lit(1.0), n, yes, F.lit(1.0), n, b))
     assert one(spark, values.values_equal(d, F.lit("Dry"), b, d, F.lit("Dry"), b))
     assert not one(spark, values.values_equal(F.lit(1.0), n, yes, d, n, yes))
+
+
+def test_units_for_several_values(spark):
+    units_of = lambda *u: F.array(*map(F.lit, u))
+    assert one(spark, units.recycled(units_of("mg/L"), 3)) == ["mg/L"] * 3
+    assert one(spark, units.recycled(units_of("mg/L", "m"), F.size(F.array(F.lit(1), F.lit(2))))) == ["mg/L", "m"]
+    for bad in (units.recycled(units_of("a", "b"), 3), units.recycled(F.lit(None).cast("array<string>"), 1)):
+        with pytest.raises(Exception, match="must have length 1 or"):
+            one(spark, bad)
+
+
+def test_date_bounds_are_dates(spark):
+    df = spark.sql("SELECT DATE '2024-05-07' AS a, TIMESTAMP '2024-05-07 10:00' AS b")
+    assert dates.require_dates(df, "a") is df
+    with pytest.raises(TypeError, match="b must be a date"):
+        dates.require_dates(df, "a", "b")
