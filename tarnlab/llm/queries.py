@@ -175,6 +175,48 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report
 
 
+#: Row by row: of the ways to each state (nothing yet, system, user, assistant last) the least by cost, then audit.
+OP12_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+base AS (SELECT conv_id, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+    lambda c, b: xor(c >> 8, crc[1 + (xor(c, b) & 255)]))) % 20 AS f FROM conversations, crc_table),
+damaged AS (SELECT g, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM base),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS k,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, substr(role, 1, 1) AS ini FROM damaged),
+faulty AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY k) > 1 THEN 'duplicate' WHEN bare[-1:] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  lag(ini) OVER (PARTITION BY g ORDER BY k) || ini NOT IN ('su', 'ua', 'au') AS illegal FROM placed),
+steps AS (
+  SELECT g, CAST(0 AS BIGINT) AS k, [{'c': CAST(0 AS BIGINT), 'a': '', 'o': ''}] AS s0, CAST([] AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)[]) AS s1, CAST([] AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)[]) AS s2, CAST([] AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)[]) AS s3
+  FROM (SELECT DISTINCT g FROM faulty)
+  UNION ALL
+  SELECT g, k, d0,
+    list_sort(d1 || CASE WHEN free AND ini = 's' THEN list_transform(s0, lambda x: {'c': x.c + late, 'a': x.a || 'K', 'o': x.o || chr(10) || role || ':' || text}) ELSE [] END)[1:1],
+    list_sort(d2 || CASE WHEN free THEN list_transform(s0 || s1 || s3, lambda x: {'c': x.c + late + eu, 'a': x.a || lu, 'o': x.o || chr(10) || ru || ':' || text})
+      || list_transform(s2, lambda x: {'c': x.c + late + eu + 5, 'a': x.a || 'I' || lu, 'o': x.o || chr(10) || 'assistant:' || chr(10) || ru || ':' || text}) ELSE [] END)[1:1],
+    list_sort(d3 || CASE WHEN free THEN list_transform(s2, lambda x: {'c': x.c + late + ea, 'a': x.a || la, 'o': x.o || chr(10) || ra || ':' || text})
+      || list_transform(s0 || s1 || s3, lambda x: {'c': x.c + late + ea + 5, 'a': x.a || 'I' || la, 'o': x.o || chr(10) || 'user:' || chr(10) || ra || ':' || text}) ELSE [] END)[1:1]
+  FROM (
+    SELECT s.g, f.k, f.role, f.text, f.ini, s.s0, s.s1, s.s2, s.s3, f.fault NOT IN ('blank', 'duplicate') AS free, CASE f.fault WHEN 'truncated' THEN 5 ELSE 0 END AS late,
+      CASE f.ini WHEN 'u' THEN 0 ELSE 1 END AS eu, CASE f.ini WHEN 'u' THEN 'K' ELSE 'R' END AS lu, CASE f.ini WHEN 'u' THEN f.role ELSE 'user' END AS ru,
+      CASE f.ini WHEN 'a' THEN 0 ELSE 1 END AS ea, CASE f.ini WHEN 'a' THEN 'K' ELSE 'R' END AS la, CASE f.ini WHEN 'a' THEN f.role ELSE 'assistant' END AS ra,
+      list_transform(s.s0, lambda x: {'c': x.c + 2, 'a': x.a || 'D', 'o': x.o}) AS d0, list_transform(s.s1, lambda x: {'c': x.c + 2, 'a': x.a || 'D', 'o': x.o}) AS d1,
+      list_transform(s.s2, lambda x: {'c': x.c + 2, 'a': x.a || 'D', 'o': x.o}) AS d2, list_transform(s.s3, lambda x: {'c': x.c + 2, 'a': x.a || 'D', 'o': x.o}) AS d3
+    FROM steps s JOIN faulty f ON f.g = s.g AND f.k = s.k + 1)),
+ends AS (SELECT g, list_sort(s0 || s3 || list_transform(s2, lambda x: {'c': x.c + 5, 'a': x.a || 'I', 'o': x.o || chr(10) || 'assistant:'})
+  || list_transform(s1, lambda x: {'c': x.c + 10, 'a': x.a || 'II', 'o': x.o || chr(10) || 'user:' || chr(10) || 'assistant:'}))[1] AS best FROM steps QUALIFY k = max(k) OVER (PARTITION BY g)),
+counted AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal FROM faulty GROUP BY g)
+SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(substr(coalesce(best.o, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, g FROM base) b LEFT JOIN counted USING (g) LEFT JOIN ends USING (g)
+"""
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
@@ -221,4 +263,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op5_chat_format": OP5_SQL, "op9_histogram_shards": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_source_mix": OP11_SQL, "op13_importance_resampling": OP13_SQL}
+    return {"op3_warc": OP3_SQL, "op5_chat_format": OP5_SQL, "op9_histogram_shards": OP9_SQL, "op10_jaccard_join": OP10_SQL, "op11_source_mix": OP11_SQL, "op12_conversation_repair": OP12_SQL, "op13_importance_resampling": OP13_SQL}
