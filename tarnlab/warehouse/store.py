@@ -72,7 +72,11 @@ class Store:
         return sorted(int(n) for n in names if n.isdecimal())
 
     def _content(self, path) -> dict:
-        return json.loads(self.spark.read.text(path.toString(), wholetext=True).first()[0])
+        stream = self._fs().open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def _pointer(self) -> dict:
         """The pointer of the greatest version: version, and of each table its schema and parts."""
