@@ -52,7 +52,7 @@ def ensure_schema(store: Store) -> None:
     if missing:
         with store.transaction():
             for name in missing:
-                store.replace(name, store.spark.createDataFrame([], SCHEMA[name]))
+                store.create(name, SCHEMA[name])
 
 
 def shaped(df: DataFrame, table: str) -> DataFrame:

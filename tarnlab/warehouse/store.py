@@ -134,8 +134,9 @@ class Store:
 
     def _parts(self, parts: list[str], schema: T.StructType) -> DataFrame:
         """Rows of some parts of a table, with its columns."""
-        if not parts:
-            return self.spark.createDataFrame([], schema)
+        if not parts:  # nothing, known when the plan is made
+            none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            return self.spark.range(1).select(*none).where(F.lit(False))
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{p}" for p in parts])
 
     def exists(self, name: str) -> bool:
@@ -165,6 +166,12 @@ class Store:
     def _keep(self, name: str, schema: T.StructType) -> None:
         self.schemas[name] = json.dumps(schema.jsonValue())
 
+    def create(self, name: str, schema: str) -> None:
+        """A table without rows; nothing is written but the pointer."""
+        with self.transaction():
+            self.staged[name] = []
+            self._keep(name, nullable(T.StructType.fromDDL(schema)))
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Write a new version of a table, in one part and with the columns of df."""
         with self.transaction():
@@ -188,15 +195,15 @@ class Store:
             self._keep(name, T.StructType([*self.schema(name), *new]))
         return df.select(*[F.col(f"`{c}`").cast(have[c]).alias(c) if c in have else F.col(f"`{c}`") for c in df.columns])
 
-    def _grow(self, name: str, df: DataFrame) -> DataFrame:
-        """Add a part with these rows and return it; what is there isn't read or written again. No rows make no part."""
+    def _grow(self, name: str, df: DataFrame) -> DataFrame | None:
+        """Add a part with these rows and return it; what is there isn't read or written again. No rows make no part, and None."""
         with self.transaction():
             df = self._fitted(name, df)
             folder = self._write(name, df)
             part = self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}")
-            if not self.exists(name) or not part.isEmpty():
-                self.staged[name] = [*self.staged.get(name, []), folder]
-            return part
+            some = not part.isEmpty()
+            self.staged[name] = [*self.staged.get(name, []), *([folder] if some else [])]
+            return part if some else None
 
     def compact(self, name: str) -> None:
         """Rewrite a table of many parts as one."""
@@ -206,7 +213,8 @@ class Store:
         """Add rows and an `insert` log row for each, together."""
         with self.transaction():
             part = self._grow(name, df)  # read back, so the rows aren't made twice
-            self._log(part.select("uuid"), name, "insert", actor, reason, source_hash)
+            if part is not None:
+                self._log(part.select("uuid"), name, "insert", actor, reason, source_hash)
 
     def update(self, name: str, changes: DataFrame, actor: str, reason: str, source_hash: str | None = None) -> None:
         """Set fields of rows by uuid: changes has uuid and new values. Unchanged fields aren't logged.
@@ -244,6 +252,10 @@ class Store:
 
         Only uuids and files' names are read.
         """
+        if not self.tables()[name]:
+            if not wanted.isEmpty():
+                raise ValueError(f"{name} has no rows")
+            return []
         file = F.regexp_extract(F.col("_metadata.file_path"), rf"/({re.escape(name)}/v=[^/]+/[^/]+)$", 1)
         asked = wanted.groupBy("uuid").agg(F.count("*").alias("n"))
         held = table.select("uuid", file.alias("file")).join(asked.select("uuid"), "uuid", "left_semi")
