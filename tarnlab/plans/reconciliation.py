@@ -96,12 +96,12 @@ outcomes AS (SELECT i.*, m.e_uuid, CASE WHEN m.e_uuid IS NULL THEN 'new'
 
 @query("p07_three_way", f"WITH {THREE_WAY} SELECT row, e_uuid, outcome FROM outcomes")
 def three_way(r: Roles) -> DataFrame:
-    return rc.three_way(r.incoming, rc.existing_match(r.incoming, r.stored)).select("row", "e_uuid", "outcome")
+    return rc.three_way(rc.with_existing(r.incoming, r.stored)).select("row", "e_uuid", "outcome")
 
 
 @query("e21_outcome_counts", f"WITH {THREE_WAY} SELECT outcome, count(*) AS n FROM outcomes GROUP BY 1")
 def outcome_counts(r: Roles) -> DataFrame:
-    return rc.counts(rc.three_way(r.incoming, rc.existing_match(r.incoming, r.stored)), "outcome")
+    return rc.counts(rc.three_way(rc.with_existing(r.incoming, r.stored)), "outcome")
 
 
 @query(

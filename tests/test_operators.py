@@ -29,6 +29,56 @@ def test_batch_duplicates_keep_rows_without_key(spark):
     assert [r.duplicate_of for r in reconcile.batch_duplicates(df, ["g"]).collect()] == [None, None]
 
 
+def _best(at, candidates):
+    """Of (uuid, instant) pairs the one that a row at an instant matches."""
+    if not candidates or all(at is not None and t is not None and t != at for _, t in candidates):
+        return None
+    return min(candidates, key=lambda c: (not (at is not None and c[1] == at), c[0]))[0]
+
+
+def test_existing_match_by_instant(spark):
+    rng = random.Random(11)
+    stored = [(f"u{i:03}", rng.choice(["p", "q", "r", None]), rng.choice([1, 2, None]), rng.choice([1, 2, 3, 4, 5, None]), rng.choice(["m", "n"]), float(i), None, True, 1) for i in range(60)]
+    stored += [(f"v{i}", "timed", 1, i % 3, "m", float(i), None, True, 1) for i in range(6)]
+    rows = [(i, p, d, t, m) for i, (p, d, t, m) in enumerate((p, d, t, m) for p in ("p", "q", "s", "timed", None) for d in (1, 2, None) for t in (1, 2, 9, None) for m in ("m", "n", None))]
+    columns = "uuid string, point string, date int, datetime int, uuid_lab string, value double, value_chr string, quantified boolean, revision int"
+    known = spark.createDataFrame(stored, columns)
+    asked = spark.createDataFrame(rows, "row int, point string, date int, datetime int, uuid_lab string")
+    expected = {}
+    for i, *key, at, m in rows:
+        expected[i] = _best(at, [(u, t) for u, p, d, t, lab, *_ in stored if None not in (*key, m) and [p, d, lab] == [*key, m]])
+    got = {r.row: r for r in reconcile.with_existing(asked, known).collect()}
+    assert {i: r.e_uuid for i, r in got.items()} == expected
+    value = {u[0]: u[5] for u in stored}
+    assert all(r.e_value == value.get(r.e_uuid) for r in got.values())
+    only = {r.row: r.e_uuid for r in reconcile.existing_match(asked, known).collect()}
+    assert only == {i: u for i, u in expected.items() if u}
+    assert reconcile.with_existing(asked, known.limit(0)).where("e_uuid is not null").isEmpty()
+
+
+def test_existing_match_of_one_large_group(spark):
+    """A visit with 200,000 rows on each side: pairs would be 4 * 10^10."""
+    n = 200_000
+    side = lambda c: spark.range(n).select(c, F.lit("p").alias("point"), F.lit(1).alias("date"), F.col("id").alias("datetime"), F.lit("m").alias("uuid_lab"))
+    known = side(F.format_string("u%06d", "id").alias("uuid")).selectExpr("*", "1D value", "string(null) value_chr", "true quantified", "1 revision")
+    found = reconcile.with_existing(side(F.format_string("u%06d", "id").alias("row")), known)
+    assert found.where("row = e_uuid").count() == n
+
+
+def test_twins_on_opposite_sides(spark):
+    rng = random.Random(12)
+    kinds, columns = ["als_lab", "acirl_transcription", "other", None], "kind string, point string, date int, datetime int, uuid_analyte string"
+    make = lambda i: (i, rng.choice(kinds), rng.choice("pq"), rng.choice([1, 2]), rng.choice([1, 2, 3, None]), rng.choice(["a", None]))
+    stored, rows = [make(f"u{i:02}") for i in range(30)], [make(i) for i in range(60)]
+    opposite = {"als_lab": "acirl_transcription", "acirl_transcription": "als_lab"}
+    expected = {}
+    for i, kind, p, d, at, a in rows:
+        twin = _best(at, [(u, t) for u, k, q, e, t, b in stored if kind in opposite and k == opposite[kind] and (p, d) == (q, e) and a is not None and a == b])
+        expected[i] = (twin, "none" if twin is None else "skip" if kind == "acirl_transcription" else "delete_twin")
+    got = reconcile.twin_supersession(spark.createDataFrame(rows, "row int, " + columns), spark.createDataFrame(stored, "uuid string, " + columns))
+    assert {r.row: (r.twin, r.action) for r in got.collect()} == expected
+
+
 def test_compliance_flags(spark):
     rows = [("p", "a", 1.0, True), ("p", "b", 1.0, False), ("p", "c", 5.0, True), ("q", "a", None, None), ("q", "b", 2.0, True)]
     df = spark.createDataFrame(rows, "k string, sample string, value double, is_nd boolean")
