@@ -26,16 +26,28 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(common.table(spark, sf_dir, "pages"))
-    return warc.read_archive(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-
-OP3_SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
-q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p)
-SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
-  CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
-FROM q
+    records = warc.read_archive(spark, archive)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.sha2("record", 256).alias("record_sha256"))
+
+
+#: With the bytes of each rebuilt record, header lines and all.
+OP3_SQL = r"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p),
+k AS (SELECT *, n >= 1000 AND page_id <> top AS again, chr(13) || chr(10) AS e, regexp_replace(coalesce(url, ''), '[\x00-\x20\x7f]', '%20', 'g') AS uri,
+  md5('page:' || page_id) AS own, md5('page:' || top) AS other FROM q),
+h AS (SELECT *, 'HTTP/1.1 200 OK' || e || 'Content-Type: text/html; charset=utf-8' || e || 'Content-Length: ' || n || e || e AS http FROM k),
+r AS (SELECT *, 'WARC/1.1' || e || 'WARC-Type: ' || CASE WHEN again THEN 'revisit' ELSE 'response' END || e
+  || 'WARC-Record-ID: <urn:uuid:' || regexp_replace(own, '(.{8})(.{4})(.{4})(.{4})(.{12})', '\1-\2-\3-\4-\5') || '>' || e || 'WARC-Date: 2020-01-01T00:00:00Z' || e
+  || CASE WHEN uri <> '' THEN 'WARC-Target-URI: ' || uri || e ELSE '' END || 'X-Page-ID: ' || page_id || e
+  || 'WARC-Payload-Digest: sha1:' || sha1(html) || e || 'X-Payload-SHA256: ' || sha256(html) || e
+  || CASE WHEN again THEN 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || e
+    || 'WARC-Refers-To: <urn:uuid:' || regexp_replace(other, '(.{8})(.{4})(.{4})(.{4})(.{12})', '\1-\2-\3-\4-\5') || '>' || e || 'X-Refers-To-Page-ID: ' || top || e ELSE '' END
+  || 'Content-Type: application/http;msgtype=response' || e || 'Content-Length: ' || (strlen(http) + CASE WHEN again THEN 0 ELSE n END) || e || e
+  || http || CASE WHEN again THEN '' ELSE html END || e || e AS record FROM h)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN top END AS refers_to, sha256(record) AS record_sha256
+FROM r
 """
 
 
