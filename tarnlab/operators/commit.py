@@ -14,8 +14,9 @@ from .joins import first_by
 def materialise_aliases(pending: DataFrame, alias: DataFrame) -> DataFrame:
     """The dangling alias of each pending key: the least existing one with more sightings, or a new one.
 
-    pending: alias_key, name, date, datetime. Sightings are distinct (date, datetime). date_start is
-    the first date of all; a stored one only moves to an earlier date.
+    pending: alias_key, name, date, datetime. Sightings are distinct (date, datetime). A new alias
+    holds from the first date of all its rows, in whatever order they come. A stored bound stays as it is,
+    earlier dates or not: only a confirmation moves it.
     Returns alias_key, uuid, n_seen, date_start, is_new.
     """
     g = pending.where("alias_key is not null").groupBy("alias_key").agg(
@@ -26,7 +27,7 @@ def materialise_aliases(pending: DataFrame, alias: DataFrame) -> DataFrame:
     out = g.join(old, F.col("alias_key") == F.col("_k"), "left")
     made = F.concat(F.lit("fa-"), F.substring(F.sha2("alias_key", 256), 1, 16))
     return out.select(
-        "alias_key", F.coalesce("_o.uuid", made).alias("uuid"), (F.col("n") + F.coalesce("_o.n_seen", F.lit(0))).alias("n_seen"), F.least("date_start", "_o.date_start").alias("date_start"),
+        "alias_key", F.coalesce("_o.uuid", made).alias("uuid"), (F.col("n") + F.coalesce("_o.n_seen", F.lit(0))).alias("n_seen"), F.when(F.col("_o").isNull(), F.col("date_start")).otherwise(F.col("_o.date_start")).alias("date_start"),
         F.col("_o").isNull().alias("is_new"),
     )
 
@@ -47,6 +48,18 @@ def materialise_methods(rows: DataFrame, method: DataFrame) -> DataFrame:
     return out.select("org", "name_key", "meth_key", "n_rows", F.col("_uuid").alias("uuid"), F.col("_uuid").isNull().alias("is_new"), drift.alias("drifted"))
 
 
+def units_sightings(rows: DataFrame, method: DataFrame) -> DataFrame:
+    """The unit in which each known method without an analyte comes now, where it is another than recorded.
+
+    rows: row, uuid_lab, units_raw, source_hash; the first row of each method speaks. Without
+    a unit it says nothing; a method without a recorded one differs from any. Returns uuid, field, old, new, source_hash.
+    """
+    first = first_by(rows.where("uuid_lab is not null").select("uuid_lab", "row", "units_raw", "source_hash"), ["uuid_lab"], [F.col("row")])
+    old = method.where("uuid_analyte is null").select(F.col("uuid").alias("uuid_lab"), F.col("units").alias("old"))
+    out = first.join(old, "uuid_lab").where("units_raw is not null and not units_raw <=> old")
+    return out.select(F.col("uuid_lab").alias("uuid"), F.lit("units").alias("field"), "old", F.col("units_raw").alias("new"), "source_hash")
+
+
 def recorded_revisions(recorded: DataFrame, guessed: DataFrame, own: DataFrame) -> DataFrame:
     """Greatest revision known of each work order, from records and file names, own files left out: work_order, revision."""
     both = recorded.select("work_order", "hash", "revision").union(guessed.select("work_order", "hash", "revision"))

@@ -23,14 +23,15 @@ DAY = "CAST(s.datetime AT TIME ZONE 'UTC' AT TIME ZONE 'Australia/Sydney' AS DAT
 @query(
     "e19_materialise_aliases",
     """WITH p AS (SELECT lower(p_name) || ' ' || (l_partkey % 90) AS alias_key, CAST(l_shipdate AS DATE) AS date, l_orderkey % 5 AS h FROM lineitem JOIN part ON l_partkey = p_partkey),
-g AS (SELECT alias_key, count(DISTINCT (date, h)) AS n, min(date) AS d FROM p GROUP BY 1), o AS (SELECT alias_key, min(uuid) AS uuid FROM feature_alias WHERE uuid_feature IS NULL GROUP BY 1)
-SELECT alias_key, coalesce(o.uuid, 'new') AS uuid, n + CASE WHEN o.uuid IS NULL THEN 0 ELSE 3 END AS n_seen, CAST(d AS VARCHAR) AS date_start, o.uuid IS NULL AS is_new FROM g LEFT JOIN o USING (alias_key)""",
+g AS (SELECT alias_key, count(DISTINCT (date, h)) AS n, min(date) AS d FROM p GROUP BY 1), o AS (SELECT alias_key, min(uuid) AS uuid, arg_min(k, uuid) AS k FROM (SELECT *, CAST(substr(uuid, 4) AS BIGINT) % 2 AS k FROM feature_alias WHERE uuid_feature IS NULL) GROUP BY 1)
+SELECT alias_key, coalesce(o.uuid, 'new') AS uuid, n + CASE WHEN o.uuid IS NULL THEN 0 ELSE 3 END AS n_seen, CASE WHEN o.uuid IS NULL THEN CAST(d AS VARCHAR) WHEN k = 1 THEN '1997-01-01' END AS date_start, o.uuid IS NULL AS is_new FROM g LEFT JOIN o USING (alias_key)""",
 )
 def materialise_aliases(r: Roles) -> DataFrame:
     part = r.table("part").select("p_partkey", "p_name")
     rows = r.table("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.select(F.concat(F.lower("p_name"), F.lit(" "), (F.col("l_partkey") % 90).cast("string")).alias("alias_key"), F.to_date("l_shipdate").alias("date"), (F.col("l_orderkey") % 5).alias("datetime"))
-    out = cm.materialise_aliases(rows, r.feature_alias.withColumn("n_seen", F.lit(3)))
+    bound = F.when(F.substring("uuid", 4, 20).cast("long") % 2 == 1, F.lit("1997-01-01")).cast("date")  # some stored aliases have one, some hold without
+    out = cm.materialise_aliases(rows, r.feature_alias.withColumn("n_seen", F.lit(3)).withColumn("date_start", bound))
     return out.select("alias_key", F.when(F.col("is_new"), "new").otherwise(F.col("uuid")).alias("uuid"), "n_seen", F.col("date_start").cast("string").alias("date_start"), "is_new")
 
 

@@ -115,22 +115,26 @@ def _dangling(store: Store, clean: DataFrame, actor: str) -> DataFrame:
     alias, method = store.read("feature_alias"), store.read("lab_method")
     unknown = clean.where("feature_pending")
     seen = written(commit.materialise_aliases(unknown.select("alias_key", F.col("feature_raw").alias("name"), "date", "datetime"), alias), "ingest-aliases")
-    names = unknown.groupBy("alias_key").agg(F.min("feature_raw").alias("name"))
+    names = first_by(unknown.select("alias_key", "row", F.col("feature_raw").alias("name")), ["alias_key"], [F.col("row")]).select("alias_key", "name")
     new = seen.where("is_new").join(names, "alias_key").select("uuid", "alias_key", "name", F.lit("pending").alias("kind"), F.lit(False).alias("auto_assign"), "date_start", "n_seen")
     new = written(shaped(new, "feature_alias"), "ingest-new-aliases")
-    again = seen.where("not is_new").select("uuid", "n_seen", "date_start")  # only an earlier date moves the first one
+    again = seen.where("not is_new").select("uuid", "n_seen")  # a stored bound isn't touched
     store.append("feature_alias", new, actor, "unknown points")
     if not again.isEmpty():
         store.update("feature_alias", written(again, "ingest-seen-again"), actor, "seen again")
 
     unknown = clean.where("analyte_pending and uuid_lab is null")
     keys = ["org", "name_key", "meth_key"]
-    g = unknown.where("org is not null and name_key is not null").groupBy(*keys).agg(
-        F.min("analyte_raw").alias("name"), F.min("method_raw").alias("method"), F.min("units_raw").alias("units")
-    )
+    known = unknown.where("org is not null and name_key is not null")
+    named = known.select(*keys, "row", F.col("analyte_raw").alias("name"), F.col("method_raw").alias("method"), F.col("units_raw").alias("units"), "rl_low")
+    g = first_by(named, keys, [F.col("row")])  # all that is recorded is of one row
     g = written(g.withColumn("uuid", made("lm-", *keys)), "ingest-methods").join(method.select("uuid"), "uuid", "left_anti")
     store.append("lab_method", shaped(g.withColumn("organisation", F.col("org")), "lab_method"), actor, "unknown methods")
 
+    drift = written(commit.units_sightings(clean.where("analyte_pending"), method), "ingest-drift")
+    if not drift.isEmpty():
+        store._log(drift, "lab_method", "provenance", actor, "units drift", None)
+
     out = clean.join(seen.select("alias_key", F.col("uuid").alias("_alias")), "alias_key", "left")
     out = out.withColumn("uuid_alias", F.coalesce("uuid_alias", F.when(F.col("feature_pending"), F.col("_alias")))).drop("_alias")
     needs = F.col("analyte_pending") & F.col("uuid_lab").isNull() & F.col("org").isNotNull() & F.col("name_key").isNotNull()

@@ -290,7 +290,7 @@ class Store:
         log = rows.select(
             key.alias("uuid"), F.lit(name).alias("tbl"), F.col("uuid").alias("uuid_row"), part("field").alias("field"), part("old").alias("old"),
             part("new").alias("new"), F.lit(action).alias("action"), F.lit(actor).alias("actor"), F.lit(reason).alias("reason"),
-            F.lit(source_hash).cast("string").alias("source_hash"),
+            F.coalesce(part("source_hash"), F.lit(source_hash).cast("string")).alias("source_hash"),
         )
         self._grow(LOG, log)
 

@@ -97,6 +97,19 @@ def test_unknown_names_commit_dangling(spark, store, tmp_path):
     assert {r.kind for r in registry.review_queue(store).collect()} == {"unknown_feature", "unknown_analyte"}
 
 
+def test_units_of_an_unknown_method_are_sighted(spark, store, tmp_path):
+    for n, (wo, unit) in enumerate([("XX1111111", "mg/L"), ("XX2222222", "ug/L")]):
+        folder = tmp_path / f"in{n}"
+        deliver(folder, wo=wo, when=f"0{n + 1} May 2024 10:30")
+        (folder / f"PROJ.ESDAT_{wo}_0.Chemistry2e.CSV").write_text(chemistry(wo, "3", analyte="Unobtainium", unit=unit))
+        ingest.ingest_dir(store, str(folder))
+    method = store.read("lab_method").where("uuid_analyte is null").first()
+    assert method.units == "mg/L" and store.read("analysis").count() == 2
+    log = store.read("change_log").where("tbl = 'lab_method' and action = 'provenance'").collect()
+    assert [(r.uuid_row, r.field, r.old, r.new, r.reason) for r in log] == [(method.uuid, "units", "mg/L", "ug/L", "units drift")]
+    assert log[0].source_hash in {r.hash for r in store.read("ingest_file").where("work_order = 'XX2222222'").collect()}
+
+
 def test_inbox(spark, store, tmp_path):
     root = tmp_path / "inbox"
     root.mkdir()
@@ -247,7 +260,7 @@ def test_siblings_and_first_dates(spark, store, tmp_path):
     deliver(second, wo="XX3333333", point="Nowhere 7", when="02 May 2024 10:30", note="\n\n")
     (second / "XX2222222_COC[1].pdf").write_bytes(b"custody")
     again = ingest.ingest_dir(store, str(second))
-    assert again.retained == 1 and (alias().date_start, alias().n_seen) == (dt.date(2024, 5, 2), 3)
+    assert again.retained == 1 and (alias().date_start, alias().n_seen) == (dt.date(2024, 5, 7), 3)  # ingest never moves a stored bound, a confirmation does
     assert store.read("asset").where("filename like '%COC%'").first().type == "QA"
     assert store.read("ingest_file").where("reason = 'retained_sibling'").count() == 2
 

@@ -1,10 +1,11 @@
 """Operators on small tables, against plain restatements of their rules."""
 
+import datetime as dt
 import random
 
 from pyspark.sql import functions as F
 
-from tarnlab.operators import assemble, grids, reconcile, registry, resolve, reviews, statistics
+from tarnlab.operators import assemble, commit, grids, reconcile, registry, resolve, reviews, statistics
 
 
 def test_batch_duplicates_match_the_greedy_rule(spark):
@@ -79,6 +80,25 @@ def test_twins_on_opposite_sides(spark):
     assert {r.row: (r.twin, r.action) for r in got.collect()} == expected
 
 
+def test_bounds_of_pending_aliases(spark):
+    """New aliases hold from their first date, whatever the order of rows; stored bounds stay, even those that are open."""
+    day = lambda n: dt.date(2024, 5, n)
+    rows = [("new", "New", day(9), None), ("new", "New", day(3), 1), ("new", "New", None, None), ("dated", "D", day(1), None), ("open", "O", day(1), None), ("undated", "U", None, None)]
+    stored = [("a1", None, "dated", 1, day(4)), ("a2", None, "open", 5, None), ("a3", "f", "new", 7, day(1))]
+    pending = spark.createDataFrame(rows, "alias_key string, name string, date date, datetime int")
+    alias = spark.createDataFrame(stored, "uuid string, uuid_feature string, alias_key string, n_seen int, date_start date")
+    for order in (pending, pending.orderBy(F.desc("date"))):
+        got = {r.alias_key: (r.date_start, r.n_seen, r.is_new) for r in commit.materialise_aliases(order, alias).collect()}
+        assert got == {"new": (day(3), 3, True), "dated": (day(4), 2, False), "open": (None, 6, False), "undated": (None, 1, True)}
+
+
+def test_units_sightings(spark):
+    rows = [("b", "m1", "ug/L", "h2"), ("a", "m1", "mg/L", "h1"), ("a", "m2", "g/L", "h3"), ("b", "m2", "mg/L", "h4"), ("a", "m3", None, "h5"), ("a", "m4", "mg/L", "h6"), ("a", None, "mg/L", "h7"), ("a", "m5", "mg/L", "h8")]
+    method = [("m1", None, "mg/L"), ("m2", None, "mg/L"), ("m3", None, "mg/L"), ("m4", None, None), ("m5", "known", "ug/L")]
+    seen = commit.units_sightings(spark.createDataFrame(rows, "row string, uuid_lab string, units_raw string, source_hash string"), spark.createDataFrame(method, "uuid string, uuid_analyte string, units string"))
+    assert sorted(tuple(r) for r in seen.collect()) == [("m2", "units", "mg/L", "g/L", "h3"), ("m4", "units", None, "mg/L", "h6")]
+
+
 def test_compliance_flags(spark):
     rows = [("p", "a", 1.0, True), ("p", "b", 1.0, False), ("p", "c", 5.0, True), ("q", "a", None, None), ("q", "b", 2.0, True)]
     df = spark.createDataFrame(rows, "k string, sample string, value double, is_nd boolean")
