@@ -69,6 +69,16 @@ def has_clock_time(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\d{1,2}:\d{2}"), F.lit(False))
 
 
+def sampled(text: Column) -> Column:
+    """struct(date, datetime) of a row's date string under any laboratory's formats, both null if none fits.
+
+    The local day is always known, the UTC instant only where the string has a clock time.
+    """
+    local = F.coalesce(*[parse_local(text, k) for k in FORMATS])
+    instant = F.convert_timezone(F.lit(ZONE), F.lit("UTC"), local)
+    return F.struct(F.to_date(local).alias("date"), F.when(has_clock_time(text), instant).alias("datetime"))
+
+
 def excel_date(serial: Column) -> Column:
     return F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).cast("int"))
 

@@ -139,14 +139,14 @@ def dust_marker(r: Roles) -> DataFrame:
     return adapters.has_dust_marker(marked_cells(r))
 
 
-@query("c25_field_shaped", "SELECT o_orderkey, o_orderkey % 4 IN (0, 1) AS shaped FROM orders")
+@query("c25_field_shaped", "WITH n AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '2400-' WHEN 1 THEN 'report 2400' WHEN 2 THEN '12400-' ELSE '24-00' END || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') || '-01.xlsx' AS name FROM orders) SELECT o_orderkey, regexp_matches(' ' || name, '[^0-9]2400-?[0-9]{4}') AS shaped FROM n")
 def field_shaped(r: Roles) -> DataFrame:
     k, tail = F.col("o_orderkey") % 4, F.lpad((F.col("o_orderkey") % 10000).cast("string"), 4, "0")
     name = F.concat(F.when(k == 0, "2400-").when(k == 1, "report 2400").when(k == 2, "12400-").otherwise("24-00"), tail, F.lit("-01.xlsx"))
     return r.table("orders").select("o_orderkey", adapters.is_field_shaped(name).alias("shaped"))
 
 
-@query("c02_ignore_rule", "SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN 'ignored_extension:bak' WHEN o_orderkey % 6 = 1 THEN 'ignored_extension:tmp' WHEN o_orderkey % 6 = 2 THEN 'ds_store_file' WHEN o_orderkey % 7 = 0 THEN 'empty_file' END AS reason FROM orders")
+@query("c02_ignore_rule", "WITH f AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'a.bak' WHEN 1 THEN 'a.tmp' WHEN 2 THEN '.DS_Store' ELSE 'a.csv' END AS name, o_orderkey % 7 AS size FROM orders), ignored(ext) AS (VALUES ('bak'), ('tmp'), ('ds_store')) SELECT o_orderkey, CASE WHEN ext IS NOT NULL THEN 'ignored_extension:' || ext WHEN name = '.DS_Store' THEN 'ds_store_file' WHEN size = 0 THEN 'empty_file' END AS reason FROM f LEFT JOIN ignored ON name LIKE '_%.' || ext")
 def ignore_rule(r: Roles) -> DataFrame:
     k = F.col("o_orderkey") % 6
     ext = F.when(k == 0, "bak").when(k == 1, "tmp").otherwise("csv")
@@ -193,19 +193,19 @@ def target_is_self(r: Roles) -> DataFrame:
     return r.feature_alias.join(f, F.col("uuid_feature") == F.col("f")).select("uuid", edits.target_is_self(F.col("alias_key"), F.col("f_name")).alias("is_self"))
 
 
-@query("l02_valid_units", "SELECT uuid, units, CASE WHEN units IS NOT NULL THEN units <> 'g/L!' END AS valid FROM (SELECT uuid, CASE WHEN units = 'g/L' THEN 'g/L!' ELSE units END AS units FROM lab_method)")
+@query("l02_valid_units", "WITH known(u) AS (VALUES ('mg/L'), ('ug/L'), ('g/L'), ('uS/cm'), ('mS/cm'), ('pH'), ('NTU'), ('mm')) SELECT uuid, units, CASE WHEN units IS NOT NULL THEN units IN (SELECT u FROM known) END AS valid FROM (SELECT uuid, CASE WHEN units = 'g/L' THEN 'g/L!' ELSE units END AS units FROM lab_method)")
 def valid_units(r: Roles) -> DataFrame:
     u = F.when(F.col("units") == "g/L", "g/L!").otherwise(F.col("units"))
     return r.lab_method.select("uuid", u.alias("units"), units.is_valid(u).alias("valid"))
 
 
-@query("l03_compatible_units", "SELECT m.uuid, CASE WHEN m.units IS NOT NULL AND a.units IS NOT NULL THEN (m.units = 'uS/cm') = (a.units = 'mS/cm') END AS compatible FROM lab_method m JOIN analyte a ON m.uuid_analyte = a.uuid")
+@query("l03_compatible_units", "WITH u(u, d) AS (VALUES ('mg/L', 'mass/volume'), ('ug/L', 'mass/volume'), ('g/L', 'mass/volume'), ('uS/cm', 'conductivity'), ('mS/cm', 'conductivity')) SELECT m.uuid, CASE WHEN m.units IS NOT NULL AND a.units IS NOT NULL THEN coalesce(x.d = y.d, FALSE) END AS compatible FROM lab_method m JOIN analyte a ON m.uuid_analyte = a.uuid LEFT JOIN u x ON x.u = m.units LEFT JOIN u y ON y.u = a.units")
 def compatible_units(r: Roles) -> DataFrame:
     a = r.analyte.select(F.col("uuid").alias("a"), F.col("units").alias("a_units"))
     return r.lab_method.join(a, F.col("uuid_analyte") == F.col("a")).select("uuid", units.compatible(F.col("units"), F.col("a_units")).alias("compatible"))
 
 
-@query("l04_canonical_units", "SELECT p_partkey, CASE p_partkey % 4 WHEN 3 THEN 'mg/L' ELSE '1' END AS unit FROM part")
+@query("l04_canonical_units", "WITH s AS (SELECT p_partkey, ['pH', 'pH Unit', 'pH_Units', 'mg/L'][1 + p_partkey % 4] AS said FROM part) SELECT p_partkey, CASE WHEN said IN ('pH', 'pH Unit', 'pH_Units') THEN '1' ELSE said END AS unit FROM s")
 def canonical_units(r: Roles) -> DataFrame:
     said = F.get(F.array(*[F.lit(x) for x in ("pH", "pH Unit", "pH_Units", "mg/L")]), (F.col("p_partkey") % 4).cast("int"))
     return r.table("part").select("p_partkey", units.canonical(said).alias("unit"))

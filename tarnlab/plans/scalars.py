@@ -167,6 +167,28 @@ def parse_lab_datetime(r: Roles) -> DataFrame:
     return df.select("event_id", "said", dates.parse_lab_datetime(F.col("said"), "esdat").cast("string").alias("utc"))
 
 
+#: What follows a complete date is ignored, as with "noon".
+SAID = """t AS (SELECT event_id, date_trunc('minute', ts) AS local FROM events),
+said AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN strftime(local, '%d %b %Y %H:%M') WHEN 1 THEN strftime(local, '%d-%b-%y') WHEN 2 THEN strftime(local, '%Y-%m-%d %H:%M') WHEN 3 THEN strftime(local, '%Y-%m-%d')
+  WHEN 4 THEN strftime(local, '%Y-%m-%d') || ' noon' ELSE '32/13/2025' END AS said FROM t)"""
+
+
+@query(
+    "k05_sampled",
+    f"""WITH {SAID}, p AS (SELECT *, coalesce(try_strptime(said, '%d %b %Y %H:%M'), try_strptime(said, '%d-%b-%y'), try_strptime(said, '%Y-%m-%d %H:%M'), try_strptime(left(said, 10), '%Y-%m-%d')) AS local FROM said)
+SELECT event_id, said, CAST(CAST(local AS DATE) AS VARCHAR) AS day, CAST(CASE WHEN contains(said, ':') THEN local AT TIME ZONE 'Australia/Sydney' AT TIME ZONE 'UTC' END AS VARCHAR) AS utc,
+  CASE WHEN local IS NULL THEN 'parse_error/datetime' END AS review FROM p""",
+)
+def sampled(r: Roles) -> DataFrame:
+    k, ts = F.col("event_id") % 6, F.col("ts").cast("timestamp_ntz")
+    form = lambda f: F.date_format(ts, f)
+    said = F.when(k == 0, form("dd MMM yyyy HH:mm")).when(k == 1, form("dd-MMM-yy")).when(k == 2, form("yyyy-MM-dd HH:mm")).when(k == 3, form("yyyy-MM-dd")).when(k == 4, F.concat(form("yyyy-MM-dd"), F.lit(" noon"))).otherwise("32/13/2025")
+    at = dates.sampled(F.col("said"))
+    rows = r.table("events").select("event_id", said.alias("said")).withColumn("at", at)
+    review = F.when(F.col("at.date").isNull(), "parse_error/datetime")
+    return rows.select("event_id", "said", F.col("at.date").cast("string").alias("day"), F.col("at.datetime").cast("string").alias("utc"), review.alias("review"))
+
+
 @query("k03_has_clock_time", r"SELECT value_raw, count(*) AS n, bool_or(regexp_matches(value_raw || ' 10:30', '\d{1,2}:\d{2}')) AS with_time, bool_or(regexp_matches(value_raw, '\d{1,2}:\d{2}')) AS plain FROM raw GROUP BY 1")
 def clock_time(r: Roles) -> DataFrame:
     v = F.col("value_raw")
