@@ -228,3 +228,26 @@ def test_empty_tables(spark):
     assert statistics.compliance(empty, ["k"]).count() == 0
     c = spark.createDataFrame([], "file string, sheet string, r int, c int, v string")
     assert grids.unpivot_crosstab(c).count() == 0
+
+
+def test_alias_answers_by_spans(spark):
+    """Days at every bound, an unknown day and unknown ends agree with rows taken one by one; a key's rows are answered once for each span, however many there are."""
+    feature = spark.createDataFrame([("f1", "S", "2024-03-05"), ("f2", "S", None)], "uuid string, site string, date_end string").withColumn("date_end", F.col("date_end").cast("date"))
+    known = [("x1", "f1", "historical_code", True, None, "2024-03-03"), ("x2", "f1", "self", True, "2024-03-04", None), ("x3", "f2", "self", False, "2024-03-02", "2024-03-02"), ("x4", None, "historical_code", True, None, "2024-03-06")]
+    alias = spark.createDataFrame([(u, f, "k", *rest) for u, f, *rest in known], "uuid string, uuid_feature string, alias_key string, kind string, auto_assign boolean, date_start string, date_end string")
+    alias = alias.withColumn("date_start", F.col("date_start").cast("date")).withColumn("date_end", F.col("date_end").cast("date"))
+    days = [None, *[f"2024-03-0{d}" for d in range(1, 9)]]
+    asked = [(f"{d}/{n}", "k", d) for d in days for n in range(50)] + [("other", "none", "2024-03-01"), ("null", None, None)]
+    rows = spark.createDataFrame(asked, "row string, key string, day string").withColumn("day", F.col("day").cast("date"))
+
+    live = lambda d, x: d is None or ((x[4] is None or x[4] <= d) and (x[5] is None or x[5] >= d))
+    open_ = lambda d, x: live(d, x) and x[1] is not None and (d is None or x[1] != "f1" or d <= "2024-03-05")
+    each = lambda f: {(row, a) for row, key, d in asked if key == "k" for a in f(d)}
+    pairs = lambda df, c: {(r[0], r[1]) for r in df.select("row", c).collect()}
+    assert pairs(resolve.candidates(rows, alias, feature), "fa_uuid") == each(lambda d: [x[0] for x in known if open_(d, x) and x[3]])
+    assert pairs(resolve.suggestions(rows, alias, feature).withColumn("f", F.explode("features")), "f") == each(lambda d: {x[1] for x in known if open_(d, x)})
+    assert pairs(resolve.expired(rows, alias, feature).withColumn("a", F.explode("aliases")), "a") == each(lambda d: [x[0] for x in known if not live(d, x)])
+    assert pairs(resolve.narrowed_matches(rows, alias, feature), "fa_uuid") == each(lambda d: [x[0] for x in known if live(d, x) or not any(live(d, y) for y in known)])
+    one, spans = resolve.spans(rows, alias, feature)
+    assert one.count() == 450
+    assert spans.count() == 7  # unknown; up to 1, 2, 3, 4 and 5, 6, from 7 on: x2 begins as x1 has ended
