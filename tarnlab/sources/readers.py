@@ -6,10 +6,11 @@ import csv
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ from .files import decoded
 
 #: Records of one frame that a reader gives back.
 RECORDS = 10_000
+#: Characters of files after which it is given back, though it holds fewer records.
+CHARACTERS = 8_000_000
 
 # Header lines of the exchange format.
 CHEMISTRY = (
@@ -42,27 +45,53 @@ def _closes(content: str, line: int) -> bool:
     return True
 
 
-def raw_records(files: DataFrame) -> DataFrame:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _records(content: str | None) -> Iterator[tuple[int, list[str], bool]]:
+    """Records of one file: the line where each begins, its fields, and whether it ends before the file does."""
+    content = content or ""
+    reader, at, last = csv.reader(io.StringIO(content, newline="")), 1, None
+    for fields in reader:
+        if any(x.strip() for x in fields):
+            if last is not None:
+                yield (*last, True)
+            last = (at, fields)
+        at = reader.line_num + 1
+    if last is not None:
+        yield (*last, _closes(content, last[0]))
+
+
+def _read(files: DataFrame, rows: Callable[[str, str | None], Iterator[tuple]], schema: dict[str, pa.DataType], ddl: str) -> DataFrame:
+    """The rows that a function makes of each file; those of small files share a batch, those of a large one have several."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(1 << 31)
-        columns = ["hash", "r", "fields", "whole"]
-        for f in frames:
-            for h, content in zip(f["hash"], f["content"], strict=True):
-                content = content or ""
-                reader, at, rows = csv.reader(io.StringIO(content, newline="")), 1, []
-                for fields in reader:
-                    if any(x.strip() for x in fields):
-                        if len(rows) == RECORDS:
-                            yield pd.DataFrame(rows, columns=columns)
-                            rows = []
-                        rows.append((h, at, fields, True))
-                    at = reader.line_num + 1
-                if rows and not _closes(content, rows[-1][1]):
-                    rows[-1] = (*rows[-1][:3], False)
-                yield pd.DataFrame(rows, columns=columns)
-
-    texts = files.select("hash", decoded(F.col("content")).alias("content"))
-    return texts.mapInPandas(run, "hash string, r int, fields array<string>, whole boolean")
+        held, size = [], 0
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.values(), strict=True)], names=list(schema))
+
+        for b in batches:
+            for h, content in zip(b.column("hash").to_pylist(), b.column("content"), strict=True):
+                content = content.as_py()
+                size += len(content or "")
+                for row in rows(h, content):
+                    held.append(row)
+                    if len(held) == RECORDS:
+                        yield batch()
+                        held, size = [], 0
+                if held and size > CHARACTERS:
+                    yield batch()
+                    held, size = [], 0
+        if held:
+            yield batch()
+
+    return files.select("hash", decoded(F.col("content")).alias("content")).mapInArrow(run, ddl)
+
+
+def raw_records(files: DataFrame) -> DataFrame:
+    def rows(h: str, content: str | None) -> Iterator[tuple]:
+        return ((h, *x) for x in _records(content))
+
+    return _read(files, rows, {"hash": pa.string(), "r": pa.int32(), "fields": pa.list_(pa.string()), "whole": pa.bool_()}, "hash string, r int, fields array<string>, whole boolean")
 
 
 def records(files: DataFrame) -> DataFrame:
@@ -90,13 +119,30 @@ def delimited(files: DataFrame, columns: tuple[str, ...], found: DataFrame | Non
 
     Files whose header lacks one of the columns give no rows: `parse_faults` names them.
     """
-    found = raw_records(files) if found is None else found
+    if found is None:  # one pass: a file's header is at hand where its records are read
+        return _named(files, columns)
     head = headers(files, found).where(F.array_except(F.array(*[F.lit(c) for c in columns]), "header") == F.array().cast("array<string>"))
     data = found.where("whole").join(head, "hash").where("r > header_r")
     field = lambda c: F.nullif(F.get("fields", F.array_position("header", F.lit(c)).cast("int") - 1), F.lit("")).alias(c)
     return data.select("hash", F.concat(F.lit("r"), F.col("r").cast("string")).alias("source_ref"), *[field(c) for c in columns])
 
 
+def _named(files: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    def rows(h: str, content: str | None) -> Iterator[tuple]:
+        found = _records(content)
+        _, header, whole = next(found, (0, [], False))
+        names = [x.strip(" ") for x in header]
+        if not whole or any(c not in names for c in columns):
+            return
+        at = [names.index(c) for c in columns]
+        for r, fields, whole in found:
+            if whole:
+                yield (h, f"r{r}", *[fields[i] or None if i < len(fields) else None for i in at])
+
+    schema = {"hash": pa.string(), "source_ref": pa.string(), **{c: pa.string() for c in columns}}
+    return _read(files, rows, schema, ", ".join(f"`{c}` string" for c in schema))
+
+
 def parse_faults(files: DataFrame, columns: tuple[str, ...], found: DataFrame | None = None) -> DataFrame:
     """Delimited files that can't be read as a table of these columns: hash, fault, missing.
 

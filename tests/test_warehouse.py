@@ -234,3 +234,14 @@ def test_snapshots_are_kept_pointers(spark, store):
     assert store.prune_snapshots(["other"]) == ["day"] and store.snapshots() == ["other"]
     store.restore("other")
     assert store.read("t").count() == 2
+
+
+def test_small_files_are_read_once_and_share_batches(spark):
+    f = spark.range(3000, numPartitions=1).selectExpr("cast(id as string) as hash", "cast(concat('\"A\", B \r\n1,', id, '\r\n2') as binary) as content")
+    rows = readers.delimited(f, ("B", "A"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("MapInArrow") == 1
+    got = {(r.hash, r.source_ref, r.B, r.A) for r in rows.collect()}
+    assert got == {(str(i), "r2", str(i), "1") for i in range(3000)} | {(str(i), "r3", None, "2") for i in range(3000)}
+    batches = readers.raw_records(f).mapInArrow(lambda it: (b.slice(0, 1) for b in it), "hash string, r int, fields array<string>, whole boolean").count()
+    assert batches == 1 + 8999 // readers.RECORDS
