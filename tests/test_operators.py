@@ -251,3 +251,38 @@ def test_alias_answers_by_spans(spark):
     one, spans = resolve.spans(rows, alias, feature)
     assert one.count() == 450
     assert spans.count() == 7  # unknown; up to 1, 2, 3, 4 and 5, 6, from 7 on: x2 begins as x1 has ended
+
+
+def _shuffles(df):
+    """Exchanges of a plan that nothing is broadcast in; equal ones count each."""
+    s = df.sparkSession
+    was = s.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    s.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        s.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    return [x for x in plan.splitlines() if "Exchange " in x]
+
+
+def _sorts(df):
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in x]
+
+
+def test_matches_and_duplicates_cost_one_shuffle(spark):
+    rows = spark.range(9).selectExpr("cast(id as string) as row", "'p' as point", "date '2024-01-01' as date", "cast(null as timestamp_ntz) as datetime", "'m' as uuid_lab", "'a' as uuid_analyte", "'als_lab' as kind", "id as pos")
+    stored = rows.selectExpr("row as uuid", "point", "date", "datetime", "uuid_lab", "uuid_analyte", "'acirl_transcription' as kind", "1d as value", "'' as value_chr", "true as quantified", "1 as revision")
+    found = reconcile.with_existing(rows, stored)
+    assert {r.e_uuid for r in found.collect()} == {"0"}
+    assert len(_shuffles(reconcile.with_existing(rows, stored))) == 1
+    assert len(_shuffles(reconcile.twin_supersession(rows, stored))) == 1
+    twice = reconcile.batch_duplicates(rows, ["point", "uuid_lab"])
+    assert len(_shuffles(twice)) == 1 and len(_sorts(twice)) == 1
+
+
+def test_stored_rows_are_joined_by_numbers(spark):
+    from tarnlab.plans.roles import Roles
+
+    found = _shuffles(Roles(spark, "/root/testdata/sf0.001").stored)
+    assert found and not [x for x in found if "uuid" in x.split("hashpartitioning")[-1]]
+    assert len([x for x in found if "l_orderkey" in x]) <= 2
