@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PLACE = ("point", "date")
@@ -50,7 +50,7 @@ def existing(rows: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def assigned(rows: DataFrame, stored: DataFrame, prefix: str = "s-") -> DataFrame:
-    """Samples of a batch's rows, each of which sees those that earlier ones made: row, verdict, uuid_sample, made_at.
+    """Samples of a batch's rows, each of which sees those that earlier ones made: row, point, date, verdict, uuid_sample, made_at.
 
     rows: row (also their order), point, date, datetime; a null point or day is refused. What taking them one by one gives has a
     closed form. At a place without samples an undated first row makes the only one there will
@@ -63,15 +63,13 @@ def assigned(rows: DataFrame, stored: DataFrame, prefix: str = "s-") -> DataFram
     placed = rows.where("point is not null and date is not null")
     first = placed.groupBy(*KEY).agg(F.min("row").alias("o"))
     f = _facts(first, stored)
-    lead = f.groupBy(*PLACE).agg(F.min_by("datetime", "o").alias("lead_at"))
-    f = f.join(lead, list(PLACE))
+    # a place's instants, each once
+    place = Window.partitionBy(*PLACE)
+    f = f.withColumn("lead_at", F.min_by("datetime", "o").over(place))
     from_undated = (F.col("n") == 0) & F.col("lead_at").isNull()
     makes = known & ~from_undated & (F.col("undated") == 0) & (F.col("m") == 0)
-
-    made = f.where(makes).select(*PLACE, "o")
-    one = made.groupBy(*PLACE).agg(F.min("o").alias("o1"))
-    two = made.join(one, list(PLACE)).where("o > o1").groupBy(*PLACE).agg(F.min("o").alias("o2"))
-    f = f.join(one, list(PLACE), "left").join(two, list(PLACE), "left")
+    f = f.withColumn("_made", F.when(makes, F.col("o"))).withColumn("o1", F.min("_made").over(place))
+    f = f.withColumn("o2", F.min(F.when(F.col("_made") > F.col("o1"), F.col("_made"))).over(place)).drop("_made")
 
     after = lambda o: F.coalesce(F.col("o") > F.col(o), F.lit(False)).cast("int")
     there = F.col("n") + F.when(F.col("undated") == 0, after("o1") + after("o2")).otherwise(0)  # two made are as many as more
@@ -89,4 +87,4 @@ def assigned(rows: DataFrame, stored: DataFrame, prefix: str = "s-") -> DataFram
     old = F.when(known & (F.col("m") > 0), F.col("at_uuid")).otherwise(F.col("only"))
     f = f.select(*KEY, "verdict", "made_at", F.when(F.col("verdict") == "create", new_id).when(F.col("verdict") == "reuse", old).alias("uuid_sample"))
     out = rows.alias("r").join(f.alias("k"), _same("r", "k", KEY), "left")
-    return out.select("r.row", F.coalesce("verdict", F.lit("refuse")).alias("verdict"), "uuid_sample", "made_at")
+    return out.select("r.row", *[f"r.{c}" for c in PLACE], F.coalesce("verdict", F.lit("refuse")).alias("verdict"), "uuid_sample", "made_at")

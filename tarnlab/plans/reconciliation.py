@@ -197,8 +197,7 @@ SELECT c.point, c.date, count(*) FILTER (verdict = 'refuse') AS n_refused, count
 )
 def find_or_create_samples(r: Roles) -> DataFrame:
     """The SQL takes the instants of each visit one by one."""
-    rows = coming(r)
-    out = samples.assigned(rows, visits(r), "made ").join(rows.select("row", "point", "date"), "row")
+    out = samples.assigned(coming(r), visits(r), "made ")
     new = F.col("uuid_sample").like("made %")
     return out.groupBy("point", "date").agg(
         F.count_if(F.col("verdict") == "refuse").alias("n_refused"), F.count_if(new).alias("n_of_new"), F.countDistinct(F.when(new, F.col("uuid_sample"))).alias("n_made"), F.count_if(~new).alias("n_of_old"),

@@ -203,7 +203,7 @@ def commit_events(store: Store, rows: DataFrame, files: DataFrame, actor: str, r
         stopped = written(decisions.where("decision = 'blocked'"), "ingest-blocked")
         blocked = stopped.select("event").distinct()
         clean = rows.where("disposition = 'clean'").join(blocked, "event", "left_anti")
-        placed = written(samples.assigned(clean.select("row", "point", "date", "datetime"), stored_visits), "ingest-samples")
+        placed = written(samples.assigned(clean.select("row", "point", "date", "datetime"), stored_visits).drop(*samples.PLACE), "ingest-samples")
         refused = clean.join(placed.where("verdict = 'refuse'").select("row"), "row", "left_semi").select("event").distinct()
         refused = written(refused.withColumn("fault", F.lit("several samples fit alike")), "ingest-refused")
         failed = files.join(refused, "event")

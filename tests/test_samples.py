@@ -76,3 +76,12 @@ def test_rows_alone(spark):
     assert {r.row: (r.verdict, r.uuid_sample) for r in got.collect()} == expected
     none = spark.createDataFrame([], f"row string, {SCHEMA}")
     assert samples.assigned(none, spark.createDataFrame(stored, f"uuid string, {SCHEMA}")).count() == 0
+
+
+def test_places_come_with_the_samples(spark):
+    stored, rows = groups(2, 3)
+    df, have = spark.createDataFrame(rows, f"row string, {SCHEMA}"), spark.createDataFrame(stored, f"uuid string, {SCHEMA}")
+    out = samples.assigned(df, have)
+    assert sorted((r.row, r.point, r.date) for r in out.collect()) == sorted(r[:3] for r in rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 3  # two facts about stored samples and the way back to rows
