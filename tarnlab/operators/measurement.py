@@ -13,11 +13,16 @@ NEUTRAL_PREFERENCE = 500
 
 
 def spine(analysis: DataFrame, sample: DataFrame, alias: DataFrame, feature: DataFrame, method: DataFrame, how: str = "inner") -> DataFrame:
-    """analysis - sample - alias - feature, and - method: columns prefixed a_, s_, fa_, f_, m_."""
-    out = prefixed(analysis, "a_").join(prefixed(sample, "s_"), F.col("a_uuid_sample") == F.col("s_uuid"))
-    out = out.join(prefixed(alias, "fa_"), F.col("s_uuid_feature_alias") == F.col("fa_uuid"))
-    out = out.join(prefixed(feature, "f_"), F.col("fa_uuid_feature") == F.col("f_uuid"))
-    return out.join(prefixed(method, "m_"), F.col("a_uuid_lab") == F.col("m_uuid"), how)
+    """analysis - sample - alias - feature, and - method: columns prefixed a_, s_, fa_, f_, m_.
+
+    Samples get their features first, analyses their methods: only the last join moves analyses a second time.
+    """
+    at = prefixed(sample, "s_").join(prefixed(alias, "fa_"), F.col("s_uuid_feature_alias") == F.col("fa_uuid"))
+    at = at.join(prefixed(feature, "f_"), F.col("fa_uuid_feature") == F.col("f_uuid"))
+    by = prefixed(analysis, "a_").join(prefixed(method, "m_"), F.col("a_uuid_lab") == F.col("m_uuid"), how)
+    out = by.join(at, F.col("a_uuid_sample") == F.col("s_uuid"))
+    sides = (("a_", analysis), ("s_", sample), ("fa_", alias), ("f_", feature), ("m_", method))
+    return out.select(*[f"{p}{c}" for p, df in sides for c in df.columns])
 
 
 def with_preference_rank(rows: DataFrame) -> DataFrame:
@@ -69,8 +74,11 @@ def measurement_variant(
     analysis: DataFrame, sample: DataFrame, alias: DataFrame, feature: DataFrame, method: DataFrame, mask: DataFrame, variant: str
 ) -> DataFrame:
     """The view under a mask: only features the mask names (variant in any case); rows without a method stay."""
-    named = mask.where(F.upper("variant") == variant).select(F.col("uuid_feature").alias("k_uuid"), F.col("name").alias("k_name"))
-    return with_preference_rank(spine(analysis, sample, alias, feature, method, "left")).join(named, F.col("f_uuid") == F.col("k_uuid"))
+    named = mask.where(F.upper("variant") == variant).groupBy(F.col("uuid_feature").alias("uuid")).agg(F.collect_list(F.struct("uuid_feature", "name")).alias("_named"))
+    # ranks are taken within a feature, so its names may come before them
+    rows = with_preference_rank(spine(analysis, sample, alias, feature.join(named, "uuid"), method, "left"))
+    rest = [c for c in rows.columns if c != "f__named"]
+    return rows.select(*rest, F.explode("f__named").alias("_n")).select(*rest, F.col("_n.uuid_feature").alias("k_uuid"), F.col("_n.name").alias("k_name"))
 
 
 def feature_dates(sample: DataFrame, alias: DataFrame) -> DataFrame:

@@ -286,3 +286,14 @@ def test_stored_rows_are_joined_by_numbers(spark):
     found = _shuffles(Roles(spark, "/root/testdata/sf0.001").stored)
     assert found and not [x for x in found if "uuid" in x.split("hashpartitioning")[-1]]
     assert len([x for x in found if "l_orderkey" in x]) <= 2
+
+
+def test_spine_moves_analyses_twice(spark):
+    from tarnlab.operators import measurement
+    from tarnlab.plans.roles import Roles
+
+    r = Roles(spark, "/root/testdata/sf0.001")
+    found = _shuffles(measurement.spine(r.analysis, r.sample, r.feature_alias, r.feature, r.lab_method))
+    assert "(a_uuid_sample" in found[0] and len([x for x in found if "(a_uuid_" in x]) == 2  # the last join is that with samples that have their features
+    plan = measurement.measurement_variant(r.analysis, r.sample, r.feature_alias, r.feature, r.lab_method, r.mask, "EPA")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window ") < plan.index("Join ")  # no join above the ranks
