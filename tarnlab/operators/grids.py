@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, values
+from ..warehouse.scratch import written
 
 # Labels of crosstab rows.
 SECTION = r"Matrix:"
@@ -78,7 +79,7 @@ def unpivot_crosstab(cells: DataFrame, dialect: str = "^Matrix:") -> DataFrame:
     units_raw, limit_raw, lab_sample_id, feature_raw, sample_type, sample_date_raw, value_raw.
     """
     keys = ["file", "sheet"]
-    c = cells.where("trim(coalesce(v, '')) <> ''").withColumn("v", F.trim("v"))
+    c = written(cells.where("trim(coalesce(v, '')) <> ''").withColumn("v", F.trim("v")), "crosstab-sheet")
     head = c.groupBy(*keys, "r").agg(F.min(F.struct("c", "v")).alias("first"), F.max(F.when(F.col("v").rlike("(?i)^CAS Number$"), F.col("c"))).alias("cas_c"))
     marker = F.col("first.v").rlike(f"{SECTION}\\s*")
     head = sections(head, keys, marker, F.col("first.v").rlike(dialect)).where("in_section")
@@ -88,7 +89,7 @@ def unpivot_crosstab(cells: DataFrame, dialect: str = "^Matrix:") -> DataFrame:
     kind = F.when(marker, "marker").when(F.col("cas_c").isNotNull(), "columns").otherwise(kind)
     head = head.withColumn("kind", kind).select(*keys, "r", "section", "kind", F.col("first.c").alias("first_c"), "cas_c")
     where = [*keys, "section"]
-    rows = c.join(head, [*keys, "r"])
+    rows = written(c.join(head, [*keys, "r"]), "crosstab-marked")  # every cell with what its row is, once
 
     top = rows.where("kind = 'columns'").groupBy(*where).agg(
         F.min("r").alias("header_r"),
@@ -104,14 +105,17 @@ def unpivot_crosstab(cells: DataFrame, dialect: str = "^Matrix:") -> DataFrame:
 
     body = rows.where("kind = 'body'").select(*where, "r", "c", "v").join(top, where).where("r > header_r")
     part = lambda name: F.max(F.when(F.col("c") == F.col(name), F.col("v")))
-    sample = body.join(columns.select(*where, "c", F.lit(1).alias("_sample")), [*where, "c"], "left")
-    lines = sample.groupBy(*where, "r").agg(
-        part("name_c").alias("analyte_raw"), part("cas_c").alias("cas_number"), part("unit_c").alias("units_raw"),
-        part("limit_c").alias("limit_raw"), F.count("_sample").alias("n_values"),
-    ).where("analyte_raw is not null")
-    heading = F.when(F.col("n_values") == 0, F.col("analyte_raw"))
-    lines = lines.withColumn("method_raw", carried(heading, where, "r")).where("n_values > 0")
-    out = body.select(*where, "r", "c", F.col("v").alias("value_raw")).join(columns, [*where, "c"]).join(lines, [*where, "r"])
+    body = body.join(columns.withColumn("_sample", F.lit(1)), [*where, "c"], "left")
+    # one sort of the cells by row serves both: what each row says, and the cells that bear a value
+    line = Window.partitionBy(*where, "r")
+    body = body.withColumns({
+        "analyte_raw": part("name_c").over(line), "cas_number": part("cas_c").over(line), "units_raw": part("unit_c").over(line),
+        "limit_raw": part("limit_c").over(line), "n_values": F.count("_sample").over(line),
+    }).where("analyte_raw is not null")
+    # cells of lines, and of each heading the one that names it; the heading's text is carried down
+    body = body.where("_sample is not null or (n_values = 0 and c = name_c)")
+    body = body.withColumn("method_raw", carried(F.when(F.col("n_values") == 0, F.col("analyte_raw")), where, "r"))
+    out = body.where("_sample is not null and n_values > 0").withColumnRenamed("v", "value_raw")
     return out.select(
         *where, F.concat(F.lit("r"), F.col("r").cast("string"), F.lit("c"), F.col("c").cast("string")).alias("source_ref"),
         "analyte_raw", "method_raw", "cas_number", "units_raw", "limit_raw", F.col("col_sample_number").alias("lab_sample_id"),

@@ -52,23 +52,21 @@ def grid_cells(r: Roles) -> DataFrame:
 
 def crosstab_cells(r: Roles) -> DataFrame:
     """A crosstab for each supplier: parts are analytes with a method heading each, line numbers are samples."""
-    li = r.table("lineitem").groupBy("l_suppkey", "l_partkey", "l_linenumber").agg(F.sum("l_quantity").alias("q"))
-    f, s = F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("file"), lambda c: c.cast("string")
-    cell = lambda df, r_, c, v: df.select(f, F.lit("").alias("sheet"), r_.cast("long").alias("r"), c.cast("int").alias("c"), v.alias("v"))
-    sup = li.select("l_suppkey").distinct()
-    ln = li.select("l_suppkey", "l_linenumber").distinct()
-    part = li.select("l_suppkey", "l_partkey").distinct()
-    at = 10 + 2 * F.col("l_partkey")
-    out = cell(sup, F.lit(1), F.lit(1), F.lit("Matrix: WATER"))
-    for row, label in ((2, "ALS Sample number:"), (3, "Client sample ID (1st):")):
-        out = out.union(cell(sup, F.lit(row), F.lit(5), F.lit(label)))
-    for c, label in enumerate(("Analyte", "CAS Number", "Unit", "LOR"), 1):
-        out = out.union(cell(sup, F.lit(4), F.lit(c), F.lit(label)))
-    n = F.col("l_linenumber")
-    out = out.union(cell(ln, F.lit(2), n + 5, F.concat(F.lit("S"), s(n)))).union(cell(ln, F.lit(3), n + 5, F.concat(F.lit("P"), s(n))))
-    out = out.union(cell(part, at, F.lit(1), F.concat(F.lit("EA: "), s(F.col("l_partkey")))))
-    out = out.union(cell(part, at + 1, F.lit(1), F.concat(F.lit("part "), s(F.col("l_partkey"))))).union(cell(part, at + 1, F.lit(3), F.lit("mg/L")))
-    return out.union(cell(li, at + 1, n + 5, s(F.col("q").cast("long"))))
+    lines, s = r.table("lineitem"), lambda c: c.cast("string")
+
+    def cells(df, *each):
+        x = F.explode(F.array(*[F.struct(row.cast("long").alias("r"), c.cast("int").alias("c"), v.alias("v")) for row, c, v in each]))
+        return df.select(F.concat(F.lit("s"), s(F.col("l_suppkey"))).alias("file"), F.lit("").alias("sheet"), x.alias("x")).select("file", "sheet", "x.*")
+
+    li = lines.groupBy("l_suppkey", "l_partkey", "l_linenumber").agg(F.sum("l_quantity").alias("q"))
+    sup, ln, part = (lines.select("l_suppkey", *c).distinct() for c in ((), ("l_linenumber",), ("l_partkey",)))
+    n, at = F.col("l_linenumber"), 10 + 2 * F.col("l_partkey")
+    fixed = [(1, 1, "Matrix: WATER"), (2, 5, "ALS Sample number:"), (3, 5, "Client sample ID (1st):"), *[(4, c, v) for c, v in enumerate(("Analyte", "CAS Number", "Unit", "LOR"), 1)]]
+    out = cells(sup, *[tuple(F.lit(x) for x in cell) for cell in fixed])
+    out = out.union(cells(ln, (F.lit(2), n + 5, F.concat(F.lit("S"), s(n))), (F.lit(3), n + 5, F.concat(F.lit("P"), s(n)))))
+    key = s(F.col("l_partkey"))
+    out = out.union(cells(part, (at, F.lit(1), F.concat(F.lit("EA: "), key)), (at + 1, F.lit(1), F.concat(F.lit("part "), key)), (at + 1, F.lit(3), F.lit("mg/L"))))
+    return out.union(cells(li, (at + 1, n + 5, s(F.col("q").cast("long")))))
 
 
 @query(

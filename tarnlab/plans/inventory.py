@@ -243,14 +243,19 @@ def occurrence(r: Roles) -> DataFrame:
 
 def water_cells(r: Roles) -> DataFrame:
     """A water sheet for each supplier: line numbers are samples, parts are analytes, a date cell carries over."""
-    li = r.table("lineitem").groupBy("l_suppkey", "l_partkey", "l_linenumber").agg(F.sum("l_quantity").cast("long").alias("q"))
-    cell = lambda df, row, c, v: df.select(s("l_suppkey").alias("file"), F.lit("W").alias("sheet"), row.cast("long").alias("r"), c.cast("int").alias("c"), v.alias("v"))
-    sup, ln, part = (li.select("l_suppkey", *c).distinct() for c in ((), ("l_linenumber",), ("l_partkey",)))
-    out = cell(sup, F.lit(5), F.lit(1), F.lit("Site Name")).union(cell(sup, F.lit(5), F.lit(2), F.lit("Units"))).union(cell(sup, F.lit(4), F.lit(1), F.lit("Date sampled")))
-    out = out.union(cell(sup, F.lit(4), F.lit(3), F.lit("45802"))).union(cell(ln, F.lit(5), F.col("l_linenumber") + 2, F.concat(F.lit("P"), s("l_linenumber"))))
+    lines = r.table("lineitem")
+
+    def cells(df, *each):
+        x = F.explode(F.array(*[F.struct(row.cast("long").alias("r"), c.cast("int").alias("c"), v.alias("v")) for row, c, v in each]))
+        return df.select(s("l_suppkey").alias("file"), F.lit("W").alias("sheet"), x.alias("x")).select("file", "sheet", "x.*")
+
+    li = lines.groupBy("l_suppkey", "l_partkey", "l_linenumber").agg(F.sum("l_quantity").cast("long").alias("q"))
+    sup, ln, part = (lines.select("l_suppkey", *c).distinct() for c in ((), ("l_linenumber",), ("l_partkey",)))
+    fixed = [(5, 1, "Site Name"), (5, 2, "Units"), (4, 1, "Date sampled"), (4, 3, "45802")]
+    out = cells(sup, *[tuple(F.lit(x) for x in cell) for cell in fixed]).union(cells(ln, (F.lit(5), F.col("l_linenumber") + 2, F.concat(F.lit("P"), s("l_linenumber")))))
     at = F.col("l_partkey") + 10
-    out = out.union(cell(part, at, F.lit(1), F.concat(F.lit("part "), s("l_partkey")))).union(cell(part, at, F.lit(2), F.lit("mg/L")))
-    return out.union(cell(li, at, F.col("l_linenumber") + 2, F.when(F.col("q") % 10 == 0, "--").otherwise(s("q"))))
+    out = out.union(cells(part, (at, F.lit(1), F.concat(F.lit("part "), s("l_partkey"))), (at, F.lit(2), F.lit("mg/L"))))
+    return out.union(cells(li, (at, F.col("l_linenumber") + 2, F.when(F.col("q") % 10 == 0, "--").otherwise(s("q")))))
 
 
 @query(
