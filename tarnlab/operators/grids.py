@@ -103,9 +103,11 @@ def unpivot_crosstab(cells: DataFrame, dialect: str = "^Matrix:") -> DataFrame:
         *[F.min(F.when(F.col("kind") == k, F.col("v"))).alias(f"col_{k}") for k in ("sample_number", "sample_type", "sample_date", "feature")]
     ).where("col_sample_number is not null")
 
-    body = rows.where("kind = 'body'").select(*where, "r", "c", "v").join(top, where).where("r > header_r")
+    # a section's sample columns by their number, as many as a sheet is wide: cells take theirs without being moved by column
+    held = columns.groupBy(*where).agg(F.map_from_entries(F.collect_list(F.struct("c", F.struct(*[x for x in columns.columns if x.startswith("col_")])))).alias("_columns"))
+    body = rows.where("kind = 'body'").select(*where, "r", "c", "v").join(top.join(held, where, "left"), where).where("r > header_r")
     part = lambda name: F.max(F.when(F.col("c") == F.col(name), F.col("v")))
-    body = body.join(columns.withColumn("_sample", F.lit(1)), [*where, "c"], "left")
+    body = body.withColumn("_sample", F.try_element_at("_columns", F.col("c"))).drop("_columns")
     # one sort of the cells by row serves both: what each row says, and the cells that bear a value
     line = Window.partitionBy(*where, "r")
     body = body.withColumns({
@@ -118,9 +120,9 @@ def unpivot_crosstab(cells: DataFrame, dialect: str = "^Matrix:") -> DataFrame:
     out = body.where("_sample is not null and n_values > 0").withColumnRenamed("v", "value_raw")
     return out.select(
         *where, F.concat(F.lit("r"), F.col("r").cast("string"), F.lit("c"), F.col("c").cast("string")).alias("source_ref"),
-        "analyte_raw", "method_raw", "cas_number", "units_raw", "limit_raw", F.col("col_sample_number").alias("lab_sample_id"),
-        F.col("col_feature").alias("feature_raw"), text.sample_type(F.col("col_sample_type")).alias("sample_type"),
-        F.col("col_sample_date").alias("sample_date_raw"), "value_raw",
+        "analyte_raw", "method_raw", "cas_number", "units_raw", "limit_raw", F.col("_sample.col_sample_number").alias("lab_sample_id"),
+        F.col("_sample.col_feature").alias("feature_raw"), text.sample_type(F.col("_sample.col_sample_type")).alias("sample_type"),
+        F.col("_sample.col_sample_date").alias("sample_date_raw"), "value_raw",
     )
 
 

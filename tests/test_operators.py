@@ -297,3 +297,10 @@ def test_spine_moves_analyses_twice(spark):
     assert "(a_uuid_sample" in found[0] and len([x for x in found if "(a_uuid_" in x]) == 2  # the last join is that with samples that have their features
     plan = measurement.measurement_variant(r.analysis, r.sample, r.feature_alias, r.feature, r.lab_method, r.mask, "EPA")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Window ") < plan.index("Join ")  # no join above the ranks
+
+
+def test_crosstab_cells_are_moved_by_sheet_only(spark):
+    c = spark.createDataFrame([("f", "", r, k, v) for r, row in enumerate([["Matrix: WATER"], ["ALS Sample number:", "", "", "", "S1"], ["Analyte", "CAS Number", "Unit", "LOR"], ["EA1"], ["pH", "", "-", "1", "7"]], 1) for k, v in enumerate(row, 1)], "file string, sheet string, r long, c int, v string")
+    out = grids.unpivot_crosstab(c)
+    assert [(r.analyte_raw, r.method_raw, r.lab_sample_id, r.value_raw) for r in out.collect()] == [("pH", "EA1", "S1", "7")]
+    assert not [x for x in _shuffles(out) if "hashpartitioning" in x and (", r#" in x.split("hashpartitioning")[1] or ("analyte_raw" in x))]
