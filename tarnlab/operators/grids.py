@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, values
-from ..warehouse.scratch import written
 
 # Labels of crosstab rows.
 SECTION = r"Matrix:"
@@ -79,50 +78,53 @@ def unpivot_crosstab(cells: DataFrame, dialect: str = "^Matrix:") -> DataFrame:
     units_raw, limit_raw, lab_sample_id, feature_raw, sample_type, sample_date_raw, value_raw.
     """
     keys = ["file", "sheet"]
-    c = written(cells.where("trim(coalesce(v, '')) <> ''").withColumn("v", F.trim("v")), "crosstab-sheet")
-    head = c.groupBy(*keys, "r").agg(F.min(F.struct("c", "v")).alias("first"), F.max(F.when(F.col("v").rlike("(?i)^CAS Number$"), F.col("c"))).alias("cas_c"))
-    marker = F.col("first.v").rlike(f"{SECTION}\\s*")
-    head = sections(head, keys, marker, F.col("first.v").rlike(dialect)).where("in_section")
-    kind = F.lit("body")
+    v = F.col("v")
+    c = cells.where("trim(coalesce(v, '')) <> ''").withColumn("v", F.trim("v"))
+    # cells are moved once, by sheet, and never written; every step below is a window within a sheet
+    c = c.withColumn("_first", ~F.lag("r").over(Window.partitionBy(*keys).orderBy("r", "c", "v")).eqNullSafe(F.col("r")))
+    # what a row is stands in its first cell, or in the cell of the CAS column
+    marker, kind = v.rlike(f"{SECTION}\\s*"), F.lit(None).cast("string")
     for name, pattern in LABELS.items():
-        kind = F.when(F.col("first.v").rlike(f"(?i){pattern}"), name).otherwise(kind)
-    kind = F.when(marker, "marker").when(F.col("cas_c").isNotNull(), "columns").otherwise(kind)
-    head = head.withColumn("kind", kind).select(*keys, "r", "section", "kind", F.col("first.c").alias("first_c"), "cas_c")
+        kind = F.when(v.rlike(f"(?i){pattern}"), name).otherwise(kind)
+    c = c.withColumn("_kind", F.when(F.col("_first"), F.when(marker, "marker").otherwise(kind)))
+    c = c.withColumn("_dialect", F.when(F.col("_kind") == "marker", v.rlike(dialect)))
+    row = Window.partitionBy(*keys, "r")
+    c = c.withColumns({
+        "kind": F.first("_kind", ignorenulls=True).over(row), "first_c": F.min("c").over(row),
+        "cas_c": F.max(F.when(v.rlike("(?i)^CAS Number$"), F.col("c"))).over(row),
+    })
+    upto = Window.partitionBy(*keys).orderBy("r").rangeBetween(Window.unboundedPreceding, 0)  # all cells of a row get the same
+    c = c.withColumns({"section": F.count(F.when(F.col("_kind") == "marker", 1)).over(upto), "in_section": F.last("_dialect", ignorenulls=True).over(upto)})
+    kind = F.when(F.col("kind") == "marker", "marker").when(F.col("cas_c").isNotNull(), "columns").otherwise(F.coalesce("kind", F.lit("body")))
+    c = c.where("in_section").select(*keys, "section", "r", "c", "v", "first_c", "cas_c", kind.alias("kind"))
     where = [*keys, "section"]
-    rows = written(c.join(head, [*keys, "r"]), "crosstab-marked")  # every cell with what its row is, once
-
-    top = rows.where("kind = 'columns'").groupBy(*where).agg(
-        F.min("r").alias("header_r"),
-        F.min("first_c").alias("name_c"),
-        F.min("cas_c").alias("cas_c"),
-        F.min(F.when(F.col("v").rlike("(?i)^Unit"), F.col("c"))).alias("unit_c"),
-        F.min(F.when(F.col("v").rlike("(?i)^(Limit of reporting|LOR)"), F.col("c"))).alias("limit_c"),
-    )
-    label_cells = rows.where(F.col("kind").isin(*LABELS) & (F.col("c") > F.col("first_c")))
-    columns = label_cells.groupBy(*where, "c").agg(
-        *[F.min(F.when(F.col("kind") == k, F.col("v"))).alias(f"col_{k}") for k in ("sample_number", "sample_type", "sample_date", "feature")]
-    ).where("col_sample_number is not null")
-
-    # a section's sample columns by their number, as many as a sheet is wide: cells take theirs without being moved by column
-    held = columns.groupBy(*where).agg(F.map_from_entries(F.collect_list(F.struct("c", F.struct(*[x for x in columns.columns if x.startswith("col_")])))).alias("_columns"))
-    body = rows.where("kind = 'body'").select(*where, "r", "c", "v").join(top.join(held, where, "left"), where).where("r > header_r")
-    part = lambda name: F.max(F.when(F.col("c") == F.col(name), F.col("v")))
-    body = body.withColumn("_sample", F.try_element_at("_columns", F.col("c"))).drop("_columns")
-    # one sort of the cells by row serves both: what each row says, and the cells that bear a value
+
+    # what the labelled rows say of each column, then what the header says of the section
+    column, whole = Window.partitionBy(*where, "c"), Window.partitionBy(*where)
+    said = lambda k: F.min(F.when((F.col("kind") == k) & (F.col("c") > F.col("first_c")), v)).over(column)
+    header = F.col("kind") == "columns"
+    at = lambda x, when=header: F.min(F.when(when, F.col(x))).over(whole)
+    c = c.withColumns({f"col_{k}": said(k) for k in ("sample_number", "sample_type", "sample_date", "feature")})
+    c = c.withColumns({
+        "header_r": at("r"), "name_c": at("first_c"), "_cas": at("cas_c"), "unit_c": at("c", header & v.rlike("(?i)^Unit")),
+        "limit_c": at("c", header & v.rlike("(?i)^(Limit of reporting|LOR)")),
+    })
+    body = c.where("kind = 'body' and r > header_r").drop("kind", "first_c", "cas_c", "header_r")
+    part = lambda name: F.max(F.when(F.col("c") == F.col(name), v))
     line = Window.partitionBy(*where, "r")
     body = body.withColumns({
-        "analyte_raw": part("name_c").over(line), "cas_number": part("cas_c").over(line), "units_raw": part("unit_c").over(line),
-        "limit_raw": part("limit_c").over(line), "n_values": F.count("_sample").over(line),
+        "analyte_raw": part("name_c").over(line), "cas_number": part("_cas").over(line), "units_raw": part("unit_c").over(line),
+        "limit_raw": part("limit_c").over(line), "n_values": F.count("col_sample_number").over(line),
     }).where("analyte_raw is not null")
     # cells of lines, and of each heading the one that names it; the heading's text is carried down
-    body = body.where("_sample is not null or (n_values = 0 and c = name_c)")
+    body = body.where("col_sample_number is not null or (n_values = 0 and c = name_c)")
     body = body.withColumn("method_raw", carried(F.when(F.col("n_values") == 0, F.col("analyte_raw")), where, "r"))
-    out = body.where("_sample is not null and n_values > 0").withColumnRenamed("v", "value_raw")
+    out = body.where("col_sample_number is not null and n_values > 0").withColumnRenamed("v", "value_raw")
     return out.select(
         *where, F.concat(F.lit("r"), F.col("r").cast("string"), F.lit("c"), F.col("c").cast("string")).alias("source_ref"),
-        "analyte_raw", "method_raw", "cas_number", "units_raw", "limit_raw", F.col("_sample.col_sample_number").alias("lab_sample_id"),
-        F.col("_sample.col_feature").alias("feature_raw"), text.sample_type(F.col("_sample.col_sample_type")).alias("sample_type"),
-        F.col("_sample.col_sample_date").alias("sample_date_raw"), "value_raw",
+        "analyte_raw", "method_raw", "cas_number", "units_raw", "limit_raw", F.col("col_sample_number").alias("lab_sample_id"),
+        F.col("col_feature").alias("feature_raw"), text.sample_type(F.col("col_sample_type")).alias("sample_type"),
+        F.col("col_sample_date").alias("sample_date_raw"), "value_raw",
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -50,23 +50,32 @@ def grid_cells(r: Roles) -> DataFrame:
     return g.agg(F.countDistinct("file").alias("n_files"), F.count("*").alias("n_cells"))
 
 
-def crosstab_cells(r: Roles) -> DataFrame:
-    """A crosstab for each supplier: parts are analytes with a method heading each, line numbers are samples."""
-    lines, s = r.table("lineitem"), lambda c: c.cast("string")
+def sheet_cells(lines: DataFrame, file: Column, sheet: str, fixed: list, column, part, value) -> DataFrame:
+    """Cells of a sheet for each supplier: fixed ones, those of each line number (column), of each part (part), and one of each of both (value).
+
+    Orders' lines move once, by sheet, before they become cells: what is asked of a sheet later finds all of it in one task.
+    """
+    cell = lambda r, c, v: F.struct(r.cast("long").alias("r"), c.cast("int").alias("c"), v.alias("v"))
+    n = F.col("l_linenumber")
+    li = lines.select(file.alias("file"), "l_partkey", "l_linenumber", "l_quantity").repartition("file")
+    li = li.groupBy("file", "l_partkey", "l_linenumber").agg(F.sum("l_quantity").cast("long").alias("q"))
+    w = Window.partitionBy("file").orderBy("l_partkey", "l_linenumber")
+    li = li.withColumns({"_file": F.row_number().over(w), "_part": F.row_number().over(Window.partitionBy("file", "l_partkey").orderBy("l_linenumber")), "_ns": F.collect_set("l_linenumber").over(Window.partitionBy("file"))})
+    own = F.array(cell(*value(n, F.col("q"))))
+    own = F.when(F.col("_part") == 1, F.concat(own, F.array(*[cell(*x) for x in part]))).otherwise(own)
+    head = F.concat(F.array(*[cell(*[F.lit(x) for x in f]) for f in fixed]), F.flatten(F.transform("_ns", lambda x: F.array(*[cell(*y) for y in column(x)]))))
+    x = F.explode(F.when(F.col("_file") == 1, F.concat(own, head)).otherwise(own))
+    return li.select("file", F.lit(sheet).alias("sheet"), x.alias("x")).select("file", "sheet", "x.*")
 
-    def cells(df, *each):
-        x = F.explode(F.array(*[F.struct(row.cast("long").alias("r"), c.cast("int").alias("c"), v.alias("v")) for row, c, v in each]))
-        return df.select(F.concat(F.lit("s"), s(F.col("l_suppkey"))).alias("file"), F.lit("").alias("sheet"), x.alias("x")).select("file", "sheet", "x.*")
 
-    li = lines.groupBy("l_suppkey", "l_partkey", "l_linenumber").agg(F.sum("l_quantity").alias("q"))
-    sup, ln, part = (lines.select("l_suppkey", *c).distinct() for c in ((), ("l_linenumber",), ("l_partkey",)))
-    n, at = F.col("l_linenumber"), 10 + 2 * F.col("l_partkey")
+def crosstab_cells(r: Roles) -> DataFrame:
+    """A crosstab for each supplier: parts are analytes with a method heading each, line numbers are samples."""
+    s = lambda c: c.cast("string")
+    at, key = 10 + 2 * F.col("l_partkey"), s(F.col("l_partkey"))
     fixed = [(1, 1, "Matrix: WATER"), (2, 5, "ALS Sample number:"), (3, 5, "Client sample ID (1st):"), *[(4, c, v) for c, v in enumerate(("Analyte", "CAS Number", "Unit", "LOR"), 1)]]
-    out = cells(sup, *[tuple(F.lit(x) for x in cell) for cell in fixed])
-    out = out.union(cells(ln, (F.lit(2), n + 5, F.concat(F.lit("S"), s(n))), (F.lit(3), n + 5, F.concat(F.lit("P"), s(n)))))
-    key = s(F.col("l_partkey"))
-    out = out.union(cells(part, (at, F.lit(1), F.concat(F.lit("EA: "), key)), (at + 1, F.lit(1), F.concat(F.lit("part "), key)), (at + 1, F.lit(3), F.lit("mg/L"))))
-    return out.union(cells(li, (at + 1, n + 5, s(F.col("q").cast("long")))))
+    column = lambda n: [(F.lit(2), n + 5, F.concat(F.lit("S"), s(n))), (F.lit(3), n + 5, F.concat(F.lit("P"), s(n)))]
+    part = [(at, F.lit(1), F.concat(F.lit("EA: "), key)), (at + 1, F.lit(1), F.concat(F.lit("part "), key)), (at + 1, F.lit(3), F.lit("mg/L"))]
+    return sheet_cells(r.table("lineitem"), F.concat(F.lit("s"), s(F.col("l_suppkey"))), "", fixed, column, part, lambda n, q: (at + 1, n + 5, s(q)))
 
 
 @query(

@@ -54,3 +54,28 @@ def test_visits_ask_once_for_both(spark):
     twins = {x.row: x.twin for x in reconcile.twin_supersession(rows.select("row", "kind", "point", "date", "datetime", "uuid_analyte"), stored).collect()}
     assert got == {k: (*found[k], twins[k]) for k in found} and len(got) == 400
     assert any(v[0] for v in got.values()) and any(v[2] for v in got.values())
+
+
+def test_a_crosstab_moves_once_and_is_not_written(spark, monkeypatch):
+    """Orders' lines move by sheet before they become cells; every step on cells is a window there."""
+    from tarnlab.operators import grids
+    from tarnlab.plans import files
+
+    monkeypatch.setattr(grids, "written", None, raising=False)  # fails if it is called
+    with plain(spark):
+        plan = files.unpivot_crosstab(Roles(spark, DATA))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange \w+\(", plan)) == 1 and "explode" in plan[: plan.index("Exchange ")]
+
+
+def test_a_crosstab_with_two_headers_and_late_labels(spark):
+    """A section's columns come from its labels and headers wherever they stand; an earlier section's don't reach it."""
+    from tarnlab.operators import grids
+
+    sheet = {
+        (1, 1): "Matrix: SOIL", (2, 2): "ALS Sample number:", (2, 5): "A1", (3, 1): "Analyte", (3, 2): "CAS Number", (3, 3): "Unit", (4, 1): "lead", (4, 5): "1",
+        (5, 1): "Matrix: WATER", (6, 1): "Analyte", (6, 2): "CAS Number", (6, 3): "Unit", (7, 1): "EA1: metals", (8, 1): "zinc", (8, 3): "mg/L", (8, 4): "9", (8, 5): "2", (8, 6): "3",
+        (9, 1): "Analyte", (9, 2): "CAS Number", (10, 2): "ALS Sample number:", (10, 5): "B1", (10, 6): "B2", (11, 2): "Client sample ID (1st):", (11, 6): "P",
+    }
+    c = spark.createDataFrame([("f", "s", r, k, v) for (r, k), v in sheet.items()], "file string, sheet string, r long, c int, v string")
+    got = sorted((x.section, x.source_ref, x.analyte_raw, x.method_raw, x.units_raw, x.lab_sample_id, x.feature_raw, x.value_raw) for x in grids.unpivot_crosstab(c.repartition(3)).collect())
+    assert got == [(1, "r4c5", "lead", None, None, "A1", None, "1"), (2, "r8c5", "zinc", "EA1: metals", "mg/L", "B1", None, "2"), (2, "r8c6", "zinc", "EA1: metals", "mg/L", "B2", "P", "3")]
