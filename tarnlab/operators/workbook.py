@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, text, values
-from ..warehouse.scratch import written
 from . import grids
 
 KEYS = ["file", "sheet"]
 
 
-def _ref() -> Column:
-    return F.concat(F.lit("r"), F.col("r").cast("string"), F.lit("c"), F.col("c").cast("string"))
-
-
 def sheet_kind(cells: DataFrame) -> DataFrame:
     """What each sheet is, by its markers near the top: front, dust, water or other."""
     top = cells.withColumn("v", F.trim("v"))
@@ -46,41 +41,39 @@ def water_sheet(cells: DataFrame, allowed: DataFrame) -> DataFrame:
     a header give no_site_row. Returns file, sheet, source_ref, kind, analyte_raw, units_raw,
     feature_raw, sample_date_raw, value_raw, parsed.
     """
-    c = written(cells.where("trim(coalesce(v, '')) <> ''").withColumn("v", F.trim("v")), "water-cells")
-    head = grids.first_cell(c, r"^Site Name\b").select(*KEYS, F.col("r").alias("r0"), F.col("c").alias("c0"))
-    marks = c.join(head, KEYS).where("c = c0 and r <> r0").where(F.col("v").rlike(r"(?i)\bdate\b"))
-    pick = marks.groupBy(*KEYS).agg(
-        F.coalesce(F.max(F.when(F.col("r") < F.col("r0"), F.col("r"))), F.min(F.when(F.col("r") > F.col("r0"), F.col("r")))).alias("date_r")
-    )
-    # every cell with what its sheet's marks say, once
-    c = written(c.join(head.join(pick, KEYS, "left"), KEYS, "left"), "water-marked")
-    none = c.where("r0 is null").select(*KEYS).distinct().withColumn("kind", F.lit("no_site_row"))
-
-    samples = c.where("r = r0 and c > c0 + 1").select(*KEYS, "c", F.col("v").alias("feature_raw"))
-    at_date = c.where("r = date_r").select(*KEYS, "c", F.col("v").alias("_d"))
-    samples = samples.join(at_date, [*KEYS, "c"], "left").withColumn("sample_date_raw", date_text(grids.carried(F.col("_d"), KEYS, "c"))).drop("_d")
-
-    lines = c.where("r > r0 and (date_r is null or r <> date_r)")
-    body = lines.join(samples, [*KEYS, "c"], "left")
-    per_line = body.groupBy(*KEYS, "r").agg(
-        F.max(F.when(F.col("c") == F.col("c0"), F.col("v"))).alias("analyte_raw"),
-        F.max(F.when(F.col("c") == F.col("c0") + 1, F.col("v"))).alias("units_cell"),
-        F.count("feature_raw").alias("n_values"),
-    ).where("analyte_raw is not null")
+    v, r, c = F.col("v"), F.col("r"), F.col("c")
+    x = cells.where("trim(coalesce(v, '')) <> ''").withColumn("v", F.trim("v"))
+    # cells are moved once, by sheet, and never written; lines, with their cells, once more, to the allowed labels
+    sheet = Window.partitionBy(*KEYS)
+    x = x.withColumn("_n", F.row_number().over(sheet.orderBy("c", "r")))
+    x = x.withColumn("_head", F.min(F.when(v.rlike(r"(?i)^Site Name\b"), F.struct("c", "r"))).over(sheet))
+    x = x.withColumns({"r0": F.col("_head.r"), "c0": F.col("_head.c")}).drop("_head")
+    mark = lambda when: F.when((c == F.col("c0")) & when & v.rlike(r"(?i)\bdate\b"), r)
+    x = x.withColumn("date_r", F.coalesce(F.max(mark(r < F.col("r0"))).over(sheet), F.min(mark(r > F.col("r0"))).over(sheet)))
+    column, upto = Window.partitionBy(*KEYS, "c"), sheet.orderBy("c").rangeBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({"feature_raw": F.max(F.when((r == F.col("r0")) & (c > F.col("c0") + 1), v)).over(column), "_d": F.max(F.when(r == F.col("date_r"), v)).over(column)})
+    x = x.withColumn("sample_date_raw", date_text(F.last(F.when(F.col("feature_raw").isNotNull(), F.col("_d")), ignorenulls=True).over(upto)))
+
+    none = F.col("r0").isNull()
+    x = x.where((none & (F.col("_n") == 1)) | ((r > F.col("r0")) & (F.col("date_r").isNull() | (r != F.col("date_r")))))
+    lines = x.groupBy(*KEYS, "r").agg(
+        F.max(F.when(c == F.col("c0"), v)).alias("analyte_raw"),
+        F.max(F.when(c == F.col("c0") + 1, v)).alias("units_cell"),
+        F.collect_list(F.when(F.col("feature_raw").isNotNull(), F.struct("c", v.alias("value_raw"), "feature_raw", "sample_date_raw"))).alias("_cells"),
+        F.bool_and(none).alias("_none"),
+    ).where("analyte_raw is not null or _none")
     ok = allowed.select(F.col("key").alias("_key")).distinct().withColumn("_ok", F.lit(True))
-    per_line = per_line.join(ok, text.method_key(F.col("analyte_raw")) == F.col("_key"), "left").drop("_key")
-    per_line = per_line.withColumn("kind", grids.classify_line(F.col("analyte_raw"), F.col("units_cell"), F.col("n_values"), F.col("_ok")))
-    per_line = per_line.withColumn("units_raw", text.repair_units(F.col("analyte_raw"), F.col("units_cell"))).drop("units_cell", "_ok")
-
-    cell = body.where("feature_raw is not null").select(*KEYS, "r", "c", F.col("v").alias("value_raw"), "feature_raw", "sample_date_raw")
-    results = cell.join(per_line.where("kind = 'result'"), [*KEYS, "r"]).withColumn(
-        "kind", F.when(F.col("value_raw").rlike("^-+$"), "not_analysed").otherwise("result")
-    )
-    results = results.select(
-        *KEYS, _ref().alias("source_ref"), "kind", "analyte_raw", "units_raw", "feature_raw", "sample_date_raw", "value_raw", values.parse_value(F.col("value_raw")).alias("parsed")
-    )
-    rest = per_line.where("kind <> 'result'").select(*KEYS, F.concat(F.lit("r"), F.col("r").cast("string")).alias("source_ref"), "kind", "analyte_raw", "units_raw")
-    return results.unionByName(rest, allowMissingColumns=True).unionByName(none, allowMissingColumns=True)
+    lines = lines.join(ok, text.method_key(F.col("analyte_raw")) == F.col("_key"), "left").drop("_key")
+    kind = grids.classify_line(F.col("analyte_raw"), F.col("units_cell"), F.size("_cells"), F.col("_ok"))
+    lines = lines.withColumn("kind", F.when(F.col("_none"), "no_site_row").otherwise(kind))
+    lines = lines.withColumn("units_raw", text.repair_units(F.col("analyte_raw"), F.col("units_cell")))
+    # of a result line its cells, of another the line itself
+    out = lines.select(*KEYS, "r", "kind", "analyte_raw", "units_raw", F.explode_outer(F.when(F.col("kind") == "result", F.col("_cells"))).alias("x"))
+    ref = F.when(F.col("x").isNotNull(), F.concat(F.lit("r"), r.cast("string"), F.lit("c"), F.col("x.c").cast("string"))).when(F.col("kind") != "no_site_row", F.concat(F.lit("r"), r.cast("string")))
+    return out.select(
+        *KEYS, ref.alias("source_ref"), F.when(F.col("x.value_raw").rlike("^-+$"), "not_analysed").otherwise(F.col("kind")).alias("kind"), "analyte_raw", "units_raw", F.col("x.feature_raw").alias("feature_raw"),
+        F.col("x.sample_date_raw").alias("sample_date_raw"), F.col("x.value_raw").alias("value_raw"), F.when(F.col("x").isNotNull(), values.parse_value(F.col("x.value_raw"))).alias("parsed"),
+    )
 
 
 def dust_sheet(cells: DataFrame) -> DataFrame:

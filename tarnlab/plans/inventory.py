@@ -17,6 +17,7 @@ from ..sources import adapters, readers
 from ..sources import files as src
 from ..warehouse import ingest, store
 from ..warehouse import registry as edits
+from .files import sheet_cells
 from .registry import query
 from .roles import Roles
 
@@ -243,19 +244,11 @@ def occurrence(r: Roles) -> DataFrame:
 
 def water_cells(r: Roles) -> DataFrame:
     """A water sheet for each supplier: line numbers are samples, parts are analytes, a date cell carries over."""
-    lines = r.table("lineitem")
-
-    def cells(df, *each):
-        x = F.explode(F.array(*[F.struct(row.cast("long").alias("r"), c.cast("int").alias("c"), v.alias("v")) for row, c, v in each]))
-        return df.select(s("l_suppkey").alias("file"), F.lit("W").alias("sheet"), x.alias("x")).select("file", "sheet", "x.*")
-
-    li = lines.groupBy("l_suppkey", "l_partkey", "l_linenumber").agg(F.sum("l_quantity").cast("long").alias("q"))
-    sup, ln, part = (lines.select("l_suppkey", *c).distinct() for c in ((), ("l_linenumber",), ("l_partkey",)))
     fixed = [(5, 1, "Site Name"), (5, 2, "Units"), (4, 1, "Date sampled"), (4, 3, "45802")]
-    out = cells(sup, *[tuple(F.lit(x) for x in cell) for cell in fixed]).union(cells(ln, (F.lit(5), F.col("l_linenumber") + 2, F.concat(F.lit("P"), s("l_linenumber")))))
+    column = lambda n: [(F.lit(5), n + 2, F.concat(F.lit("P"), n.cast("string")))]
     at = F.col("l_partkey") + 10
-    out = out.union(cells(part, (at, F.lit(1), F.concat(F.lit("part "), s("l_partkey"))), (at, F.lit(2), F.lit("mg/L"))))
-    return out.union(cells(li, (at, F.col("l_linenumber") + 2, F.when(F.col("q") % 10 == 0, "--").otherwise(s("q")))))
+    part = [(at, F.lit(1), F.concat(F.lit("part "), s("l_partkey"))), (at, F.lit(2), F.lit("mg/L"))]
+    return sheet_cells(r.table("lineitem"), s("l_suppkey"), "W", fixed, column, part, lambda n, q: (at, n + 2, F.when(q % 10 == 0, "--").otherwise(q.cast("string"))))
 
 
 @query(

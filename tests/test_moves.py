@@ -79,3 +79,34 @@ def test_a_crosstab_with_two_headers_and_late_labels(spark):
     c = spark.createDataFrame([("f", "s", r, k, v) for (r, k), v in sheet.items()], "file string, sheet string, r long, c int, v string")
     got = sorted((x.section, x.source_ref, x.analyte_raw, x.method_raw, x.units_raw, x.lab_sample_id, x.feature_raw, x.value_raw) for x in grids.unpivot_crosstab(c.repartition(3)).collect())
     assert got == [(1, "r4c5", "lead", None, None, "A1", None, "1"), (2, "r8c5", "zinc", "EA1: metals", "mg/L", "B1", None, "2"), (2, "r8c6", "zinc", "EA1: metals", "mg/L", "B2", "P", "3")]
+
+
+def test_a_water_sheet_moves_once_and_is_not_written(spark, monkeypatch):
+    """Orders' lines move by sheet; then lines of sheets meet the allowed labels, with their cells, and don't come back."""
+    from tarnlab.operators import workbook
+
+    monkeypatch.setattr(workbook, "written", None, raising=False)  # fails if it is called
+    with plain(spark):
+        plan = inventory.water_sheet(Roles(spark, DATA))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange \w+\([^)]*file#", plan)) == 1 and "method_key" not in plan
+    assert plan.count("/lineitem.parquet") == 1 and len(re.findall(r"Exchange ", plan)) <= 4  # lines by sheet, lines by label, labels once or twice
+
+
+def test_water_sheets_with_dates_below_and_without_a_date(spark):
+    """A date row below the header counts if none stands above; without one, results have no date; sheets don't mix."""
+    from tarnlab.operators import workbook
+
+    sheets = {
+        "A": [["Site Name", "Units", "P1", "", "P2"], ["pH", "-", "7", "5", "6"], ["Sample date", "", "45802", "", ""], ["pH", "-", "--", "", "1"]],
+        "B": [["", "Site Name", "Units", "Q"], ["", "pH", "", "x"]],
+        "C": [["pH", "-", "7"]],
+        "D": [["Date", "", "01/02/2025"], ["Site Name", "Units", "", "P"], ["pH", "", "3", "4"]],
+    }
+    c = spark.createDataFrame([("f", n, r, k, v) for n, rows in sheets.items() for r, row in enumerate(rows, 1) for k, v in enumerate(row, 1)], "file string, sheet string, r long, c int, v string")
+    out = workbook.water_sheet(c.repartition(3), spark.createDataFrame([("ph",)], "key string")).collect()
+    got = sorted(tuple(x or "" for x in (r.sheet, r.source_ref, r.kind, r.feature_raw, r.sample_date_raw, r.value_raw)) for r in out)
+    assert got == [
+        ("A", "r2c3", "result", "P1", "25/05/2025", "7"), ("A", "r2c5", "result", "P2", "25/05/2025", "6"), ("A", "r4c3", "not_analysed", "P1", "25/05/2025", "--"), ("A", "r4c5", "result", "P2", "25/05/2025", "1"),
+        ("B", "r2c4", "result", "Q", "", "x"), ("C", "", "no_site_row", "", "", ""), ("D", "r3c4", "result", "P", "", "4"),
+    ]
+    assert [r.parsed for r in out if r.sheet == "C"] == [None]
