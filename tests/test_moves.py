@@ -110,3 +110,34 @@ def test_water_sheets_with_dates_below_and_without_a_date(spark):
         ("B", "r2c4", "result", "Q", "", "x"), ("C", "", "no_site_row", "", "", ""), ("D", "r3c4", "result", "P", "", "4"),
     ]
     assert [r.parsed for r in out if r.sheet == "C"] == [None]
+
+
+def test_rows_meet_their_keys_spans_in_one_join(spark, monkeypatch):
+    """Orders move by customer, then by key; only those whose key is known are written, and none is moved by key and day."""
+    from tarnlab.plans import resolution
+
+    seen, write = [], resolve.written
+
+    def noted(df, name):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    for module in (resolve, resolution):
+        monkeypatch.setattr(module, "written", noted)
+    r = Roles(spark, DATA)
+    with plain(spark):
+        known = resolution.conditional_narrowing(r).select("row").distinct().count()
+        assert [name for name, _ in seen] == ["alias-spans"]
+        moved = re.findall(r"hashpartitioning\(([^)]*), \d+\)", seen[0][1])
+    assert not [x for x in moved if "day#" in x or re.match(r"(concat\(s, |uuid#)", x)] and len([x for x in moved if x.startswith("o_custkey#")]) == 1
+    assert 0 < known < r.sample.count()
+
+
+def test_edges_of_a_key_are_each_day_once(spark):
+    """However many aliases a key has, rows carry no more of it than its distinct bounds."""
+    day = lambda c: F.col(c).cast("date").alias(c)
+    feature = spark.sql("select 'f' as uuid, 'S' as site, date '2024-03-05' as date_end")
+    alias = spark.range(3000).selectExpr("concat('x', id) as uuid", "'f' as uuid_feature", "if(id % 3 = 0, 'k', 'l') as alias_key", "'self' as kind", "true as auto_assign", "if(id % 2 = 0, '2024-03-01', null) as date_start", "'2024-03-03' as date_end")
+    alias = alias.select("uuid", "uuid_feature", "alias_key", "kind", "auto_assign", day("date_start"), day("date_end"))
+    got = {x.key: sorted(str(e) for e in x.edges if e) for x in resolve._edges(alias, feature).collect()}
+    assert got == {k: ["2024-03-01", "2024-03-04", "2024-03-06"] for k in "kl"}
